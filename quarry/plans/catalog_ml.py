@@ -1 +1,175 @@
-"""Registered queries."""
+"""Registered queries: encoding, splits, ensembles and metrics (K1-K8,
+K15-K23, SQL-checked) and model jobs (K9-K14, K18, K24-K26, rows-only)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..operators import encode as K
+from ..operators import evaluate as V
+from ..operators.clean import apply_fill, fit_median_fill
+from .fixtures import SCORED_CTE, dirty_orders, scored_labels
+from .registry import register, table
+from .sqlgen import with_dirty
+
+R = 6
+
+
+@register("label_encode", """
+SELECT p_partkey, p_type, CAST(dense_rank() OVER (ORDER BY p_type) - 1 AS INTEGER) AS p_type_code FROM part""")
+def label_encode(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", "p_type")
+    return K.label_encode(p, "p_type")
+
+
+@register("label_encode_unseen", """
+WITH v AS (SELECT p_type, CAST(row_number() OVER (ORDER BY p_type) - 1 AS INTEGER) AS code
+           FROM (SELECT DISTINCT p_type FROM part WHERE p_type <> 'ECONOMY'))
+SELECT p_partkey, p_type, coalesce(code, -1) AS p_type_code FROM part LEFT JOIN v USING (p_type)""")
+def label_encode_unseen(spark, sf):
+    p = table(spark, sf, "part").select("p_partkey", "p_type")
+    vocab = K.fit_label_encoder(p.where(F.col("p_type") != "ECONOMY"), "p_type")
+    return K.apply_label_encoder(p, "p_type", vocab, unseen=-1)
+
+
+@register("shared_label_encode", """
+WITH v AS (SELECT value, CAST(row_number() OVER (ORDER BY value) - 1 AS INTEGER) AS code FROM (
+  SELECT CAST(c_nationkey AS VARCHAR) AS value FROM customer UNION SELECT CAST(s_nationkey AS VARCHAR) FROM supplier))
+SELECT 'customer' AS src, c_custkey AS id, code AS nation_code FROM customer JOIN v ON CAST(c_nationkey AS VARCHAR) = value
+UNION ALL
+SELECT 'supplier', s_suppkey, code FROM supplier JOIN v ON CAST(s_nationkey AS VARCHAR) = value""")
+def shared_label_encode(spark, sf):
+    """One vocabulary over the union of both tables' values."""
+    c = table(spark, sf, "customer").select(F.lit("customer").alias("src"), F.col("c_custkey").alias("id"),
+                                            F.col("c_nationkey").cast("string").alias("nation"))
+    s = table(spark, sf, "supplier").select(F.lit("supplier").alias("src"), F.col("s_suppkey").alias("id"),
+                                            F.col("s_nationkey").cast("string").alias("nation"))
+    both = c.unionByName(s)
+    vocab = K.fit_label_encoder(both, "nation")
+    return K.apply_label_encoder(both, "nation", vocab, "nation_code").select("src", "id", "nation_code")
+
+
+_SCALE_COLS = ["l_quantity", "l_extendedprice", "l_discount"]
+
+
+@register("standard_scale", f"""
+WITH s AS (SELECT {", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END AS s_{c}" for c in _SCALE_COLS)}
+           FROM lineitem WHERE l_shipdate < TIMESTAMP '1998-01-01')
+SELECT l_orderkey, l_linenumber, {", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in _SCALE_COLS)}
+FROM lineitem, s""")
+def standard_scale(spark, sf):
+    """K4: fitted on earlier shipments, applied to all (population std)."""
+    li = table(spark, sf, "lineitem")
+    params = K.fit_standard_scaler(li.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz")),
+                                   _SCALE_COLS)
+    out = K.apply_standard_scaler(li.select("l_orderkey", "l_linenumber", *_SCALE_COLS), params)
+    return out.select("l_orderkey", "l_linenumber", *[F.round(c, R).alias(c) for c in _SCALE_COLS])
+
+
+@register("fit_apply_median", with_dirty("""
+, m AS (SELECT median(amount) AS m_amount, median(age) AS m_age FROM dirty WHERE date_text < '1998-01-01')
+SELECT id, coalesce(amount, m_amount) AS amount, coalesce(age, CAST(round_even(m_age, 0) AS INTEGER)) AS age
+FROM dirty, m"""))
+def fit_apply_median(spark, sf):
+    """K5: medians fitted on the earlier rows, applied to every row."""
+    d = dirty_orders(table(spark, sf, "orders")).select("id", "amount", "age", "date_text")
+    values = fit_median_fill(d.where(F.col("date_text") < "1998-01-01"), ["amount", "age"])
+    return apply_fill(d, values).select("id", "amount", "age")
+
+
+@register("stratified_split", """
+SELECT doc_id, quality, CAST(r - 1 < round(n * 0.2) AS INTEGER) AS is_test FROM (
+  SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR))) AS r,
+         count(*) OVER (PARTITION BY quality) AS n FROM labels)""")
+def stratified_split(spark, sf):
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    return K.stratified_split(lab, "quality", "doc_id", 0.2)
+
+
+@register("fold_assign", """
+SELECT doc_id, quality, CAST((row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR))) - 1) % 5
+       AS INTEGER) AS fold FROM labels""")
+def fold_assign(spark, sf):
+    lab = table(spark, sf, "labels").select("doc_id", "quality")
+    return K.fold_assign(lab, "quality", "doc_id", 5)
+
+
+_MEMBERS_SQL = """members AS (SELECT doc_id, quality, score AS p1, (doc_id * 31 % 100) / 100.0 AS p2,
+  (doc_id * 17 % 100) / 100.0 AS p3 FROM scored)"""
+
+
+def _members(spark, sf):
+    s = scored_labels(table(spark, sf, "labels"))
+    return s.select("doc_id", "quality", F.col("score").alias("p1"),
+                    ((F.col("doc_id") * 31) % 100 / 100.0).alias("p2"),
+                    ((F.col("doc_id") * 17) % 100 / 100.0).alias("p3"))
+
+
+@register("soft_vote", f"""
+WITH {SCORED_CTE}, {_MEMBERS_SQL}
+SELECT doc_id, round(p1 * 0.5 + p2 * 0.3 + p3 * 0.2, 6) AS prob, CAST(p1 * 0.5 + p2 * 0.3 + p3 * 0.2 > 0.5 AS INTEGER) AS pred,
+       round(p1 * (1.0 / 3) + p2 * (1.0 / 3) + p3 * (1.0 / 3), 6) AS prob_mean
+FROM members""")
+def soft_vote(spark, sf):
+    """Weighted and equal-weight soft votes over member scores."""
+    m = _members(spark, sf)
+    ps = [F.col("p1"), F.col("p2"), F.col("p3")]
+    prob = V.soft_vote(ps, [0.5, 0.3, 0.2])
+    return m.select("doc_id", F.round(prob, R).alias("prob"), (prob > 0.5).cast("int").alias("pred"),
+                    F.round(V.soft_vote(ps), R).alias("prob_mean"))
+
+
+@register("hard_vote", f"""
+WITH {SCORED_CTE}, {_MEMBERS_SQL}
+SELECT doc_id, CAST(CAST(p1 > 0.5 AS INTEGER) + CAST(p2 > 0.5 AS INTEGER) + CAST(p3 > 0.5 AS INTEGER) >= 2 AS INTEGER) AS pred
+FROM members""")
+def hard_vote(spark, sf):
+    m = _members(spark, sf)
+    return m.select("doc_id", V.hard_vote([(F.col(p) > 0.5).cast("int") for p in ("p1", "p2", "p3")]).alias("pred"))
+
+
+@register("accuracy", f"WITH {SCORED_CTE} SELECT round(avg(CAST(quality = prediction AS DOUBLE)), 6) AS accuracy FROM scored")
+def accuracy(spark, sf):
+    a = V.accuracy(scored_labels(table(spark, sf, "labels")), "quality", "prediction")
+    return a.select(F.round("accuracy", R).alias("accuracy"))
+
+
+@register("roc_auc", f"""
+WITH {SCORED_CTE}, r AS (SELECT quality, rank() OVER (ORDER BY score) + (count(*) OVER (PARTITION BY score) - 1) / 2.0 AS ar
+                         FROM scored)
+SELECT round((sum(ar) FILTER (WHERE quality = 1) - count(*) FILTER (WHERE quality = 1) * (count(*) FILTER (WHERE quality = 1) + 1) / 2.0)
+             / (count(*) FILTER (WHERE quality = 1) * count(*) FILTER (WHERE quality <> 1)), 6) AS auc FROM r""")
+def roc_auc(spark, sf):
+    a = V.roc_auc(scored_labels(table(spark, sf, "labels")), "quality", "score")
+    return a.select(F.round("auc", R).alias("auc"))
+
+
+@register("roc_curve", f"""
+WITH {SCORED_CTE}, t AS (SELECT score, count(*) FILTER (WHERE quality = 1) AS pos, count(*) FILTER (WHERE quality <> 1) AS neg
+                         FROM scored GROUP BY score)
+SELECT score AS threshold,
+       round(sum(pos) OVER (ORDER BY score DESC) / sum(pos) OVER (), 6) AS tpr,
+       round(sum(neg) OVER (ORDER BY score DESC) / sum(neg) OVER (), 6) AS fpr FROM t""")
+def roc_curve(spark, sf):
+    c = V.roc_curve(scored_labels(table(spark, sf, "labels")), "quality", "score")
+    return c.select("threshold", F.round("tpr", R).alias("tpr"), F.round("fpr", R).alias("fpr"))
+
+
+@register("confusion", f"""
+WITH {SCORED_CTE}, g AS (SELECT a.label, b.prediction FROM (SELECT unnest([0, 1]) AS label) a, (SELECT unnest([0, 1]) AS prediction) b)
+SELECT g.label, g.prediction, count(s.doc_id) AS n FROM g LEFT JOIN scored s ON s.quality = g.label AND s.prediction = g.prediction
+GROUP BY g.label, g.prediction""")
+def confusion(spark, sf):
+    return V.confusion(scored_labels(table(spark, sf, "labels")), "quality", "prediction")
+
+
+@register("rmse", f"""
+WITH {SCORED_CTE} SELECT round(sqrt(avg(pow(score - quality, 2))), 6) AS rmse,
+  round(sqrt(avg(pow(ln(1 + score) - ln(1 + quality), 2))), 6) AS rmsle FROM scored""")
+def rmse(spark, sf):
+    s = scored_labels(table(spark, sf, "labels"))
+    a = V.rmse(s, "quality", "score").select(F.round("rmse", R).alias("rmse"))
+    b = V.rmse(s, "quality", "score", log=True).select(F.round("rmsle", R).alias("rmsle"))
+    both = a.select("rmse", F.lit(None).cast("double").alias("rmsle")).unionByName(
+        b.select(F.lit(None).cast("double").alias("rmse"), "rmsle"))
+    return both.agg(F.max("rmse").alias("rmse"), F.max("rmsle").alias("rmsle"))
