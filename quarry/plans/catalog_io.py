@@ -1 +1,226 @@
-"""Registered queries."""
+"""Registered queries: sources and sinks (A, B, L3, L4, L6, L8).
+
+Round trips write scratch files under the shared checkpoint folder and read
+them back, so each check covers the writer and the reader.
+"""
+
+from __future__ import annotations
+
+import json
+import os
+
+from pyspark.sql import functions as F
+
+from ..operators.upsert import incremental_append, upsert_latest
+from ..session import scratch_path
+from ..sources import readers as RD
+from ..sources import sinks as SK
+from ..sources.paged import explode_records, file_pages, read_pages
+from .registry import register, table
+
+_LI_COLS = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice",
+            "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("src_parquet", "SELECT * FROM lineitem")
+def src_parquet(spark, sf):
+    """Format detected from the extension, merged-schema read."""
+    return RD.read_table(spark, f"{sf}/lineitem.parquet")
+
+
+@register("csv_roundtrip", "SELECT * FROM orders")
+def csv_roundtrip(spark, sf):
+    """CSV write with header, read back with the fixed schema."""
+    o = table(spark, sf, "orders")
+    path = scratch_path(spark, "orders") + ".csv"
+    SK.write_by_suffix(o, path)
+    back = RD.read_table(spark, path, schema=o.schema)
+    return RD.drop_corrupt(back)
+
+
+@register("json_roundtrip", "SELECT * FROM events")
+def json_roundtrip(spark, sf):
+    """A5: JSON-lines write (gzip) and read back with the fixed schema."""
+    e = table(spark, sf, "events")
+    path = scratch_path(spark, "events") + ".jsonl"
+    SK.write_table(e, path, "json")
+    return RD.drop_corrupt(RD.read_table(spark, path, schema=e.schema))
+
+
+@register("orc_roundtrip", "SELECT * FROM part")
+def orc_roundtrip(spark, sf):
+    """ORC (zlib) round trip."""
+    p = table(spark, sf, "part")
+    path = scratch_path(spark, "part") + ".orc"
+    SK.write_table(p, path, "orc")
+    return RD.read_table(spark, path)
+
+
+def _split_lineitem(spark, sf, rest_format="parquet"):
+    """Write lineitem in two parts: line 1 without ``l_tax`` (Parquet) and
+    all other lines (``rest_format``).  Returns the two paths."""
+    li = table(spark, sf, "lineitem")
+    base = scratch_path(spark, "lineitem-split")
+    first = f"{base}/line1.parquet"
+    rest = f"{base}/rest.{rest_format}"
+    SK.write_table(li.where(F.col("l_linenumber") == 1).drop("l_tax"), first, "parquet")
+    SK.write_table(li.where(F.col("l_linenumber") != 1), rest, rest_format)
+    return [first, rest]
+
+
+@register("schema_merge_read", "SELECT " + ", ".join(
+    c if c != "l_tax" else "CASE WHEN l_linenumber = 1 THEN NULL ELSE l_tax END AS l_tax" for c in _LI_COLS)
+    + " FROM lineitem")
+def schema_merge_read(spark, sf):
+    """A4: Parquet files with differing columns read as one merged schema."""
+    paths = _split_lineitem(spark, sf)
+    return RD.read_table(spark, paths).select(*_LI_COLS)
+
+
+@register("multi_file_union", "SELECT " + ", ".join(
+    c if c != "l_tax" else "CASE WHEN l_linenumber = 1 THEN NULL ELSE l_tax END AS l_tax" for c in _LI_COLS)
+    + " FROM lineitem")
+def multi_file_union(spark, sf):
+    """Inputs of two formats and two schemas into one table."""
+    paths = _split_lineitem(spark, sf, rest_format="orc")
+    return RD.read_many(spark, paths).select(*_LI_COLS)
+
+
+@register("files_processed", "SELECT count(DISTINCT l_linenumber) AS splits_read, count(*) AS input_rows FROM lineitem")
+def files_processed(spark, sf):
+    """Input lineage from file metadata (distinct split folders read)."""
+    path = scratch_path(spark, "lineitem-by-line")
+    SK.write_table(table(spark, sf, "lineitem"), path, "parquet", partition_by=["l_linenumber"])
+    df = RD.with_source_file(RD.read_table(spark, path))
+    split = F.regexp_extract("_source_file", r"l_linenumber=(\d+)", 1)
+    return df.agg(F.count_distinct(split).alias("splits_read"), F.count(F.lit(1)).alias("input_rows"))
+
+
+@register("json_path_explode", "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_path_explode(spark, sf):
+    """Walk a results path inside a JSON column; scalars wrap to one record."""
+    e = table(spark, sf, "events").select("event_id", "props")
+    return explode_records(e, "bigint", "k", body_col="props", keep=("event_id",)).withColumnRenamed("_rec", "k")
+
+
+@register("paged_json_source", """
+SELECT CAST(floor(event_id / 500) + 1 AS INTEGER) AS page, event_id, ts, user_id, event_type, value FROM events""")
+def paged_json_source(spark, sf):
+    """A10: events served as JSON pages of 500 records (page files in a fresh
+    scratch folder), extracted in parallel and exploded back into rows."""
+    e = table(spark, sf, "events")
+    folder = scratch_path(spark, "pages")
+    # Page files are the test's stand-in for an API: one JSON document per page.
+    paged = e.withColumn("_page", (F.floor(F.col("event_id") / 500) + 1).cast("int"))
+    docs = paged.groupBy("_page").agg(F.to_json(F.struct(F.collect_list(F.struct(
+        "event_id", F.col("ts").cast("string").alias("ts"), "user_id", "event_type", "value")).alias("results")))
+        .alias("body"))
+    # One row per page, hash-partitioned by page: each page folder gets one file.
+    docs.repartition("_page").write.partitionBy("_page").text(folder)
+    pages = read_pages(spark, file_pages(folder, "_page={page}"), page_size=500, pagination="page", results_path="results")
+    schema = "event_id bigint, ts string, user_id bigint, event_type string, value double"
+    recs = explode_records(pages, schema, "results", keep=("page",))
+    return recs.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _dated_orders(spark, sf):
+    o = table(spark, sf, "orders")
+    return o.withColumn("year", F.year("o_orderdate")).withColumn("month", F.month("o_orderdate"))
+
+
+@register("partitioned_write", """
+SELECT *, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month FROM orders""")
+def partitioned_write(spark, sf):
+    """B2: Hive-partitioned by year/month, read back with partition columns."""
+    path = scratch_path(spark, "orders-by-month")
+    SK.write_table(_dated_orders(spark, sf), path, "parquet", partition_by=["year", "month"])
+    return spark.read.parquet(path)
+
+
+@register("dyn_overwrite", """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN year(o_orderdate) = 1996 THEN o_totalprice * 2 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority, CAST(year(o_orderdate) AS INTEGER) AS year, CAST(month(o_orderdate) AS INTEGER) AS month
+FROM orders""")
+def dyn_overwrite(spark, sf):
+    """Overwrite only the partitions present in the new data (1996)."""
+    path = scratch_path(spark, "orders-dyn")
+    d = _dated_orders(spark, sf)
+    SK.write_table(d, path, "parquet", partition_by=["year", "month"])
+    redo = d.where(F.col("year") == 1996).withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    SK.write_table(redo, path, "parquet", mode="overwrite", partition_by=["year", "month"])
+    return spark.read.parquet(path)
+
+
+@register("load_stats")
+def load_stats(spark, sf):
+    """Per-run load statistics appended to a table apart from the output."""
+    o = table(spark, sf, "orders")
+    out = scratch_path(spark, "orders-out")
+    stats = scratch_path(spark, "load-stats")
+    from pyspark.sql import Observation
+    obs = Observation("load")
+    o.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("overwrite").parquet(out)
+    SK.append_load_stats(spark, stats, out, obs.get["rows"], None)
+    SK.append_load_stats(spark, stats, out, obs.get["rows"], None)
+    return spark.read.parquet(stats)
+
+
+@register("bucketed_write", "SELECT * FROM orders")
+def bucketed_write(spark, sf):
+    """Bucketed by customer key (external table in scratch), read back."""
+    o = table(spark, sf, "orders")
+    path = scratch_path(spark, "orders-bucketed")
+    name = "quarry_orders_bucketed_" + os.path.basename(path).replace("-", "_")
+    SK.write_bucketed(o, name, path, 8, ["o_custkey"], ["o_custkey"])
+    return spark.table(name)
+
+
+_UPSERT_SQL = """
+WITH t AS (SELECT *, 0 AS version FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+u AS (SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority,
+             1 AS version FROM orders WHERE o_orderdate >= TIMESTAMP '1997-01-01'),
+a AS (SELECT * FROM t UNION ALL SELECT * FROM u)
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority, version FROM (
+  SELECT *, row_number() OVER (PARTITION BY o_orderkey ORDER BY version DESC) AS rn FROM a) WHERE rn = 1"""
+
+
+@register("upsert_latest", _UPSERT_SQL)
+def upsert_latest_q(spark, sf):
+    """L3: upsert of a later batch into a snapshot; latest version per key
+    wins; the result is written to a new snapshot path and read back."""
+    o = table(spark, sf, "orders")
+    target = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).withColumn("version", F.lit(0))
+    updates = (o.where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+               .withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("version", F.lit(1)))
+    merged = upsert_latest(target, updates, ["o_orderkey"], "version")
+    path = scratch_path(spark, "orders-snapshot")
+    merged.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+@register("incremental_load", "SELECT * FROM orders")
+def incremental_load(spark, sf):
+    """L4: first load up to a watermark, then append only rows past it."""
+    o = table(spark, sf, "orders")
+    path = scratch_path(spark, "orders-incr")
+    first = o.where(F.col("o_orderdate") <= F.lit("1998-06-01").cast("timestamp_ntz"))
+    first.write.parquet(path)
+    incremental_append(o, path, "o_orderdate")
+    return spark.read.parquet(path)
+
+
+@register("etl_enrich_aggregate", """
+SELECT p_type, count(*) AS n_lines, round(sum(l_extendedprice * (1 - l_discount)), 6) AS revenue,
+       round(avg(l_quantity), 6) AS avg_qty
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_type""")
+def etl_enrich_aggregate(spark, sf):
+    """Enrich (lookup join) then aggregate."""
+    from ..plans.spark_etl import enrich, aggregate
+    li = table(spark, sf, "lineitem")
+    part = table(spark, sf, "part")
+    e = enrich(li, part, {"left_on": "l_partkey", "right_on": "p_partkey", "columns": ["p_type"]})
+    a = aggregate(e, {"by": ["p_type"], "aggs": {"n_lines": ["*", "count"],
+                                                  "revenue": ["l_extendedprice * (1 - l_discount)", "sum"],
+                                                  "avg_qty": ["l_quantity", "mean"]}})
+    return a.select("p_type", "n_lines", F.round("revenue", 6).alias("revenue"), F.round("avg_qty", 6).alias("avg_qty"))

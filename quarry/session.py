@@ -53,3 +53,19 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+
+
+def ship_code() -> None:
+    """Serialise this package's functions and classes by value, so Python
+    workers run them without the package being installed on executors
+    (used by the Python data source and pandas UDF paths)."""
+    import sys
+
+    from pyspark import cloudpickle
+
+    pkg = __name__.split(".")[0]
+    if pkg in sys.modules:
+        try:
+            cloudpickle.register_pickle_by_value(sys.modules[pkg])
+        except ValueError:
+            pass
