@@ -173,3 +173,161 @@ def rmse(spark, sf):
     both = a.select("rmse", F.lit(None).cast("double").alias("rmsle")).unionByName(
         b.select(F.lit(None).cast("double").alias("rmse"), "rmsle"))
     return both.agg(F.max("rmse").alias("rmse"), F.max("rmsle").alias("rmsle"))
+
+
+# ---------------------------------------------------------------------------
+# Model jobs (rows-only checks): document quality from text statistics.
+from ..operators import models as M  # noqa: E402
+from ..operators.encode import fold_assign as _fold_assign, stratified_split as _split  # noqa: E402
+
+_DOC_NUM = ["log_chars", "n_words", "n_lines", "digit_ratio", "upper_ratio", "punct_ratio", "avg_word_len"]
+_DOC_CAT = ["lang", "source"]
+
+
+def doc_features(spark, sf):
+    """Text statistics per labelled document (whole texts, built-in functions)."""
+    d = table(spark, sf, "documents")
+    lab = table(spark, sf, "labels")
+    n = F.greatest(F.length("text"), F.lit(1))
+    words = F.size(F.split(F.trim("text"), r"\s+"))
+    feats = d.select(
+        "doc_id", "lang", "source",
+        F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
+        words.cast("double").alias("n_words"),
+        (F.regexp_count("text", F.lit("\n")) + 1).cast("double").alias("n_lines"),
+        (F.regexp_count("text", F.lit("[0-9]")) / n).alias("digit_ratio"),
+        (F.regexp_count("text", F.lit("[A-Z]")) / n).alias("upper_ratio"),
+        (F.regexp_count("text", F.lit("[^A-Za-z0-9\\s]")) / n).alias("punct_ratio"),
+        (F.length(F.regexp_replace("text", r"\s+", "")) / F.greatest(words, F.lit(1))).alias("avg_word_len"))
+    return feats.join(lab.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+
+
+def _split_folds(spark, sf):
+    """Hold-out split and folds, frozen once (every fit re-reads the
+    checkpoint instead of re-deriving features from the texts)."""
+    from ..session import reliable_checkpoint
+    f = doc_features(spark, sf)
+    s = _split(f, "label", "doc_id", 0.2)
+    both = _fold_assign(s, "label", "doc_id", 5)
+    both = reliable_checkpoint(both)
+    return both.where("is_test = 0"), both.where("is_test = 1")
+
+
+def _stages():
+    return M.feature_stages(_DOC_CAT, _DOC_NUM)
+
+
+@register("ml_logreg")
+def ml_logreg(spark, sf):
+    """L2 and L1 logistic regression over a small C grid, CV by folds."""
+    train, _ = _split_folds(spark, sf)
+    grid = [{"regParam": 0.1, "elasticNetParam": 0.0}, {"regParam": 0.01, "elasticNetParam": 0.0},
+            {"regParam": 0.01, "elasticNetParam": 1.0}]
+    return M.grid_search(spark, _stages(), "logreg", grid, train)
+
+
+@register("ml_rf")
+def ml_rf(spark, sf):
+    """Random forest, hold-out accuracy and predictions."""
+    train, test = _split_folds(spark, sf)
+    m = M.fit_pipeline(_stages(), M.classifier("rf"), train)
+    pred = m.transform(test)
+    acc = M.evaluator("accuracy").evaluate(pred)
+    return pred.select("doc_id", F.col("prediction").cast("int").alias("prediction"),
+                       F.lit(acc).alias("holdout_accuracy"))
+
+
+@register("ml_feature_importance")
+def ml_feature_importance(spark, sf):
+    """Ranked random-forest importances."""
+    train, _ = _split_folds(spark, sf)
+    m = M.fit_pipeline(_stages(), M.classifier("rf"), train)
+    return M.feature_importances(m, [f"{c}_idx" for c in _DOC_CAT] + _DOC_NUM, spark)
+
+
+@register("ml_gbt")
+def ml_gbt(spark, sf):
+    """Gradient-boosted trees, per-fold CV accuracy."""
+    train, _ = _split_folds(spark, sf)
+    return M.cv_scores(spark, _stages(), M.classifier("gbt", maxIter=20), train)
+
+
+@register("ml_svc")
+def ml_svc(spark, sf):
+    """Linear SVM stand-in for the kernel SVC member."""
+    train, test = _split_folds(spark, sf)
+    m = M.fit_pipeline(_stages(), M.classifier("svc"), train)
+    return M.positive_probability(m.transform(test), "p1").select("doc_id", "prediction", "p1")
+
+
+@register("ml_cv")
+def ml_cv(spark, sf):
+    """CV summary per model family, best first (top 2 kept)."""
+    train, _ = _split_folds(spark, sf)
+    out = None
+    for kind in ("logreg", "rf", "svc"):
+        s = M.cv_summary(M.cv_scores(spark, _stages(), M.classifier(kind, numTrees=30), train))
+        s = s.select(F.lit(kind).alias("model"), "cv_mean", "cv_2std")
+        out = s if out is None else out.unionByName(s)
+    return out.orderBy(F.desc("cv_mean"), "model").limit(2)
+
+
+@register("ml_stacking")
+def ml_stacking(spark, sf):
+    """Out-of-fold stacking with a logistic meta-learner."""
+    train, test = _split_folds(spark, sf)
+    members = {"logreg": M.classifier("logreg"), "rf": M.classifier("rf", numTrees=30)}
+    return M.oof_stacking(spark, _stages(), members, train, test, "doc_id", k=3)
+
+
+@register("ml_soft_ensemble")
+def ml_soft_ensemble(spark, sf):
+    """K15/K17 with fitted members: soft vote of member probabilities by id."""
+    from ..operators.evaluate import soft_vote
+    train, test = _split_folds(spark, sf)
+    probs = None
+    for kind in ("logreg", "rf", "gbt"):
+        m = M.fit_pipeline(_stages(), M.classifier(kind, numTrees=30, maxIter=20), train)
+        p = M.positive_probability(m.transform(test), kind).select("doc_id", kind)
+        probs = p if probs is None else probs.join(p, "doc_id")
+    prob = soft_vote([F.col("logreg"), F.col("rf"), F.col("gbt")], [0.3, 0.4, 0.3])
+    return probs.select("doc_id", prob.alias("prob"), (prob > 0.5).cast("int").alias("prediction"))
+
+
+@register("ml_score")
+def ml_score(spark, sf):
+    """Persist the fitted pipeline, reload it, batch-score all documents."""
+    from pyspark.ml import PipelineModel
+    from ..session import scratch_path
+    train, _ = _split_folds(spark, sf)
+    m = M.fit_pipeline(_stages(), M.classifier("logreg"), train)
+    path = scratch_path(spark, "model")
+    m.write().overwrite().save(path)
+    loaded = PipelineModel.load(path)
+    everything = doc_features(spark, sf)
+    return M.positive_probability(loaded.transform(everything), "p1").select(
+        "doc_id", F.col("prediction").cast("int").alias("prediction"), "p1")
+
+
+@register("ml_regression")
+def ml_regression(spark, sf):
+    """Ridge, lasso and elastic net on log price, averaged, expm1 back."""
+    li = table(spark, sf, "lineitem")
+    part = table(spark, sf, "part").select("p_partkey", "p_retailprice", "p_size", "p_type")
+    from ..session import reliable_checkpoint
+    # (l_orderkey, l_linenumber) is not unique in the data: a frozen row id.
+    d = (li.join(part, li.l_partkey == part.p_partkey)
+         .select(F.monotonically_increasing_id().alias("_row_id"), "l_quantity", "l_discount",
+                 "l_tax", "p_retailprice", F.col("p_size").cast("double").alias("p_size"), "p_type",
+                 F.log1p("l_extendedprice").alias("y"), "l_extendedprice", "l_shipdate"))
+    d = reliable_checkpoint(d)
+    train = d.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
+    test = d.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
+    stages = M.feature_stages(["p_type"], ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"])
+    cfgs = [{"regParam": 0.1, "elasticNetParam": 0.0}, {"regParam": 0.001, "elasticNetParam": 1.0},
+            {"regParam": 0.01, "elasticNetParam": 0.5}]
+    pred = M.regression_average(stages, train, test, "y", cfgs)
+    j = pred.join(test.select("_row_id", "y", "l_extendedprice"), "_row_id")
+    err = j.agg(F.sqrt(F.avg(F.pow(F.col("log_prediction") - F.col("y"), 2))).alias("rmsle"))
+    return j.select("_row_id", "prediction", "l_extendedprice").withColumn("_k", F.lit(1)).join(
+        F.broadcast(err.withColumn("_k", F.lit(1))), "_k").drop("_k")
