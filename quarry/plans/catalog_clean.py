@@ -70,3 +70,23 @@ SELECT id, cust, status, priority, coalesce(amount, gm, m) AS amount, age, date_
 FROM dirty LEFT JOIN g USING (status), m"""))
 def group_median_fill(spark, sf):
     return C.group_median_fill(_dirty(spark, sf), "amount", ["status"])
+
+
+from .fixtures import KNN_PARTS_CTE, knn_parts  # noqa: E402
+
+
+@register("knn_impute", f"""
+WITH {KNN_PARTS_CTE},
+r AS (SELECT p_partkey, p_retailprice FROM kp WHERE p_size IS NULL),
+d AS (SELECT p_partkey AS did, p_size, p_retailprice FROM kp WHERE p_size IS NOT NULL),
+c AS (SELECT r.p_partkey, d.p_size, row_number() OVER (PARTITION BY r.p_partkey
+        ORDER BY abs(r.p_retailprice - d.p_retailprice), d.did) AS rn FROM r, d),
+k AS (SELECT p_partkey, avg(p_size) AS v FROM c WHERE rn <= 5 GROUP BY p_partkey)
+SELECT kp.p_partkey, round(coalesce(CAST(kp.p_size AS DOUBLE), k.v), 6) AS p_size, kp.p_retailprice
+FROM kp LEFT JOIN k USING (p_partkey)""")
+def knn_impute(spark, sf):
+    """p_size imputed from the 5 parts nearest in retail price."""
+    from ..operators.knn import knn_impute_1d
+    kp = knn_parts(table(spark, sf, "part")).select("p_partkey", "p_size", "p_retailprice")
+    out = knn_impute_1d(kp, "p_size", "p_retailprice", "p_partkey", k=5)
+    return out.select("p_partkey", F.round("p_size", 6).alias("p_size"), "p_retailprice")
