@@ -231,3 +231,27 @@ def quality_report(df: DataFrame, method: str = "exact") -> DataFrame:
 def file_quality(df: DataFrame, method: str = "exact") -> DataFrame:
     """D12 helper: summary row tagged with the input files' count."""
     return quality_summary(df, method)
+
+
+def run_report(df: DataFrame, method: str = "exact") -> dict:
+    """D11 as a driver-side dict (every part is a small aggregate):
+    status, rows, columns, dtypes, completeness, uniqueness, outliers,
+    duplicate_rows, numeric_stats, quality_score.  Empty input -> status
+    ``empty``."""
+    if not df.columns or df.limit(1).count() == 0:
+        return {"status": "empty", "rows": 0, "columns": 0}
+    summ = quality_summary(df, method).first()
+    stats = {r["column_name"]: {k: r[k] for k in ("min", "max", "mean", "std", "nulls")}
+             for r in numeric_stats(df).collect()}
+    return {
+        "status": "ok",
+        "rows": summ["rows"],
+        "columns": summ["columns"],
+        "dtypes": dict(df.dtypes),
+        "completeness": {r[0]: r[1] for r in completeness(df).collect()},
+        "uniqueness": {r[0]: r[1] for r in uniqueness(df).collect()},
+        "outliers": {r[0]: r[1] for r in iqr_outliers(df, method=method).collect()},
+        "duplicate_rows": summ["duplicate_rows"],
+        "numeric_stats": stats,
+        "quality_score": summ["quality_score"],
+    }

@@ -39,12 +39,10 @@ class APIJob:
         path = pg.get("results_path", "")
         schema = record_schema or infer_record_schema(pages, path)
         self.stats["page_errors"] = pages.agg(page_errors(pages)).first()[0]
-        df = explode_records(pages.where(F.col("status") == "ok"), schema, path)
-        return self.metrics.tap(df, "extract", F.count(F.lit(1)).alias("rows"))
+        return explode_records(pages.where(F.col("status") == "ok"), schema, path)
 
     def extract_from_file(self, path: str) -> DataFrame:
-        df = RD.drop_corrupt(RD.read_table(self.spark, path))
-        return self.metrics.tap(df, "extract", F.count(F.lit(1)).alias("rows"))
+        return RD.drop_corrupt(RD.read_table(self.spark, path))
 
     def validate_schema(self, df: DataFrame, schema: Mapping | None = None) -> DataFrame:
         spec = schema if schema is not None else self.config.get("schema", {})
@@ -53,7 +51,11 @@ class APIJob:
         return out
 
     def clean(self, df: DataFrame) -> DataFrame:
-        dedup = self.metrics.tap(df.dropDuplicates(), "clean", F.count(F.lit(1)).alias("rows"))
+        dedup = df.dropDuplicates()
+        # Stage counts for the report (the reference counts eagerly here too).
+        before, after = df.count(), dedup.count()
+        self.stats["rows_extracted"] = before
+        self.stats["duplicates_removed"] = before - after
         num = numeric_columns(dedup)
         fills = fit_median_fill(dedup, num) if num else {}
         strs = string_columns(dedup)
@@ -85,9 +87,6 @@ class APIJob:
     def report(self) -> dict:
         m = self.metrics.collect()
         m.update(self.stats)
-        rin = m.get("extract.rows") or 0
-        m["rows_extracted"] = rin
-        m["duplicates_removed"] = rin - (m.get("clean.rows") or rin)
         return m
 
     def run(self, fetch: Fetcher | None = None, path: str | None = None) -> dict:

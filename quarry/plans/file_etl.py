@@ -46,8 +46,7 @@ class FileETLJob:
             opts = RD.detect_csv_dialect(self.spark, paths[0])
         df = RD.read_many(self.spark, paths, reader_options=opts) if len(paths) > 1 else \
             RD.read_table(self.spark, paths[0], reader_options=opts)
-        df = RD.drop_corrupt(df)
-        return self.metrics.tap(df, "extract", F.count(F.lit(1)).alias("rows"))
+        return RD.drop_corrupt(df)
 
     def profile(self, df: DataFrame) -> dict:
         rows = Q.profile_rows(df).first()
@@ -69,8 +68,11 @@ class FileETLJob:
         fills = fit_median_fill(dedup, numeric_columns(dedup), self.config.get("impute"))
         strs = string_columns(dedup)
         filled_expr = Q.null_counts(dedup).agg(F.sum("nulls")).first()[0] or 0
-        before = self.metrics.tap(dedup, "clean_in", F.count(F.lit(1)).alias("rows"))
-        out = apply_fill(before, fills)
+        # Stage counts for the report (the reference counts eagerly here too).
+        rows_in, rows_dedup = df.count(), dedup.count()
+        self.stats["rows_in"] = rows_in
+        self.stats["duplicates"] = rows_in - rows_dedup
+        out = apply_fill(dedup, fills)
         # pandas order: fill, then strip (blank stays blank).
         out = out.select(*[F.trim(F.coalesce(F.col(c), F.lit("Unknown"))).alias(c) if c in strs else F.col(c)
                            for c in out.columns])
@@ -95,15 +97,14 @@ class FileETLJob:
 
     def report(self) -> dict:
         m = self.metrics.collect()
-        rin = m.get("extract.rows") or 0
-        rout = m.get("load.rows") or 0
         m.update(self.stats)
-        m["duplicates"] = rin - (m.get("clean_in.rows") or rin)
+        rin = m.get("rows_in") or 0
+        rout = m.get("load.rows") or 0
         m["yield_pct"] = round(rout / rin * 100, 2) if rin else 0.0
         print("=" * 40)
         print(f"ROWS IN   : {rin}")
         print(f"ROWS OUT  : {rout}")
-        print(f"DUPLICATES: {m['duplicates']}")
+        print(f"DUPLICATES: {m.get('duplicates', 0)}")
         print(f"YIELD     : {m['yield_pct']}%")
         print("=" * 40)
         return m
