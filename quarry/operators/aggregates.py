@@ -64,6 +64,22 @@ def box_summary(df: DataFrame, column: str, by: Sequence[str], factor: float = 1
         F.count_if((x < lo_f) | (x > hi_f)).alias("outliers"))
 
 
+def one_row_agg(df: DataFrame, exprs: Sequence, per_agg: int) -> DataFrame:
+    """A one-row aggregate of many named expressions, split into chunks of
+    ``per_agg`` so each aggregate stays under whole-stage codegen's field
+    limit (``spark.sql.codegen.maxFields``; a correlation keeps 6 buffer
+    fields).  Chunks are unioned and folded into one row (no join)."""
+    chunks = [list(exprs[i:i + per_agg]) for i in range(0, len(exprs), per_agg)]
+    if len(chunks) <= 1:
+        return df.agg(*exprs)
+    parts = [df.agg(*c) for c in chunks]
+    names = [n for p in parts for n in p.columns]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p, allowMissingColumns=True)
+    return u.agg(*[F.max(F.col(f"`{n}`")).alias(n) for n in names])
+
+
 def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None,
                       include_diagonal: bool = False) -> DataFrame:
     """H6: Pearson correlation of every column pair in one aggregate,
@@ -72,7 +88,8 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None,
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + (0 if include_diagonal else 1):]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    one = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
+    one = one_row_agg(df, [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}")
+                           for a, b in pairs], per_agg=14)
     cells = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"`{a}__{b}`").alias("corr"))
                       for a, b in pairs])
     return one.select(F.inline(cells))
@@ -82,7 +99,8 @@ def correlation_with(df: DataFrame, target: str, columns: Sequence[str] | None =
                      top: int | None = 10) -> DataFrame:
     """H7: correlation of each column with ``target``, top by |corr| (ties by name)."""
     cols = [c for c in (columns or numeric_columns(df)) if c != target]
-    one = df.agg(*[F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols])
+    one = one_row_agg(df, [F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols],
+                      per_agg=14)
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("corr")) for c in cols])
     out = one.select(F.inline(cells))
     if top is not None:

@@ -81,7 +81,8 @@ def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
         aggs += [F.min(v).alias(f"{c}__min"), F.max(v).alias(f"{c}__max"),
                  F.avg(v).alias(f"{c}__mean"), F.stddev_samp(v).alias(f"{c}__std"),
                  F.count_if(missing(df, c)).alias(f"{c}__nulls")]
-    one = df.agg(*aggs)
+    from .aggregates import one_row_agg
+    one = one_row_agg(df, aggs, per_agg=5 * 8)  # ~8 buffer fields per column
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"),
                                F.col(f"`{c}__min`").alias("min"), F.col(f"`{c}__max`").alias("max"),
                                F.col(f"`{c}__mean`").alias("mean"), F.col(f"`{c}__std`").alias("std"),
