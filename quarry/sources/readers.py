@@ -115,8 +115,22 @@ def files_processed(df: DataFrame) -> DataFrame:
         F.count_distinct("_f").alias("files_processed"), F.count(F.lit(1)).alias("input_rows"))
 
 
+def corrupt_count(df: DataFrame) -> int:
+    """Malformed records.  Spark rejects a raw-file query that touches
+    only the corrupt column, so the aggregate also reads the parsed columns."""
+    if CORRUPT_COLUMN not in df.columns:
+        return 0
+    others = [c for c in df.columns if c != CORRUPT_COLUMN]
+    probe = F.max(F.hash(*others)) if others else F.lit(0)
+    return df.agg(F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("n"), probe.alias("_all")).first()["n"]
+
+
 def drop_corrupt(df: DataFrame) -> DataFrame:
-    """Drop records the reader marked corrupt (no-op without the column)."""
+    """Drop records the reader marked corrupt (no-op without the column).
+
+    Consume the result through its parsed columns (a write, a projection):
+    Spark rejects a raw CSV/JSON query whose only column is the corrupt one,
+    e.g. a bare ``count()`` right after this filter."""
     if CORRUPT_COLUMN not in df.columns:
         return df
     return df.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
