@@ -144,9 +144,11 @@ def to_double(c: ColumnOrName) -> Column:
 
 
 def parse_timestamp(c: ColumnOrName, fmt: str | None = None) -> Column:
-    """timestamp parse, bad -> NULL (never raises under ANSI)."""
+    """timestamp parse, bad -> NULL (never raises under ANSI).  The
+    result is a wall-clock ``timestamp_ntz`` like the source tables."""
     x = _c(c).cast("string")
-    return F.try_to_timestamp(x, F.lit(fmt)) if fmt else F.try_to_timestamp(x)
+    ts = F.try_to_timestamp(x, F.lit(fmt)) if fmt else F.try_to_timestamp(x)
+    return ts.cast("timestamp_ntz")
 
 
 def date_parts(c: ColumnOrName, name: str) -> list[Column]:

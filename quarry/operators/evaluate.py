@@ -65,13 +65,11 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """One point per distinct score threshold, descending: ``threshold,
     tpr, fpr`` (cumulative counts of rows scoring >= threshold)."""
     t = _score_table(df, label, score)
+    tot = t.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N")).first()  # two fitted scalars
     c = prefix_sums(t, [F.col("score").desc()], ["pos", "neg"], suffix="_cum", inclusive=True)
-    totals = t.agg(F.sum("pos").alias("_P"), F.sum("neg").alias("_N"))
-    # Two scalars; joined as a one-row table by broadcast (no cross product).
-    j = c.withColumn("_k", F.lit(1)).join(F.broadcast(totals.withColumn("_k", F.lit(1))), "_k")
-    return j.select(F.col("score").alias("threshold"),
-                    F.try_divide(F.col("pos_cum"), F.col("_P")).alias("tpr"),
-                    F.try_divide(F.col("neg_cum"), F.col("_N")).alias("fpr"))
+    return c.select(F.col("score").alias("threshold"),
+                    F.try_divide(F.col("pos_cum"), F.lit(tot["P"])).alias("tpr"),
+                    F.try_divide(F.col("neg_cum"), F.lit(tot["N"])).alias("fpr"))
 
 
 def rmse(df: DataFrame, label: str, pred: str, log: bool = False) -> DataFrame:

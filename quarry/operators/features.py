@@ -18,8 +18,6 @@ def fit_low_cardinality(df: DataFrame, max_distinct: int = 20,
                         skip_date_like: bool = True) -> list[str]:
     """F7 fit: string columns with fewer than ``max_distinct`` distinct values.
 
-    One pass of approximate-then-exact counting is not needed: the exact
-    distinct aggregate combines repeats map-side and returns one row.
     """
     cols = string_columns(df)
     if skip_date_like:
@@ -27,8 +25,14 @@ def fit_low_cardinality(df: DataFrame, max_distinct: int = 20,
         cols = [c for c in cols if c not in dates]
     if not cols:
         return []
-    row = df.agg(*[F.count_distinct(c).alias(c) for c in cols]).first()
-    return [c for c in cols if row[c] < max_distinct]
+    # HyperLogLog first (bounded memory per column); exact distinct counts
+    # only for the columns that can still be under the limit.
+    approx = df.agg(*[F.approx_count_distinct(c, 0.05).alias(c) for c in cols]).first()
+    near = [c for c in cols if approx[c] < max_distinct * 2 + 10]
+    if not near:
+        return []
+    row = df.agg(*[F.count_distinct(c).alias(c) for c in near]).first()
+    return [c for c in near if row[c] < max_distinct]
 
 
 def low_cardinality_normalize(df: DataFrame, max_distinct: int = 20,

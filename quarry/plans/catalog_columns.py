@@ -140,16 +140,18 @@ def cast_failures(spark, sf):
 
 @register("date_parse", with_dirty("""
 SELECT id, date_text, TRY_CAST(date_text AS TIMESTAMP) AS date_ts,
-       year(TRY_CAST(date_text AS TIMESTAMP)) AS date_ts_year, month(TRY_CAST(date_text AS TIMESTAMP)) AS date_ts_month
+       CAST(year(TRY_CAST(date_text AS TIMESTAMP)) AS INTEGER) AS date_ts_year,
+       CAST(month(TRY_CAST(date_text AS TIMESTAMP)) AS INTEGER) AS date_ts_month
 FROM dirty"""))
 def date_parse(spark, sf):
     d = dirty_orders(table(spark, sf, "orders")).select("id", "date_text")
-    ts = X.parse_timestamp("date_text").cast("timestamp_ntz")
+    ts = X.parse_timestamp("date_text")
     return d.select("id", "date_text", ts.alias("date_ts"), *X.date_parts(ts, "date_ts"))
 
 
 @register("date_parts", """
-SELECT o_orderkey, o_orderdate, year(o_orderdate) AS o_orderdate_year, month(o_orderdate) AS o_orderdate_month
+SELECT o_orderkey, o_orderdate, CAST(year(o_orderdate) AS INTEGER) AS o_orderdate_year,
+       CAST(month(o_orderdate) AS INTEGER) AS o_orderdate_month
 FROM orders""")
 def date_parts(spark, sf):
     o = table(spark, sf, "orders")

@@ -305,8 +305,13 @@ def ml_score(spark, sf):
     m.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
     everything = doc_features(spark, sf)
-    return M.positive_probability(loaded.transform(everything), "p1").select(
+    scored = M.positive_probability(loaded.transform(everything), "p1").select(
         "doc_id", F.col("prediction").cast("int").alias("prediction"), "p1")
+    # The prediction table as CSV with a header, read back.
+    from ..sources.sinks import write_by_suffix
+    out = scratch_path(spark, "predictions") + ".csv"
+    write_by_suffix(scored, out)
+    return spark.read.option("header", True).schema(scored.schema).csv(out)
 
 
 @register("ml_regression")
@@ -328,6 +333,5 @@ def ml_regression(spark, sf):
             {"regParam": 0.01, "elasticNetParam": 0.5}]
     pred = M.regression_average(stages, train, test, "y", cfgs)
     j = pred.join(test.select("_row_id", "y", "l_extendedprice"), "_row_id")
-    err = j.agg(F.sqrt(F.avg(F.pow(F.col("log_prediction") - F.col("y"), 2))).alias("rmsle"))
-    return j.select("_row_id", "prediction", "l_extendedprice").withColumn("_k", F.lit(1)).join(
-        F.broadcast(err.withColumn("_k", F.lit(1))), "_k").drop("_k")
+    rmsle = j.agg(F.sqrt(F.avg(F.pow(F.col("log_prediction") - F.col("y"), 2)))).first()[0]
+    return j.select("_row_id", "prediction", "l_extendedprice", F.lit(rmsle).alias("rmsle"))

@@ -23,7 +23,8 @@ _BATCH = "feedc0ffee00"
 
 @register("stream_etl", f"""
 SELECT event_id, ts, user_id, coalesce(nullif(trim(event_type), ''), 'Unknown') AS event_type, value,
-       coalesce(nullif(trim(props), ''), 'Unknown') AS props, year(ts) AS ts_year, month(ts) AS ts_month,
+       coalesce(nullif(trim(props), ''), 'Unknown') AS props, CAST(year(ts) AS INTEGER) AS ts_year,
+       CAST(month(ts) AS INTEGER) AS ts_month,
        TIMESTAMP '{_RUN_AT}' AS _etl_loaded_at, '{_BATCH}' AS _etl_batch_id
 FROM events""")
 def stream_etl(spark, sf):
