@@ -14,6 +14,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import reliable_checkpoint, shuffle_partitions
 
@@ -44,9 +45,11 @@ def group_positions(df: DataFrame, by: Sequence[str], order: Sequence[Column | s
     if size_col:
         blocks = blocks.withColumn(size_col, F.sum("_gp_cnt").over(per_group))
     blocks = blocks.drop("_gp_cnt").withColumnRenamed("_gp_pid", "_gb_pid")
-    # Null-safe join on the group key so NULL groups are kept.
+    # Null-safe join on the group key so NULL groups are kept.  Without a
+    # group key the block table has one row per partition: a proven bound,
+    # so it is broadcast; otherwise AQE picks broadcast or shuffle.
     cond = [F.col("_gp_pid") == F.col("_gb_pid")] + [F.col(b).eqNullSafe(F.col(gb[b])) for b in by]
-    joined = ranked.join(blocks, cond)
+    joined = ranked.join(blocks if by else F.broadcast(blocks), cond)
     pos = F.col("_gp_base") + F.col("_gp_mid") - F.col("_gp_start")
     extra = [F.col(size_col)] if size_col else []
     return joined.select(*[F.col(c) for c in df.columns], pos.alias(pos_col), *extra)
@@ -56,26 +59,43 @@ def prefix_sums(df: DataFrame, order: Sequence[Column | str], sum_cols: Sequence
                 suffix: str = "_cum", inclusive: bool = True) -> DataFrame:
     """Running totals of ``sum_cols`` in ``order`` over the whole table.
 
-    Per-partition totals (one row per range partition) give each partition
-    its offset; the running sum inside a partition is a window partitioned
-    by the partition id, so no task sees more than its range.
+    One range shuffle sorts the rows; the checkpoint keeps each range
+    partition intact and in order, so a per-partition running sum
+    (Arrow batches, carried across batches) needs no further shuffle, and
+    each partition's offset comes from a table with one row per partition.
     """
     spark = df.sparkSession
     n_parts = shuffle_partitions(spark)
     keys = _order_cols(order)
+    sum_cols = list(sum_cols)
     ranked = (df.repartitionByRange(n_parts, *keys)
               .sortWithinPartitions(*keys)
-              .withColumn("_ps_pid", F.spark_partition_id())
-              .withColumn("_ps_mid", F.monotonically_increasing_id()))
+              .withColumn("_ps_pid", F.spark_partition_id()))
     ranked = reliable_checkpoint(ranked)
     totals = ranked.groupBy("_ps_pid").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
     wpart = Window.orderBy("_ps_pid")  # one row per partition: bounded
     offsets = totals.select("_ps_pid", *[
         F.coalesce(F.sum(f"_t_{c}").over(wpart.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
         .alias(f"_o_{c}") for c in sum_cols])
-    frame = Window.partitionBy("_ps_pid").orderBy("_ps_mid")
-    frame = frame.rowsBetween(Window.unboundedPreceding, 0 if inclusive else -1)
-    local = ranked.select("*", *[F.coalesce(F.sum(c).over(frame), F.lit(0)).alias(f"_l_{c}") for c in sum_cols])
+
+    out_fields = [f"_l_{c}" for c in sum_cols]
+    schema = T.StructType(list(ranked.schema.fields) + [T.StructField(n, T.DoubleType()) for n in out_fields])
+
+    def local_running(batches):
+        carry = {c: 0.0 for c in sum_cols}
+        for pdf in batches:
+            for c in sum_cols:
+                vals = pdf[c].fillna(0).astype("float64")
+                cum = vals.cumsum() + carry[c]
+                pdf[f"_l_{c}"] = cum if inclusive else cum - vals
+                if len(vals):
+                    carry[c] = float(cum.iloc[-1])
+            yield pdf
+
+    from ..session import ship_code
+    ship_code()
+    local = ranked.mapInPandas(local_running, schema)
     out = local.join(F.broadcast(offsets), "_ps_pid")  # offsets: one row per partition
-    return out.select(*df.columns, *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).alias(f"{c}{suffix}")
-                                     for c in sum_cols])
+    return out.select(*df.columns, *[(F.col(f"_o_{c}") + F.col(f"_l_{c}")).cast(
+        df.schema[c].dataType if isinstance(df.schema[c].dataType, (T.IntegralType,)) else T.DoubleType())
+        .alias(f"{c}{suffix}") for c in sum_cols])
