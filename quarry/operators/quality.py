@@ -171,28 +171,45 @@ def quality_score_expr(mean_completeness: Column, mean_uniqueness: Column,
 
 
 def quality_summary(df: DataFrame, method: str = "exact") -> DataFrame:
-    """D10/D11 summary: one row ``rows, columns, duplicate_rows, outlier_total,
-    mean_completeness, mean_uniqueness, quality_score`` (empty input: status empty)."""
-    comp = completeness(df).agg(F.avg("completeness").alias("mc"))
-    uniq = uniqueness(df).agg(F.avg("uniqueness").alias("mu"))
-    outl = iqr_outliers(df, method=method)
-    out_total = outl.agg(F.coalesce(F.sum("outliers"), F.lit(0)).cast("bigint").alias("ot"))
-    grouped = duplicate_groups(df).agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows"),
-        F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("dups"))
-    # Each input is a one-row aggregate; a union + max folds them into one row
-    # without a join.
-    parts = (grouped.select("rows", "dups", *[F.lit(None).cast(t).alias(n) for n, t in
-                                             (("mc", "double"), ("mu", "double"), ("ot", "bigint"))])
-             .unionByName(comp, allowMissingColumns=True)
-             .unionByName(uniq, allowMissingColumns=True)
-             .unionByName(out_total, allowMissingColumns=True))
-    one = parts.agg(*[F.max(c).alias(c) for c in ("rows", "dups", "mc", "mu", "ot")])
+    """D10/D11 summary: one row ``status, rows, columns, duplicate_rows,
+    outlier_total, mean_completeness, mean_uniqueness, quality_score``.
+
+    Two scans after the quartile fit: one fused aggregate (row count, missing
+    and distinct counts per column, outlier counts against the fitted fences)
+    and one grouped pass for duplicate rows.  Empty input: status ``empty``.
+    """
+    cols = df.columns
+    bounds = fit_iqr(df, method=method) if cols else []
+    n = F.count(F.lit(1))
+    aggs = [n.alias("_rows")]
+    for i, c in enumerate(cols):
+        miss = missing(df, c)
+        aggs.append(F.count_if(miss).alias(f"_m{i}"))
+        aggs.append(F.count_distinct(F.when(~miss, F.col(c))).alias(f"_d{i}"))
+    for j, b in enumerate(bounds):
+        x = F.col(b.column)
+        aggs.append(F.count_if((x < F.lit(b.lower)) | (x > F.lit(b.upper))).alias(f"_o{j}"))
+    one = df.agg(*aggs)
+    rows = F.col("_rows")
+    if cols:
+        comp = sum(F.bround(1 - F.try_divide(F.col(f"_m{i}"), rows), 4) for i in range(len(cols))) / len(cols)
+        uniq = sum(F.when(rows == 0, F.lit(1.0)).otherwise(F.bround(F.try_divide(F.col(f"_d{i}"), rows), 4))
+                   for i in range(len(cols))) / len(cols)
+    else:
+        comp = uniq = F.lit(None).cast("double")
+    # Columns with no outliers count zero, like columns left out of the dict.
+    ot = sum((F.col(f"_o{j}") for j in range(len(bounds))), F.lit(0)).cast("bigint")
+    fused = one.select(rows.alias("rows"), comp.alias("mc"), uniq.alias("mu"), ot.alias("ot"),
+                       F.lit(None).cast("bigint").alias("dups"))
+    dups = duplicate_groups(df).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("dups"))
+    # Two one-row results folded with union + max (no join).
+    both = fused.unionByName(dups, allowMissingColumns=True)
+    one_row = both.agg(*[F.max(c).alias(c) for c in ("rows", "dups", "mc", "mu", "ot")])
     empty = F.col("rows") == 0
-    return one.select(
+    return one_row.select(
         F.when(empty, F.lit("empty")).otherwise(F.lit("ok")).alias("status"),
         F.col("rows"),
-        F.when(empty, F.lit(0)).otherwise(F.lit(len(df.columns))).cast("int").alias("columns"),
+        F.when(empty, F.lit(0)).otherwise(F.lit(len(cols))).cast("int").alias("columns"),
         F.col("dups").alias("duplicate_rows"),
         F.col("ot").alias("outlier_total"),
         F.col("mc").alias("mean_completeness"),
