@@ -153,19 +153,21 @@ def quality_report(spark, sf):
     return r.select("scope", "metric", F.round("value", R).alias("value"))
 
 
-_SWEEP_TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                 "events", "labels"]
-
-
 @register("quality_sweep")
 def quality_sweep(spark, sf):
-    """Quality summary for every table file in the folder (one job per
-    schema group; here every file has its own schema)."""
+    """Quality summary of every Parquet file in the folder.  Files are
+    listed by Spark (file metadata only), grouped by schema, and each schema
+    group is summarised per file in one job."""
+    from ..sources.readers import list_files, schema_groups
+    files = list_files(spark, sf, "*.parquet")
     out = None
-    for name in _SWEEP_TABLES:
-        df = table(spark, sf, name)
-        s = Q.quality_summary(df).select(F.lit(name).alias("source"), "*")
-        out = s if out is None else out.unionByName(s)
+    for paths in schema_groups(spark, files):
+        df = spark.read.parquet(*paths).withColumn("_file", F.col("_metadata.file_name"))
+        for name in paths:
+            base = name.rsplit("/", 1)[-1]
+            s = Q.quality_summary(df.where(F.col("_file") == base).drop("_file")).select(
+                F.lit(base).alias("source"), "*")
+            out = s if out is None else out.unionByName(s)
     return out
 
 

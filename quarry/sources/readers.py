@@ -104,6 +104,23 @@ def read_many(spark: SparkSession, paths: Sequence[str], **kw) -> DataFrame:
     return out
 
 
+def list_files(spark: SparkSession, folder: str, glob: str = "*") -> list[str]:
+    """File paths under ``folder`` matching ``glob`` (listing only: the
+    binary-file source does not read contents unless asked)."""
+    rows = (spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder)
+            .select("path").orderBy("path").collect())
+    return [r[0] for r in rows]
+
+
+def schema_groups(spark: SparkSession, paths: Sequence[str]) -> list[list[str]]:
+    """Group files whose Parquet schemas are equal (schemas read from footers)."""
+    groups: dict[str, list[str]] = {}
+    for p in paths:
+        key = spark.read.parquet(p).schema.json()
+        groups.setdefault(key, []).append(p)
+    return list(groups.values())
+
+
 def with_source_file(df: DataFrame, col: str = "_source_file") -> DataFrame:
     """The input file of each row (file sources only)."""
     return df.withColumn(col, F.col("_metadata.file_path"))
