@@ -55,7 +55,8 @@ def box_summary(df: DataFrame, column: str, by: Sequence[str], factor: float = 1
     by = list(by)
     q = quantile_table(df, [column], [0.25, 0.5, 0.75], by, method, names=["q1", "median", "q3"]).drop("column_name")
     x = F.col(column)
-    j = df.select(*by, column).join(q, by)
+    from .joins import size_checked_join
+    j = size_checked_join(df.select(*by, column), q, by, "inner")
     lo_f = F.col("q1") - factor * (F.col("q3") - F.col("q1"))
     hi_f = F.col("q3") + factor * (F.col("q3") - F.col("q1"))
     return j.groupBy(*by).agg(

@@ -118,15 +118,17 @@ def group_median_fill(df: DataFrame, column: str, by: Sequence[str],
     """Fill ``column`` with its group median, else the global median.
 
     Group medians come from the skew-safe quantile operator and are joined
-    back on the group key (AQE turns it into a broadcast join when the
-    group table is small and splits skewed partitions otherwise).  A NULL
+    back on the group key: broadcast after a row count when the group table
+    is small (a low-cardinality key would otherwise hash the big side into
+    a few partitions), a shuffle join with AQE skew splitting otherwise.  A NULL
     group only gets the global fallback, as in pandas.
     """
     by = list(by)
     gm = fit_group_median(df, column, by, method)
     glob = fit_medians(df, [column], method)[column]
     dt = df.schema[column].dataType
-    joined = df.join(gm, on=by, how="left")
+    from .joins import size_checked_join
+    joined = size_checked_join(df, gm, by, "left")
     cur = F.col(column)
     if is_fractional(dt):
         cur = F.nanvl(cur, F.lit(None).cast(dt))

@@ -28,7 +28,8 @@ def apply_label_encoder(df: DataFrame, column: str, vocab: DataFrame, out: str |
                         unseen: int = -1) -> DataFrame:
     """K2: encode with a fitted vocabulary; unseen values get ``unseen``."""
     out = out or f"{column}_code"
-    v = vocab.select(F.col("value").alias("_v"), F.col("code").alias("_code"))
+    from .joins import size_checked
+    v = size_checked(vocab.select(F.col("value").alias("_v"), F.col("code").alias("_code")))
     j = df.join(v, df[column].eqNullSafe(v["_v"]), "left")
     return j.select(*[df[c] for c in df.columns], F.coalesce(F.col("_code"), F.lit(unseen)).alias(out))
 

@@ -7,18 +7,40 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import reliable_checkpoint
+
+# Largest small side (rows) broadcast after its size has been counted.
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def size_checked(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Materialise a derived small side once (reliable checkpoint), count it,
+    and mark it for broadcast only when the count is within ``max_rows``;
+    beyond that the join stays a shuffle join (AQE splits skewed keys)."""
+    small = reliable_checkpoint(small)
+    return F.broadcast(small) if small.count() <= max_rows else small
+
+
+def size_checked_join(big: DataFrame, small: DataFrame, on, how: str = "left",
+                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Join a table that grows with the data to a derived per-key table
+    (group statistics, vocabularies, targets) with a checked broadcast."""
+    return big.join(size_checked(small, max_rows), on, how)
+
 
 def lookup_join(df: DataFrame, stats: DataFrame, keys: Sequence[str],
                 defaults: Mapping[str, object] | None = None, broadcast_rows: int | None = None) -> DataFrame:
     """G1: left equi-join against a per-key table; misses take ``defaults``.
 
     ``broadcast_rows`` is a *proven* upper bound on the stats table's rows
-    (e.g. a fixed vocabulary); only then is a broadcast hinted.  Otherwise
-    AQE decides at run time from the materialised size and falls back to a
-    shuffle join, splitting skewed keys.
+    (e.g. a fixed vocabulary); without it the stats table is materialised
+    and counted first, and broadcast only within ``BROADCAST_MAX_ROWS``.
     """
     keys = list(keys)
-    right = F.broadcast(stats) if broadcast_rows is not None and broadcast_rows <= 1_000_000 else stats
+    if broadcast_rows is not None:
+        right = F.broadcast(stats) if broadcast_rows <= BROADCAST_MAX_ROWS else stats
+    else:
+        right = size_checked(stats)
     j = df.join(right, keys, "left")
     if defaults:
         j = j.select(*[F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)

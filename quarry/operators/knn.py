@@ -53,6 +53,8 @@ def knn_impute_1d(df: DataFrame, target: str, feature: str, id_col: str, k: int
     nearest = (cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
                .groupBy("_id").agg(F.avg("_dy").alias("_knn")))
     fallback = df.agg(F.avg(y).alias("_m")).first()["_m"]
+    from .joins import size_checked
+    nearest = size_checked(nearest)  # one row per receiver
     j = df.join(nearest, df[id_col] == nearest["_id"], "left")
     filled = F.when(present_y, y).otherwise(F.coalesce(F.col("_knn"), F.lit(fallback)))
     return j.select(*[filled.alias(out) if c == target else F.col(c) for c in df.columns])

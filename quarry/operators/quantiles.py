@@ -93,7 +93,8 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
                       & (F.col("_rank") < F.col("_base") + F.col("_cnt")))
                .select(*keys, "_p", "_pos", "_rank",
                        (F.col("_start") + F.col("_rank") - F.col("_base")).alias("_mid")))
-    picked = ranked.select("_mid", VAL).join(targets, "_mid")
+    from .joins import size_checked_join
+    picked = size_checked_join(ranked.select("_mid", VAL), targets, "_mid", "inner")
     res = picked.groupBy(*keys, "_p").agg(
         F.first("_pos").alias("_pos"),
         F.min_by(VAL, "_rank").alias("_lo"),

@@ -49,7 +49,8 @@ def group_positions(df: DataFrame, by: Sequence[str], order: Sequence[Column | s
     # group key the block table has one row per partition: a proven bound,
     # so it is broadcast; otherwise AQE picks broadcast or shuffle.
     cond = [F.col("_gp_pid") == F.col("_gb_pid")] + [F.col(b).eqNullSafe(F.col(gb[b])) for b in by]
-    joined = ranked.join(blocks if by else F.broadcast(blocks), cond)
+    from .joins import size_checked
+    joined = ranked.join(size_checked(blocks) if by else F.broadcast(blocks), cond)
     pos = F.col("_gp_base") + F.col("_gp_mid") - F.col("_gp_start")
     extra = [F.col(size_col)] if size_col else []
     return joined.select(*[F.col(c) for c in df.columns], pos.alias(pos_col), *extra)

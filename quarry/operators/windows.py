@@ -20,9 +20,10 @@ from .ranking import group_positions
 
 def group_broadcast(df: DataFrame, by: Sequence[str], aggs: Sequence[Column]) -> DataFrame:
     """Attach per-group aggregates to every row (NULL keys get NULL)."""
+    from .joins import size_checked_join
     by = list(by)
     stats = df.groupBy(*by).agg(*aggs)
-    return df.join(stats, by, "left")
+    return size_checked_join(df, stats, by, "left")
 
 
 def group_count(df: DataFrame, by: Sequence[str], column: str | None = None,
@@ -43,8 +44,9 @@ def loo_target_rate(labelled: DataFrame, unlabelled: DataFrame | None, by: Seque
     count is the labelled group size, else 1.
     """
     by = list(by)
-    stats = labelled.groupBy(*by).agg(F.count(F.col(target)).alias("_n"),
-                                      F.sum(F.col(target).cast("double")).alias("_s"))
+    from .joins import size_checked
+    stats = size_checked(labelled.groupBy(*by).agg(F.count(F.col(target)).alias("_n"),
+                                                   F.sum(F.col(target).cast("double")).alias("_s")))
     lab = labelled.join(stats, by, "left")
     y = F.col(target).cast("double")
     rate = F.when(F.col("_n") > 1, (F.col("_s") - y) / (F.col("_n") - 1)).otherwise(F.lit(default))
