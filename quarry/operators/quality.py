@@ -170,40 +170,50 @@ def quality_score_expr(mean_completeness: Column, mean_uniqueness: Column,
     return F.bround(mean_completeness * 40.0 + mean_uniqueness * 20.0 + dup_part + out_part, 1)
 
 
-def quality_summary(df: DataFrame, method: str = "exact") -> DataFrame:
-    """D10/D11 summary: one row ``status, rows, columns, duplicate_rows,
-    outlier_total, mean_completeness, mean_uniqueness, quality_score``.
-
-    Two scans after the quartile fit: one fused aggregate (row count, missing
-    and distinct counts per column, outlier counts against the fitted fences)
-    and one grouped pass for duplicate rows.  Empty input: status ``empty``.
-    """
-    cols = df.columns
-    bounds = fit_iqr(df, method=method) if cols else []
-    n = F.count(F.lit(1))
-    aggs = [n.alias("_rows")]
-    for i, c in enumerate(cols):
+def _fused_metrics(df: DataFrame, bounds: list[IqrBounds]) -> DataFrame:
+    """One aggregate over ``df``: rows, and per column the missing count,
+    distinct non-missing count and (numeric) min/max/mean/std, plus the
+    outlier count against each fitted fence pair."""
+    num = set(numeric_columns(df))
+    aggs = [F.count(F.lit(1)).alias("_rows")]
+    for i, c in enumerate(df.columns):
         miss = missing(df, c)
         aggs.append(F.count_if(miss).alias(f"_m{i}"))
         aggs.append(F.count_distinct(F.when(~miss, F.col(c))).alias(f"_d{i}"))
+        if c in num:
+            v = F.when(~miss, F.col(c).cast("double"))
+            aggs += [F.min(v).alias(f"_min{i}"), F.max(v).alias(f"_max{i}"),
+                     F.avg(v).alias(f"_mean{i}"), F.stddev_samp(v).alias(f"_std{i}")]
     for j, b in enumerate(bounds):
         x = F.col(b.column)
         aggs.append(F.count_if((x < F.lit(b.lower)) | (x > F.lit(b.upper))).alias(f"_o{j}"))
-    one = df.agg(*aggs)
+    return df.agg(*aggs)
+
+
+def _completeness_at(i: int) -> Column:
+    return F.bround(1 - F.try_divide(F.col(f"_m{i}"), F.col("_rows")), 4)
+
+
+def _uniqueness_at(i: int) -> Column:
+    return F.when(F.col("_rows") == 0, F.lit(1.0)).otherwise(
+        F.bround(F.try_divide(F.col(f"_d{i}"), F.col("_rows")), 4))
+
+
+def _summary_from(fused: DataFrame, df: DataFrame, bounds: list[IqrBounds]) -> DataFrame:
+    cols = df.columns
     rows = F.col("_rows")
     if cols:
-        comp = sum(F.bround(1 - F.try_divide(F.col(f"_m{i}"), rows), 4) for i in range(len(cols))) / len(cols)
-        uniq = sum(F.when(rows == 0, F.lit(1.0)).otherwise(F.bround(F.try_divide(F.col(f"_d{i}"), rows), 4))
-                   for i in range(len(cols))) / len(cols)
+        comp = sum(_completeness_at(i) for i in range(len(cols))) / len(cols)
+        uniq = sum(_uniqueness_at(i) for i in range(len(cols))) / len(cols)
     else:
         comp = uniq = F.lit(None).cast("double")
     # Columns with no outliers count zero, like columns left out of the dict.
     ot = sum((F.col(f"_o{j}") for j in range(len(bounds))), F.lit(0)).cast("bigint")
-    fused = one.select(rows.alias("rows"), comp.alias("mc"), uniq.alias("mu"), ot.alias("ot"),
+    one = fused.select(rows.alias("rows"), comp.alias("mc"), uniq.alias("mu"), ot.alias("ot"),
                        F.lit(None).cast("bigint").alias("dups"))
     dups = duplicate_groups(df).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("dups"))
     # Two one-row results folded with union + max (no join).
-    both = fused.unionByName(dups, allowMissingColumns=True)
+    both = one.unionByName(dups, allowMissingColumns=True)
     one_row = both.agg(*[F.max(c).alias(c) for c in ("rows", "dups", "mc", "mu", "ot")])
     empty = F.col("rows") == 0
     return one_row.select(
@@ -219,31 +229,45 @@ def quality_summary(df: DataFrame, method: str = "exact") -> DataFrame:
          .alias("quality_score"))
 
 
+def quality_summary(df: DataFrame, method: str = "exact") -> DataFrame:
+    """D10/D11 summary: one row ``status, rows, columns, duplicate_rows,
+    outlier_total, mean_completeness, mean_uniqueness, quality_score``.
+
+    Two scans after the quartile fit: one fused aggregate (row count,
+    missing/distinct counts, outlier counts against the fitted fences) and
+    one grouped pass for duplicate rows.  Empty input: status ``empty``.
+    """
+    bounds = fit_iqr(df, method=method) if df.columns else []
+    return _summary_from(_fused_metrics(df, bounds), df, bounds)
+
+
 def quality_report(df: DataFrame, method: str = "exact") -> DataFrame:
     """Long report ``(scope, metric, value)``: per-column completeness,
-    uniqueness, outliers and numeric stats plus table-level summary rows."""
-    spark = df.sparkSession
-    parts = [
-        completeness(df).select(F.col("column_name").alias("scope"), F.lit("completeness").alias("metric"),
-                                F.col("completeness").alias("value")),
-        uniqueness(df).select(F.col("column_name").alias("scope"), F.lit("uniqueness").alias("metric"),
-                              F.col("uniqueness").alias("value")),
-        iqr_outliers(df, method=method).select(F.col("column_name").alias("scope"), F.lit("outliers").alias("metric"),
-                                               F.col("outliers").cast("double").alias("value")),
-    ]
-    stats = numeric_stats(df)
-    for m in ("min", "max", "mean", "std", "nulls"):
-        parts.append(stats.select(F.col("column_name").alias("scope"), F.lit(m).alias("metric"),
-                                  F.col(m).cast("double").alias("value")))
-    summary = quality_summary(df, method)
+    uniqueness, outliers (columns with any) and numeric stats, plus
+    table-level rows, columns, duplicate_rows and quality_score.  Built from
+    the same two passes as the summary."""
+    bounds = fit_iqr(df, method=method) if df.columns else []
+    from ..session import reliable_checkpoint
+    fused = reliable_checkpoint(_fused_metrics(df, bounds))  # one row, read twice below
+    num = set(numeric_columns(df))
+    cells = []
+    for i, c in enumerate(df.columns):
+        cells.append((c, "completeness", _completeness_at(i)))
+        cells.append((c, "uniqueness", _uniqueness_at(i)))
+        if c in num:
+            cells += [(c, "min", F.col(f"_min{i}")), (c, "max", F.col(f"_max{i}")),
+                      (c, "mean", F.col(f"_mean{i}")), (c, "std", F.col(f"_std{i}")),
+                      (c, "nulls", F.col(f"_m{i}"))]
+    for j, b in enumerate(bounds):
+        cells.append((b.column, "outliers", F.when(F.col(f"_o{j}") > 0, F.col(f"_o{j}"))))
+    arr = F.array(*[F.struct(F.lit(sc).alias("scope"), F.lit(m).alias("metric"),
+                             v.cast("double").alias("value")) for sc, m, v in cells])
+    per_col = fused.select(F.inline(arr)).where(~((F.col("metric") == "outliers") & F.col("value").isNull()))
+    summary = _summary_from(fused, df, bounds)
     table_metrics = ["rows", "columns", "duplicate_rows", "quality_score"]
-    cells = F.array(*[F.struct(F.lit("_table").alias("scope"), F.lit(m).alias("metric"),
-                               F.col(m).cast("double").alias("value")) for m in table_metrics])
-    parts.append(summary.select(F.inline(cells)))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    tcells = F.array(*[F.struct(F.lit("_table").alias("scope"), F.lit(m).alias("metric"),
+                                F.col(m).cast("double").alias("value")) for m in table_metrics])
+    return per_col.unionByName(summary.select(F.inline(tcells)))
 
 
 def file_quality(df: DataFrame, method: str = "exact") -> DataFrame:
