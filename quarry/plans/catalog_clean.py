@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import clean as C
-from .fixtures import dirty_orders
+from .fixtures import KNN_PARTS_CTE, dirty_orders, knn_parts
 from .registry import register, table
 from .sqlgen import with_dirty
 
@@ -72,9 +72,6 @@ def group_median_fill(spark, sf):
     return C.group_median_fill(_dirty(spark, sf), "amount", ["status"])
 
 
-from .fixtures import KNN_PARTS_CTE, knn_parts  # noqa: E402
-
-
 @register("knn_impute", f"""
 WITH {KNN_PARTS_CTE},
 r AS (SELECT p_partkey, p_retailprice FROM kp WHERE p_size IS NULL),

@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import encode as K
+from ..operators import models as M
 from ..operators import evaluate as V
 from ..operators.clean import apply_fill, fit_median_fill
 from .fixtures import SCORED_CTE, dirty_orders, scored_labels
@@ -177,8 +178,6 @@ def rmse(spark, sf):
 
 # ---------------------------------------------------------------------------
 # Model jobs (rows-only checks): document quality from text statistics.
-from ..operators import models as M  # noqa: E402
-from ..operators.encode import fold_assign as _fold_assign, stratified_split as _split  # noqa: E402
 
 _DOC_NUM = ["log_chars", "n_words", "n_lines", "digit_ratio", "upper_ratio", "punct_ratio", "avg_word_len"]
 _DOC_CAT = ["lang", "source"]
@@ -207,8 +206,8 @@ def _split_folds(spark, sf):
     checkpoint instead of re-deriving features from the texts)."""
     from ..session import reliable_checkpoint
     f = doc_features(spark, sf)
-    s = _split(f, "label", "doc_id", 0.2)
-    both = _fold_assign(s, "label", "doc_id", 5)
+    s = K.stratified_split(f, "label", "doc_id", 0.2)
+    both = K.fold_assign(s, "label", "doc_id", 5)
     both = reliable_checkpoint(both)
     return both.where("is_test = 0"), both.where("is_test = 1")
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import quality as Q
 from ..operators.schema import constraint_violations
 from . import metrics
-from .fixtures import dirty_orders
+from .fixtures import DIRTY_CTE, dirty_orders
 from .registry import register, table
 from .sqlgen import (DIRTY_COLUMNS, DIRTY_DOUBLE, DIRTY_NUMERIC, iqr_sql, missing_sql,
                      union_per_column, with_dirty)
@@ -98,8 +98,6 @@ def duplicate_rows(spark, sf):
 
 
 def _summary_sql(table_sql: str, cols, numeric, doubles, n_cols: int) -> str:
-    comp = " + ".join(
-        f"(1 - count(*) FILTER (WHERE {missing_sql(c, doubles)}) / count(*))" for c in cols)
     comp = " + ".join(f"round_even(1 - count(*) FILTER (WHERE {missing_sql(c, doubles)}) / count(*), 4)"
                       for c in cols)
     uniq = " + ".join(f"round_even(count(DISTINCT {c}) / count(*), 4)" for c in cols)
@@ -116,8 +114,7 @@ SELECT 'ok' AS status, CAST(rows AS BIGINT) AS rows, CAST({n_cols} AS INTEGER) A
 FROM base, dups, outl"""
 
 
-@register("quality_score", "WITH " + __import__("quarry.plans.fixtures", fromlist=["x"]).DIRTY_CTE
-          + _summary_sql("dirty", DIRTY_COLUMNS, DIRTY_NUMERIC, DIRTY_DOUBLE, 7))
+@register("quality_score", "WITH " + DIRTY_CTE + _summary_sql("dirty", DIRTY_COLUMNS, DIRTY_NUMERIC, DIRTY_DOUBLE, 7))
 def quality_score(spark, sf):
     s = Q.quality_summary(_dirty(spark, sf))
     return s.select("status", "rows", "columns", "duplicate_rows", "outlier_total",
