@@ -31,8 +31,11 @@ def group_positions(df: DataFrame, by: Sequence[str], order: Sequence[Column | s
     by = list(by)
     spark = df.sparkSession
     n_parts = shuffle_partitions(spark)
-    keys = [F.col(b) for b in by] + _order_cols(order)
-    ranked = (df.repartitionByRange(n_parts, *keys)
+    # Unique per-row tie-break last: equal keys (a hot value) still split
+    # across range partitions; positions among exact ties follow it.
+    keys = [F.col(b) for b in by] + _order_cols(order) + [F.col("_gp_tb")]
+    ranked = (df.withColumn("_gp_tb", F.monotonically_increasing_id())
+              .repartitionByRange(n_parts, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("_gp_pid", F.spark_partition_id())
               .withColumn("_gp_mid", F.monotonically_increasing_id()))
@@ -67,9 +70,10 @@ def prefix_sums(df: DataFrame, order: Sequence[Column | str], sum_cols: Sequence
     """
     spark = df.sparkSession
     n_parts = shuffle_partitions(spark)
-    keys = _order_cols(order)
+    keys = _order_cols(order) + [F.col("_ps_tb")]  # unique tie-break: hot values split
     sum_cols = list(sum_cols)
-    ranked = (df.repartitionByRange(n_parts, *keys)
+    ranked = (df.withColumn("_ps_tb", F.monotonically_increasing_id())
+              .repartitionByRange(n_parts, *keys)
               .sortWithinPartitions(*keys)
               .withColumn("_ps_pid", F.spark_partition_id()))
     ranked = reliable_checkpoint(ranked)
