@@ -26,6 +26,20 @@ def value_counts(df: DataFrame, columns: Sequence[str] | str, count_col: str = "
     return df.groupBy(*cols).agg(F.count(F.lit(1)).alias(count_col))
 
 
+def crosstab_wide(df: DataFrame, row: str, col: str, values: Sequence | None = None,
+                  max_values: int = 1000) -> DataFrame:
+    """H3 (pivot form): one row per ``row`` value, one count column per
+    ``col`` value (0 when absent).  Without ``values`` the distinct column
+    values are listed first and must stay within ``max_values``."""
+    if values is None:
+        distinct = df.select(col).where(F.col(col).isNotNull()).distinct()
+        vals = [r[0] for r in distinct.limit(max_values + 1).collect()]
+        if len(vals) > max_values:
+            raise ValueError(f"{col} has more than {max_values} values; pass values= explicitly")
+        values = sorted(vals)
+    return df.groupBy(row).pivot(col, list(values)).agg(F.count(F.lit(1))).na.fill(0, [str(v) for v in values])
+
+
 def fit_range(df: DataFrame, column: str) -> tuple[float | None, float | None]:
     r = df.agg(F.min(F.col(column).cast("double")).alias("lo"), F.max(F.col(column).cast("double")).alias("hi")).first()
     return r["lo"], r["hi"]

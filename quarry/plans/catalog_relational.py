@@ -67,6 +67,17 @@ def crosstab(spark, sf):
     return A.value_counts(table(spark, sf, "orders"), ["o_orderstatus", "o_orderpriority"])
 
 
+_PRIOS = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
+
+
+@register("crosstab_wide", "SELECT o_orderstatus, " + ", ".join(
+    f"count(*) FILTER (WHERE o_orderpriority = '{v}') AS \"{v}\"" for v in _PRIOS)
+    + " FROM orders GROUP BY o_orderstatus")
+def crosstab_wide(spark, sf):
+    """H3 as a pivot: status x priority counts, one column per priority."""
+    return A.crosstab_wide(table(spark, sf, "orders"), "o_orderstatus", "o_orderpriority")
+
+
 @register("histogram", """
 WITH r AS (SELECT min(l_extendedprice) AS lo, (max(l_extendedprice) - min(l_extendedprice)) / 30 AS width FROM lineitem),
 b AS (SELECT l_returnflag, CAST(least(floor((l_extendedprice - lo) / width), 29) AS INTEGER) AS bin, lo, width

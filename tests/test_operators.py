@@ -165,3 +165,10 @@ def test_quality_score_formula(spark):
     uniq = (round(2 / 3, 4) + round(1 / 3, 4)) / 2
     assert r["duplicate_rows"] == 1
     assert r["quality_score"] == round(comp * 40 + uniq * 20 + 18 + 20, 1)
+
+
+def test_approx_quantiles_within_rank_error(spark):
+    df = spark.range(20000).select((F.col("id") * 7 % 20000).cast("double").alias("x"))
+    got = {r["prob"]: r["value"] for r in quantiles(df, ["x"], [0.1, 0.5, 0.9], method="approx").collect()}
+    for p, v in got.items():  # accuracy 10000 -> rank error <= n / 10000
+        assert abs(v - p * 19999) <= 20000 / 10000 + 1
