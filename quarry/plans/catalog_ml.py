@@ -204,11 +204,11 @@ def doc_features(spark, sf):
 def _split_folds(spark, sf):
     """Hold-out split and folds, frozen once (every fit re-reads the
     checkpoint instead of re-deriving features from the texts)."""
-    from ..session import reliable_checkpoint
+    from ..session import reliable_checkpoint, right_size
     f = doc_features(spark, sf)
     s = K.stratified_split(f, "label", "doc_id", 0.2)
     both = K.fold_assign(s, "label", "doc_id", 5)
-    both = reliable_checkpoint(both)
+    both = right_size(reliable_checkpoint(both))
     return both.where("is_test = 0"), both.where("is_test = 1")
 
 
@@ -324,7 +324,8 @@ def ml_regression(spark, sf):
          .select(F.monotonically_increasing_id().alias("_row_id"), "l_quantity", "l_discount",
                  "l_tax", "p_retailprice", F.col("p_size").cast("double").alias("p_size"), "p_type",
                  F.log1p("l_extendedprice").alias("y"), "l_extendedprice", "l_shipdate"))
-    d = reliable_checkpoint(d)
+    from ..session import right_size
+    d = right_size(reliable_checkpoint(d))
     train = d.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     test = d.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     stages = M.feature_stages(["p_type"], ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"])

@@ -69,3 +69,13 @@ def ship_code() -> None:
             cloudpickle.register_pickle_by_value(sys.modules[pkg])
         except ValueError:
             pass
+
+
+def right_size(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
+    """Coalesce a materialised (checkpointed) table to about
+    ``rows_per_partition`` rows per partition.  Iterative jobs (model
+    fitting) launch one task per partition per iteration, so a small
+    training table should not keep the shuffle-partition count; a large one
+    keeps its partitions (coalesce never adds any)."""
+    n = df.count()
+    return df.coalesce(max(1, -(-n // rows_per_partition)))
