@@ -132,25 +132,32 @@ def files_processed(df: DataFrame) -> DataFrame:
         F.count_distinct("_f").alias("files_processed"), F.count(F.lit(1)).alias("input_rows"))
 
 
+def _parse_all(df: DataFrame):
+    """A condition that is always true but references every parsed column,
+    so the scan parses whole records: a pruned CSV/JSON scan validates only
+    the columns a query reads (a malformed field elsewhere would go
+    unnoticed), and Spark rejects a scan of the corrupt column alone."""
+    cond = F.lit(True)
+    for c in df.columns:
+        if c != CORRUPT_COLUMN:
+            cond = cond & (F.col(c).isNull() | F.col(c).isNotNull())
+    return cond
+
+
 def corrupt_count(df: DataFrame) -> int:
-    """Malformed records.  Spark rejects a raw-file query that touches
-    only the corrupt column, so the aggregate also reads the parsed columns."""
+    """Number of malformed records (whole records parsed)."""
     if CORRUPT_COLUMN not in df.columns:
         return 0
-    others = [c for c in df.columns if c != CORRUPT_COLUMN]
-    probe = F.max(F.hash(*others)) if others else F.lit(0)
-    return df.agg(F.count_if(F.col(CORRUPT_COLUMN).isNotNull()).alias("n"), probe.alias("_all")).first()["n"]
+    return df.where(_parse_all(df)).agg(F.count_if(F.col(CORRUPT_COLUMN).isNotNull())).first()[0]
 
 
 def drop_corrupt(df: DataFrame) -> DataFrame:
     """Drop records the reader marked corrupt (no-op without the column).
-
-    Consume the result through its parsed columns (a write, a projection):
-    Spark rejects a raw CSV/JSON query whose only column is the corrupt one,
-    e.g. a bare ``count()`` right after this filter."""
+    Whole records are parsed whatever the consumer selects, so the result
+    is the same for ``count()`` and for a full read."""
     if CORRUPT_COLUMN not in df.columns:
         return df
-    return df.where(F.col(CORRUPT_COLUMN).isNull()).drop(CORRUPT_COLUMN)
+    return df.where(F.col(CORRUPT_COLUMN).isNull() & _parse_all(df)).drop(CORRUPT_COLUMN)
 
 
 # Delimiter candidates for CSV sniffing, in preference order.
