@@ -4,10 +4,10 @@ Exact mode is skew-safe: it never gathers a group's values in one task.
 
 1. The columns are stacked into long form ``(by..., column, value)``;
    NULL and NaN are missing and dropped (pandas semantics).
-2. One range shuffle on ``(by..., column, value, row id)`` with an
-   explicit partition count (AQE leaves it alone) sorts the values; a hot
-   group is split across range partitions by its values, and a hot value
-   by the unique row id.
+2. One range shuffle on ``(by..., column, value, row id)`` sorts the
+   values (AQE may merge adjacent small ranges, which keeps them ranges); a
+   hot group is split across range partitions by its values, and a hot
+   value by the unique row id.
 3. Each row gets its partition id and a position id, and the result is
    written once to the shared checkpoint folder, so every later pass sees
    the same positions (and a lost executor cannot change them).
@@ -29,7 +29,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import reliable_checkpoint, shuffle_partitions
+from ..session import reliable_checkpoint
 
 COL = "_q_column"
 VAL = "_q_value"
@@ -71,13 +71,11 @@ def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
     if method != "exact":
         raise ValueError(f"unknown quantile method {method!r}")
 
-    spark = df.sparkSession
-    n_parts = shuffle_partitions(spark)
     # A unique per-row tie-break as the last range key: range partitioning
     # cannot split equal keys, so a value held by a third of the rows would
     # otherwise land in one partition.
     long = long.withColumn("_tb", F.monotonically_increasing_id())
-    ranked = (long.repartitionByRange(n_parts, *keys, VAL, "_tb")
+    ranked = (long.repartitionByRange(*keys, VAL, "_tb")
               .sortWithinPartitions(*keys, VAL, "_tb")
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..session import reliable_checkpoint, shuffle_partitions
+from ..session import reliable_checkpoint
 
 
 def _order_cols(order: Sequence[Column | str]) -> list[Column]:
@@ -29,13 +29,11 @@ def group_positions(df: DataFrame, by: Sequence[str], order: Sequence[Column | s
     in ``order`` (give a unique tie-break for a deterministic result), and
     optionally ``size_col`` = group size.  ``by`` may be empty (global)."""
     by = list(by)
-    spark = df.sparkSession
-    n_parts = shuffle_partitions(spark)
     # Unique per-row tie-break last: equal keys (a hot value) still split
     # across range partitions; positions among exact ties follow it.
     keys = [F.col(b) for b in by] + _order_cols(order) + [F.col("_gp_tb")]
     ranked = (df.withColumn("_gp_tb", F.monotonically_increasing_id())
-              .repartitionByRange(n_parts, *keys)
+              .repartitionByRange(*keys)
               .sortWithinPartitions(*keys)
               .withColumn("_gp_pid", F.spark_partition_id())
               .withColumn("_gp_mid", F.monotonically_increasing_id()))
@@ -68,12 +66,10 @@ def prefix_sums(df: DataFrame, order: Sequence[Column | str], sum_cols: Sequence
     (Arrow batches, carried across batches) needs no further shuffle, and
     each partition's offset comes from a table with one row per partition.
     """
-    spark = df.sparkSession
-    n_parts = shuffle_partitions(spark)
     keys = _order_cols(order) + [F.col("_ps_tb")]  # unique tie-break: hot values split
     sum_cols = list(sum_cols)
     ranked = (df.withColumn("_ps_tb", F.monotonically_increasing_id())
-              .repartitionByRange(n_parts, *keys)
+              .repartitionByRange(*keys)
               .sortWithinPartitions(*keys)
               .withColumn("_ps_pid", F.spark_partition_id()))
     ranked = reliable_checkpoint(ranked)
