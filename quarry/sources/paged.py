@@ -79,6 +79,7 @@ class _PagedReader(DataSourceReader):
         self.max_pages = int(options["max_pages"]) if options.get("max_pages") else None
         self.total_pages = int(options["total_pages"]) if options.get("total_pages") else None
         self.first_page = int(options.get("first_page", "1"))
+        self.total_pages_field = options.get("total_pages_field", "")
 
     def _offset(self, page: int) -> int:
         return (page - self.first_page) * self.size
@@ -92,6 +93,14 @@ class _PagedReader(DataSourceReader):
     def _last_page(self) -> int:
         """Last page to plan: total, cap, or a doubling + binary search over
         single-page probes (O(log pages) small fetches on the driver)."""
+        if self.total_pages is None and self.total_pages_field:
+            # The API states its page count in the first page (page >= total stops).
+            body = self.fetch(self.first_page, 0, self.size)
+            node = json.loads(body) if body else {}
+            for part in self.total_pages_field.split("."):
+                node = node.get(part) if isinstance(node, dict) else None
+            if node is not None:
+                self.total_pages = int(node)
         if self.total_pages is not None:
             last = self.first_page + self.total_pages - 1
             return min(last, self.first_page + self.max_pages - 1) if self.max_pages else last

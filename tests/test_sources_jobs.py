@@ -35,7 +35,7 @@ def test_spark_etl_job_end_to_end(spark, tmpdir_path):
                 "dedup_keys": ["id", "timestamp"], "loaded_at": "2024-03-01 00:00:00"})
     rep = SparkETLJob(spark, cfg, run_clock="1").run()
     assert rep["ingest.rows"] == 5 and rep["load.rows"] == 4 and rep["duplicates"] == 1
-    assert rep["yield_pct"] == 80.0
+    assert rep["yield_pct"] == 80.0 and rep["files_processed"] == 1 and rep["partitions"] >= 1
     res = spark.read.parquet(out)
     assert {"year", "month", "amount_category", "_record_hash", "_etl_batch_id"} <= set(res.columns)
     rows = {r["id"]: r for r in res.collect()}
@@ -88,6 +88,11 @@ def test_paged_source_finds_last_page(spark, tmpdir_path):
     assert capped.count() == 5
     single = read_pages(spark, file_pages(folder), pagination="none")
     assert single.count() == 1
+    stated = os.path.join(tmpdir_path, "stated")
+    os.makedirs(stated)
+    for i in range(1, 5):  # page 4 exists but the API says there are 3
+        _write(os.path.join(stated, f"page-{i}.json"), json.dumps({"total_pages": 3, "results": [{"id": i}]}))
+    assert read_pages(spark, file_pages(stated), total_pages_field="total_pages").count() == 3
 
 
 def test_paged_source_errors(spark):
