@@ -44,16 +44,19 @@ def group_count(spark, sf):
 
 @register("group_stats", """
 SELECT o_orderstatus, o_orderpriority, round(avg(o_totalprice), 6) AS mean_price, count(*) AS n_orders,
-       round(sum(o_totalprice), 6) AS total_price, min(o_totalprice) AS min_price, max(o_totalprice) AS max_price
+       round(sum(o_totalprice), 2) AS total_price, min(o_totalprice) AS min_price, max(o_totalprice) AS max_price
 FROM orders GROUP BY o_orderstatus, o_orderpriority""")
 def group_stats(spark, sf):
+    """H1: named aggregates per (status, priority); money totals to the cent
+    (a 6-decimal total of ~1e9 exceeds double precision, so summation order
+    would show)."""
     o = table(spark, sf, "orders")
     g = A.group_stats(o, ["o_orderstatus", "o_orderpriority"],
                       {"mean_price": ("o_totalprice", "mean"), "n_orders": ("o_orderkey", "count"),
                        "total_price": ("o_totalprice", "sum"), "min_price": ("o_totalprice", "min"),
                        "max_price": ("o_totalprice", "max")})
     return g.select("o_orderstatus", "o_orderpriority", F.round("mean_price", R).alias("mean_price"), "n_orders",
-                    F.round("total_price", R).alias("total_price"), "min_price", "max_price")
+                    F.round("total_price", 2).alias("total_price"), "min_price", "max_price")
 
 
 @register("value_counts", "SELECT event_type, count(*) AS count FROM events GROUP BY event_type")
