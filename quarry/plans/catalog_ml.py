@@ -335,3 +335,17 @@ def ml_regression(spark, sf):
     j = pred.join(test.select("_row_id", "y", "l_extendedprice"), "_row_id")
     rmsle = j.agg(F.sqrt(F.avg(F.pow(F.col("log_prediction") - F.col("y"), 2)))).first()[0]
     return j.select("_row_id", "prediction", "l_extendedprice", F.lit(rmsle).alias("rmsle"))
+
+
+@register("ml_tabular_job")
+def ml_tabular_job(spark, sf):
+    """The model scripts end to end (features, fills, encoding, CV members,
+    weighted soft vote) on orders x customers; prediction table written as
+    CSV and read back (B9)."""
+    from ..session import scratch_path
+    from ..sources.sinks import write_by_suffix
+    from .tabular_job import run
+    pred = run(spark, table(spark, sf, "orders"), table(spark, sf, "customer"), "1999-01-01")
+    out = scratch_path(spark, "order-predictions") + ".csv"
+    write_by_suffix(pred.select("o_orderkey", "prediction"), out)
+    return spark.read.option("header", True).schema("o_orderkey bigint, prediction int").csv(out)
