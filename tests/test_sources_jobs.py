@@ -213,3 +213,10 @@ def test_file_etl_to_database(spark, tmpdir_path):
     back = spark.read.jdbc(url, "SALES", properties={"driver": "org.apache.derby.jdbc.EmbeddedDriver"})
     rows = {d["id"]: d for d in ({k.lower(): v for k, v in r.asDict().items()} for r in back.collect())}
     assert len(rows) == 3 and rows[2]["amount"] == 0.0 and rows[3]["date"] is None
+
+
+def test_cli_quality_report(spark, capsys):
+    from quarry.cli import main
+    assert main(["quality", "--input", f"{SF}/customer.parquet"]) == 0
+    rep = json.loads(capsys.readouterr().out)
+    assert rep["status"] == "ok" and rep["columns"] == 5 and "quality_score" in rep
