@@ -117,7 +117,8 @@ def paged_json_source(spark, sf):
         .alias("body"))
     # One row per page, hash-partitioned by page: each page folder gets one file.
     docs.repartition("_page").write.partitionBy("_page").text(folder)
-    pages = read_pages(spark, file_pages(folder, "_page={page}"), page_size=500, pagination="page", results_path="results")
+    pages = read_pages(spark, file_pages(folder, "_page={page}"), page_size=500, pagination="page",
+                       results_path="results", pages_per_partition=4)
     schema = "event_id bigint, ts string, user_id bigint, event_type string, value double"
     recs = explode_records(pages, schema, "results", keep=("page",))
     return recs.withColumn("ts", F.col("ts").cast("timestamp_ntz"))

@@ -83,6 +83,8 @@ def test_paged_source_finds_last_page(spark, tmpdir_path):
     assert pages.count() == 13
     recs = explode_records(pages, "id bigint", "results")
     assert recs.count() == 123 and recs.agg(F.count_distinct("id")).first()[0] == 123
+    ranged = read_pages(spark, file_pages(folder), page_size=10, pagination="page", pages_per_partition=4)
+    assert ranged.count() == 13 and ranged.rdd.getNumPartitions() == 4
     capped = read_pages(spark, file_pages(folder), page_size=10, pagination="page", max_pages=5,
                         results_path="results")
     assert capped.count() == 5
