@@ -233,12 +233,46 @@ def quality_summary(df: DataFrame, method: str = "exact") -> DataFrame:
     """D10/D11 summary: one row ``status, rows, columns, duplicate_rows,
     outlier_total, mean_completeness, mean_uniqueness, quality_score``.
 
-    Two scans after the quartile fit: one fused aggregate (row count,
-    missing/distinct counts, outlier counts against the fitted fences) and
-    one grouped pass for duplicate rows.  Empty input: status ``empty``.
+    After the quartile fit, a single pass: rows are grouped by all columns
+    (equal rows combine map-side; ``_n`` = multiplicity), and one aggregate
+    over the groups yields rows = sum(_n), duplicates = sum(_n - 1), missing
+    and outlier counts weighted by ``_n``, and distinct counts (the distinct
+    values of the groups are those of the rows).  Empty input: ``empty``.
     """
-    bounds = fit_iqr(df, method=method) if df.columns else []
-    return _summary_from(_fused_metrics(df, bounds), df, bounds)
+    cols = df.columns
+    bounds = fit_iqr(df, method=method) if cols else []
+    g = duplicate_groups(df)
+    n = F.col("_n")
+    aggs = [F.coalesce(F.sum(n), F.lit(0)).alias("_rows"),
+            F.coalesce(F.sum(n - 1), F.lit(0)).cast("bigint").alias("dups")]
+    for i, c in enumerate(cols):
+        miss = missing(df, c)
+        aggs.append(F.coalesce(F.sum(F.when(miss, n)), F.lit(0)).alias(f"_m{i}"))
+        aggs.append(F.count_distinct(F.when(~miss, F.col(c))).alias(f"_d{i}"))
+    for j, b in enumerate(bounds):
+        x = F.col(b.column)
+        aggs.append(F.coalesce(F.sum(F.when((x < F.lit(b.lower)) | (x > F.lit(b.upper)), n)), F.lit(0))
+                    .alias(f"_o{j}"))
+    one = g.agg(*aggs)
+    rows = F.col("_rows")
+    if cols:
+        comp = sum(_completeness_at(i) for i in range(len(cols))) / len(cols)
+        uniq = sum(_uniqueness_at(i) for i in range(len(cols))) / len(cols)
+    else:
+        comp = uniq = F.lit(None).cast("double")
+    ot = sum((F.col(f"_o{j}") for j in range(len(bounds))), F.lit(0)).cast("bigint")
+    empty = rows == 0
+    return one.select(
+        F.when(empty, F.lit("empty")).otherwise(F.lit("ok")).alias("status"),
+        rows.cast("bigint").alias("rows"),
+        F.when(empty, F.lit(0)).otherwise(F.lit(len(cols))).cast("int").alias("columns"),
+        F.col("dups").alias("duplicate_rows"),
+        ot.alias("outlier_total"),
+        comp.alias("mean_completeness"),
+        uniq.alias("mean_uniqueness"),
+        F.when(empty, F.lit(None).cast("double"))
+         .otherwise(quality_score_expr(comp, uniq, F.col("dups"), ot))
+         .alias("quality_score"))
 
 
 def quality_report(df: DataFrame, method: str = "exact") -> DataFrame:
