@@ -15,7 +15,6 @@ files; an HTTP fetcher is a few lines for the caller (no client here).
 from __future__ import annotations
 
 import json
-import os
 import time
 from collections.abc import Callable
 
@@ -30,22 +29,31 @@ PAGE_SCHEMA = "page int, body string, status string"
 
 
 def file_pages(folder: str, pattern: str = "page-{page}.json") -> Fetcher:
-    """Fetcher over page files ``folder/page-<n>.json`` (1-based) on a
-    mounted (local or shared POSIX) file system."""
-    if folder.startswith("file:"):
-        folder = folder[len("file:"):]
-        while folder.startswith("//"):
-            folder = folder[1:]
+    """Fetcher over page files ``folder/page-<n>.json`` (1-based) on any
+    file system Arrow can open from a URI (shared ``hdfs://``, ``s3://``,
+    ``file:`` or a plain path), so executors can read them on a cluster.
+    A page may also be a folder holding the page as one data file."""
+    if folder.startswith("file:") and not folder.startswith("file://"):
+        folder = "file://" + folder[len("file:"):]
 
     def fetch(page: int, offset: int, size: int):
-        p = os.path.join(folder, pattern.format(page=page, offset=offset))
-        if os.path.isdir(p):  # a folder holding the page as one data file
-            files = sorted(f for f in os.listdir(p) if not f.startswith((".", "_")))
-            p = os.path.join(p, files[0]) if files else None
-        if p is None or not os.path.exists(p):
+        from pyarrow import fs as pafs
+        if "://" in folder:
+            filesystem, base = pafs.FileSystem.from_uri(folder)
+        else:
+            filesystem, base = pafs.LocalFileSystem(), folder
+        path = base.rstrip("/") + "/" + pattern.format(page=page, offset=offset)
+        info = filesystem.get_file_info(path)
+        if info.type == pafs.FileType.Directory:
+            names = sorted(i.path for i in filesystem.get_file_info(pafs.FileSelector(path))
+                           if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_")))
+            if not names:
+                return None
+            path = names[0]
+        elif info.type != pafs.FileType.File:
             return None
-        with open(p) as f:
-            return f.read()
+        with filesystem.open_input_stream(path) as f:
+            return f.read().decode("utf-8")
     return fetch
 
 
