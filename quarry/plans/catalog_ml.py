@@ -176,6 +176,39 @@ def rmse(spark, sf):
     return both.agg(F.max("rmse").alias("rmse"), F.max("rmsle").alias("rmsle"))
 
 
+# Leave-one-out distance-weighted KNN (k=15, Euclidean) over embeddings.
+# The oracle is brute force: every pair, ranked by (distance, id).
+KNN_SQL = """
+WITH p AS (
+  SELECT q.vec_id, q.label, c.vec_id AS did, c.label AS dlabel,
+         sqrt(list_sum(list_transform(list_zip(q.embedding, c.embedding),
+              lambda t: (t[1]::DOUBLE - t[2]::DOUBLE) * (t[1]::DOUBLE - t[2]::DOUBLE)))) AS d
+  FROM embeddings q JOIN embeddings c ON q.vec_id <> c.vec_id
+  WHERE q.embedding IS NOT NULL AND c.embedding IS NOT NULL),
+k AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY d, did) AS rn FROM p) WHERE rn <= 15),
+z AS (SELECT vec_id, min(d) = 0 AS has0 FROM k GROUP BY vec_id),
+w AS (SELECT k.vec_id, k.label, k.dlabel,
+             sum(CASE WHEN z.has0 THEN CAST(k.d = 0 AS DOUBLE) ELSE 1.0 / k.d END) AS wt
+      FROM k JOIN z USING (vec_id) GROUP BY k.vec_id, k.label, k.dlabel)
+SELECT vec_id, label, dlabel AS pred FROM (
+  SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY wt DESC, dlabel) AS rn FROM w) WHERE rn = 1"""
+
+
+@register("knn_classify", KNN_SQL)
+def knn_classify(spark, sf):
+    from ..operators.neighbors import knn_classify as knn
+    return knn(table(spark, sf, "embeddings"), "vec_id", "embedding", "label", k=15)
+
+
+@register("knn_accuracy", f"""
+WITH r AS ({KNN_SQL})
+SELECT count(*) AS n, round(avg(CAST(label = pred AS DOUBLE)), 6) AS accuracy FROM r""")
+def knn_accuracy(spark, sf):
+    r = knn_classify(spark, sf)
+    return r.agg(F.count(F.lit(1)).alias("n"),
+                 F.round(F.avg((F.col("label") == F.col("pred")).cast("double")), R).alias("accuracy"))
+
+
 # ---------------------------------------------------------------------------
 # Model jobs (rows-only checks): document quality from text statistics.
 
