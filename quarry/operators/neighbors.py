@@ -17,18 +17,19 @@ No cross join and no per-group pair list: the plan is a band join.
    checkpointed).  The 2k rows just around a row in that order are real
    neighbours, so the k-th smallest of their distances ``r`` bounds the
    row's true k-th neighbour distance from above.
-3. Band join.  Ranks are cut into equal-size buckets (a hot projection
-   value is split by the id tie-break).  A row visits the buckets whose
-   projection range meets ``[p - r, p + r]``; candidates are filtered by
-   the projection lower bound before the full distance is computed and
-   kept only within ``r``.
-4. Top-k in two steps.  The join output is partitioned by bucket, so the
-   first top-k per (row, bucket) runs without another shuffle; only k rows
-   per visited bucket reach the final top-k per row.
+3. Band join by tiles.  Ranks are cut into equal-size donor buckets and
+   equal-size query blocks (a hot projection value is split by the id
+   tie-break, so no tile grows with skew).  A query visits the buckets
+   whose projection range meets ``[p - r, p + r]``; each (query block,
+   donor bucket) tile is cogrouped, and numpy applies the projection lower
+   bound, computes exact distances and returns each query's k nearest
+   within ``r``: pairs never become rows or shuffle.
+4. The top k per query over its visited tiles (at most k per tile), then
+   the weighted vote.
 
 On clustered embeddings the band is narrow.  On near-isotropic vectors
-(distance concentration) no exact bound prunes and the join evaluates most
-pairs, but still spread across buckets, never gathered into one group.
+(distance concentration) no exact bound prunes and most tiles are
+visited, like a blocked all-pairs product, still spread over tasks.
 """
 
 from __future__ import annotations
@@ -49,25 +50,31 @@ _ABS_SLACK = 1e-12
 
 
 def dot(vec: Column, direction) -> Column:
-    weights = F.array(*[F.lit(float(w)) for w in direction])
-    return F.aggregate(F.zip_with(vec, weights, lambda a, b: a.cast("double") * b), F.lit(0.0),
-                       lambda acc, v: acc + v)
+    """Dot product with a fixed direction, unrolled over the known dimension
+    (plain arithmetic stays in whole-stage codegen; higher-order array
+    functions would be interpreted)."""
+    return sum((vec.getItem(j).cast("double") * F.lit(float(w)) for j, w in enumerate(direction)), F.lit(0.0))
 
 
-def euclidean(a: Column, b: Column) -> Column:
-    """Euclidean distance of two numeric arrays, summed in double in index order."""
-    def sq(x, y):
-        diff = x.cast("double") - y.cast("double")
+def euclidean(a: Column, b: Column, dim: int) -> Column:
+    """Euclidean distance of two numeric arrays of length ``dim``, summed in
+    double in index order (the same rounding as a sequential loop)."""
+    def sq(j):
+        diff = a.getItem(j).cast("double") - b.getItem(j).cast("double")
         return diff * diff
-    return F.sqrt(F.aggregate(F.zip_with(a, b, sq), F.lit(0.0), lambda acc, v: acc + v))
+    return F.sqrt(sum((sq(j) for j in range(dim)), F.lit(0.0)))
+
+
+def vector_dim(vectors: DataFrame, vec_col: str) -> int:
+    row = vectors.select(F.size(vec_col).alias("d")).where("d > 0").first()
+    return int(row["d"]) if row else 0
 
 
 def principal_directions(vectors: DataFrame, vec_col: str, n_dirs: int, max_dim: int = 2048) -> list[list[float]]:
     """Top ``n_dirs`` principal directions of an array column (unit vectors).
     Above ``max_dim`` the covariance would not fit the driver; coordinate
     axes are used instead (still orthonormal, so the bound stays valid)."""
-    dim = vectors.select(F.size(vec_col).alias("d")).where("d > 0").first()
-    dim = int(dim["d"]) if dim else 0
+    dim = vector_dim(vectors, vec_col)
     n_dirs = max(1, min(n_dirs, dim))
     if dim > max_dim:
         return [[1.0 if j == i else 0.0 for j in range(dim)] for i in range(n_dirs)]
@@ -88,6 +95,7 @@ def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: in
     spark = df.sparkSession
     base = df.where(F.col(vec_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"), F.col(label_col).alias("_lab"))
+    dim = vector_dim(base, "_v")
     dirs = principal_directions(base, "_v", n_dirs)
     m = len(dirs)
     pts = base.select("*", *[dot(F.col("_v"), u).alias(f"_p{i}") for i, u in enumerate(dirs)])
@@ -108,42 +116,78 @@ def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: in
     donors = ranked.select(F.col("_pos").alias("_npos"), F.col("_id").alias("_did"), F.col("_v").alias("_dv"))
     near = around.join(donors, "_npos").where(F.col("_id") != F.col("_did"))
     radius = (near.groupBy("_id")
-              .agg(F.try_element_at(F.array_sort(F.collect_list(euclidean(F.col("_v"), F.col("_dv")))),
+              .agg(F.try_element_at(F.array_sort(F.collect_list(euclidean(F.col("_v"), F.col("_dv"), dim))),
                                     F.lit(k)).alias("_r")))
     # Fewer than k other rows: every row is a candidate.
     queries = ranked.join(radius, "_id", "left").withColumn(
         "_r", F.coalesce(F.col("_r"), F.lit(full_span * 2 + 1.0)))
 
-    # 3. Equal-size rank buckets; their projection ranges are one row per
-    # bucket (at most max_buckets), so they travel as literals.
+    # 3. Equal-size rank buckets (donors) and equal-size rank blocks
+    # (queries); bucket projection ranges are one row per bucket (at most
+    # max_buckets), so they travel as literals.
     rows_per_bucket = max(min_bucket_rows, math.ceil(n / max_buckets))
-    bucketed = ranked.withColumn("_b", F.floor(F.col("_pos") / rows_per_bucket).cast("int"))
-    bounds = sorted((int(r["_b"]), float(r["lo"]), float(r["hi"])) for r in bucketed.groupBy("_b").agg(
+    block = F.floor(F.col("_pos") / rows_per_bucket).cast("int")
+    bounds = sorted((int(r["_b"]), float(r["lo"]), float(r["hi"])) for r in ranked.groupBy(block.alias("_b")).agg(
         F.min("_p0").alias("lo"), F.max("_p0").alias("hi")).collect())
     his = F.array(*[F.lit(b[2]) for b in bounds])
     los = F.array(*[F.lit(b[1]) for b in bounds])
     reach = F.col("_r") * (1 + _REL_SLACK) + _ABS_SLACK
-    left_edge = F.col("_p0") - reach
-    right_edge = F.col("_p0") + reach
-    first_b = F.size(F.filter(his, lambda h: h < left_edge))
-    last_b = F.size(F.filter(los, lambda lo: lo <= right_edge)) - 1
-    qside = queries.select("_id", "_lab", "_v", "_r", *[f"_p{i}" for i in range(m)],
-                           F.explode(F.sequence(first_b, F.greatest(first_b, last_b))).alias("_b"))
-    dside = bucketed.select("_b", F.col("_id").alias("_did"), F.col("_lab").alias("_dlab"),
-                            F.col("_v").alias("_dv"), *[F.col(f"_p{i}").alias(f"_dp{i}") for i in range(m)])
-    lower = sum(((F.col(f"_p{i}") - F.col(f"_dp{i}")) * (F.col(f"_p{i}") - F.col(f"_dp{i}")) for i in range(m)),
-                F.lit(0.0))
-    cand = (qside.join(dside, "_b")
-            .where((F.col("_id") != F.col("_did")) & (F.abs(F.col("_p0") - F.col("_dp0")) <= reach)
-                   & (lower <= reach * reach))
-            .select("_id", "_lab", "_b", "_did", "_dlab", "_r", euclidean(F.col("_v"), F.col("_dv")).alias("_d"))
-            .where(F.col("_d") <= reach))
-
-    # 4. Top-k per (row, bucket) inside the join's partitioning, then per row.
+    first_b = F.size(F.filter(his, lambda h: h < F.col("_p0") - reach))
+    last_b = F.size(F.filter(los, lambda lo: lo <= F.col("_p0") + reach)) - 1
+    pcols = [f"_p{i}" for i in range(m)]
+    qside = queries.select(block.alias("_qb"), F.explode(F.sequence(first_b, F.greatest(first_b, last_b))).alias("_b"),
+                           "_id", "_lab", "_v", reach.alias("_reach"), *pcols)
+    # Tiles (query block, donor bucket): at most max_buckets^2 rows, a
+    # proven bound, so the donor fan-out join broadcasts them.
+    tiles = qside.select(F.col("_qb").alias("_tqb"), F.col("_b").alias("_tb")).distinct()
+    dside = (ranked.select(block.alias("_db"), F.col("_id").alias("_did"), F.col("_lab").alias("_dlab"),
+                           F.col("_v").alias("_dv"), *[F.col(c).alias(f"_d{c}") for c in pcols])
+             .join(F.broadcast(tiles), F.col("_db") == F.col("_tb"))
+             .select(F.col("_tqb").alias("_qb"), F.col("_tb").alias("_b"), "_did", "_dlab", "_dv",
+                     *[f"_d{c}" for c in pcols]))
+
+    # 4. Per tile, distances in numpy (double, summed in index order) after
+    # the projection lower bound; only each query's k nearest within its
+    # radius leave the tile.  Then the top k per query over its tiles.
+    id_t = df.schema[id_col].dataType.simpleString()
+    lab_t = df.schema[label_col].dataType.simpleString()
+    schema = f"_id {id_t}, _lab {lab_t}, _did {id_t}, _dlab {lab_t}, _d double"
+
+    def tile_topk(qdf, ddf):
+        import numpy as np
+        import pandas as pd
+        if qdf.empty or ddf.empty:
+            return pd.DataFrame({c: [] for c in ("_id", "_lab", "_did", "_dlab", "_d")})
+        ddf = ddf.sort_values("_did", kind="stable").reset_index(drop=True)
+        reach_q = qdf["_reach"].to_numpy("float64")[:, None]
+        lower = np.zeros((len(qdf), len(ddf)))
+        for c in pcols:
+            diff = qdf[c].to_numpy("float64")[:, None] - ddf[f"_d{c}"].to_numpy("float64")[None, :]
+            lower += diff * diff
+        keep = (lower <= reach_q * reach_q) & (qdf["_id"].to_numpy()[:, None] != ddf["_did"].to_numpy()[None, :])
+        qv = np.stack(qdf["_v"].to_numpy()).astype("float64")
+        dv = np.stack(ddf["_dv"].to_numpy()).astype("float64")
+        acc = np.zeros((len(qdf), len(ddf)))
+        for j in range(qv.shape[1]):
+            diff = qv[:, j, None] - dv[None, :, j]
+            acc += diff * diff
+        dist = np.where(keep, np.sqrt(acc), np.inf)
+        dist[dist > reach_q] = np.inf
+        kk = min(k, dist.shape[1])
+        order = np.argsort(dist, axis=1, kind="stable")[:, :kk]  # donors sorted by id: ties by id
+        top = np.take_along_axis(dist, order, axis=1)
+        qi, slot = np.nonzero(np.isfinite(top))
+        di = order[qi, slot]
+        return pd.DataFrame({"_id": qdf["_id"].to_numpy()[qi], "_lab": qdf["_lab"].to_numpy()[qi],
+                             "_did": ddf["_did"].to_numpy()[di], "_dlab": ddf["_dlab"].to_numpy()[di],
+                             "_d": top[qi, slot]})
+
+    from ..session import ship_code
+    ship_code()
+    cand = qside.groupBy("_qb", "_b").cogroup(dside.groupBy("_qb", "_b")).applyInPandas(tile_topk, schema)
+
     order = [F.col("_d"), F.col("_did")]
-    part = cand.withColumn("_rn", F.row_number().over(Window.partitionBy("_id", "_b").orderBy(*order))) \
-        .where(F.col("_rn") <= k).drop("_rn")
-    top = part.withColumn("_rn", F.row_number().over(Window.partitionBy("_id").orderBy(*order))) \
+    top = cand.withColumn("_rn", F.row_number().over(Window.partitionBy("_id").orderBy(*order))) \
         .where(F.col("_rn") <= k)
     top = top.withColumn("_has0", F.min("_d").over(Window.partitionBy("_id")) == 0)
     weight = F.when(F.col("_has0"), (F.col("_d") == 0).cast("double")).otherwise(1.0 / F.col("_d"))
