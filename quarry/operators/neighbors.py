@@ -47,6 +47,9 @@ from .ranking import group_positions
 # adds candidates that the exact distance then ranks.
 _REL_SLACK = 1e-9
 _ABS_SLACK = 1e-12
+# Distance-matrix cells computed at once inside a tile (queries are taken
+# in chunks of this many cells per donor bucket): bounds task memory.
+_TILE_CELLS = 4_000_000
 
 
 def dot(vec: Column, direction) -> Column:
@@ -156,31 +159,39 @@ def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: in
     def tile_topk(qdf, ddf):
         import numpy as np
         import pandas as pd
+        cols = ("_id", "_lab", "_did", "_dlab", "_d")
         if qdf.empty or ddf.empty:
-            return pd.DataFrame({c: [] for c in ("_id", "_lab", "_did", "_dlab", "_d")})
+            return pd.DataFrame({c: [] for c in cols})
         ddf = ddf.sort_values("_did", kind="stable").reset_index(drop=True)
-        reach_q = qdf["_reach"].to_numpy("float64")[:, None]
-        lower = np.zeros((len(qdf), len(ddf)))
-        for c in pcols:
-            diff = qdf[c].to_numpy("float64")[:, None] - ddf[f"_d{c}"].to_numpy("float64")[None, :]
-            lower += diff * diff
-        keep = (lower <= reach_q * reach_q) & (qdf["_id"].to_numpy()[:, None] != ddf["_did"].to_numpy()[None, :])
-        qv = np.stack(qdf["_v"].to_numpy()).astype("float64")
         dv = np.stack(ddf["_dv"].to_numpy()).astype("float64")
-        acc = np.zeros((len(qdf), len(ddf)))
-        for j in range(qv.shape[1]):
-            diff = qv[:, j, None] - dv[None, :, j]
-            acc += diff * diff
-        dist = np.where(keep, np.sqrt(acc), np.inf)
-        dist[dist > reach_q] = np.inf
-        kk = min(k, dist.shape[1])
-        order = np.argsort(dist, axis=1, kind="stable")[:, :kk]  # donors sorted by id: ties by id
-        top = np.take_along_axis(dist, order, axis=1)
-        qi, slot = np.nonzero(np.isfinite(top))
-        di = order[qi, slot]
-        return pd.DataFrame({"_id": qdf["_id"].to_numpy()[qi], "_lab": qdf["_lab"].to_numpy()[qi],
-                             "_did": ddf["_did"].to_numpy()[di], "_dlab": ddf["_dlab"].to_numpy()[di],
-                             "_d": top[qi, slot]})
+        dp = [ddf[f"_d{c}"].to_numpy("float64")[None, :] for c in pcols]
+        did = ddf["_did"].to_numpy()
+        kk = min(k, len(ddf))
+        step = max(1, _TILE_CELLS // len(ddf))  # bounded distance matrix per chunk
+        parts = []
+        for s0 in range(0, len(qdf), step):
+            q = qdf.iloc[s0:s0 + step]
+            reach_q = q["_reach"].to_numpy("float64")[:, None]
+            lower = np.zeros((len(q), len(ddf)))
+            for c, d_c in zip(pcols, dp):
+                diff = q[c].to_numpy("float64")[:, None] - d_c
+                lower += diff * diff
+            keep = (lower <= reach_q * reach_q) & (q["_id"].to_numpy()[:, None] != did[None, :])
+            qv = np.stack(q["_v"].to_numpy()).astype("float64")
+            acc = np.zeros((len(q), len(ddf)))
+            for j in range(qv.shape[1]):
+                diff = qv[:, j, None] - dv[None, :, j]
+                acc += diff * diff
+            dist = np.where(keep, np.sqrt(acc), np.inf)
+            dist[dist > reach_q] = np.inf
+            order = np.argsort(dist, axis=1, kind="stable")[:, :kk]  # donors sorted by id: ties by id
+            top = np.take_along_axis(dist, order, axis=1)
+            qi, slot = np.nonzero(np.isfinite(top))
+            di = order[qi, slot]
+            parts.append(pd.DataFrame({"_id": q["_id"].to_numpy()[qi], "_lab": q["_lab"].to_numpy()[qi],
+                                       "_did": did[di], "_dlab": ddf["_dlab"].to_numpy()[di],
+                                       "_d": top[qi, slot]}))
+        return pd.concat(parts, ignore_index=True)
 
     from ..session import ship_code
     ship_code()

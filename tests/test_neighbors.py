@@ -72,3 +72,14 @@ def test_embeddings_fixture(spark):
     got = {r["vec_id"]: r["pred"] for r in knn_classify(df, "vec_id", "embedding", "label", k=15).collect()}
     want = brute_force(list(t.vec_id), np.stack(t.embedding.to_numpy()), list(t.label), 15)
     assert got == want
+
+
+def test_chunked_tiles(spark, monkeypatch):
+    from quarry.operators import neighbors
+    monkeypatch.setattr(neighbors, "_TILE_CELLS", 50)  # several query chunks per tile
+    rng = np.random.default_rng(11)
+    vecs = rng.normal(size=(120, 6)).astype("float32")
+    labels = list(rng.integers(0, 3, 120))
+    ids = list(range(120))
+    got = run(spark, ids, vecs, labels, 7, max_buckets=4, min_bucket_rows=8)
+    assert got == brute_force(ids, vecs, labels, 7)
