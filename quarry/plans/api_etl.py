@@ -17,12 +17,13 @@ from ..operators.schema import safe_cast
 from ..sources import readers as RD
 from ..sources import sinks as SK
 from ..sources.paged import Fetcher, explode_records, infer_record_schema, page_errors, read_pages
+from ..session import observing_session
 from .metrics import RunMetrics
 
 
 class APIJob:
     def __init__(self, spark: SparkSession, config: Mapping | None = None, run_clock: str | None = None):
-        self.spark = spark
+        self.spark = observing_session(spark)  # observed counters stay off the caller's session
         self.config = dict(config or {})
         self.metrics = RunMetrics()
         self.batch_id = batch_id_for(run_clock, 8)

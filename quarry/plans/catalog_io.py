@@ -156,6 +156,8 @@ def dyn_overwrite(spark, sf):
 @register("load_stats")
 def load_stats(spark, sf):
     """Per-run load statistics appended to a table apart from the output."""
+    from ..session import observing_session
+    spark = observing_session(spark)  # the Observation stays off the caller's session
     o = table(spark, sf, "orders")
     out = scratch_path(spark, "orders-out")
     stats = scratch_path(spark, "load-stats")

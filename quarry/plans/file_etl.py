@@ -20,6 +20,7 @@ from ..operators.features import audit_columns, batch_id_for, low_cardinality_no
 from ..operators.schema import check_schema, constraint_violations
 from ..sources import readers as RD
 from ..sources import sinks as SK
+from ..session import observing_session
 from .metrics import RunMetrics
 
 log = logging.getLogger("quarry.file_etl")
@@ -27,7 +28,7 @@ log = logging.getLogger("quarry.file_etl")
 
 class FileETLJob:
     def __init__(self, spark: SparkSession, config: Mapping | None = None, run_clock: str | None = None):
-        self.spark = spark
+        self.spark = observing_session(spark)  # observed counters stay off the caller's session
         self.config = dict(config or {})
         self.strict_mode = bool(self.config.get("strict_mode", False))
         self.batch_size = int(self.config.get("batch_size", 10000))

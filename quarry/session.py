@@ -51,6 +51,26 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def observing_session(spark: SparkSession) -> SparkSession:
+    """A sibling session (same SparkContext, checkpoint folder and SQL
+    settings) for jobs that attach ``Observation`` metrics.
+
+    In Spark 4.1 the first ``Observation`` registered in a session creates a
+    per-session manager that cannot be serialised; from then on any task
+    closure that captures the session (MLlib evaluators and fits, RDD
+    conversions) fails with "Task not serializable".  Jobs that observe
+    their counters read their inputs through a sibling session, so the
+    caller's session stays usable for everything else.
+    """
+    sibling = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        try:
+            sibling.conf.set(key, value)
+        except Exception:  # static settings are shared already
+            pass
+    return sibling
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
