@@ -11,11 +11,20 @@ from .common import read_table
 from .decontam import decontaminate_report
 from .line_runs import dedup_lines
 from .mixing import mix
+from .ngram_lm import interpolated_scores
 from .quality_gbt import quality_scores
 from .simhash import hex_column, simhash_components
+from .sketch import as_string, fingerprint_report
+from .token_cache import token_counts
+from .url_filter import Rule, judge_urls
+from .warc import round_trip
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
+URL_RULES = [Rule("allow", "com", "/"), Rule("block", "example.com", "/en/"), Rule("allow", "www.example.com", "/en/"),
+             Rule("block", "net", "/es/"), Rule("block", "net", "/fr/")]
+TOKENIZER = "byte_bpe_50k.json"
+
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mix(read_table(spark, sf_dir, "documents"))
@@ -27,11 +36,36 @@ def op2_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select(F.col("id").alias("doc_id"), hex_column(F.col("fp")).alias("fingerprint"), "component_id")
 
 
+def op3_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = fingerprint_report(read_table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_chars", "edited_sha256", as_string(F.col("sketch")).alias("fingerprint"),
+                      as_string(F.col("edited_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(read_table(spark, sf_dir, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = decontaminate_report(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op6_language_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = interpolated_scores(read_table(spark, sf_dir, "documents"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    out = token_counts(read_table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+    return out.withColumnRenamed("id", "doc_id")
+
+
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = dedup_lines(read_table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -79,6 +113,15 @@ n2 AS (SELECT skey, arg_min(struct_pack(d := doc_id, z := size), row(abs(size -
 SELECT doc_id, size, source_size::BIGINT AS source_size, target,
        size * (whole + CASE WHEN upto <= remaining OR n1.one.d = doc_id OR n2.one.d = doc_id THEN 1 ELSE 0 END)::BIGINT AS taken
 FROM o LEFT JOIN n1 USING (skey) LEFT JOIN n2 USING (skey)
+""",
+    "op4_warc": r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, octet_length(encode(coalesce(html, ''))) AS n FROM pages),
+f AS (SELECT html, count(*) AS many, min(page_id) AS first_id FROM p WHERE n >= 100 GROUP BY html),
+j AS (SELECT p.*, first_id, f.html IS NOT NULL AND many > 1 AND page_id IS DISTINCT FROM first_id AS again
+      FROM p LEFT JOIN f ON p.html = f.html)
+SELECT page_id, n::BIGINT AS payload_bytes, sha256(html) AS payload_digest,
+       CASE WHEN again THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN again THEN first_id END AS refers_to
+FROM j
 """,
     "op5_decontamination": r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -98,6 +141,58 @@ SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, c
        coalesce(items_sha256, sha256('')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(w) AS contaminated
 FROM d LEFT JOIN words USING (rid) LEFT JOIN items USING (rid)
+""",
+    "op8_url_filter": r"""
+WITH RECURSIVE tags AS (
+  SELECT url, unnest(regexp_extract_all(coalesce(html, ''), '(?is)<(?:link|meta)\s[^>]*>')) AS tag
+  FROM pages WHERE contains(url, '://')),
+parts AS (
+  SELECT url, lower(tag[2:5]) AS kind, lower(_ATTR(rel)) AS rel, lower(_ATTR(http-equiv)) AS equiv, _ATTR(href) AS href, _ATTR(content) AS content
+  FROM tags),
+found AS (
+  SELECT url, href AS t FROM parts WHERE kind = 'link' AND list_contains(regexp_split_to_array(rel, '\s+'), 'canonical')
+  UNION ALL
+  SELECT url, trim(regexp_replace(regexp_extract(content, '(?is)^[^;,]*[;,]\s*(?:url\s*=)?\s*(.*)$', 1), '^[''"]|[''"]$', '', 'g'))
+  FROM parts WHERE kind = 'meta' AND equiv = 'refresh'),
+base AS (
+  SELECT url, t, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS site,
+         regexp_extract(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '(?s)^(.*/)[^/]*$', 1) AS folder
+  FROM found WHERE t <> ''),
+pairs AS (
+  SELECT DISTINCT url AS a, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN t LIKE '//%' THEN scheme || ':' || t
+         WHEN t LIKE '/%' THEN site || t ELSE site || CASE WHEN folder = '' THEN '/' ELSE folder END || t END AS b
+  FROM base),
+links AS (SELECT a, b FROM pairs WHERE contains(b, '://')),
+urls AS (SELECT DISTINCT url FROM (SELECT url FROM pages UNION ALL SELECT a FROM links UNION ALL SELECT b FROM links) WHERE url IS NOT NULL),
+plain AS (SELECT url, regexp_replace(url, '(?s)#.*$', '') AS x FROM urls),
+cut AS (
+  SELECT url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
+         regexp_replace(translate(regexp_extract(x, '(?s)^(.*?)://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^https?$', 'web') AS scheme,
+         regexp_replace(translate(regexp_extract(x, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ':(80|443)$', '') AS h,
+         regexp_replace(regexp_extract(x, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '/+$', '') AS p,
+         regexp_replace(regexp_replace('&' || regexp_extract(x, '(?s)^[^?]*\?(.*)$', 1), '(?s)&utm_[^&]*', '', 'g'), '^&+|&+$', '', 'g') AS q
+  FROM plain),
+rules(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+                               ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
+best AS (
+  SELECT url, arg_max(r.host || r.path, row(length(r.host) + length(r.path), r.verdict = 'allow')) AS rule,
+         arg_max(r.verdict, row(length(r.host) + length(r.path), r.verdict = 'allow')) AS verdict
+  FROM cut JOIN rules r ON (cut.host = r.host OR ends_with(cut.host, '.' || r.host)) AND starts_with(cut.path, r.path) GROUP BY url),
+known AS (
+  SELECT cut.*, rule, verdict, CASE WHEN contains(url, '://') THEN scheme || '://' || h || p || CASE WHEN q <> '' THEN '?' || q ELSE '' END END AS node
+  FROM cut LEFT JOIN best USING (url)),
+edge AS (SELECT x.node AS u, y.node AS v FROM links JOIN known x ON a = x.url JOIN known y ON b = y.url),
+reach AS (
+  SELECT DISTINCT node, node AS other FROM known WHERE node IS NOT NULL
+  UNION
+  SELECT reach.node, e.v FROM reach JOIN (SELECT u, v FROM edge UNION ALL SELECT v, u FROM edge) e ON reach.other = e.u),
+spread AS (
+  SELECT reach.node, bool_or(verdict = 'allow') AS any_allow, bool_or(verdict = 'block') AS any_block
+  FROM reach JOIN known ON reach.other = known.node AND verdict IS NOT NULL GROUP BY reach.node)
+SELECT page_id, coalesce(host, '') AS host, coalesce(path, '') AS path, rule,
+       CASE WHEN verdict IS NOT NULL THEN verdict WHEN any_block AND NOT any_allow THEN 'block' ELSE 'allow' END AS verdict
+FROM pages LEFT JOIN known USING (url) LEFT JOIN spread USING (node)
 """,
     "op9_line_dedup": r"""
 WITH d AS (SELECT doc_id, row_number() OVER () AS rid, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
@@ -111,9 +206,16 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTE
 FROM j GROUP BY rid
 """,
 }
+#: An attribute of an HTML tag, as the URL filter reads it.
+_ATTR = r"""trim(replace(regexp_extract(tag, '(?is)\s{0}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 1)
+    || regexp_extract(tag, '(?is)\s{0}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 2)
+    || regexp_extract(tag, '(?is)\s{0}\s*=\s*(?:"([^"]*)"|''([^'']*)''|([^\s"''>]+))', 3), '&amp;', '&'))"""
+for _name in ("rel", "http-equiv", "href", "content"):
+    SQL["op8_url_filter"] = SQL["op8_url_filter"].replace(f"_ATTR({_name})", _ATTR.replace("{0}", _name))
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_mix_sources, op2_simhash_dedup, op5_decontamination, op9_line_dedup, op10_quality)}
+    op1_mix_sources, op2_simhash_dedup, op3_fingerprints, op4_warc, op5_decontamination, op6_language_model,
+    op7_token_counts, op8_url_filter, op9_line_dedup, op10_quality)}
 
 
 def queries() -> dict[str, QueryFn]:
