@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-# The closed type-name map accepted by schema files; unknown
-# names fall back to string.
+# The type names that schema files and constraint maps use
+# beside Spark's own.
 SPARK_TYPES = {
     "string": T.StringType(),
     "int": T.IntegerType(),
@@ -47,16 +47,16 @@ SQL_COLUMN_TYPES = {
 
 
 def spark_type(name: str) -> T.DataType:
-    """Resolve a type name from a schema file or constraint map."""
-    key = (name or "string").strip().lower()
-    if key in SPARK_TYPES:
-        return SPARK_TYPES[key]
-    if key in DTYPE_NAMES:
-        return DTYPE_NAMES[key]
+    """Resolve a type name from a schema file or constraint map: one of the
+    names above, or any type Spark's DDL knows.  Others raise ``ValueError``."""
+    key = str(name).strip().lower()
+    known = SPARK_TYPES.get(key) or DTYPE_NAMES.get(key)
+    if known is not None:
+        return known
     try:
         return T._parse_datatype_string(key)
-    except Exception:
-        return T.StringType()
+    except Exception as error:
+        raise ValueError(f"unknown type name {name!r}") from error
 
 
 def is_numeric(dt: T.DataType) -> bool:

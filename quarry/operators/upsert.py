@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .clean import dedup_keys
@@ -23,17 +24,41 @@ def high_watermark(df: DataFrame, column: str):
     return df.agg(F.max(column)).first()[0]
 
 
+def stored_table(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame | None:
+    """The table at ``path``; None only if nothing is there."""
+    try:
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def incremental_append(source: DataFrame, target_path: str, watermark_col: str,
-                       fmt: str = "parquet", partition_by: Sequence[str] | None = None):
-    """L4: append the ``source`` rows newer than the target's high watermark
-    (the filter reaches the scan as a pushed predicate).  Returns the new
-    watermark."""
+                       fmt: str = "parquet", partition_by: Sequence[str] | None = None,
+                       keys: Sequence[str] | None = None):
+    """L4: append the ``source`` rows that the target lacks.  Returns the new
+    watermark.
+
+    Rows above the target's high watermark are new (the filter reaches the
+    scan as a pushed predicate).  Late rows, rows equal to the watermark and
+    rows without one are appended unless the target has them: by ``keys``,
+    or by all columns.  Only the source's rows up to the watermark take part
+    in that null-safe anti-join."""
     spark = source.sparkSession
-    try:
-        last = high_watermark(spark.read.format(fmt).load(target_path), watermark_col)
-    except Exception:
-        last = None
-    new = source if last is None else source.where(F.col(watermark_col) > F.lit(last))
+    target = stored_table(spark, target_path, fmt)
+    new = source
+    if target is not None:
+        last = high_watermark(target, watermark_col)
+        mark = F.col(watermark_col)
+        above = mark.isNotNull() if last is None else mark > F.lit(last)
+        names = list(keys) if keys else list(source.columns)
+        known = target.select(*[F.col(c).alias(f"_known_{i}") for i, c in enumerate(names)])
+        same = F.lit(True)
+        for i, c in enumerate(names):
+            same = same & F.col(c).eqNullSafe(F.col(f"_known_{i}"))
+        late = source.where(~F.coalesce(above, F.lit(False))).join(known, same, "left_anti")
+        new = source.where(above).unionByName(late)
     w = new.write.format(fmt).mode("append")
     if partition_by:
         w = w.partitionBy(*partition_by)

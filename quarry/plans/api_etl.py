@@ -17,7 +17,7 @@ from ..operators.schema import safe_cast
 from ..sources import readers as RD
 from ..sources import sinks as SK
 from ..sources.paged import Fetcher, explode_records, infer_record_schema, page_errors, read_pages
-from ..session import observing_session
+from ..session import materialise, observing_session, remove_scratch
 from .metrics import RunMetrics
 
 
@@ -28,22 +28,23 @@ class APIJob:
         self.metrics = RunMetrics()
         self.batch_id = batch_id_for(run_clock, 8)
         self.stats: dict[str, object] = {}
+        self._pages = self._dedup = None  # scratch tables
 
     def extract_from_api(self, fetch: Fetcher, record_schema=None) -> DataFrame:
         pg = dict(self.config.get("pagination", {}))
         opts = {"pagination": pg.get("type", "none"), "page_size": pg.get("size", 100),
                 "strict": str(bool(self.config.get("strict", False))).lower(),
                 "results_path": pg.get("results_path", ""), "rate_limit": self.config.get("rate_limit", 0)}
-        if pg.get("max_pages"):
-            opts["max_pages"] = pg["max_pages"]
-        pages = read_pages(self.spark, fetch, **opts)
+        opts |= {k: pg[k] for k in ("max_pages", "total_pages", "total_pages_field", "attempts", "retry_wait") if pg.get(k)}
+        # Fetched once: every later stage reads the stored pages.
+        pages, self._pages = materialise(read_pages(self.spark, fetch, **opts), "api-pages")
         path = pg.get("results_path", "")
         schema = record_schema or infer_record_schema(pages, path)
         self.stats["page_errors"] = pages.agg(page_errors(pages)).first()[0]
         return explode_records(pages.where(F.col("status") == "ok"), schema, path)
 
     def extract_from_file(self, path: str) -> DataFrame:
-        return RD.drop_corrupt(RD.read_table(self.spark, path))
+        return RD.drop_corrupt(RD.read_many(self.spark, [path], keep_corrupt=True))
 
     def validate_schema(self, df: DataFrame, schema: Mapping | None = None) -> DataFrame:
         spec = schema if schema is not None else self.config.get("schema", {})
@@ -52,8 +53,7 @@ class APIJob:
         return out
 
     def clean(self, df: DataFrame) -> DataFrame:
-        dedup = df.dropDuplicates()
-        # Stage counts for the report (the reference counts eagerly here too).
+        dedup, self._dedup = materialise(df.dropDuplicates(), "api-dedup")
         before, after = df.count(), dedup.count()
         self.stats["rows_extracted"] = before
         self.stats["duplicates_removed"] = before - after
@@ -94,4 +94,6 @@ class APIJob:
         df = self.extract_from_api(fetch) if fetch else self.extract_from_file(path or self.config["source"])
         df = self.transform(self.clean(self.validate_schema(df)))
         self.load(df)
+        for path in filter(None, (self._pages, self._dedup)):
+            remove_scratch(self.spark, path)
         return self.report()

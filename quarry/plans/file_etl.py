@@ -20,7 +20,7 @@ from ..operators.features import audit_columns, batch_id_for, low_cardinality_no
 from ..operators.schema import check_schema, constraint_violations
 from ..sources import readers as RD
 from ..sources import sinks as SK
-from ..session import observing_session
+from ..session import materialise, observing_session, remove_scratch
 from .metrics import RunMetrics
 
 log = logging.getLogger("quarry.file_etl")
@@ -41,13 +41,7 @@ class FileETLJob:
         for p in paths:
             if "://" not in p and not os.path.exists(p):
                 raise FileNotFoundError(p)
-        ext = RD.detect_format(paths[0])
-        opts = {}
-        if ext == ".csv":
-            opts = RD.detect_csv_dialect(self.spark, paths[0])
-        df = RD.read_many(self.spark, paths, reader_options=opts) if len(paths) > 1 else \
-            RD.read_table(self.spark, paths[0], reader_options=opts)
-        return RD.drop_corrupt(df)
+        return RD.drop_corrupt(RD.read_many(self.spark, paths, keep_corrupt=True))
 
     def profile(self, df: DataFrame) -> dict:
         rows = Q.profile_rows(df).first()
@@ -65,20 +59,18 @@ class FileETLJob:
         return df
 
     def clean(self, df: DataFrame) -> DataFrame:
-        dedup = df.dropDuplicates()
+        # Deduplicated once: the fill, the counts and the load read the same rows.
+        dedup, self._scratch = materialise(df.dropDuplicates(), "file-etl-dedup")
         fills = fit_median_fill(dedup, numeric_columns(dedup), self.config.get("impute"))
         strs = string_columns(dedup)
-        filled_expr = Q.null_counts(dedup).agg(F.sum("nulls")).first()[0] or 0
-        # Stage counts for the report (the reference counts eagerly here too).
         rows_in, rows_dedup = df.count(), dedup.count()
         self.stats["rows_in"] = rows_in
         self.stats["duplicates"] = rows_in - rows_dedup
+        self.stats["null_filled"] = int(Q.null_counts(dedup).agg(F.sum("nulls")).first()[0] or 0)
         out = apply_fill(dedup, fills)
         # pandas order: fill, then strip (blank stays blank).
-        out = out.select(*[F.trim(F.coalesce(F.col(c), F.lit("Unknown"))).alias(c) if c in strs else F.col(c)
-                           for c in out.columns])
-        self.stats["null_filled"] = int(filled_expr)
-        return out
+        return out.select(*[F.trim(F.coalesce(F.col(c), F.lit("Unknown"))).alias(c) if c in strs else F.col(c)
+                            for c in out.columns])
 
     def transform(self, df: DataFrame) -> DataFrame:
         dates = columns_named_like(df, ("date", "time", "updated", "created"))
@@ -102,12 +94,6 @@ class FileETLJob:
         rin = m.get("rows_in") or 0
         rout = m.get("load.rows") or 0
         m["yield_pct"] = round(rout / rin * 100, 2) if rin else 0.0
-        print("=" * 40)
-        print(f"ROWS IN   : {rin}")
-        print(f"ROWS OUT  : {rout}")
-        print(f"DUPLICATES: {m.get('duplicates', 0)}")
-        print(f"YIELD     : {m['yield_pct']}%")
-        print("=" * 40)
         return m
 
     def run(self, path: str | Sequence[str] | None = None) -> dict:
@@ -116,6 +102,7 @@ class FileETLJob:
         df = self.validate_schema(df)
         df = self.transform(self.clean(df))
         self.stats["sink"] = self.load(df)
+        remove_scratch(self.spark, self._scratch)
         return self.report()
 
     def run_batch(self, inputs: Sequence[str]) -> dict:

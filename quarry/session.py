@@ -22,8 +22,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return current.rsplit("/", 1)[0] if _is_spark_subdir(current) else current
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if not configured:
-        # Only reached when nobody configured a shared folder (unit tests,
-        # a laptop).  A cluster always sets spark.checkpoint.dir.
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="quarry-ckpt-")
     sc.setCheckpointDir(configured)
     return configured
@@ -51,6 +51,20 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialise(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """Write ``df`` once as Parquet under the shared folder and read it back;
+    also returns the path, to be removed after use."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path), path
+
+
+def remove_scratch(spark: SparkSession, path: str) -> None:
+    """Delete a scratch table that nothing reads any more."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def observing_session(spark: SparkSession) -> SparkSession:
     """A sibling session (same SparkContext, checkpoint folder and SQL
     settings) for jobs that attach ``Observation`` metrics.

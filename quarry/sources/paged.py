@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -49,14 +50,28 @@ def file_pages(folder: str, pattern: str = "page-{page}.json") -> Fetcher:
                            if i.type == pafs.FileType.File and not i.base_name.startswith((".", "_")))
             if not names:
                 return None
+            if len(names) > 1:
+                return _merged([_text(filesystem, n) for n in names], path)
             path = names[0]
         elif info.type != pafs.FileType.File:
             return None
-        with filesystem.open_input_stream(path) as f:
-            return f.read().decode("utf-8")
+        return _text(filesystem, path)
     return fetch
 
 
+def _text(filesystem, path: str) -> str:
+    with filesystem.open_input_stream(path) as f:
+        return f.read().decode("utf-8")
+
+
+def _merged(bodies: list[str], path: str) -> str:
+    """One page that lies in several files: lists are joined in file order."""
+    lists = [json.loads(b) for b in bodies if b.strip()]
+    if not all(isinstance(x, list) for x in lists):
+        raise ValueError(f"{path}: a page in several files must hold a list in each")
+    return json.dumps([record for x in lists for record in x])
+
+
 def _records_len(body: str | None, results_path: str) -> int:
     if body is None:
         return 0
@@ -93,22 +108,45 @@ class _PagedReader(DataSourceReader):
         self.first_page = int(options.get("first_page", "1"))
         self.total_pages_field = options.get("total_pages_field", "")
         self.pages_per_partition = max(1, int(options.get("pages_per_partition", "1")))
+        self.attempts = max(1, int(options.get("attempts", "3")))
+        self.retry_wait = float(options.get("retry_wait", "0.2"))
+        self.probe_span = 3
 
     def _offset(self, page: int) -> int:
         return (page - self.first_page) * self.size
 
+    def _fetch(self, page: int) -> str | None:
+        """A page's body; lenient mode tries again before it gives up."""
+        for attempt in range(1 if self.strict else self.attempts):
+            try:
+                return self.fetch(page, self._offset(page), self.size)
+            except Exception as e:
+                failure = e
+                if not self.strict and attempt + 1 < self.attempts:
+                    time.sleep(self.retry_wait * (attempt + 1))
+        raise failure
+
     def _nonempty(self, page: int) -> bool:
-        try:
-            return _records_len(self.fetch(page, self._offset(page), self.size), self.results_path) > 0
-        except Exception:
-            return False
+        """Whether the plan reaches this page.  Strict mode raises what the
+        probe raised.  In lenient mode a page that cannot be fetched counts
+        as there (its error row is written when it is read), unless the pages
+        after it cannot be fetched either: then the end cannot be found."""
+        for ahead in range(self.probe_span):
+            try:
+                found = _records_len(self._fetch(page + ahead), self.results_path) > 0
+                return found if ahead == 0 else True
+            except Exception as e:
+                if self.strict:
+                    raise
+                failure = e
+        raise RuntimeError(f"pages {page} to {page + self.probe_span - 1} cannot be fetched") from failure
 
     def _last_page(self) -> int:
         """Last page to plan: total, cap, or a doubling + binary search over
         single-page probes (O(log pages) small fetches on the driver)."""
         if self.total_pages is None and self.total_pages_field:
             # The API states its page count in the first page (page >= total stops).
-            body = self.fetch(self.first_page, 0, self.size)
+            body = self._fetch(self.first_page)
             node = json.loads(body) if body else {}
             for part in self.total_pages_field.split("."):
                 node = node.get(part) if isinstance(node, dict) else None
@@ -143,7 +181,8 @@ class _PagedReader(DataSourceReader):
 
     def partitions(self):
         last = self._last_page()
-        step = self.pages_per_partition
+        # A rate limit holds for the whole source, so one task makes all requests.
+        step = max(1, last - self.first_page + 1) if self.rate_limit else self.pages_per_partition
         return [_PagePartition(p, min(p + step - 1, last)) for p in range(self.first_page, last + 1, step)]
 
     def read(self, partition):
@@ -153,7 +192,7 @@ class _PagedReader(DataSourceReader):
             if self.rate_limit:
                 time.sleep(self.rate_limit)
             try:
-                body = self.fetch(page, self._offset(page), self.size)
+                body = self._fetch(page)
             except Exception as e:  # A12
                 if self.strict:
                     raise
@@ -164,13 +203,13 @@ class _PagedReader(DataSourceReader):
             yield (page, body, "ok")
 
 
-def paged_source(fetch: Fetcher) -> type[DataSource]:
+def paged_source(fetch: Fetcher, source_name: str = "quarry_paged") -> type[DataSource]:
     """Build a DataSource class bound to ``fetch`` (pickled to executors)."""
 
     class PagedJsonSource(DataSource):
         @classmethod
         def name(cls):
-            return "quarry_paged"
+            return source_name
 
         def schema(self):
             return PAGE_SCHEMA
@@ -182,12 +221,13 @@ def paged_source(fetch: Fetcher) -> type[DataSource]:
 
 
 def read_pages(spark: SparkSession, fetch: Fetcher, **options) -> DataFrame:
-    """A10: ``(page, body, status)`` rows, one input partition per page."""
+    """A10: ``(page, body, status)`` rows, one input partition per range of pages."""
     from ..session import ship_code
     ship_code()
-    src = paged_source(fetch)
+    # Sessions share registered names, so each call registers its own.
+    src = paged_source(fetch, f"quarry_paged_{uuid.uuid4().hex}")
     spark.dataSource.register(src)
-    return spark.read.format("quarry_paged").options(**{k: str(v) for k, v in options.items()}).load()
+    return spark.read.format(src.name()).options(**{k: str(v) for k, v in options.items()}).load()
 
 
 def _node_at(body: Column, results_path: str) -> Column:

@@ -57,17 +57,23 @@ def dedup_within_watermark(df: DataFrame, keys: Sequence[str], event_time: str,
 
 
 def run_available_now(df: DataFrame, output_path: str, checkpoint: str, fmt: str = "parquet",
-                      partition_by: Sequence[str] | None = None, timeout_sec: int = 600) -> None:
-    """Append every micro-batch to ``output_path`` until the source is drained."""
+                      partition_by: Sequence[str] | None = None, timeout_sec: float | None = None) -> None:
+    """Append every micro-batch to ``output_path`` until the source is drained.
+
+    With ``timeout_sec``, a source that is not drained by then raises
+    ``TimeoutError``; the output then holds whole micro-batches only, and a
+    later call with the same checkpoint goes on from there."""
     w = (df.writeStream.format(fmt).outputMode("append").option("checkpointLocation", checkpoint)
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
     q = w.start(output_path)
     try:
-        q.awaitTermination(timeout_sec)
+        drained = q.awaitTermination() if timeout_sec is None else q.awaitTermination(timeout_sec)
     finally:
         if q.isActive:
             q.stop()
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
+    if timeout_sec is not None and not drained:
+        raise TimeoutError(f"{output_path}: the source was not drained within {timeout_sec} s")

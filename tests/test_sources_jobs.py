@@ -21,31 +21,32 @@ def _write(path, text):
 
 
 def test_spark_etl_job_end_to_end(spark, tmpdir_path):
-    src = _write(os.path.join(tmpdir_path, "in.csv"),
-                 "id,name,amount,timestamp\n"
-                 "1, Alice ,50,2024-01-05 10:00:00\n"
-                 "2,Bob,500,2024-02-01 00:00:00\n"
-                 "2,Bob,500,2024-02-01 00:00:00\n"
-                 "3,,5000,2024-02-03 00:00:00\n"
-                 "4,Dan,,not a time\n")
+    src = _write(os.path.join(tmpdir_path, "orders.csv"),
+                 "o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate\n"
+                 "7,70, O ,1200.5,1997-03-02 08:00:00\n"
+                 "8,71,F,90000,1997-04-01 00:00:00\n"
+                 "8,71,F,91000,1997-04-02 00:00:00\n"
+                 "9,72,,700,1998-01-09 00:00:00\n"
+                 "10,73,P,,no date\n")
     with open(os.path.join(os.path.dirname(__file__), "..", "configs", "spark_etl.json")) as f:
         cfg = json.load(f)
     out = os.path.join(tmpdir_path, "out")
     cfg.update({"input": src, "output": out, "load_stats_path": os.path.join(tmpdir_path, "stats"),
-                "dedup_keys": ["id", "timestamp"], "loaded_at": "2024-03-01 00:00:00"})
+                "loaded_at": "2024-03-01 00:00:00"})
     rep = SparkETLJob(spark, cfg, run_clock="1").run()
     assert rep["ingest.rows"] == 5 and rep["load.rows"] == 4 and rep["duplicates"] == 1
     assert rep["yield_pct"] == 80.0 and rep["files_processed"] == 1 and rep["partitions"] >= 1
     res = spark.read.parquet(out)
-    assert {"year", "month", "amount_category", "_record_hash", "_etl_batch_id"} <= set(res.columns)
-    rows = {r["id"]: r for r in res.collect()}
-    assert rows[1]["name"] == "Alice" and rows[3]["name"] == "Unknown"
-    assert rows[1]["amount_category"] == "low" and rows[2]["amount_category"] == "medium"
-    assert rows[3]["amount_category"] == "high"
-    assert rows[4]["amount"] == 500  # median of 50, 500, 5000 (typed like the column)
-    assert rows[4]["timestamp"] is None
-    assert spark.read.parquet(cfg["load_stats_path"]).count() == 1
-    assert recommended_conf(cfg)["spark.sql.adaptive.advisoryPartitionSizeInBytes"] == "64MB"
+    assert {"year", "month", "o_totalprice_category", "_record_hash", "_etl_batch_id"} <= set(res.columns)
+    rows = {r["o_orderkey"]: r for r in res.collect()}
+    assert rows[7]["o_orderstatus"] == "O" and rows[9]["o_orderstatus"] == "Unknown"
+    assert rows[8]["o_totalprice"] == 91000 and rows[8]["o_totalprice_category"] == "large"  # the later row of the key
+    assert rows[7]["o_totalprice_category"] == "small"
+    assert rows[10]["o_totalprice"] == 1200.5  # median of 700, 1200.5, 91000
+    assert rows[10]["o_orderdate"] is None and rows[10]["year"] is None
+    assert spark.read.parquet(cfg["load_stats_path"]).first()["partitions"] == rep["partitions"]
+    merged = recommended_conf({"spark_conf": {"spark.sql.shuffle.partitions": 9}})
+    assert merged["spark.sql.shuffle.partitions"] == "9" and len(merged) == 2
 
 
 def test_csv_dialect_and_corrupt_rows(spark, tmpdir_path):
@@ -61,10 +62,11 @@ def test_csv_dialect_and_corrupt_rows(spark, tmpdir_path):
 
 
 def test_load_schema_forms(tmpdir_path):
-    lst = RD.load_schema([{"name": "a", "type": "long"}, {"name": "b", "type": "weird"}])
+    fields = [{"name": "a", "type": "long"}, {"name": "b"}]
+    lst = RD.load_schema(fields)
     assert [f.dataType.simpleString() for f in lst.fields] == ["bigint", "string"]
-    st = RD.load_schema(lst.jsonValue())
-    assert st == lst
+    assert RD.load_schema(lst.jsonValue()) == RD.load_schema(lst) == lst
+    assert RD.load_schema(_write(os.path.join(tmpdir_path, "s.json"), json.dumps(fields))) == lst
 
 
 def _pages(folder, sizes, key="results"):
