@@ -86,19 +86,27 @@ def fixed_bins(c: ColumnOrName, edges: Sequence[float], labels: Sequence | None
     return expr
 
 
+def number(c: ColumnOrName) -> Column:
+    """A numeric column whose NaN counts as missing (NULL); the type stays."""
+    x = _c(c)
+    return F.when(~F.isnan(x.cast("double")), x)
+
+
 def clip(c: ColumnOrName, lo=None, hi=None) -> Column:
-    """clip to [lo, hi]; NULL stays NULL (greatest/least skip NULLs)."""
+    """clip to [lo, hi]; NULL stays NULL (greatest/least skip NULLs) and
+    NaN stays NaN."""
     x = _c(c)
     out = x
     if hi is not None:
         out = F.least(out, F.lit(hi))
     if lo is not None:
         out = F.greatest(out, F.lit(lo))
-    return F.when(x.isNotNull(), out)
+    return F.when(F.isnan(x.cast("double")), x).when(x.isNotNull(), out)
 
 
 def flag(cond: Column) -> Column:
-    """0/1 flag; a comparison with NULL gives 0."""
+    """0/1 flag; a comparison with NULL gives 0 (compare ``number(c)``
+    where NaN must give 0, too: to Spark it is the greatest number)."""
     return F.coalesce(cond.cast("int"), F.lit(0))
 
 
@@ -184,14 +192,7 @@ def lower_snake(c: ColumnOrName) -> Column:
 
 def skew_corrected(c: ColumnOrName) -> Column:
     """H8 aggregate: bias-corrected sample skewness (pandas / DuckDB form)."""
-    x = _c(c)
+    x = number(c)
     n = F.count(x)
     return F.when(n > 2, F.skewness(x) * F.sqrt(n * (n - 1)) / (n - 2))
 
-
-def cast_keep(df: DataFrame, c: str, dt: T.DataType) -> tuple[Column, Column]:
-    """(cast column, count of non-null values that fail the cast)."""
-    x = F.col(c)
-    casted = x.try_cast(dt)
-    failures = F.count_if(x.isNotNull() & casted.isNull())
-    return casted, failures

@@ -8,6 +8,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.columns import number
 from ..functions.types import numeric_columns
 from .quantiles import quantile_table
 
@@ -41,7 +42,8 @@ def crosstab_wide(df: DataFrame, row: str, col: str, values: Sequence | None = N
 
 
 def fit_range(df: DataFrame, column: str) -> tuple[float | None, float | None]:
-    r = df.agg(F.min(F.col(column).cast("double")).alias("lo"), F.max(F.col(column).cast("double")).alias("hi")).first()
+    x = number(column).cast("double")
+    r = df.agg(F.min(x).alias("lo"), F.max(x).alias("hi")).first()
     return r["lo"], r["hi"]
 
 
@@ -68,7 +70,7 @@ def box_summary(df: DataFrame, column: str, by: Sequence[str], factor: float = 1
     quantile operator; the fences are joined back (small per-group table)."""
     by = list(by)
     q = quantile_table(df, [column], [0.25, 0.5, 0.75], by, method, names=["q1", "median", "q3"]).drop("column_name")
-    x = F.col(column)
+    x = number(column)
     from .joins import size_checked_join
     j = size_checked_join(df.select(*by, column), q, by, "inner")
     lo_f = F.col("q1") - factor * (F.col("q3") - F.col("q1"))
@@ -103,8 +105,9 @@ def correlation_pairs(df: DataFrame, columns: Sequence[str] | None = None,
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + (0 if include_diagonal else 1):]]
     if not pairs:
         return df.sparkSession.createDataFrame([], "col_a string, col_b string, corr double")
-    one = one_row_agg(df, [F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{a}__{b}")
-                           for a, b in pairs], per_agg=14)
+    # One aggregate, one scan, however many pairs: chunks would read the
+    # table again each, which costs more than leaving whole-stage codegen.
+    one = df.agg(*[F.corr(number(a).cast("double"), number(b).cast("double")).alias(f"{a}__{b}") for a, b in pairs])
     cells = F.array(*[F.struct(F.lit(a).alias("col_a"), F.lit(b).alias("col_b"), F.col(f"`{a}__{b}`").alias("corr"))
                       for a, b in pairs])
     return one.select(F.inline(cells))
@@ -114,8 +117,7 @@ def correlation_with(df: DataFrame, target: str, columns: Sequence[str] | None =
                      top: int | None = 10) -> DataFrame:
     """H7: correlation of each column with ``target``, top by |corr| (ties by name)."""
     cols = [c for c in (columns or numeric_columns(df)) if c != target]
-    one = one_row_agg(df, [F.corr(F.col(c).cast("double"), F.col(target).cast("double")).alias(c) for c in cols],
-                      per_agg=14)
+    one = df.agg(*[F.corr(number(c).cast("double"), number(target).cast("double")).alias(c) for c in cols])
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias("corr")) for c in cols])
     out = one.select(F.inline(cells))
     if top is not None:

@@ -97,16 +97,6 @@ def const_fill(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
     return apply_fill(df, values)
 
 
-def filled_cells(df: DataFrame, columns: Sequence[str] | None = None) -> Column:
-    """Aggregate expression counting cells a fill would change."""
-    from .quality import missing
-    cols = list(columns or df.columns)
-    total = F.lit(0).cast("bigint")
-    for c in cols:
-        total = total + F.count_if(missing(df, c))
-    return total
-
-
 def fit_group_median(df: DataFrame, column: str, by: Sequence[str],
                      method: str = "exact") -> DataFrame:
     """E9 fit: per-group medians as a small DataFrame ``(by..., _gm)``."""

@@ -55,7 +55,7 @@ def skew_log1p(df: DataFrame, columns: Sequence[str], threshold: float = 0.75,
                skewed: Sequence[str] | None = None) -> DataFrame:
     """F22 apply: ``log1p(max(x, 0))`` on the skewed columns."""
     sk = set(skewed if skewed is not None else fit_skewed(df, columns, threshold))
-    return df.select(*[F.log1p(F.greatest(F.col(c).cast("double"), F.lit(0.0))).alias(c) if c in sk
+    return df.select(*[F.log1p(X.clip(F.col(c).cast("double"), lo=0.0)).alias(c) if c in sk
                        else F.col(c) for c in df.columns])
 
 

@@ -6,41 +6,50 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import reliable_checkpoint
 
-# Largest small side (rows) broadcast after its size has been counted.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def size_checked(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Materialise a derived small side once (reliable checkpoint), count it,
-    and mark it for broadcast only when the count is within ``max_rows``;
-    beyond that the join stays a shuffle join (AQE splits skewed keys)."""
+# Largest small side (bytes of its columns) broadcast after it was measured.
+BROADCAST_MAX_BYTES = 64 << 20
+
+
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of a table's columns: fixed widths, and the actual lengths of
+    strings, binaries, arrays and other nested values (as JSON)."""
+    width, lengths = 8, F.lit(0)
+    for field in df.schema.fields:
+        c = F.col(f"`{field.name}`")
+        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+            lengths = lengths + F.coalesce(F.octet_length(c), F.lit(0))
+        elif isinstance(field.dataType, (T.ArrayType, T.StructType, T.MapType)):
+            lengths = lengths + F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0))
+        width += 8
+    rows, extra = df.agg(F.count(F.lit(1)), F.coalesce(F.sum(lengths.cast("long")), F.lit(0))).first()
+    return rows * width + extra
+
+
+def size_checked(small: DataFrame, max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
+    """Materialise a derived small side once (reliable checkpoint), measure
+    it, and mark it for broadcast only within ``max_bytes``; beyond that the
+    join stays a shuffle join (AQE splits skewed keys)."""
     small = reliable_checkpoint(small)
-    return F.broadcast(small) if small.count() <= max_rows else small
+    return F.broadcast(small) if measured_bytes(small) <= max_bytes else small
 
 
 def size_checked_join(big: DataFrame, small: DataFrame, on, how: str = "left",
-                      max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+                      max_bytes: int = BROADCAST_MAX_BYTES) -> DataFrame:
     """Join a table that grows with the data to a derived per-key table
     (group statistics, vocabularies, targets) with a checked broadcast."""
-    return big.join(size_checked(small, max_rows), on, how)
+    return big.join(size_checked(small, max_bytes), on, how)
 
 
 def lookup_join(df: DataFrame, stats: DataFrame, keys: Sequence[str],
-                defaults: Mapping[str, object] | None = None, broadcast_rows: int | None = None) -> DataFrame:
+                defaults: Mapping[str, object] | None = None) -> DataFrame:
     """G1: left equi-join against a per-key table; misses take ``defaults``.
-
-    ``broadcast_rows`` is a *proven* upper bound on the stats table's rows
-    (e.g. a fixed vocabulary); without it the stats table is materialised
-    and counted first, and broadcast only within ``BROADCAST_MAX_ROWS``.
-    """
+    The table is broadcast only if it measures within ``BROADCAST_MAX_BYTES``."""
     keys = list(keys)
-    if broadcast_rows is not None:
-        right = F.broadcast(stats) if broadcast_rows <= BROADCAST_MAX_ROWS else stats
-    else:
-        right = size_checked(stats)
+    right = size_checked(stats)
     j = df.join(right, keys, "left")
     if defaults:
         j = j.select(*[F.coalesce(F.col(c), F.lit(defaults[c])).alias(c) if c in defaults else F.col(c)
@@ -56,11 +65,3 @@ def union_tagged(parts: Mapping[str, DataFrame], tag: str = "src") -> DataFrame:
         out = d if out is None else out.unionByName(d, allowMissingColumns=True)
     return out
 
-
-def shared_vocabulary(columns: Sequence[DataFrame]) -> DataFrame:
-    """Distinct values of several one-column frames (``value``)."""
-    out = None
-    for df in columns:
-        d = df.select(F.col(df.columns[0]).alias("value"))
-        out = d if out is None else out.unionByName(d)
-    return out.distinct()

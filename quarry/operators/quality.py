@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import number
 from ..functions.types import is_fractional, numeric_columns, string_columns
 from .quantiles import fit_quantiles
 
@@ -60,16 +61,25 @@ def distinct_counts(df: DataFrame, columns: Sequence[str] | None = None,
                     approx: bool = False, rsd: float = 0.05) -> DataFrame:
     """Distinct non-null values per (string) column.
 
-    Exact mode lets Spark rewrite the distinct aggregates into one expand +
-    partial aggregation (map-side combine of repeated values, so a hot
-    value never reaches one task in bulk); approx uses HyperLogLog++.
+    Exact mode aggregates each column by itself (a hot value is combined
+    map-side); approx uses HyperLogLog++.
     """
     cols = list(columns or string_columns(df))
     if approx:
-        one = df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in cols])
-    else:
-        one = df.agg(*[F.count_distinct(c).alias(c) for c in cols])
-    return _long(one, cols, "distinct", "bigint")
+        return _long(df.agg(*[F.approx_count_distinct(c, rsd).alias(c) for c in cols]), cols, "distinct", "bigint")
+    return _distinct_per_column(df, cols).withColumnRenamed("_d", "distinct")
+
+
+def _distinct_per_column(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """``(column_name, _d)``: exact distinct non-missing values, one small
+    aggregate per column.  Each reads its own column only, repeated values
+    combine map-side, and no row is expanded once per column."""
+    out = None
+    for c in cols:
+        values = df.where(~missing(df, c)).select(F.col(f"`{c}`").alias("v")).distinct()
+        one = values.agg(F.count(F.lit(1)).alias("_d")).select(F.lit(c).alias("column_name"), "_d")
+        out = one if out is None else out.unionByName(one)
+    return out
 
 
 def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -101,13 +111,14 @@ def completeness(df: DataFrame) -> DataFrame:
 def uniqueness(df: DataFrame, approx: bool = False) -> DataFrame:
     """``(column, uniqueness)`` = round(distinct non-missing / rows, 4); 1.0 if empty."""
     cols = df.columns
-    n = F.count(F.lit(1))
-    aggs = []
-    for c in cols:
-        v = F.when(~missing(df, c), F.col(c))
-        d = F.approx_count_distinct(v) if approx else F.count_distinct(v)
-        aggs.append(F.when(n == 0, F.lit(1.0)).otherwise(F.bround(F.try_divide(d, n), 4)).alias(c))
-    return _long(df.agg(*aggs), cols, "uniqueness", "double")
+    if approx:
+        n = F.count(F.lit(1))
+        aggs = [F.when(n == 0, F.lit(1.0)).otherwise(F.bround(F.try_divide(F.approx_count_distinct(
+            F.when(~missing(df, c), F.col(c))), n), 4)).alias(c) for c in cols]
+        return _long(df.agg(*aggs), cols, "uniqueness", "double")
+    rows = df.count()
+    share = F.lit(1.0) if rows == 0 else F.bround(F.col("_d") / F.lit(rows), 4)
+    return _distinct_per_column(df, cols).select("column_name", share.cast("double").alias("uniqueness"))
 
 
 @dataclass
@@ -133,6 +144,11 @@ def fit_iqr(df: DataFrame, columns: Sequence[str] | None = None, factor: float =
     return out
 
 
+def _outside(b: IqrBounds) -> Column:
+    x = number(b.column)  # NaN is missing, not an outlier
+    return (x < F.lit(b.lower)) | (x > F.lit(b.upper))
+
+
 def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, factor: float = 1.5,
                  method: str = "exact") -> DataFrame:
     """``(column, outliers)`` for numeric columns with at least one value
@@ -141,8 +157,7 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, factor: fl
     spark = df.sparkSession
     if not bounds:
         return spark.createDataFrame([], "column_name string, outliers bigint")
-    one = df.agg(*[F.count_if((F.col(b.column) < F.lit(b.lower)) | (F.col(b.column) > F.lit(b.upper)))
-                   .alias(b.column) for b in bounds])
+    one = df.agg(*[F.count_if(_outside(b)).alias(b.column) for b in bounds])
     return _long(one, [b.column for b in bounds], "outliers", "bigint").where("outliers > 0")
 
 
@@ -170,26 +185,6 @@ def quality_score_expr(mean_completeness: Column, mean_uniqueness: Column,
     return F.bround(mean_completeness * 40.0 + mean_uniqueness * 20.0 + dup_part + out_part, 1)
 
 
-def _fused_metrics(df: DataFrame, bounds: list[IqrBounds]) -> DataFrame:
-    """One aggregate over ``df``: rows, and per column the missing count,
-    distinct non-missing count and (numeric) min/max/mean/std, plus the
-    outlier count against each fitted fence pair."""
-    num = set(numeric_columns(df))
-    aggs = [F.count(F.lit(1)).alias("_rows")]
-    for i, c in enumerate(df.columns):
-        miss = missing(df, c)
-        aggs.append(F.count_if(miss).alias(f"_m{i}"))
-        aggs.append(F.count_distinct(F.when(~miss, F.col(c))).alias(f"_d{i}"))
-        if c in num:
-            v = F.when(~miss, F.col(c).cast("double"))
-            aggs += [F.min(v).alias(f"_min{i}"), F.max(v).alias(f"_max{i}"),
-                     F.avg(v).alias(f"_mean{i}"), F.stddev_samp(v).alias(f"_std{i}")]
-    for j, b in enumerate(bounds):
-        x = F.col(b.column)
-        aggs.append(F.count_if((x < F.lit(b.lower)) | (x > F.lit(b.upper))).alias(f"_o{j}"))
-    return df.agg(*aggs)
-
-
 def _completeness_at(i: int) -> Column:
     return F.bround(1 - F.try_divide(F.col(f"_m{i}"), F.col("_rows")), 4)
 
@@ -199,61 +194,37 @@ def _uniqueness_at(i: int) -> Column:
         F.bround(F.try_divide(F.col(f"_d{i}"), F.col("_rows")), 4))
 
 
-def _summary_from(fused: DataFrame, df: DataFrame, bounds: list[IqrBounds]) -> DataFrame:
-    cols = df.columns
-    rows = F.col("_rows")
-    if cols:
-        comp = sum(_completeness_at(i) for i in range(len(cols))) / len(cols)
-        uniq = sum(_uniqueness_at(i) for i in range(len(cols))) / len(cols)
-    else:
-        comp = uniq = F.lit(None).cast("double")
-    # Columns with no outliers count zero, like columns left out of the dict.
-    ot = sum((F.col(f"_o{j}") for j in range(len(bounds))), F.lit(0)).cast("bigint")
-    one = fused.select(rows.alias("rows"), comp.alias("mc"), uniq.alias("mu"), ot.alias("ot"),
-                       F.lit(None).cast("bigint").alias("dups"))
-    dups = duplicate_groups(df).agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("dups"))
-    # Two one-row results folded with union + max (no join).
-    both = one.unionByName(dups, allowMissingColumns=True)
-    one_row = both.agg(*[F.max(c).alias(c) for c in ("rows", "dups", "mc", "mu", "ot")])
-    empty = F.col("rows") == 0
-    return one_row.select(
-        F.when(empty, F.lit("empty")).otherwise(F.lit("ok")).alias("status"),
-        F.col("rows"),
-        F.when(empty, F.lit(0)).otherwise(F.lit(len(cols))).cast("int").alias("columns"),
-        F.col("dups").alias("duplicate_rows"),
-        F.col("ot").alias("outlier_total"),
-        F.col("mc").alias("mean_completeness"),
-        F.col("mu").alias("mean_uniqueness"),
-        F.when(empty, F.lit(None).cast("double"))
-         .otherwise(quality_score_expr(F.col("mc"), F.col("mu"), F.col("dups"), F.col("ot")))
-         .alias("quality_score"))
-
-
-def quality_summary(df: DataFrame, method: str = "exact") -> DataFrame:
-    """D10/D11 summary: one row ``status, rows, columns, duplicate_rows,
-    outlier_total, mean_completeness, mean_uniqueness, quality_score``.
+def _measured(df: DataFrame, method: str) -> tuple[DataFrame, list[IqrBounds]]:
+    """One row of every count the summary and the report need, and the fences.
 
-    After the quartile fit, a single pass: rows are grouped by all columns
-    (equal rows combine map-side; ``_n`` = multiplicity), and one aggregate
-    over the groups yields rows = sum(_n), duplicates = sum(_n - 1), missing
-    and outlier counts weighted by ``_n``, and distinct counts (the distinct
-    values of the groups are those of the rows).  Empty input: ``empty``.
-    """
-    cols = df.columns
+    After the quartile fit: one aggregate over the rows (missing counts,
+    numeric statistics, outliers), one over the equal-row groups, and one
+    per column for its distinct values, folded into one row."""
+    cols, num = df.columns, set(numeric_columns(df))
     bounds = fit_iqr(df, method=method) if cols else []
-    g = duplicate_groups(df)
-    n = F.col("_n")
-    aggs = [F.coalesce(F.sum(n), F.lit(0)).alias("_rows"),
-            F.coalesce(F.sum(n - 1), F.lit(0)).cast("bigint").alias("dups")]
+    aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, c in enumerate(cols):
         miss = missing(df, c)
-        aggs.append(F.coalesce(F.sum(F.when(miss, n)), F.lit(0)).alias(f"_m{i}"))
-        aggs.append(F.count_distinct(F.when(~miss, F.col(c))).alias(f"_d{i}"))
-    for j, b in enumerate(bounds):
-        x = F.col(b.column)
-        aggs.append(F.coalesce(F.sum(F.when((x < F.lit(b.lower)) | (x > F.lit(b.upper)), n)), F.lit(0))
-                    .alias(f"_o{j}"))
-    one = g.agg(*aggs)
+        aggs.append(F.count_if(miss).alias(f"_m{i}"))
+        if c in num:
+            v = F.when(~miss, F.col(c).cast("double"))
+            aggs += [F.min(v).alias(f"_min{i}"), F.max(v).alias(f"_max{i}"),
+                     F.avg(v).alias(f"_mean{i}"), F.stddev_samp(v).alias(f"_std{i}")]
+    aggs += [F.count_if(_outside(b)).alias(f"_o{j}") for j, b in enumerate(bounds)]
+    parts = [df.agg(*aggs), duplicate_rows(df).withColumnRenamed("duplicate_rows", "dups")]
+    for i, c in enumerate(cols):
+        if method == "approx":
+            aggs_c = df.agg(F.approx_count_distinct(F.when(~missing(df, c), F.col(c))).alias(f"_d{i}"))
+        else:
+            aggs_c = _distinct_per_column(df, [c]).select(F.col("_d").alias(f"_d{i}"))
+        parts.append(aggs_c)
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part, allowMissingColumns=True)
+    return both.agg(*[F.max(c).alias(c) for c in both.columns]), bounds
+
+
+def _summary_of(one: DataFrame, cols: Sequence[str], bounds: list[IqrBounds]) -> DataFrame:
     rows = F.col("_rows")
     if cols:
         comp = sum(_completeness_at(i) for i in range(len(cols))) / len(cols)
@@ -275,14 +246,22 @@ def quality_summary(df: DataFrame, method: str = "exact") -> DataFrame:
          .alias("quality_score"))
 
 
+def quality_summary(df: DataFrame, method: str = "exact") -> DataFrame:
+    """D10/D11 summary: one row ``status, rows, columns, duplicate_rows,
+    outlier_total, mean_completeness, mean_uniqueness, quality_score``.
+    Empty input: ``empty``.  ``method="approx"`` estimates quartiles and
+    distinct counts."""
+    one, bounds = _measured(df, method)
+    return _summary_of(one, df.columns, bounds)
+
+
 def quality_report(df: DataFrame, method: str = "exact") -> DataFrame:
     """Long report ``(scope, metric, value)``: per-column completeness,
     uniqueness, outliers (columns with any) and numeric stats, plus
-    table-level rows, columns, duplicate_rows and quality_score.  Built from
-    the same two passes as the summary."""
-    bounds = fit_iqr(df, method=method) if df.columns else []
+    table-level rows, columns, duplicate_rows and quality_score."""
     from ..session import reliable_checkpoint
-    fused = reliable_checkpoint(_fused_metrics(df, bounds))  # one row, read twice below
+    one, bounds = _measured(df, method)
+    one = reliable_checkpoint(one)  # one row, read twice below
     num = set(numeric_columns(df))
     cells = []
     for i, c in enumerate(df.columns):
@@ -296,19 +275,14 @@ def quality_report(df: DataFrame, method: str = "exact") -> DataFrame:
         cells.append((b.column, "outliers", F.when(F.col(f"_o{j}") > 0, F.col(f"_o{j}"))))
     arr = F.array(*[F.struct(F.lit(sc).alias("scope"), F.lit(m).alias("metric"),
                              v.cast("double").alias("value")) for sc, m, v in cells])
-    per_col = fused.select(F.inline(arr)).where(~((F.col("metric") == "outliers") & F.col("value").isNull()))
-    summary = _summary_from(fused, df, bounds)
+    per_col = one.select(F.inline(arr)).where(~((F.col("metric") == "outliers") & F.col("value").isNull()))
+    summary = _summary_of(one, df.columns, bounds)
     table_metrics = ["rows", "columns", "duplicate_rows", "quality_score"]
     tcells = F.array(*[F.struct(F.lit("_table").alias("scope"), F.lit(m).alias("metric"),
                                 F.col(m).cast("double").alias("value")) for m in table_metrics])
     return per_col.unionByName(summary.select(F.inline(tcells)))
 
 
-def file_quality(df: DataFrame, method: str = "exact") -> DataFrame:
-    """D12 helper: summary row tagged with the input files' count."""
-    return quality_summary(df, method)
-
-
 def run_report(df: DataFrame, method: str = "exact") -> dict:
     """D11 as a driver-side dict (every part is a small aggregate):
     status, rows, columns, dtypes, completeness, uniqueness, outliers,

@@ -1,22 +1,20 @@
 """Exact and approximate quantiles, optionally per group, for many columns.
 
-Exact mode is skew-safe: it never gathers a group's values in one task.
-
-1. The columns are stacked into long form ``(by..., column, value)``;
-   NULL and NaN are missing and dropped (pandas semantics).
-2. One range shuffle on ``(by..., column, value, row id)`` sorts the
-   values (AQE may merge adjacent small ranges, which keeps them ranges); a
-   hot group is split across range partitions by its values, and a hot
-   value by the unique row id.
-3. Each row gets its partition id and a position id, and the result is
-   written once to the shared checkpoint folder, so every later pass sees
-   the same positions (and a lost executor cannot change them).
-4. A small aggregate per ``(partition, group)`` block gives counts and the
-   first position; a window over those blocks (at most one row per
-   partition for a hot group) yields each block's starting rank.
-5. For every probability the two ranks ``floor/ceil(p*(n-1))`` are mapped
-   to position ids and fetched with one join on the id.  The pair is
-   interpolated linearly, as ``quantile_cont`` / pandas ``quantile`` do.
+Exact mode refines brackets instead of sorting columns:
+
+1. One aggregate over the table gives, per group and column, the count of
+   present values (NULL and NaN are missing, as in pandas) and, from
+   ``percentile_approx`` a little below and above each probability, a
+   bracket around the wanted order statistics.
+2. One more pass counts the values below each bracket, and counts the values
+   inside it by value: both combine map-side, so a hot group or a hot value
+   moves one row a task.  Only the distinct values inside a bracket, about
+   ``6 / accuracy`` of a group's values, are ordered.
+3. The values at ranks ``floor/ceil(p*(n-1))`` are read off the running
+   counts and interpolated linearly, as ``quantile_cont`` / pandas
+   ``quantile`` do.  A bracket that misses a rank (small groups, where the
+   approximation's rank unit is coarser than the margin) is found by its
+   counts and widened to the whole group for a second round.
 
 Approximate mode uses ``percentile_approx`` (bounded sketch per group,
 partial aggregation) and returns an actual element, not an interpolation.
@@ -26,86 +24,110 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import number
 from ..session import reliable_checkpoint
 
-COL = "_q_column"
-VAL = "_q_value"
-
-
-def long_values(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """Stack ``columns`` into ``(by..., _q_column, _q_value double)``, dropping missing."""
-    by = list(by)
-    if len(columns) == 1:
-        c = columns[0]
-        out = df.select(*by, F.lit(c).alias(COL), F.col(c).cast("double").alias(VAL))
-    else:
-        cells = F.array(*[F.struct(F.lit(c).alias(COL), F.col(c).cast("double").alias(VAL))
-                          for c in columns])
-        out = df.select(*by, F.inline(cells))
-    return out.where(F.col(VAL).isNotNull() & ~F.isnan(F.col(VAL)))
+def _value(c: str) -> Column:
+    return number(f"`{c}`").cast("double")
 
 
 def quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float],
               by: Sequence[str] = (), method: str = "exact",
               accuracy: int = 10000) -> DataFrame:
-    """Quantiles in long form: ``by..., column, prob, value``.
+    """Quantiles in long form: ``by..., column_name, prob, value``.
 
     Groups (or columns) with no present value produce no row.
     """
-    columns = list(columns)
-    by = list(by)
-    probs = [float(p) for p in probs]
+    columns, by, probs = list(columns), list(by), [float(p) for p in probs]
     if not columns:
         raise ValueError("quantiles needs at least one column")
-    long = long_values(df, columns, by)
-    keys = by + [COL]
-    if method == "approx":
-        res = (long.groupBy(*keys)
-               .agg(F.percentile_approx(VAL, F.array(*[F.lit(p) for p in probs]), accuracy).alias("_vals"))
-               .select(*keys, F.posexplode("_vals").alias("_i", "value")))
-        prob_of = F.element_at(F.array(*[F.lit(p) for p in probs]), F.col("_i") + 1)
-        return res.select(*by, F.col(COL).alias("column_name"), prob_of.alias("prob"), "value")
-    if method != "exact":
+    if method not in ("exact", "approx"):
         raise ValueError(f"unknown quantile method {method!r}")
+    keys = [f"_k{i}" for i in range(len(by))]  # clear of the columns' own names
+    base = df.select(*[F.col(f"`{b}`").alias(k) for b, k in zip(by, keys)],
+                     *[_value(c).alias(f"_v{i}") for i, c in enumerate(columns)])
+    marks = probs if method == "approx" else [x for p in probs for x in (max(0.0, p - 3 / accuracy), min(1.0, p + 3 / accuracy))]
+    aggs = []
+    for i in range(len(columns)):
+        aggs += [F.count(f"_v{i}").alias(f"_n{i}"), F.min(f"_v{i}").alias(f"_lo{i}"), F.max(f"_v{i}").alias(f"_hi{i}"),
+                 F.percentile_approx(f"_v{i}", F.array(*[F.lit(m) for m in marks]), F.lit(accuracy)).alias(f"_q{i}")]
+    rough = base.groupBy(*keys).agg(*aggs)
+    name_of, prob_of = F.array(*[F.lit(c) for c in columns]), F.array(*[F.lit(p) for p in probs])
+    final = [*[F.col(k).alias(b) for k, b in zip(keys, by)], F.get(name_of, F.col("_i")).alias("column_name"),
+             F.get(prob_of, F.col("_j")).alias("prob")]
+    cells = []
+    for i in range(len(columns)):
+        for j, p in enumerate(probs):
+            q = F.col(f"_q{i}")
+            if method == "approx":
+                cells.append(F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), F.get(q, F.lit(j)).alias("value")))
+                continue
+            low = F.col(f"_lo{i}") if marks[2 * j] == 0 else F.get(q, F.lit(2 * j))
+            high = F.col(f"_hi{i}") if marks[2 * j + 1] == 1 else F.get(q, F.lit(2 * j + 1))
+            cells.append(F.struct(F.lit(i).alias("_i"), F.lit(j).alias("_j"), (F.lit(p) * (F.col(f"_n{i}") - 1)).alias("_pos"),
+                                  low.alias("_from"), high.alias("_to"), F.col(f"_lo{i}").alias("_least"), F.col(f"_hi{i}").alias("_most")))
+    if method == "approx":
+        return rough.select(*keys, F.inline(F.array(*cells))).where("value IS NOT NULL").select(*final, "value")
+
+    targets = reliable_checkpoint(rough.select(*keys, F.inline(F.array(*cells))).where("_from IS NOT NULL"))
+    found = reliable_checkpoint(_order_statistics(base, targets, keys, len(columns)))
+    # beside each target row, so that a bracket without any value shows, too
+    missed = targets.join(found.where("_ok").select(*_named(keys, "_f"), F.col("_i").alias("_fi"), F.col("_j").alias("_fj")),
+                          _same(keys, "_f") & (F.col("_i") == F.col("_fi")) & (F.col("_j") == F.col("_fj")), "left_anti")
+    if missed.head(1):
+        wide = missed.withColumn("_from", F.col("_least")).withColumn("_to", F.col("_most"))
+        found = found.where("_ok").unionByName(_order_statistics(base, reliable_checkpoint(wide), keys, len(columns)))
+    part = F.col("_pos") - F.floor("_pos")
+    value = F.when(F.col("_b") == F.col("_a"), F.col("_a")).otherwise(F.col("_a") + (F.col("_b") - F.col("_a")) * part)
+    return found.where("_ok").select(*final, value.alias("value"))
+
 
-    # A unique per-row tie-break as the last range key: range partitioning
-    # cannot split equal keys, so a value held by a third of the rows would
-    # otherwise land in one partition.
-    long = long.withColumn("_tb", F.monotonically_increasing_id())
-    ranked = (long.repartitionByRange(*keys, VAL, "_tb")
-              .sortWithinPartitions(*keys, VAL, "_tb")
-              .withColumn("_pid", F.spark_partition_id())
-              .withColumn("_mid", F.monotonically_increasing_id()))
-    ranked = reliable_checkpoint(ranked)
-
-    blocks = ranked.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_cnt"),
-                                              F.min("_mid").alias("_start"))
-    per_key = Window.partitionBy(*keys)
-    blocks = (blocks
-              .withColumn("_base", F.sum("_cnt").over(per_key.orderBy("_pid")) - F.col("_cnt"))
-              .withColumn("_n", F.sum("_cnt").over(per_key)))
-    targets = (blocks
-               .withColumn("_p", F.explode(F.array(*[F.lit(p) for p in probs])))
-               .withColumn("_pos", F.col("_p") * (F.col("_n") - 1))
-               .withColumn("_rank", F.explode(F.array_distinct(
-                   F.array(F.floor("_pos"), F.ceil("_pos")))))
-               .where((F.col("_rank") >= F.col("_base"))
-                      & (F.col("_rank") < F.col("_base") + F.col("_cnt")))
-               .select(*keys, "_p", "_pos", "_rank",
-                       (F.col("_start") + F.col("_rank") - F.col("_base")).alias("_mid")))
-    from .joins import size_checked_join
-    picked = size_checked_join(ranked.select("_mid", VAL), targets, "_mid", "inner")
-    res = picked.groupBy(*keys, "_p").agg(
-        F.first("_pos").alias("_pos"),
-        F.min_by(VAL, "_rank").alias("_lo"),
-        F.max_by(VAL, "_rank").alias("_hi"))
-    frac = F.col("_pos") - F.floor("_pos")
-    value = F.when(F.col("_hi") == F.col("_lo"), F.col("_lo")).otherwise(
-        F.col("_lo") + (F.col("_hi") - F.col("_lo")) * frac)
-    return res.select(*by, F.col(COL).alias("column_name"), F.col("_p").alias("prob"), value.alias("value"))
+def _named(keys: Sequence[str], prefix: str) -> list[Column]:
+    return [F.col(k).alias(prefix + k) for k in keys]
+
+
+def _same(keys: Sequence[str], prefix: str) -> Column:
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(k).eqNullSafe(F.col(prefix + k))
+    return out
+
+
+def _order_statistics(base: DataFrame, targets: DataFrame, keys: list[str], n_columns: int) -> DataFrame:
+    """``keys, _i, _j, _pos, _a, _b, _ok``: the values at the ranks around
+    ``_pos``, if the target's bracket holds both."""
+    from .joins import size_checked
+    below = F.lit(float("-inf"))
+    if keys:
+        # a row per group with its brackets, joined to the group's rows
+        bracket = F.struct("_i", "_j", "_from", "_to")  # columns x probabilities a group
+        per_group = targets.groupBy(*keys).agg(F.collect_list(bracket).alias("_t")).select(*_named(keys, "_g"), "_t")
+        values = F.array(*[F.col(f"_v{i}") for i in range(n_columns)])
+        at = F.transform("_t", lambda t: F.struct(t["_i"].alias("_i"), t["_j"].alias("_j"), F.when(
+            F.get(values, t["_i"]) < t["_from"], below).otherwise(F.get(values, t["_i"])).alias("_v"), t["_to"].alias("_to")))
+        cells = (base.join(size_checked(per_group), _same(keys, "_g"))
+                 .select(*keys, F.inline(F.filter(at, lambda t: t["_v"] <= t["_to"]))))
+    else:
+        stored = targets.select("_i", "_j", "_from", "_to").collect()  # columns x probabilities
+        at = [F.struct(F.lit(r["_i"]).alias("_i"), F.lit(r["_j"]).alias("_j"), F.when(F.col(f"_v{r['_i']}") < r["_from"], below).when(
+            F.col(f"_v{r['_i']}") <= r["_to"], F.col(f"_v{r['_i']}")).alias("_v")) for r in stored]
+        cells = base.select(F.inline(F.array(*at).cast("array<struct<_i:int,_j:int,_v:double>>"))).where("_v IS NOT NULL")
+    counted = cells.groupBy(*keys, "_i", "_j", "_v").agg(F.count(F.lit(1)).alias("_n"))
+    # a bracket may start at a value of minus infinity itself: then nothing is below it
+    upto = Window.partitionBy(*keys, "_i", "_j").orderBy("_v")
+    ranked = counted.withColumn("_end", F.sum("_n").over(upto)).withColumn("_start", F.col("_end") - F.col("_n"))
+    goal = targets.select(*_named(keys, "_g"), F.col("_i").alias("_gi"), F.col("_j").alias("_gj"), "_pos", "_from")
+    joined = ranked.join(goal, _same(keys, "_g") & (F.col("_i") == F.col("_gi")) & (F.col("_j") == F.col("_gj")))
+
+    def at_rank(rank: Column) -> Column:
+        return F.max(F.when((F.col("_start") <= rank) & (rank < F.col("_end")) & (F.col("_v") >= F.col("_from")), F.col("_v")))
+
+    out = joined.groupBy(*keys, "_i", "_j").agg(F.first("_pos").alias("_pos"), at_rank(F.floor("_pos")).alias("_a"),
+                                                at_rank(F.ceil("_pos")).alias("_b"))
+    return out.withColumn("_ok", F.col("_a").isNotNull() & F.col("_b").isNotNull())
 
 
 def quantile_table(df: DataFrame, columns: Sequence[str], probs: Sequence[float],

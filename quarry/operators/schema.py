@@ -14,7 +14,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..functions.columns import number
 from ..functions.types import spark_type
+from .quality import missing
 
 log = logging.getLogger("quarry.schema")
 
@@ -64,7 +66,8 @@ def check_schema(df: DataFrame, spec: Mapping[str, Mapping], strict: bool = Fals
 
 def constraint_violations(df: DataFrame, spec: Mapping[str, Mapping], strict: bool = False) -> DataFrame:
     """One row of violation counts, ``<c>_below_min``, ``<c>_above_max``
-    and ``<c>_nulls`` (for ``nullable: false``), from one aggregate.
+    and ``<c>_nulls`` (for ``nullable: false``), from one aggregate.  NaN is
+    missing, not a value beyond a bound.
 
     ``strict`` checks presence first (raising on a missing column).
     """
@@ -74,25 +77,16 @@ def constraint_violations(df: DataFrame, spec: Mapping[str, Mapping], strict: bo
         if c not in df.columns:
             continue
         if "min" in rule:
-            aggs.append(F.count_if(F.col(c) < F.lit(rule["min"])).alias(f"{c}_below_min"))
+            aggs.append(F.count_if(number(c) < F.lit(rule["min"])).alias(f"{c}_below_min"))
         if "max" in rule:
-            aggs.append(F.count_if(F.col(c) > F.lit(rule["max"])).alias(f"{c}_above_max"))
+            aggs.append(F.count_if(number(c) > F.lit(rule["max"])).alias(f"{c}_above_max"))
         if rule.get("nullable", True) is False or rule.get("required", False):
-            aggs.append(F.count_if(F.col(c).isNull()).alias(f"{c}_nulls"))
+            aggs.append(F.count_if(missing(df, c)).alias(f"{c}_nulls"))
     if not aggs:
         aggs = [F.count(F.lit(1)).alias("rows")]
     return df.agg(*aggs)
 
 
-def enforce_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Strict mode at run time: fail the job on a NULL in a required column."""
-    cond = F.lit(False)
-    for c in columns:
-        cond = cond | F.col(c).isNull()
-    return df.withColumn("_nn_check", F.when(cond, F.raise_error(F.lit("NULL in non-nullable column")))) \
-             .drop("_nn_check")
-
-
 def safe_cast(df: DataFrame, spec: Mapping[str, Mapping], strict: bool = False) -> tuple[DataFrame, DataFrame]:
     """Required columns and all-or-nothing casts.
 
@@ -118,7 +112,3 @@ def safe_cast(df: DataFrame, spec: Mapping[str, Mapping], strict: bool = False)
     out = df.select(*[F.col(c).cast(ok[c]).alias(c) if c in ok else F.col(c) for c in df.columns])
     return out, fails
 
-
-def struct_field(path: str):
-    """Dotted name -> nested field reference (``name.common``)."""
-    return F.col(path)

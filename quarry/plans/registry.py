@@ -29,7 +29,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _load_all() -> None:
-    from . import (catalog_clean, catalog_columns, catalog_io, catalog_ml,  # noqa: F401
+    from . import (catalog_clean, catalog_columns, catalog_io, catalog_ml, catalog_nan,  # noqa: F401
                    catalog_quality, catalog_relational, catalog_streaming)
 
 

@@ -35,6 +35,10 @@ def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
     """Write with format defaults plus user options; optional Hive
     partitioning (low-cardinality columns only) and dynamic partition
     overwrite (only the partitions present in ``df`` are replaced)."""
+    if partition_by:
+        # Rows of a folder meet in few tasks (large folders in several), so
+        # a load writes few files a folder instead of one a task and folder.
+        df = df.hint("rebalance", *partition_by)
     w = df.write.format(fmt).mode(mode).options(**WRITE_OPTIONS.get(fmt, {}))
     if fmt in ("csv", "json"):
         w = w.options(**TEXT_TIME_OPTIONS)
@@ -94,11 +98,21 @@ def _jdbc_execute(spark: SparkSession, url: str, statements: Sequence[str], prop
 
 
 def jdbc_columns(spark: SparkSession, url: str, table: str, props: Mapping[str, str]) -> list[str] | None:
-    """The target table's columns, or None when it does not exist."""
+    """The target table's columns, or None when the database has no such
+    table (asked of its catalogue; any other failure is raised)."""
+    jvm = spark.sparkContext._jvm
+    jprops = jvm.java.util.Properties()
+    for k, v in props.items():
+        jprops.setProperty(k, v)
+    conn = jvm.java.sql.DriverManager.getConnection(url, jprops)
     try:
-        return spark.read.jdbc(url, table, properties=dict(props)).columns
-    except Exception:
-        return None
+        name = table.rsplit(".", 1)[-1].strip('"`')
+        schema = table.rsplit(".", 1)[0].strip('"`') if "." in table else None
+        found = any(conn.getMetaData().getTables(None, s, n, None).next()
+                    for n in {name, name.upper(), name.lower()} for s in ({schema, schema.upper(), schema.lower()} if schema else {None}))
+    finally:
+        conn.close()
+    return spark.read.jdbc(url, table, properties=dict(props)).columns if found else None
 
 
 def jdbc_append(df: DataFrame, url: str, table: str, batch_size: int = 10000,

@@ -37,10 +37,10 @@ def test_size_checked_falls_back_to_shuffle(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:
-        j = big.join(size_checked(small, max_rows=10), "k")
+        j = big.join(size_checked(small, max_bytes=10), "k")
         j.write.format("noop").mode("overwrite").save()
         assert "BroadcastHashJoin" not in _plan(j)
-        j2 = big.join(size_checked(small, max_rows=100), "k")
+        j2 = big.join(size_checked(small, max_bytes=100_000), "k")
         j2.write.format("noop").mode("overwrite").save()
         assert "BroadcastHashJoin" in _plan(j2)
     finally:
