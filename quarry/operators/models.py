@@ -16,7 +16,7 @@ from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegress
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.regression import LinearRegression
+from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,27 +105,46 @@ def feature_importances(model: PipelineModel, names: Sequence[str], spark: Spark
     return df.orderBy(F.desc("importance"), "feature")
 
 
+def regressor(kind: str, label: str, seed: int = 42, **params) -> Estimator:
+    """K14 members: a penalised linear regression (ridge / lasso / elastic
+    net by its parameters) or boosted regression trees."""
+    if kind == "linear":
+        return LinearRegression(labelCol=label, maxIter=params.pop("maxIter", 100), **params)
+    if kind == "gbt":
+        defaults = {"maxIter": 50, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8}
+        return GBTRegressor(labelCol=label, seed=seed, **defaults | params)
+    raise ValueError(kind)
+
+
 def regression_average(stages: list, train: DataFrame, test: DataFrame, label: str,
-                       configs: Sequence[Mapping]) -> DataFrame:
-    """Mean of several penalised linear regressions (ridge / lasso /
-    elastic net) on a log target, back-transformed with ``expm1``."""
-    preds = None
-    for i, cfg in enumerate(configs):
-        m = fit_pipeline(stages, LinearRegression(labelCol=label, maxIter=100, **cfg), train)
-        p = m.transform(test).select("_row_id", F.col("prediction").alias(f"p{i}"))
-        preds = p if preds is None else preds.join(p, "_row_id")
-    avg = sum(F.col(f"p{i}") for i in range(len(configs))) / len(configs)
-    return preds.select("_row_id", avg.alias("log_prediction"), F.expm1(avg).alias("prediction"))
+                       members: Sequence[tuple[str, Mapping]]) -> DataFrame:
+    """Mean of several regressions, each ``(kind, parameters)``, on a log
+    target, back-transformed with ``expm1``; the members' own predictions
+    stay as ``p0, p1, ...``.  The members score one after the other in one
+    pass over the test rows."""
+    out = test
+    for i, (kind, cfg) in enumerate(members):
+        est = regressor(kind, label, **cfg).setPredictionCol(f"p{i}")
+        fit = fit_pipeline(stages, est, train)
+        keep = [*test.columns, *[f"p{j}" for j in range(i + 1)]]
+        out = fit.transform(out).select(*keep)
+    names = [f"p{i}" for i in range(len(members))]
+    avg = sum(F.col(n) for n in names) / len(names)
+    return out.select("_row_id", *names, avg.alias("log_prediction"), F.expm1(avg).alias("prediction"))
 
 
 def oof_stacking(spark: SparkSession, stages: list, members: Mapping[str, Estimator], df: DataFrame,
-                 test: DataFrame, id_col: str, fold_col: str = "fold", k: int = 5,
+                 test: DataFrame, id_col: str, refit: Estimator, fold_col: str = "fold",
                  label: str = "label") -> DataFrame:
     """Out-of-fold member probabilities train a logistic meta-learner;
-    test member probabilities are averaged over the k fold models.
-    Final score = mean of (member average, meta, first member)."""
+    test member probabilities are averaged over the fold models.  ``refit``
+    is fitted again on all training rows.  Final score = mean of (member
+    average, meta, refit).  Every fold that the rows have takes its turn, so
+    every training row has out-of-fold probabilities (``oof_rows`` counts
+    them, ``train_rows`` all)."""
+    folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # as many as the caller's k
     oof_parts, test_parts = [], []
-    for i in range(k):
+    for i in folds:
         tr = df.where(F.col(fold_col) != i)
         va = df.where(F.col(fold_col) == i)
         for name, est in members.items():
@@ -142,11 +161,12 @@ def oof_stacking(spark: SparkSession, stages: list, members: Mapping[str, Estima
         return u.groupBy(id_col).pivot("member", list(members)).agg(F.avg("p"))
 
     oof = wide(oof_parts).join(df.select(id_col, label), id_col)
-    tst = wide(test_parts)
     names = list(members)
     meta = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"),
                             LogisticRegression(labelCol=label, maxIter=100, regParam=0.01)]).fit(oof)
-    scored = positive_probability(meta.transform(tst), "meta")
-    avg = sum(F.col(n) for n in names) / len(names)
-    final = (avg + F.col("meta") + F.col(names[0])) / 3
-    return scored.select(id_col, *names, "meta", final.alias("final"), (final > 0.5).cast("int").alias("prediction"))
+    scored = positive_probability(meta.transform(wide(test_parts)), "meta")
+    whole = positive_probability(fit_pipeline(stages, refit, df).transform(test), "refit").select(id_col, "refit")
+    final = (sum(F.col(n) for n in names) / len(names) + F.col("meta") + F.col("refit")) / 3
+    return scored.join(whole, id_col).select(
+        id_col, *names, "meta", "refit", final.alias("final"), (final > 0.5).cast("int").alias("prediction"),
+        F.lit(oof.count()).alias("oof_rows"), F.lit(df.count()).alias("train_rows"))

@@ -52,20 +52,35 @@ _ABS_SLACK = 1e-12
 _TILE_CELLS = 4_000_000
 
 
-def dot(vec: Column, direction) -> Column:
-    """Dot product with a fixed direction, unrolled over the known dimension
-    (plain arithmetic stays in whole-stage codegen; higher-order array
-    functions would be interpreted)."""
-    return sum((vec.getItem(j).cast("double") * F.lit(float(w)) for j, w in enumerate(direction)), F.lit(0.0))
+def dots(vec: Column, directions) -> Column:
+    """Projections of a vector on fixed directions, as an array (numpy in
+    Arrow batches: no expression grows with the dimension)."""
+    import numpy as np
+    matrix = np.asarray(directions, float).T
+
+    @F.pandas_udf("array<double>")
+    def project(vectors):
+        import pandas as pd
+        return pd.Series(list(np.stack(vectors.to_numpy()).astype(float) @ matrix)) if len(vectors) else pd.Series([], dtype=object)
+    return project(vec)
 
 
-def euclidean(a: Column, b: Column, dim: int) -> Column:
-    """Euclidean distance of two numeric arrays of length ``dim``, summed in
+def euclidean(a: Column, b: Column) -> Column:
+    """Euclidean distance of two numeric arrays of one length, summed in
     double in index order (the same rounding as a sequential loop)."""
-    def sq(j):
-        diff = a.getItem(j).cast("double") - b.getItem(j).cast("double")
-        return diff * diff
-    return F.sqrt(sum((sq(j) for j in range(dim)), F.lit(0.0)))
+    import numpy as np
+
+    @F.pandas_udf("double")
+    def distance(left, right):
+        import pandas as pd
+        if not len(left):
+            return pd.Series([], dtype=float)
+        x, y = (np.stack(v.to_numpy()).astype(float) for v in (left, right))
+        total = np.zeros(len(x))
+        for j in range(x.shape[1]):
+            total += (x[:, j] - y[:, j]) ** 2
+        return pd.Series(np.sqrt(total))
+    return distance(a, b)
 
 
 def vector_dim(vectors: DataFrame, vec_col: str) -> int:
@@ -73,13 +88,13 @@ def vector_dim(vectors: DataFrame, vec_col: str) -> int:
     return int(row["d"]) if row else 0
 
 
-def principal_directions(vectors: DataFrame, vec_col: str, n_dirs: int, max_dim: int = 2048) -> list[list[float]]:
+def principal_directions(vectors: DataFrame, vec_col: str, n_dirs: int) -> list[list[float]]:
     """Top ``n_dirs`` principal directions of an array column (unit vectors).
-    Above ``max_dim`` the covariance would not fit the driver; coordinate
-    axes are used instead (still orthonormal, so the bound stays valid)."""
+    The covariance on the driver is bounded by the dimension.  A single
+    vector has no covariance; any unit vector serves."""
     dim = vector_dim(vectors, vec_col)
     n_dirs = max(1, min(n_dirs, dim))
-    if dim > max_dim:
+    if vectors.limit(2).count() < 2:
         return [[1.0 if j == i else 0.0 for j in range(dim)] for i in range(n_dirs)]
     from pyspark.ml.feature import PCA
     from pyspark.ml.functions import array_to_vector
@@ -98,32 +113,33 @@ def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: in
     spark = df.sparkSession
     base = df.where(F.col(vec_col).isNotNull()).select(
         F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"), F.col(label_col).alias("_lab"))
-    dim = vector_dim(base, "_v")
+    from ..session import ship_code
+    ship_code()
     dirs = principal_directions(base, "_v", n_dirs)
     m = len(dirs)
-    pts = base.select("*", *[dot(F.col("_v"), u).alias(f"_p{i}") for i, u in enumerate(dirs)])
+    pts = base.withColumn("_p", dots(F.col("_v"), dirs))
+    pts = pts.select("_id", "_v", "_lab", *[F.get("_p", F.lit(i)).alias(f"_p{i}") for i in range(m)])
 
     # 1. Rank by the first projection (unique tie-break: hot values split).
     ranked = group_positions(pts, [], [F.col("_p0"), F.col("_id")], pos_col="_pos", size_col=None)
     ranked = reliable_checkpoint(ranked)
-    stats = ranked.agg(F.count(F.lit(1)).alias("n"), F.min("_p0").alias("lo"), F.max("_p0").alias("hi")).first()
-    n = int(stats["n"])
+    n = ranked.count()
     if n == 0:
         return spark.createDataFrame([], f"{id_col} {df.schema[id_col].dataType.simpleString()}, "
                                          f"{label_col} {df.schema[label_col].dataType.simpleString()}, "
                                          f"pred {df.schema[label_col].dataType.simpleString()}")
-    full_span = float(stats["hi"]) - float(stats["lo"])
 
     # 2. Radius bound from the 2k rank neighbours (at most 2k values per row).
     around = ranked.select("_id", "_v", F.explode(F.sequence(F.col("_pos") - k, F.col("_pos") + k)).alias("_npos"))
     donors = ranked.select(F.col("_pos").alias("_npos"), F.col("_id").alias("_did"), F.col("_v").alias("_dv"))
     near = around.join(donors, "_npos").where(F.col("_id") != F.col("_did"))
+    near = near.select("_id", euclidean(F.col("_v"), F.col("_dv")).alias("_near"))
     radius = (near.groupBy("_id")
-              .agg(F.try_element_at(F.array_sort(F.collect_list(euclidean(F.col("_v"), F.col("_dv"), dim))),
+              .agg(F.try_element_at(F.array_sort(F.collect_list("_near")),
                                     F.lit(k)).alias("_r")))
     # Fewer than k other rows: every row is a candidate.
     queries = ranked.join(radius, "_id", "left").withColumn(
-        "_r", F.coalesce(F.col("_r"), F.lit(full_span * 2 + 1.0)))
+        "_r", F.coalesce(F.col("_r"), F.lit(float("inf"))))
 
     # 3. Equal-size rank buckets (donors) and equal-size rank blocks
     # (queries); bucket projection ranges are one row per bucket (at most
@@ -193,8 +209,6 @@ def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: in
                                        "_d": top[qi, slot]}))
         return pd.concat(parts, ignore_index=True)
 
-    from ..session import ship_code
-    ship_code()
     cand = qside.groupBy("_qb", "_b").cogroup(dside.groupBy("_qb", "_b")).applyInPandas(tile_topk, schema)
 
     order = [F.col("_d"), F.col("_did")]
@@ -203,6 +217,7 @@ def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: in
     top = top.withColumn("_has0", F.min("_d").over(Window.partitionBy("_id")) == 0)
     weight = F.when(F.col("_has0"), (F.col("_d") == 0).cast("double")).otherwise(1.0 / F.col("_d"))
     votes = top.groupBy("_id", "_lab", "_dlab").agg(F.sum(weight).alias("_w"))
-    best = votes.groupBy("_id", "_lab").agg(
-        F.max_by("_dlab", F.struct(F.col("_w"), -F.col("_dlab"))).alias("pred"))
-    return best.select(F.col("_id").alias(id_col), F.col("_lab").alias(label_col), "pred")
+    best = votes.groupBy("_id").agg(F.min_by("_dlab", F.struct(-F.col("_w"), F.col("_dlab"))).alias("pred"))
+    # a row without any other row has no prediction
+    return ranked.select("_id", "_lab").join(best, "_id", "left").select(
+        F.col("_id").alias(id_col), F.col("_lab").alias(label_col), "pred")

@@ -216,8 +216,9 @@ _DOC_NUM = ["log_chars", "n_words", "n_lines", "digit_ratio", "upper_ratio", "pu
 _DOC_CAT = ["lang", "source"]
 
 
-def doc_features(spark, sf):
-    """Text statistics per labelled document (whole texts, built-in functions)."""
+def doc_features(spark, sf, labelled=True):
+    """Text statistics per document (whole texts, built-in functions), with
+    the quality label; ``labelled=False`` keeps documents without one."""
     d = table(spark, sf, "documents")
     lab = table(spark, sf, "labels")
     n = F.greatest(F.length("text"), F.lit(1))
@@ -231,7 +232,8 @@ def doc_features(spark, sf):
         (F.regexp_count("text", F.lit("[A-Z]")) / n).alias("upper_ratio"),
         (F.regexp_count("text", F.lit("[^A-Za-z0-9\\s]")) / n).alias("punct_ratio"),
         (F.length(F.regexp_replace("text", r"\s+", "")) / F.greatest(words, F.lit(1))).alias("avg_word_len"))
-    return feats.join(lab.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id")
+    return feats.join(lab.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id",
+                      "inner" if labelled else "left")
 
 
 def _split_folds(spark, sf):
@@ -281,7 +283,7 @@ def ml_feature_importance(spark, sf):
 def ml_gbt(spark, sf):
     """Gradient-boosted trees, per-fold CV accuracy."""
     train, _ = _split_folds(spark, sf)
-    return M.cv_scores(spark, _stages(), M.classifier("gbt", maxIter=20), train)
+    return M.cv_scores(spark, _stages(), M.classifier("gbt"), train)
 
 
 @register("ml_svc")
@@ -298,7 +300,7 @@ def ml_cv(spark, sf):
     train, _ = _split_folds(spark, sf)
     out = None
     for kind in ("logreg", "rf", "svc"):
-        s = M.cv_summary(M.cv_scores(spark, _stages(), M.classifier(kind, numTrees=30), train))
+        s = M.cv_summary(M.cv_scores(spark, _stages(), M.classifier(kind), train))
         s = s.select(F.lit(kind).alias("model"), "cv_mean", "cv_2std")
         out = s if out is None else out.unionByName(s)
     return out.orderBy(F.desc("cv_mean"), "model").limit(2)
@@ -306,10 +308,11 @@ def ml_cv(spark, sf):
 
 @register("ml_stacking")
 def ml_stacking(spark, sf):
-    """Out-of-fold stacking with a logistic meta-learner."""
+    """Out-of-fold stacking over all five folds with a logistic
+    meta-learner and a forest fitted again on all training rows."""
     train, test = _split_folds(spark, sf)
-    members = {"logreg": M.classifier("logreg"), "rf": M.classifier("rf", numTrees=30)}
-    return M.oof_stacking(spark, _stages(), members, train, test, "doc_id", k=3)
+    members = {"logreg": M.classifier("logreg"), "rf": M.classifier("rf")}
+    return M.oof_stacking(spark, _stages(), members, train, test, "doc_id", refit=M.classifier("rf"))
 
 
 @register("ml_soft_ensemble")
@@ -319,7 +322,7 @@ def ml_soft_ensemble(spark, sf):
     train, test = _split_folds(spark, sf)
     probs = None
     for kind in ("logreg", "rf", "gbt"):
-        m = M.fit_pipeline(_stages(), M.classifier(kind, numTrees=30, maxIter=20), train)
+        m = M.fit_pipeline(_stages(), M.classifier(kind), train)
         p = M.positive_probability(m.transform(test), kind).select("doc_id", kind)
         probs = p if probs is None else probs.join(p, "doc_id")
     prob = soft_vote([F.col("logreg"), F.col("rf"), F.col("gbt")], [0.3, 0.4, 0.3])
@@ -336,7 +339,7 @@ def ml_score(spark, sf):
     path = scratch_path(spark, "model")
     m.write().overwrite().save(path)
     loaded = PipelineModel.load(path)
-    everything = doc_features(spark, sf)
+    everything = doc_features(spark, sf, labelled=False).drop("label")
     scored = M.positive_probability(loaded.transform(everything), "p1").select(
         "doc_id", F.col("prediction").cast("int").alias("prediction"), "p1")
     # The prediction table as CSV with a header, read back.
@@ -348,7 +351,8 @@ def ml_score(spark, sf):
 
 @register("ml_regression")
 def ml_regression(spark, sf):
-    """Ridge, lasso and elastic net on log price, averaged, expm1 back."""
+    """Ridge, lasso, elastic net and two boosted forests on log
+    price, averaged, expm1 back; the members' predictions are kept."""
     li = table(spark, sf, "lineitem")
     part = table(spark, sf, "part").select("p_partkey", "p_retailprice", "p_size", "p_type")
     from ..session import reliable_checkpoint
@@ -362,12 +366,12 @@ def ml_regression(spark, sf):
     train = d.where(F.col("l_shipdate") < F.lit("1998-01-01").cast("timestamp_ntz"))
     test = d.where(F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz"))
     stages = M.feature_stages(["p_type"], ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"])
-    cfgs = [{"regParam": 0.1, "elasticNetParam": 0.0}, {"regParam": 0.001, "elasticNetParam": 1.0},
-            {"regParam": 0.01, "elasticNetParam": 0.5}]
-    pred = M.regression_average(stages, train, test, "y", cfgs)
+    members = [("linear", {"regParam": 0.1, "elasticNetParam": 0.0}), ("linear", {"regParam": 0.001, "elasticNetParam": 1.0}),
+               ("linear", {"regParam": 0.01, "elasticNetParam": 0.5}), ("gbt", {"maxIter": 30}), ("gbt", {"maxIter": 30, "maxDepth": 3})]
+    pred = M.regression_average(stages, train, test, "y", members)
     j = pred.join(test.select("_row_id", "y", "l_extendedprice"), "_row_id")
     rmsle = j.agg(F.sqrt(F.avg(F.pow(F.col("log_prediction") - F.col("y"), 2)))).first()[0]
-    return j.select("_row_id", "prediction", "l_extendedprice", F.lit(rmsle).alias("rmsle"))
+    return j.select("_row_id", *[f"p{i}" for i in range(len(members))], "prediction", "l_extendedprice", F.lit(rmsle).alias("rmsle"))
 
 
 @register("ml_tabular_job")
@@ -382,3 +386,41 @@ def ml_tabular_job(spark, sf):
     out = scratch_path(spark, "order-predictions") + ".csv"
     write_by_suffix(pred.select("o_orderkey", "prediction"), out)
     return spark.read.option("header", True).schema("o_orderkey bigint, prediction int").csv(out)
+
+
+# ---------------------------------------------------------------------------
+# Facts about the model jobs that SQL can state: row counts, ids, ranges.
+
+@register("ml_score_facts", """
+SELECT count(*) AS n, count(DISTINCT doc_id) AS ids, sum(doc_id)::BIGINT AS id_sum, TRUE AS in_range, TRUE AS agrees FROM documents""")
+def ml_score_facts(spark, sf):
+    """Every document is scored once; the prediction follows the probability."""
+    r = ml_score(spark, sf)
+    return r.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("doc_id").alias("ids"), F.sum("doc_id").alias("id_sum"),
+                 F.min(F.col("p1").between(0, 1)).alias("in_range"),
+                 F.min((F.col("p1") > 0.5).cast("int") == F.col("prediction")).alias("agrees"))
+
+
+@register("ml_stacking_facts", """
+SELECT count(*) AS labelled, TRUE AS whole, TRUE AS mean_of_three FROM documents JOIN labels USING (doc_id)""")
+def ml_stacking_facts(spark, sf):
+    """Every training row has out-of-fold probabilities, test and
+    training rows are all labelled rows, and the score is the mean of three."""
+    r = ml_stacking(spark, sf)
+    mean = ((F.col("logreg") + F.col("rf")) / 2 + F.col("meta") + F.col("refit")) / 3
+    return r.agg((F.count(F.lit(1)) + F.max("train_rows")).alias("labelled"), F.min(F.col("oof_rows") == F.col("train_rows")).alias("whole"),
+                 F.min(F.abs(mean - F.col("final")) < 1e-9).alias("mean_of_three"))
+
+
+@register("ml_regression_facts", """
+SELECT count(*) AS n, round(sum(l_extendedprice), 2) AS price_sum, TRUE AS mean_of_members, TRUE AS rmsle_agrees
+FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_shipdate >= TIMESTAMP '1998-01-01'""")
+def ml_regression_facts(spark, sf):
+    """Every later line is predicted; the prediction is the members'
+    mean; the stated error is that of the rows."""
+    r = ml_regression(spark, sf)
+    mean = F.expm1(sum(F.col(f"p{i}") for i in range(5)) / 5)
+    return r.agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("l_extendedprice"), 2).alias("price_sum"),
+                 F.min(F.abs(mean - F.col("prediction")) <= 1e-6 * F.abs("prediction")).alias("mean_of_members"),
+                 (F.abs(F.max("rmsle") - F.sqrt(F.avg(F.pow(F.log1p("prediction") - F.log1p("l_extendedprice"), 2)))) < 1e-6)
+                 .alias("rmsle_agrees"))

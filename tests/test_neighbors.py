@@ -83,3 +83,16 @@ def test_chunked_tiles(spark, monkeypatch):
     ids = list(range(120))
     got = run(spark, ids, vecs, labels, 7, max_buckets=4, min_bucket_rows=8)
     assert got == brute_force(ids, vecs, labels, 7)
+
+
+def test_many_dimensions_text_labels_and_a_single_row(spark):
+    rng = np.random.default_rng(2)
+    vecs = rng.normal(size=(40, 768)).astype("float32")
+    vecs[20:] += 3
+    rows = [(i, [float(x) for x in v], "low" if i < 20 else "high") for i, v in enumerate(vecs)]
+    df = spark.createDataFrame(rows, "vid long, emb array<float>, lab string")
+    got = {r.vid: r.pred for r in knn_classify(df, "vid", "emb", "lab", k=3, min_bucket_rows=8).collect()}
+    assert got == {i: lab for i, _, lab in rows}
+    one = knn_classify(df.limit(1), "vid", "emb", "lab", k=3).collect()
+    assert [(r.vid, r.lab, r.pred) for r in one] == [(0, "low", None)]
+    assert knn_classify(df.limit(0), "vid", "emb", "lab").count() == 0
