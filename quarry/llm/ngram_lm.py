@@ -265,8 +265,8 @@ def _scores(n: int, v: int, weights: np.ndarray):
 
 
 def interpolated_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds: int = 7,
-                        held_out: int = 2, deleted: int = 6, chunk_bytes: int = 16 << 20,
-                        range_bytes: int = 16 << 20) -> DataFrame:
+                        held_out: int = 2, deleted: int = 6, chunk_bytes: int = 4 << 20,
+                        range_bytes: int = 8 << 20) -> DataFrame:
     """``id, held_out, n_tokens, n_known, train_tokens, base_score, score`` of
     every whole text.
 
