@@ -283,6 +283,46 @@ def quality_report(df: DataFrame, method: str = "exact") -> DataFrame:
     return per_col.unionByName(summary.select(F.inline(tcells)))
 
 
+def quality_by(df: DataFrame, by: str, method: str = "exact") -> DataFrame:
+    """The summary row of every group of ``by`` (such as the source
+    file), for all groups at once: one aggregate for counts, one for equal
+    rows, one per column for distinct values and one for outliers, whatever
+    the number of groups."""
+    from .joins import size_checked
+    from .quantiles import quantile_table
+    cols = [c for c in df.columns if c != by]
+    num = [c for c in numeric_columns(df) if c != by]
+    key = F.col(by)
+    parts = [df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(missing(df, c)).alias(f"_m{i}") for i, c in enumerate(cols)]),
+             duplicate_groups(df).groupBy(by).agg(F.sum(F.col("_n") - 1).cast("bigint").alias("dups"))]
+    for i, c in enumerate(cols):
+        values = df.where(~missing(df, c)).select(by, F.col(f"`{c}`").alias("v")).distinct()
+        parts.append(values.groupBy(by).agg(F.count(F.lit(1)).alias(f"_d{i}")))
+    if num:
+        q = quantile_table(df, num, [0.25, 0.75], [by], method, names=["q1", "q3"])
+        reach = 1.5 * (F.col("q3") - F.col("q1"))
+        fence = F.struct("column_name", F.struct((F.col("q1") - reach).alias("lo"), (F.col("q3") + reach).alias("hi")))
+        fences = q.groupBy(F.col(by).alias("_g")).agg(F.map_from_entries(F.collect_list(fence)).alias("_f"))  # a row a group
+        out = F.lit(0)
+        for c in num:
+            f = F.element_at("_f", F.lit(c))
+            out = out + F.coalesce(((number(c) < f["lo"]) | (number(c) > f["hi"])).cast("int"), F.lit(0))
+        parts.append(df.join(size_checked(fences), key.eqNullSafe(F.col("_g"))).groupBy(by).agg(F.sum(out).alias("_o")))
+    both = parts[0]
+    for part in parts[1:]:
+        both = both.unionByName(part, allowMissingColumns=True)
+    one = both.groupBy(by).agg(*[F.max(c).alias(c) for c in both.columns if c != by])
+    one = one.select(by, "_rows", "dups", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in one.columns if c not in (by, "_rows", "dups")],
+                     *([] if num else [F.lit(0).alias("_o")]))
+    comp = sum(_completeness_at(i) for i in range(len(cols))) / len(cols)
+    uniq = sum(_uniqueness_at(i) for i in range(len(cols))) / len(cols)
+    total = F.col("_o").cast("bigint")
+    return one.select(by, F.lit("ok").alias("status"), F.col("_rows").cast("bigint").alias("rows"),
+                      F.lit(len(cols)).cast("int").alias("columns"), F.col("dups").alias("duplicate_rows"), total.alias("outlier_total"),
+                      comp.alias("mean_completeness"), uniq.alias("mean_uniqueness"),
+                      quality_score_expr(comp, uniq, F.col("dups"), total).alias("quality_score"))
+
+
 def run_report(df: DataFrame, method: str = "exact") -> dict:
     """D11 as a driver-side dict (every part is a small aggregate):
     status, rows, columns, dtypes, completeness, uniqueness, outliers,

@@ -150,22 +150,48 @@ def quality_report(spark, sf):
     return r.select("scope", "metric", F.round("value", R).alias("value"))
 
 
-@register("quality_sweep")
+# Columns of the given tables; a star marks numeric ones, an exclamation mark doubles.
+_TABLES = {
+    "benchmark": "item_id* text", "conversations": "conv_id* turn* role text",
+    "customer": "c_custkey* c_name c_nationkey* c_acctbal! c_mktsegment", "documents": "doc_id* text lang source n_chars*",
+    "embeddings": "vec_id* embedding label*", "events": "event_id* ts user_id* event_type value! props", "labels": "doc_id* quality* toxic*",
+    "lineitem": "l_orderkey* l_partkey* l_suppkey* l_linenumber* l_quantity! l_extendedprice! l_discount! l_tax! "
+                "l_returnflag l_linestatus l_shipdate",
+    "nation": "n_nationkey* n_name n_regionkey*", "orders": "o_orderkey* o_custkey* o_orderstatus o_totalprice! o_orderdate o_orderpriority",
+    "pages": "page_id* url html", "part": "p_partkey* p_name p_brand p_type p_size* p_retailprice!", "region": "r_regionkey* r_name",
+    "supplier": "s_suppkey* s_name s_nationkey* s_acctbal!",
+}
+
+
+def _sweep_sql() -> str:
+    parts = []
+    for name, listed in _TABLES.items():
+        marked = listed.split()
+        cols = [c.rstrip("*!") for c in marked]
+        numeric, doubles = [c[:-1] for c in marked if c[-1] in "*!"], [c[:-1] for c in marked if c[-1] == "!"]
+        body = _summary_sql(name, cols, numeric, doubles, len(cols)).strip().lstrip(",").strip()
+        head, _, tail = body.rpartition("\nSELECT 'ok'")
+        parts.append(f"SELECT * FROM (WITH {head}\nSELECT '{name}.parquet' AS source, 'ok'{tail})")
+    return "\nUNION ALL\n".join(parts)
+
+
+@register("quality_sweep", _sweep_sql())
 def quality_sweep(spark, sf):
-    """Quality summary of every Parquet file in the folder.  Files are
-    listed by Spark (file metadata only), grouped by schema, and each schema
-    group is summarised per file in one job."""
+    """Quality summary of every Parquet table in the folder.  Files are
+    listed by Spark (file metadata only) and grouped by schema; each schema
+    group is summarised by table in one go."""
     from ..sources.readers import list_files, schema_groups
-    files = list_files(spark, sf, "*.parquet")
     out = None
-    for paths in schema_groups(spark, files):
-        df = spark.read.parquet(*paths).withColumn("_file", F.col("_metadata.file_name"))
-        for name in paths:
-            base = name.rsplit("/", 1)[-1]
-            s = Q.quality_summary(df.where(F.col("_file") == base).drop("_file")).select(
-                F.lit(base).alias("source"), "*")
-            out = s if out is None else out.unionByName(s)
-    return out
+    for paths in schema_groups(spark, list_files(spark, sf, "*.parquet")):
+        name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+\.parquet)(/part[^/]*)?$", 1)
+        df = spark.read.parquet(*paths)
+        # a column of the table may be called source, too
+        df = df.select(*[F.col(c).alias(f"{c}_") for c in df.columns], name.alias("source"))
+        one = Q.quality_by(df, "source")
+        out = one if out is None else out.unionByName(one)
+    return out.select("source", "status", "rows", "columns", "duplicate_rows", "outlier_total",
+                      F.round("mean_completeness", R).alias("mean_completeness"),
+                      F.round("mean_uniqueness", R).alias("mean_uniqueness"), "quality_score")
 
 
 @register("run_metrics", with_dirty(
