@@ -14,11 +14,18 @@ group or cross product is ever formed.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.columns import number
+from ..session import reliable_checkpoint, ship_code
 from .ranking import prefix_sums
 
+#: Cells of a distance matrix that a task holds at once.
+_CELLS = 4_000_000
+
 
 def _ranked(both: DataFrame, id_desc: bool) -> DataFrame:
     order = [F.col("_x").asc(), F.col("_recv").asc(), F.col("_id").desc() if id_desc else F.col("_id").asc()]
@@ -58,3 +65,82 @@ def knn_impute_1d(df: DataFrame, target: str, feature: str, id_col: str, k: int
     j = df.join(nearest, df[id_col] == nearest["_id"], "left")
     filled = F.when(present_y, y).otherwise(F.coalesce(F.col("_knn"), F.lit(fallback)))
     return j.select(*[filled.alias(out) if c == target else F.col(c) for c in df.columns])
+
+
+def _tile_neighbours(n_features: int, k: int):
+    """Of a tile's donors, the k nearest of each receiver, by column to fill."""
+    def run(receivers, donors):
+        import numpy as np
+        import pandas as pd
+        found: dict[str, list] = {c: [] for c in ("_id", "_c", "_d", "_did", "_y")}
+        if len(receivers) and len(donors):
+            donors = donors.sort_values("_did", kind="stable")
+            there = np.stack(donors["_x"].to_numpy()).astype(float)
+            names = donors["_did"].to_numpy()
+            step = max(1, _CELLS // len(donors))
+            for a in range(0, len(receivers), step):
+                part = receivers.iloc[a:a + step]
+                here = np.stack(part["_x"].to_numpy()).astype(float)
+                total, shared = np.zeros((len(here), len(there))), np.zeros((len(here), len(there)))
+                for j in range(n_features):
+                    gap = here[:, j, None] - there[None, :, j]
+                    known = ~np.isnan(gap)
+                    total += np.where(known, gap * gap, 0)
+                    shared += known
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    far = np.sqrt(n_features / shared * total)
+                far[shared == 0] = np.inf
+                for c in range(n_features):
+                    rows = np.flatnonzero(np.isnan(here[:, c]))
+                    cols = np.flatnonzero(~np.isnan(there[:, c]))
+                    if not len(rows) or not len(cols):
+                        continue
+                    d = far[np.ix_(rows, cols)]
+                    order = np.argsort(d, axis=1, kind="stable")[:, :k]  # donors come by id: ties by id
+                    near = np.take_along_axis(d, order, axis=1)
+                    at, slot = np.nonzero(np.isfinite(near))
+                    pick = cols[order[at, slot]]
+                    found["_id"].append(part["_id"].to_numpy()[rows[at]])
+                    found["_c"].append(np.full(len(at), c))
+                    found["_d"].append(near[at, slot])
+                    found["_did"].append(names[pick])
+                    found["_y"].append(there[pick, c])
+        return pd.DataFrame({c: np.concatenate(v) if v else [] for c, v in found.items()})
+    return run
+
+
+def knn_impute(df: DataFrame, columns: Sequence[str], id_col: str, k: int = 5, block_rows: int = 20_000) -> DataFrame:
+    """Fill every missing value of ``columns`` with the mean of that column
+    over the k nearest rows that have it (E10, several features).
+
+    The distance is nan-euclidean: over the coordinates that both rows have,
+    scaled up by all over shared ones; ties go by id.  A row that shares no
+    coordinate with any donor gets the column's mean.  ``columns`` come back
+    as doubles; ``id_col`` must be unique.
+
+    Rows to fill and donors are dealt into blocks of about ``block_rows`` by a
+    hash of the id; each pair of blocks is one task's tile, in which numpy
+    computes exact distances a slab at a time and keeps k donors a row and
+    column.  So work is rows to fill times donors, spread over as many tiles
+    as the data needs, and no tile grows with the data."""
+    ship_code()
+    columns = list(columns)
+    x = F.array(*[number(c).cast("double") for c in columns])
+    base = reliable_checkpoint(df.select(F.col(id_col).alias("_id"), x.alias("_x")))
+    gap = F.exists("_x", lambda v: v.isNull())
+    n, holes = base.agg(F.count(F.lit(1)), F.count_if(gap)).first()
+    ids = df.schema[id_col].dataType.simpleString()
+    blocks, parts = max(1, -(-n // block_rows)), max(1, -(-holes // block_rows))
+    spread = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
+    receivers = base.where(gap).select("_id", "_x", F.pmod(F.xxhash64("_id"), F.lit(parts)).cast("int").alias("_p"), spread(blocks).alias("_b"))
+    donors = base.select(F.col("_id").alias("_did"), "_x", F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("int").alias("_b"), spread(parts).alias("_p"))
+    near = (receivers.groupBy("_p", "_b").cogroup(donors.groupBy("_p", "_b"))
+            .applyInPandas(_tile_neighbours(len(columns), k), f"_id {ids}, _c int, _d double, _did {ids}, _y double"))
+    rank = Window.partitionBy("_id", "_c").orderBy("_d", "_did")
+    means = near.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= k).groupBy("_id", "_c").agg(F.avg("_y").alias("_m"))
+    filled = means.groupBy(F.col("_id").alias("_fid")).agg(F.map_from_entries(F.collect_list(F.struct("_c", "_m"))).alias("_f"))
+    whole = df.agg(*[F.avg(number(c).cast("double")) for c in columns]).first()
+    out = df.join(filled, F.col(id_col) == F.col("_fid"), "left")
+    value = {c: F.coalesce(number(c).cast("double"), F.element_at("_f", F.lit(i)), F.lit(whole[i]).cast("double"))
+             for i, c in enumerate(columns)}
+    return out.select(*[value[c].alias(c) if c in value else F.col(c) for c in df.columns])

@@ -424,3 +424,32 @@ def ml_regression_facts(spark, sf):
                  F.min(F.abs(mean - F.col("prediction")) <= 1e-6 * F.abs("prediction")).alias("mean_of_members"),
                  (F.abs(F.max("rmsle") - F.sqrt(F.avg(F.pow(F.log1p("prediction") - F.log1p("l_extendedprice"), 2)))) < 1e-6)
                  .alias("rmsle_agrees"))
+
+
+@register("knn_impute_multi", """
+WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 37 <> 0 THEN p_size::DOUBLE END AS a,
+                  CASE WHEN p_partkey % 41 <> 0 THEN p_retailprice END AS b,
+                  CASE WHEN p_partkey % 43 <> 0 THEN regexp_extract(p_brand, '([0-9]+)', 1)::DOUBLE END AS c FROM part),
+g AS (SELECT r.p_partkey AS id, d.p_partkey AS did, d.a, d.b, d.c, r.a IS NULL AS fa, r.b IS NULL AS fb, r.c IS NULL AS fc,
+             sqrt(3 / nullif((r.a IS NOT NULL AND d.a IS NOT NULL)::INT + (r.b IS NOT NULL AND d.b IS NOT NULL)::INT
+                             + (r.c IS NOT NULL AND d.c IS NOT NULL)::INT, 0)
+                  * (coalesce((r.a - d.a) * (r.a - d.a), 0) + coalesce((r.b - d.b) * (r.b - d.b), 0)
+                     + coalesce((r.c - d.c) * (r.c - d.c), 0))) AS far
+      FROM t r, t d WHERE r.a IS NULL OR r.b IS NULL OR r.c IS NULL),
+n AS (SELECT id, 'a' AS f, a AS y, far, did FROM g WHERE fa AND a IS NOT NULL AND far IS NOT NULL
+      UNION ALL SELECT id, 'b', b, far, did FROM g WHERE fb AND b IS NOT NULL AND far IS NOT NULL
+      UNION ALL SELECT id, 'c', c, far, did FROM g WHERE fc AND c IS NOT NULL AND far IS NOT NULL),
+m AS (SELECT id, f, avg(y) AS y FROM (SELECT *, row_number() OVER (PARTITION BY id, f ORDER BY far, did) AS r FROM n) WHERE r <= 5 GROUP BY id, f)
+SELECT p_partkey, round(coalesce(a, (SELECT y FROM m WHERE id = p_partkey AND f = 'a'), (SELECT avg(a) FROM t)), 6) AS p_size,
+       round(coalesce(b, (SELECT y FROM m WHERE id = p_partkey AND f = 'b'), (SELECT avg(b) FROM t)), 6) AS p_retailprice,
+       round(coalesce(c, (SELECT y FROM m WHERE id = p_partkey AND f = 'c'), (SELECT avg(c) FROM t)), 6) AS brand_no
+FROM t""")
+def knn_impute_multi(spark, sf):
+    """Three features, each missing in some rows, filled at once."""
+    from ..operators.knn import knn_impute
+    p = table(spark, sf, "part")
+    gap = lambda c, m: F.when(F.col("p_partkey") % m != 0, c.cast("double"))
+    t = p.select("p_partkey", gap(F.col("p_size"), 37).alias("p_size"), gap(F.col("p_retailprice"), 41).alias("p_retailprice"),
+                 gap(F.regexp_extract("p_brand", "([0-9]+)", 1), 43).alias("brand_no"))
+    out = knn_impute(t, ["p_size", "p_retailprice", "brand_no"], "p_partkey", k=5, block_rows=500)
+    return out.select("p_partkey", *[F.round(c, R).alias(c) for c in ("p_size", "p_retailprice", "brand_no")])

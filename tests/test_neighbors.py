@@ -96,3 +96,26 @@ def test_many_dimensions_text_labels_and_a_single_row(spark):
     one = knn_classify(df.limit(1), "vid", "emb", "lab", k=3).collect()
     assert [(r.vid, r.lab, r.pred) for r in one] == [(0, "low", None)]
     assert knn_classify(df.limit(0), "vid", "emb", "lab").count() == 0
+
+
+def test_several_features_are_imputed_at_once(spark):
+    from quarry.operators.knn import knn_impute
+    rng = np.random.default_rng(8)
+    x = rng.integers(0, 6, size=(90, 4)).astype(float)
+    x[rng.random(x.shape) < 0.15] = np.nan
+    x[0] = np.nan
+    rows = [(i, *[None if np.isnan(v) and i % 2 else float(v) for v in r], "kept") for i, r in enumerate(x)]
+    df = spark.createDataFrame(rows, "id int, a double, b double, c double, d double, note string")
+    got = {r.id: r for r in knn_impute(df, ["a", "b", "c", "d"], "id", k=3, block_rows=17).collect()}
+    for i, row in enumerate(x):
+        gap = (row - x) ** 2
+        shared = (~np.isnan(gap)).sum(axis=1)
+        with np.errstate(divide="ignore", invalid="ignore"):
+            far = np.sqrt(4 / shared * np.nansum(gap, axis=1))
+        for c in range(4):
+            want = row[c]
+            if np.isnan(want):
+                near = [j for _, j in sorted((far[j], j) for j in range(90) if shared[j] and not np.isnan(x[j, c]))[:3]]
+                want = np.mean(x[near, c]) if near else np.nanmean(x[:, c])
+            assert got[i][1 + c] == pytest.approx(want)
+        assert got[i].note == "kept"
