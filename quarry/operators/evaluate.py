@@ -72,9 +72,8 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
                     F.try_divide(F.col("neg_cum"), F.lit(tot["N"])).alias("fpr"))
 
 
-def rmse(df: DataFrame, label: str, pred: str, log: bool = False) -> DataFrame:
-    """RMSE, or RMSLE with ``log=True``."""
+def rmse(df: DataFrame, label: str, pred: str) -> DataFrame:
+    """RMSE and RMSLE, from one aggregate."""
     y, p = F.col(label).cast("double"), F.col(pred).cast("double")
-    if log:
-        y, p = F.log1p(y), F.log1p(p)
-    return df.agg(F.sqrt(F.avg(F.pow(p - y, 2))).alias("rmsle" if log else "rmse"))
+    return df.agg(F.sqrt(F.avg(F.pow(p - y, 2))).alias("rmse"),
+                  F.sqrt(F.avg(F.pow(F.log1p(p) - F.log1p(y), 2))).alias("rmsle"))

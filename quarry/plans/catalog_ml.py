@@ -168,12 +168,8 @@ def confusion(spark, sf):
 WITH {SCORED_CTE} SELECT round(sqrt(avg(pow(score - quality, 2))), 6) AS rmse,
   round(sqrt(avg(pow(ln(1 + score) - ln(1 + quality), 2))), 6) AS rmsle FROM scored""")
 def rmse(spark, sf):
-    s = scored_labels(table(spark, sf, "labels"))
-    a = V.rmse(s, "quality", "score").select(F.round("rmse", R).alias("rmse"))
-    b = V.rmse(s, "quality", "score", log=True).select(F.round("rmsle", R).alias("rmsle"))
-    both = a.select("rmse", F.lit(None).cast("double").alias("rmsle")).unionByName(
-        b.select(F.lit(None).cast("double").alias("rmse"), "rmsle"))
-    return both.agg(F.max("rmse").alias("rmse"), F.max("rmsle").alias("rmsle"))
+    r = V.rmse(scored_labels(table(spark, sf, "labels")), "quality", "score")
+    return r.select(F.round("rmse", R).alias("rmse"), F.round("rmsle", R).alias("rmsle"))
 
 
 # Leave-one-out distance-weighted KNN (k=15, Euclidean) over embeddings.

@@ -110,6 +110,8 @@ def right_size(df: DataFrame, rows_per_partition: int = 100_000) -> DataFrame:
     ``rows_per_partition`` rows per partition.  Iterative jobs (model
     fitting) launch one task per partition per iteration, so a small
     training table should not keep the shuffle-partition count; a large one
-    keeps its partitions (coalesce never adds any)."""
+    keeps its partitions (coalesce never adds any).  Models that sample rows
+    per partition (bagging, subsampling) are reproducible for a table written
+    the same way, not across partitionings."""
     n = df.count()
     return df.coalesce(max(1, -(-n // rows_per_partition)))
