@@ -168,8 +168,9 @@ def _answer(table: pa.Table) -> pa.Table:
     known, at = np.unique(np.concatenate(keys), return_inverse=True)
     kind = np.repeat(np.array(parts), sizes)
     amount = np.concatenate(counts).astype(np.float64)
-    retained = np.bincount(at, amount * (kind == RETAINED), len(known)).astype(np.uint32)
-    everything = np.bincount(at, amount, len(known)).astype(np.uint32)
+    # over all chunks a key may pass 2**32; doubles are whole up to 2**53
+    retained = np.bincount(at, amount * (kind == RETAINED), len(known)).astype(np.uint64)
+    everything = np.bincount(at, amount, len(known)).astype(np.uint64)
     single = (known & np.uint64(1) == 0) & (known != BEGIN)
     stats = [int(f(c[single])) for c in (everything, retained) for f in (lambda x: x.sum(dtype=np.int64), np.count_nonzero)]
     ends = np.cumsum(sizes)
@@ -188,7 +189,7 @@ def _token_counts(tokens: Tokens, answers: pa.Table, column: str) -> tuple[np.nd
     keys, _ = tokens.keys()
     order = np.argsort(answers.column("range").to_numpy())
     blobs = answers.column(column).to_pylist()
-    counts = np.concatenate([unplanes(blobs[i], np.uint32) for i in order]).astype(np.float64)
+    counts = np.concatenate([unplanes(blobs[i], np.uint64) for i in order]).astype(np.float64)
     if len(counts) != len(keys):
         raise RuntimeError("answers do not fit the chunk")
     one = counts[np.searchsorted(keys, tokens.ids)]

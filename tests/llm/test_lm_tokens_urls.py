@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
@@ -109,6 +110,22 @@ def test_planes_round_trip():
     assert len(lm.unplanes(lm.planes(np.zeros(0, np.uint64)), np.uint64)) == 0
 
 
+def test_counts_past_32_bits():
+    """Corpus-wide counts of a key over 2**32 stay whole, there and back."""
+    tokens = lm.Tokens([b"a b"])
+    keys, _ = tokens.keys()
+    most = 3_000_000_000
+    asked = pa.table({"chunk": ["x", "y"], "part": pa.array([lm.RETAINED, lm.DELETED], pa.int32()),
+                      "range": pa.array([0, 0], pa.int32()), "keys": [lm.planes(keys)] * 2,
+                      "counts": [lm.planes(np.full(len(keys), most, np.uint32))] * 2})
+    answers = lm._answer(asked)
+    stats = answers.to_pylist()[-1]
+    assert (stats["n_all"], stats["v_all"], stats["n_retained"], stats["v_retained"]) == (6 * most, 3, 3 * most, 3)
+    for column, want in (("all", 2 * most), ("retained", most)):
+        for counts in lm._token_counts(tokens, answers.slice(1, 1), column):
+            assert set(counts.tolist()) == {want}
+
+
 # -- token counts ------------------------------------------------------------
 
 TEXTS = ["Hello world", "", None, "Hello world", "<|endoftext|> in text", "é ß 漢字 🙂", "x" * 100_000, "a  b\n\n c\t"]
