@@ -6,12 +6,14 @@ that the expected size meets the target.  Its whole part is allocated for
 certain; the fraction ``p`` is the inclusion probability of one more copy.
 For those, documents are ranked by random odds over inclusion odds,
 ``(u / (1 - u)) / (p / (1 - p))``, and taken in rank order up to the size
-that is left (Pareto order sampling with a fixed size).
+that is left (Pareto order sampling with a fixed size).  A document that
+exceeds what is left is passed over, and smaller ones after it still come.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,9 +71,53 @@ def copies_per_measure(levels: DataFrame, cap: float) -> DataFrame:
     return rows.withColumn("c", F.coalesce(F.max("c").over(whole), F.lit(0.0)))
 
 
+def further_fits(later: DataFrame, gaps: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``uid, skey`` of the documents that still fit when the rank order is gone down
+    to its end, and the gaps after them, from ``skey, uid, size, upto`` of the
+    documents not taken and ``skey, gap``.
+
+    A round takes, per source, the documents that fit singly up to the first
+    that no longer fits; what it passes over is larger than the gap from then
+    on.  Every round narrows the gap of each source that it has rows of, and
+    the rounds end when no document fits."""
+    found, left = [], later.where("size > 0")
+    while True:
+        fits = left.join(gaps, "skey").where("size <= gap")
+        sums = materialise(prefix_sums(fits, ["skey", "upto"], ["size"]), "mix-fits")
+        if sums.isEmpty():
+            break
+        start = size_checked(sums.groupBy("skey").agg(F.min(F.col("size_cum") - F.col("size")).alias("start")))
+        run = F.col("size_cum") - F.col("start")
+        rows = sums.join(start, "skey")
+        found.append(rows.where(run <= F.col("gap")).select("uid", "skey"))
+        got = rows.where(run <= F.col("gap")).groupBy("skey").agg(F.max(run).alias("got"))
+        gaps = size_checked(gaps.join(got, "skey", "left").select("skey", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap")))
+        left = rows.where(run > F.col("gap")).select("skey", "uid", "size", "upto")
+    if not found:
+        return later.select("uid", "skey").limit(0), gaps
+    return materialise(reduce(DataFrame.unionByName, found), "mix-further"), gaps
+
+
+def nearest_singles(rest: DataFrame, gaps: DataFrame, rounds: int) -> tuple[DataFrame, DataFrame]:
+    """``uid, skey`` of up to ``rounds`` documents per source whose size is
+    nearest to its gap, if that narrows it, and the gaps after them."""
+    found = rest.select("uid", "skey").limit(0)
+    for _ in range(rounds):
+        off = F.abs(F.col("size") - F.col("gap"))
+        near = (rest.join(gaps, "skey").where(off < F.abs("gap")).groupBy("skey")
+                .agg(F.min_by(F.struct("uid", "size"), F.struct(off, F.col("q"), F.col("upto"))).alias("one")))
+        near = size_checked(near.select("skey", "one.uid", "one.size"))
+        found = found.unionByName(near.select("uid", "skey"))
+        gaps = size_checked(gaps.join(near.select("skey", F.col("size").alias("got")), "skey", "left")
+                            .select("skey", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap")))
+        rest = rest.join(near.select("uid"), "uid", "left_anti")
+    return found, gaps
+
+
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
         weights: Sequence[int] = (3, 1, 2), share: float = 1.5, cap: float = 2.0, measure: Column | None = None,
-        seed: int = 17, fill_rounds: int = 2, carry: bool = False) -> DataFrame:
+        seed: int = 17, fill_rounds: int = 2, carry: bool = False,
+        descend: bool = True) -> DataFrame:
     """Documents with the number of copies that a mix takes of each.
 
     Returns one row per input row: ``id, size`` (words), ``source_size``,
@@ -81,12 +127,14 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     1, so that short fragments have half the odds); it may be built from the
     columns ``id``, ``size`` and ``source``.
 
-    Sampling ends where the next document in rank order would exceed the
-    size that is left; then up to ``fill_rounds`` single documents whose size
-    is nearest to the remaining gap are added, if that narrows it.
+    Sampling goes down the rank order and passes over documents that exceed
+    the size that is left; then up to ``fill_rounds`` single documents whose
+    size is nearest to the remaining gap are added, if that narrows it.
+    Without ``descend``, and in sources whose target it does not come nearer
+    to, sampling ends at the first document that exceeds it.
 
     A null text has size 0; documents of size 0 are sampled like others but
-    count nothing.  A null source is a source of its own, the last.  Null or
+    count nothing, and none is taken after the first one passed over.  A null source is a source of its own, the last.  Null or
     equal ids share their random number; ties go by size and then at will
     among rows that are alike.  A source of size 0 has target 0.  An empty
     table gives no rows.  Only the named columns are looked at.
@@ -122,15 +170,16 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     gaps = size_checked(order.groupBy("skey").agg((F.first("left") - F.coalesce(
         F.max(F.when(inside, F.col("upto"))), F.lit(0))).alias("gap")))
     rest = order.where(~inside).select("uid", "skey", "size", "q", "upto")
-    for _ in range(fill_rounds):
-        off = F.abs(F.col("size") - F.col("gap"))
-        near = (rest.join(gaps, "skey").where(off < F.abs("gap")).groupBy("skey")
-                .agg(F.min_by(F.struct("uid", "size"), F.struct(off, F.col("q"), F.col("upto"))).alias("one")))
-        near = size_checked(near.select("skey", "one.uid", "one.size"))
-        chosen = chosen.unionByName(near.select("uid"))
-        gaps = size_checked(gaps.join(near.select("skey", F.col("size").alias("got")), "skey", "left")
-                            .select("skey", (F.col("gap") - F.coalesce("got", F.lit(0))).alias("gap")))
-        rest = rest.join(near.select("uid"), "uid", "left_anti")
+    singles, ends = nearest_singles(rest, gaps, fill_rounds)
+    if descend:
+        # go on down the order, except where the singles alone come nearer
+        further, deeper = further_fits(rest.drop("q"), gaps)
+        last, deeper = nearest_singles(rest.join(further, "uid", "left_anti"), deeper, fill_rounds)
+        both = ends.join(deeper.withColumnRenamed("gap", "deep"), "skey")
+        nearer = size_checked(both.select("skey", (F.abs("deep") <= F.abs("gap")).alias("down")))
+        more = [further.withColumn("way", F.lit(True)), last.withColumn("way", F.lit(True)), singles.withColumn("way", F.lit(False))]
+        singles = reduce(DataFrame.unionByName, more).join(nearer, "skey").where("way = down")
+    chosen = chosen.unionByName(singles.select("uid"))
     rows = base.join(plan, ["skey", "measure"]).join(chosen.withColumn("more", F.lit(1)), "uid", "left")
     out = rows.withColumn("copies", (F.col("whole") + F.coalesce("more", F.lit(0))).cast("long"))
     return out.select(*(["row"] if carry else []), "id", "size", "source_size", "target", "copies",

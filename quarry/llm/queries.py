@@ -27,7 +27,8 @@ TOKENIZER = "byte_bpe_50k.json"
 
 
 def op1_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mix(read_table(spark, sf_dir, "documents"))
+    # the SQL ends sampling at the first document that exceeds what is left
+    out = mix(read_table(spark, sf_dir, "documents"), descend=False)
     return out.select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken")
 
 

@@ -1,10 +1,14 @@
 """Source mixing: targets by water filling, sizes, caps, reruns, odd rows."""
 
+import hashlib
+import math
+import random
 import re
 import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.llm.common import read_table
 from quarry.llm.mixing import mix
@@ -66,6 +70,46 @@ def test_inclusion_odds_follow_the_measure(spark):
     assert mean[60] == pytest.approx(2 * mean[30], rel=0.2)
 
 
+def test_a_long_text_at_the_crossing_leaves_no_gap(spark):
+    """One text of 30 % of the source, 70 short ones, half of all wanted."""
+    rows = [(i, "w " * (1500 if i == 0 else 50), "a") for i in range(71)]
+    rank = lambda seed: sorted(range(71), key=lambda i: hashlib.md5(f"{seed}:{i}".encode()).hexdigest()[:13])
+    seed = next(s for s in range(1000) if 25 <= rank(s).index(0) <= 35)  # 20 to 50: the long text is the one at the crossing
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = mix(docs, share=0.5, weights=(1,), seed=seed).collect()
+    assert abs(sum(r.taken for r in got) - 2500) <= 25
+    assert {r.id for r in got if r.copies} == set([i for i in rank(seed) if i][:50])
+
+
+def test_descent_against_a_replay(spark):
+    """All of one measure, so that the rank order is that of the uniforms."""
+    rng = random.Random(6)
+    sizes = {i: rng.choice([3, 40, 200, 900, 5000]) + rng.randrange(40) for i in range(240)}
+    docs = spark.createDataFrame([(i, "w " * n, f"s{i % 4}") for i, n in sizes.items()], "doc_id long, text string, source string")
+    got = {r.id: r for r in mix(docs, measure=F.lit(1)).collect()}
+    for k in range(4):
+        own = sorted((i for i in sizes if i % 4 == k), key=lambda i: hashlib.md5(f"17:{i}".encode()).hexdigest()[:13])
+        target, total = got[own[0]].target, sum(sizes[i] for i in own)
+        whole = math.floor(min(target / total, 2.0))
+        short = target - whole * total if target / total < 2 else 0
+        tries = []
+        for descend in (True, False):
+            gap, want, over = short, set(), False
+            for i in own:
+                over = over or sizes[i] > gap
+                if sizes[i] <= gap and (descend or not over):
+                    want.add(i)
+                    gap -= sizes[i]
+            for _ in range(2):
+                near = min((abs(sizes[i] - gap), n, i) for n, i in enumerate(own) if i not in want)
+                if near[0] < abs(gap):
+                    want.add(near[2])
+                    gap -= sizes[near[2]]
+            tries.append((abs(gap), want))
+        want = dict.fromkeys(min(tries, key=lambda x: x[0])[1], 1)
+        assert {i: got[i].copies - whole for i in own} == {i: want.get(i, 0) for i in own}
+
+
 def test_odd_rows(spark):
     rows = [(1, "a b c", "x", 9), (1, "a b c", "x", 9), (None, None, None, 9), (2, "", None, 9), (3, "one two", None, 9),
             (4, "z " * 5000, "x", 9), (5, "q", "emptyé", 9), (6, None, "nothing", 9)]
