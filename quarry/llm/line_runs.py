@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from .common import ascii_lower, col, doc_key, materialise, row_struct, scratch_path
 
@@ -78,14 +79,18 @@ class LineRuns:
 
 
 def _batches(docs: DataFrame, id_col: str, n: int) -> list[Column]:
-    """Conditions on ``id`` that cut the table into ranges of falling id, nulls last."""
+    """Conditions on ``id`` that cut the table into ranges of falling id, nulls last.
+
+    Only numbers are cut: as doubles, other ids fail or come in another order."""
+    if not isinstance(docs.schema[id_col].dataType, NumericType):
+        return [F.lit(True)]
     cuts = sorted(set(docs.select(col(id_col).cast("double").alias("id")).approxQuantile(
         "id", [i / n for i in range(1, n)], 0.01)), reverse=True) if n > 1 else []
     value = F.col("id").cast("double")
     if not cuts:
         return [F.lit(True)]
     return ([value > cuts[0]] + [(value <= a) & (value > b) for a, b in zip(cuts, cuts[1:])]
-            + [(value <= cuts[-1]) | F.col("id").isNull()])
+            + [(value <= cuts[-1]) | value.isNull()])
 
 
 def dropped_keys(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_length: int = 40,
@@ -115,8 +120,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     A null or empty text is one empty line, and so is what stays of a text
     that loses every line.  Each row counts as a document; rows that share
     the largest id all keep their lines.  Null ids count as the smallest; if
-    all holders have null ids they all keep it.  Ids are cut into batches as
-    numbers; ids that are not numbers form one batch.  An empty table gives
+    all holders have null ids they all keep it.  Ids of a number type
+    are cut into batches; others form one batch, in their own order.  An empty table gives
     no rows.  Other columns are only carried.
     """
     gone = dropped_keys(docs, id_col, text_col, min_length, min_docs, batches, fanout)

@@ -53,6 +53,15 @@ def test_odd_texts(spark):
     assert run(spark, nulls)[0] == brute(nulls) and run(spark, nulls)[0][0][2] == 0
 
 
+def test_ids_that_are_not_numbers(spark):
+    """Text ids, all or some of them digits: largest in their own order."""
+    for ids in ([f"doc-{i}" for i in range(12)], [str(i) for i in range(12)], [*"abcdef", "7", "10", "9", None]):
+        rows = [(i, f"{LONG}\n{LONG}{n % 2}") for n, i in enumerate(ids)]
+        docs = spark.createDataFrame(rows, "doc_id string, text string")
+        got = [(r.id, r.n_lines, r.n_dropped, r.kept) for r in dedup_lines(docs).collect()]
+        assert sorted(got, key=str) == brute(rows)
+
+
 def test_levels_and_unseen(spark):
     store = LineRuns(spark, scratch_path(spark, "runs-test"), fanout=2)
     for batch in range(5):
