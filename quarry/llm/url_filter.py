@@ -78,15 +78,32 @@ def link_targets(html: Column) -> Column:
     return F.array_distinct(F.array_remove(F.concat(F.transform(links, lambda t: _attribute(t, "href")), moved), ""))
 
 
+def without_dots(url: Column) -> Column:
+    """The URL with the ``.`` and ``..`` segments of its path resolved."""
+    parts = r"(?s)^(.*?://[^/?#]*)([^?#]*)(.*)$"
+    steps = F.split(F.regexp_extract(url, parts, 2), "/")
+    # a dot at the end stands for a folder
+    steps = F.concat(steps, F.when(F.element_at(steps, -1).isin(".", ".."), F.array(F.lit(""))).otherwise(
+        F.array().cast("array<string>")))
+    # the first step is the empty one before the first slash; it stays
+    kept = F.aggregate(steps, F.array().cast("array<string>"), lambda done, x: F.when(x == ".", done).when(
+        x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(1)))).otherwise(F.concat(done, F.array(x))))
+    return F.when(url.rlike(r"(?s)^.*?://[^/?#]*/([^?#]*/)?\.\.?([/?#]|$)"), F.concat(
+        F.regexp_extract(url, parts, 1), F.array_join(kept, "/"), F.regexp_extract(url, parts, 3))).otherwise(url)
+
+
 def absolute(target: Column, base: Column) -> Column:
-    """A link target against the URL of its page."""
+    """A link target against the URL of its page, without dot segments."""
     scheme = F.regexp_extract(base, r"(?s)^(.*?)://", 1)
     site = F.regexp_extract(base, r"(?s)^(.*?://[^/?#]*)", 1)
     folder = F.regexp_extract(path_of(base), r"(?s)^(.*/)[^/]*$", 1)
-    return (F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
-            .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
-            .when(F.startswith(target, F.lit("/")), F.concat(site, target))
-            .otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), target)))
+    return without_dots(
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
+        .when(F.startswith(target, F.lit("/")), F.concat(site, target))
+        .when(F.startswith(target, F.lit("?")), F.concat(site, path_of(base), target))
+        .when(F.startswith(target, F.lit("#")), F.concat(F.regexp_replace(base, r"(?s)#.*$", ""), target))
+        .otherwise(F.concat(site, F.when(folder == "", F.lit("/")).otherwise(folder), target)))
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url",

@@ -190,3 +190,24 @@ def test_absolute_targets(spark):
     cases = [("http://o.org/", "http://o.org/"), ("//o.org/z", "https://o.org/z"), ("/z", "https://h.org/z"), ("z", "https://h.org/a/z")]
     frame = spark.createDataFrame([(t, base) for t, _ in cases], "t string, b string")
     assert [r.u for r in frame.select(absolute(frame.t, frame.b).alias("u")).collect()] == [w for _, w in cases]
+
+
+def test_absolute_targets_with_dots_and_queries(spark):
+    base = "https://h.org/a/b/c?x#y"
+    cases = [("?page=2", "https://h.org/a/b/c?page=2"), ("#z", "https://h.org/a/b/c?x#z"), ("./z", "https://h.org/a/b/z"),
+             ("../z", "https://h.org/a/z"), ("../../../z", "https://h.org/z"), ("..", "https://h.org/a/"), (".", "https://h.org/a/b/"),
+             ("/p/./q/../r?u=/../v", "https://h.org/p/r?u=/../v"), ("//o.org/../z", "https://o.org/z"), ("z?u=../v", "https://h.org/a/b/z?u=../v"),
+             ("http://o.org/a/../b#/./", "http://o.org/b#/./"), ("..z/.q", "https://h.org/a/b/..z/.q"), ("x//../y", "https://h.org/a/b/x/y")]
+    frame = spark.createDataFrame([(t, base) for t, _ in cases], "t string, b string")
+    assert [r.u for r in frame.select(absolute(frame.t, frame.b).alias("u")).collect()] == [w for _, w in cases]
+    bare = spark.createDataFrame([("?q", "https://h.org"), ("../z", "https://h.org")], "t string, b string")
+    assert [r.u for r in bare.select(absolute(bare.t, bare.b).alias("u")).collect()] == ["https://h.org?q", "https://h.org/z"]
+
+
+def test_a_block_reaches_relative_names(spark):
+    pages = [(1, "https://a.example.net/es/x/1", "<link rel=canonical href='../../free'>"), (2, "https://a.example.net/free", None),
+             (3, "https://a.example.net/fr/y", "<link rel=canonical href='../y/?p=2'>"),
+             (4, "https://a.example.net/y?p=2", None), (5, "https://b.example.net/list", "<link rel=canonical href='?p=3'>"),
+             (6, "https://b.example.net/list?p=3", "<link rel=canonical href='./es/../es/'>")]
+    frame = spark.createDataFrame(pages, "page_id long, url string, html string")
+    assert {r.id: r.verdict for r in judge_urls(frame, URL_RULES).collect()} == dict.fromkeys(range(1, 7), "block")
