@@ -87,7 +87,7 @@ def _head(page_id, url, n_bytes, digest, record_type, first_id, date: str) -> by
              "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha256:{digest}",
              f"WARC-Payload-Length: {n_bytes}", f"Content-Length: {len(HTTP) + (0 if revisit else n_bytes)}"]
     if url is not None:
-        lines.append("WARC-Target-URI: " + quote(url, safe="!#$%&'()*+,/:;=?@[]~"))
+        lines.append("WARC-Target-URI: " + quote(url, safe="!#$&'()*+,/:;=?@[]~"))
     if revisit:
         lines += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: <{record_id(first_id, digest)}>"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n"

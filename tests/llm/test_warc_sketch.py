@@ -48,6 +48,14 @@ def test_round_trip_in_chunks(spark):
     assert warc.round_trip(frame.limit(0)).count() == 0
 
 
+def test_urls_with_escapes_come_back(spark):
+    urls = ["http://a/a%20b", "http://a/%2F?x=%25", "http://a/100%", "http://a/a b", "http://a/é%C3%A9"]
+    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").selectExpr("*", "'p' AS html")
+    folder = scratch_path(spark, "warc-escapes")
+    rows = warc.read_warc(warc.write_warc(frame, folder), folder).collect()
+    assert {int(r.page_id): r.url for r in rows} == dict(enumerate(urls))
+
+
 def test_reader_refuses_cut_archives():
     head = warc._head("1", "u", 10, hashlib.sha256(b"0123456789").hexdigest(), "response", None, "2024-01-01T00:00:00Z")
     whole = head + warc.HTTP + b"0123456789\r\n\r\n"
