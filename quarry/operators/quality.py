@@ -100,25 +100,41 @@ def numeric_stats(df: DataFrame, columns: Sequence[str] | None = None) -> DataFr
     return one.select(F.inline(cells))
 
 
+def ten_thousandths(part: Column, whole: Column) -> Column:
+    """``part / whole`` in ten-thousandths, rounded to the nearest; ties go up.
+
+    Integer arithmetic on the counts, so that the result depends neither on
+    how the quotient is stored in binary nor on its decimal text (exact up
+    to 4e14 rows).  NULL where ``whole`` is 0."""
+    part, whole = part.cast("bigint"), whole.cast("bigint")
+    return F.call_function("div", part * 20_000 + whole, F.nullif(whole * 2, F.lit(0)))
+
+
+def _share(part: Column, whole: Column) -> Column:
+    """The rounded share as a double with four decimals."""
+    return ten_thousandths(part, whole) / F.lit(10_000.0)
+
+
 def completeness(df: DataFrame) -> DataFrame:
-    """``(column, completeness)`` = round(1 - missing fraction, 4), half-even."""
+    """``(column, completeness)``: share of present values, four decimals,
+    ties up (:func:`ten_thousandths`)."""
     cols = df.columns
     n = F.count(F.lit(1))
-    one = df.agg(*[F.bround(1 - F.try_divide(F.count_if(missing(df, c)), n), 4).alias(c) for c in cols])
+    one = df.agg(*[_share(n - F.count_if(missing(df, c)), n).alias(c) for c in cols])
     return _long(one, cols, "completeness", "double")
 
 
 def uniqueness(df: DataFrame, approx: bool = False) -> DataFrame:
-    """``(column, uniqueness)`` = round(distinct non-missing / rows, 4); 1.0 if empty."""
+    """``(column, uniqueness)``: distinct non-missing values over rows, four
+    decimals, ties up (:func:`ten_thousandths`); 1.0 if empty."""
     cols = df.columns
     if approx:
         n = F.count(F.lit(1))
-        aggs = [F.when(n == 0, F.lit(1.0)).otherwise(F.bround(F.try_divide(F.approx_count_distinct(
-            F.when(~missing(df, c), F.col(c))), n), 4)).alias(c) for c in cols]
+        aggs = [F.coalesce(_share(F.approx_count_distinct(F.when(~missing(df, c), F.col(c))), n), F.lit(1.0)).alias(c)
+                for c in cols]
         return _long(df.agg(*aggs), cols, "uniqueness", "double")
-    rows = df.count()
-    share = F.lit(1.0) if rows == 0 else F.bround(F.col("_d") / F.lit(rows), 4)
-    return _distinct_per_column(df, cols).select("column_name", share.cast("double").alias("uniqueness"))
+    share = F.coalesce(_share(F.col("_d"), F.lit(df.count())), F.lit(1.0))
+    return _distinct_per_column(df, cols).select("column_name", share.alias("uniqueness"))
 
 
 @dataclass
@@ -161,12 +177,25 @@ def iqr_outliers(df: DataFrame, columns: Sequence[str] | None = None, factor: fl
     return _long(one, [b.column for b in bounds], "outliers", "bigint").where("outliers > 0")
 
 
-def duplicate_groups(df: DataFrame) -> DataFrame:
-    """Equal-row groups with their multiplicity ``_n`` (NULLs compare equal).
+def _wide(t: T.DataType) -> bool:
+    return isinstance(t, (T.StringType, T.BinaryType, T.ArrayType, T.StructType))
 
-    A hot duplicate value is combined map-side before the shuffle.
-    """
-    return df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias("_n"))
+
+def duplicate_groups(df: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Equal-row groups with their multiplicity ``_n`` (NULLs compare equal),
+    with the columns ``by``.
+
+    A hot duplicate value is combined map-side before the shuffle.  Texts,
+    arrays and structs do not travel: where a table has any, a row's key is
+    four 64-bit hashes of all its columns, taken with four seeds (which
+    columns are NULL is hashed, too); the chance that any two of 1e12
+    different rows meet in all 256 bits is below 1e-50."""
+    cols = [F.col(f"`{c}`") for c in df.columns]
+    if not any(_wide(f.dataType) for f in df.schema):
+        return df.groupBy(*cols).agg(F.count(F.lit(1)).alias("_n"))
+    null_at = F.concat(*[F.when(c.isNull(), "1").otherwise("0") for c in cols])
+    key = [F.xxhash64(F.lit(seed), null_at, *cols).alias(f"_k{seed}") for seed in range(4)]
+    return df.select(*by, *key).groupBy(*by, *[f"_k{i}" for i in range(4)]).agg(F.count(F.lit(1)).alias("_n"))
 
 
 def duplicate_rows(df: DataFrame) -> DataFrame:
@@ -175,23 +204,33 @@ def duplicate_rows(df: DataFrame) -> DataFrame:
         F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicate_rows"))
 
 
-def quality_score_expr(mean_completeness: Column, mean_uniqueness: Column,
+def quality_score_expr(completeness_parts: Column, uniqueness_parts: Column, n_columns: int,
                        duplicates: Column, outliers_total: Column) -> Column:
-    """40*completeness + 20*uniqueness + duplicate part + outlier part, 1 decimal."""
-    dup_part = F.when(duplicates == 0, F.lit(20.0)).otherwise(
-        F.greatest(F.lit(0.0), 20.0 - duplicates * 2.0))
-    out_part = F.when(outliers_total == 0, F.lit(20.0)).otherwise(
-        F.greatest(F.lit(0.0), 20.0 - outliers_total.cast("double")))
-    return F.bround(mean_completeness * 40.0 + mean_uniqueness * 20.0 + dup_part + out_part, 1)
+    """40*completeness + 20*uniqueness + duplicate part + outlier part,
+    one decimal, ties up.
+
+    The first two are means over the columns, given as sums of
+    ten-thousandths, so the rounding works on integers."""
+    dup_part = F.greatest(F.lit(0).cast("bigint"), F.lit(20).cast("bigint") - duplicates * 2)
+    out_part = F.greatest(F.lit(0).cast("bigint"), F.lit(20).cast("bigint") - outliers_total)
+    means = F.call_function("div", completeness_parts * 8 + uniqueness_parts * 4 + F.lit(100 * n_columns),
+                            F.lit(200 * n_columns))
+    return (means + (dup_part + out_part) * 10) / F.lit(10.0)
 
 
 def _completeness_at(i: int) -> Column:
-    return F.bround(1 - F.try_divide(F.col(f"_m{i}"), F.col("_rows")), 4)
+    return ten_thousandths(F.col("_rows") - F.col(f"_m{i}"), F.col("_rows"))
 
 
 def _uniqueness_at(i: int) -> Column:
-    return F.when(F.col("_rows") == 0, F.lit(1.0)).otherwise(
-        F.bround(F.try_divide(F.col(f"_d{i}"), F.col("_rows")), 4))
+    return F.coalesce(ten_thousandths(F.col(f"_d{i}"), F.col("_rows")), F.lit(10_000))
+
+
+def _means(n_columns: int) -> tuple[Column, Column, Column, Column]:
+    """Sums of the columns' completeness and uniqueness, and both means."""
+    comp = sum((_completeness_at(i) for i in range(n_columns)), F.lit(0))
+    uniq = sum((_uniqueness_at(i) for i in range(n_columns)), F.lit(0))
+    return comp, uniq, comp / F.lit(10_000.0 * n_columns), uniq / F.lit(10_000.0 * n_columns)
 
 
 def _measured(df: DataFrame, method: str) -> tuple[DataFrame, list[IqrBounds]]:
@@ -226,11 +265,7 @@ def _measured(df: DataFrame, method: str) -> tuple[DataFrame, list[IqrBounds]]:
 
 def _summary_of(one: DataFrame, cols: Sequence[str], bounds: list[IqrBounds]) -> DataFrame:
     rows = F.col("_rows")
-    if cols:
-        comp = sum(_completeness_at(i) for i in range(len(cols))) / len(cols)
-        uniq = sum(_uniqueness_at(i) for i in range(len(cols))) / len(cols)
-    else:
-        comp = uniq = F.lit(None).cast("double")
+    comp, uniq, mean_comp, mean_uniq = _means(len(cols)) if cols else [F.lit(None).cast("bigint")] * 4
     ot = sum((F.col(f"_o{j}") for j in range(len(bounds))), F.lit(0)).cast("bigint")
     empty = rows == 0
     return one.select(
@@ -239,10 +274,10 @@ def _summary_of(one: DataFrame, cols: Sequence[str], bounds: list[IqrBounds]) ->
         F.when(empty, F.lit(0)).otherwise(F.lit(len(cols))).cast("int").alias("columns"),
         F.col("dups").alias("duplicate_rows"),
         ot.alias("outlier_total"),
-        comp.alias("mean_completeness"),
-        uniq.alias("mean_uniqueness"),
+        mean_comp.cast("double").alias("mean_completeness"),
+        mean_uniq.cast("double").alias("mean_uniqueness"),
         F.when(empty, F.lit(None).cast("double"))
-         .otherwise(quality_score_expr(comp, uniq, F.col("dups"), ot))
+         .otherwise(quality_score_expr(comp, uniq, max(1, len(cols)), F.col("dups"), ot))
          .alias("quality_score"))
 
 
@@ -265,8 +300,8 @@ def quality_report(df: DataFrame, method: str = "exact") -> DataFrame:
     num = set(numeric_columns(df))
     cells = []
     for i, c in enumerate(df.columns):
-        cells.append((c, "completeness", _completeness_at(i)))
-        cells.append((c, "uniqueness", _uniqueness_at(i)))
+        cells.append((c, "completeness", _completeness_at(i) / F.lit(10_000.0)))
+        cells.append((c, "uniqueness", _uniqueness_at(i) / F.lit(10_000.0)))
         if c in num:
             cells += [(c, "min", F.col(f"_min{i}")), (c, "max", F.col(f"_max{i}")),
                       (c, "mean", F.col(f"_mean{i}")), (c, "std", F.col(f"_std{i}")),
@@ -294,7 +329,7 @@ def quality_by(df: DataFrame, by: str, method: str = "exact") -> DataFrame:
     num = [c for c in numeric_columns(df) if c != by]
     key = F.col(by)
     parts = [df.groupBy(by).agg(F.count(F.lit(1)).alias("_rows"), *[F.count_if(missing(df, c)).alias(f"_m{i}") for i, c in enumerate(cols)]),
-             duplicate_groups(df).groupBy(by).agg(F.sum(F.col("_n") - 1).cast("bigint").alias("dups"))]
+             duplicate_groups(df, [by]).groupBy(by).agg(F.sum(F.col("_n") - 1).cast("bigint").alias("dups"))]
     for i, c in enumerate(cols):
         values = df.where(~missing(df, c)).select(by, F.col(f"`{c}`").alias("v")).distinct()
         parts.append(values.groupBy(by).agg(F.count(F.lit(1)).alias(f"_d{i}")))
@@ -314,13 +349,12 @@ def quality_by(df: DataFrame, by: str, method: str = "exact") -> DataFrame:
     one = both.groupBy(by).agg(*[F.max(c).alias(c) for c in both.columns if c != by])
     one = one.select(by, "_rows", "dups", *[F.coalesce(F.col(c), F.lit(0)).alias(c) for c in one.columns if c not in (by, "_rows", "dups")],
                      *([] if num else [F.lit(0).alias("_o")]))
-    comp = sum(_completeness_at(i) for i in range(len(cols))) / len(cols)
-    uniq = sum(_uniqueness_at(i) for i in range(len(cols))) / len(cols)
+    comp, uniq, mean_comp, mean_uniq = _means(len(cols))
     total = F.col("_o").cast("bigint")
     return one.select(by, F.lit("ok").alias("status"), F.col("_rows").cast("bigint").alias("rows"),
                       F.lit(len(cols)).cast("int").alias("columns"), F.col("dups").alias("duplicate_rows"), total.alias("outlier_total"),
-                      comp.alias("mean_completeness"), uniq.alias("mean_uniqueness"),
-                      quality_score_expr(comp, uniq, F.col("dups"), total).alias("quality_score"))
+                      mean_comp.alias("mean_completeness"), mean_uniq.alias("mean_uniqueness"),
+                      quality_score_expr(comp, uniq, len(cols), F.col("dups"), total).alias("quality_score"))
 
 
 def run_report(df: DataFrame, method: str = "exact") -> dict:

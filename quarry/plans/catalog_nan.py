@@ -35,7 +35,7 @@ def nan_outliers(spark, sf):
 @register("nan_quality", f"""{MASKED},
 q AS ({iqr_sql('m', ['event_id', 'user_id', 'value'])})
 SELECT count(*) AS rows, CAST((SELECT coalesce(sum(outliers), 0) FROM q) AS BIGINT) AS outlier_total,
-       round((3 + round_even(count(value) / count(*), 4)) / 4, 6) AS mean_completeness FROM m""")
+       round((30000 + (20000 * count(value) + count(*)) // (2 * count(*))) / 40000.0, 6) AS mean_completeness FROM m""")
 def nan_quality(spark, sf):
     out = Q.quality_summary(_noisy(spark, sf))
     return out.select("rows", "outlier_total", F.round("mean_completeness", R).alias("mean_completeness"))

@@ -10,7 +10,7 @@ from . import metrics
 from .fixtures import DIRTY_CTE, dirty_orders
 from .registry import register, table
 from .sqlgen import (DIRTY_COLUMNS, DIRTY_DOUBLE, DIRTY_NUMERIC, iqr_sql, missing_sql,
-                     union_per_column, with_dirty)
+                     ten_thousandths_sql, union_per_column, with_dirty)
 
 R = 6  # decimals kept for float comparisons against the oracle
 
@@ -67,7 +67,7 @@ def numeric_stats(spark, sf):
 
 
 @register("completeness", with_dirty(union_per_column(
-    DIRTY_COLUMNS, "round_even(1 - count(*) FILTER (WHERE {c} IS NULL) / count(*), 4) AS completeness FROM dirty")
+    DIRTY_COLUMNS, ten_thousandths_sql("count(*) - count(*) FILTER (WHERE {c} IS NULL)") + " / 10000.0 AS completeness FROM dirty")
     .replace("(WHERE amount IS NULL)", "(WHERE amount IS NULL OR isnan(amount))")))
 def completeness(spark, sf):
     return Q.completeness(_dirty(spark, sf))
@@ -77,7 +77,7 @@ _CUST = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
 
 @register("uniqueness", union_per_column(
-    _CUST, "round_even(count(DISTINCT {c}) / count(*), 4) AS uniqueness FROM customer"))
+    _CUST, ten_thousandths_sql("count(DISTINCT {c})") + " / 10000.0 AS uniqueness FROM customer"))
 def uniqueness(spark, sf):
     return Q.uniqueness(table(spark, sf, "customer"))
 
@@ -98,19 +98,18 @@ def duplicate_rows(spark, sf):
 
 
 def _summary_sql(table_sql: str, cols, numeric, doubles, n_cols: int) -> str:
-    comp = " + ".join(f"round_even(1 - count(*) FILTER (WHERE {missing_sql(c, doubles)}) / count(*), 4)"
-                      for c in cols)
-    uniq = " + ".join(f"round_even(count(DISTINCT {c}) / count(*), 4)" for c in cols)
+    comp = " + ".join(ten_thousandths_sql(f"count(*) - count(*) FILTER (WHERE {missing_sql(c, doubles)})") for c in cols)
+    uniq = " + ".join(ten_thousandths_sql(f"count(DISTINCT {c})") for c in cols)
     group_cols = ", ".join(cols)
     return f"""
-, base AS (SELECT ({comp}) / {len(cols)} AS mc, ({uniq}) / {len(cols)} AS mu, count(*) AS rows FROM {table_sql}),
+, base AS (SELECT {comp} AS sc, {uniq} AS su, count(*) AS rows FROM {table_sql}),
 dups AS (SELECT coalesce(sum(n - 1), 0) AS d FROM (SELECT count(*) AS n FROM {table_sql} GROUP BY {group_cols})),
 outl AS (SELECT coalesce(sum(outliers), 0) AS o FROM ({iqr_sql(table_sql, numeric)}))
 SELECT 'ok' AS status, CAST(rows AS BIGINT) AS rows, CAST({n_cols} AS INTEGER) AS columns,
        CAST(d AS BIGINT) AS duplicate_rows, CAST(o AS BIGINT) AS outlier_total,
-       round(mc, 6) AS mean_completeness, round(mu, 6) AS mean_uniqueness,
-       round_even(mc * 40 + mu * 20 + CASE WHEN d = 0 THEN 20 ELSE greatest(0, 20 - d * 2) END
-                  + CASE WHEN o = 0 THEN 20 ELSE greatest(0, 20 - o) END, 1) AS quality_score
+       round(sc / {10_000.0 * len(cols)}, 6) AS mean_completeness, round(su / {10_000.0 * len(cols)}, 6) AS mean_uniqueness,
+       CAST((8 * sc + 4 * su + {100 * len(cols)}) // {200 * len(cols)} + 10 * (greatest(0, 20 - d * 2) + greatest(0, 20 - o)) AS DOUBLE)
+         / 10 AS quality_score
 FROM base, dups, outl"""
 
 
@@ -126,9 +125,9 @@ _CUST_NUM = ["c_custkey", "c_nationkey", "c_acctbal"]
 
 
 def _report_sql() -> str:
-    parts = [union_per_column(_CUST, "round(round_even(1 - count(*) FILTER (WHERE {c} IS NULL) / count(*), 4), 6) "
+    parts = [union_per_column(_CUST, ten_thousandths_sql("count(*) - count(*) FILTER (WHERE {c} IS NULL)") + " / 10000.0 "
                                      "AS value, 'completeness' AS metric FROM customer"),
-             union_per_column(_CUST, "round(round_even(count(DISTINCT {c}) / count(*), 4), 6) AS value, "
+             union_per_column(_CUST, ten_thousandths_sql("count(DISTINCT {c})") + " / 10000.0 AS value, "
                                      "'uniqueness' AS metric FROM customer"),
              f"SELECT column_name, CAST(outliers AS DOUBLE) AS value, 'outliers' AS metric FROM ({iqr_sql('customer', _CUST_NUM)})"]
     for m, e in (("min", "min(CAST({c} AS DOUBLE))"), ("max", "max(CAST({c} AS DOUBLE))"),

@@ -25,6 +25,12 @@ def union_per_column(cols: Sequence[str], select_tpl: str) -> str:
     return "\nUNION ALL\n".join(parts)
 
 
+def ten_thousandths_sql(part: str, whole: str = "count(*)") -> str:
+    """The quality metrics' rounding: to the nearest ten-thousandth, ties up,
+    in integers."""
+    return f"((20000 * ({part}) + {whole}) // (2 * {whole}))"
+
+
 def iqr_sql(table: str, cols: Sequence[str], factor: float = 1.5) -> str:
     parts = []
     for c in cols:
