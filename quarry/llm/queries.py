@@ -16,8 +16,10 @@ from .quality_gbt import quality_scores
 from .simhash import hex_column, simhash_components
 from .sketch import as_string, fingerprint_report
 from .token_cache import token_counts
+from .toxicity import toxicity_scores
 from .url_filter import Rule, judge_urls
 from .warc import round_trip
+from .whitening import whitened_rows
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -77,6 +79,15 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitened_rows(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = toxicity_scores(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
+    return out.withColumnRenamed("id", "doc_id")
+
+
 SQL = {
     "op1_mix_sources": r"""
 WITH d AS (
@@ -216,7 +227,8 @@ for _name in ("rel", "http-equiv", "href", "content"):
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_mix_sources, op2_simhash_dedup, op3_fingerprints, op4_warc, op5_decontamination, op6_language_model,
-    op7_token_counts, op8_url_filter, op9_line_dedup, op10_quality)}
+    op7_token_counts, op8_url_filter, op9_line_dedup, op10_quality,
+    op12_whitening, op13_toxicity)}
 
 
 def queries() -> dict[str, QueryFn]:
