@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from .common import read_table
 from .decontam import decontaminate_report
+from .divergence import source_divergences
 from .line_runs import dedup_lines
 from .mixing import mix
 from .ngram_lm import interpolated_scores
@@ -79,6 +80,10 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.withColumnRenamed("id", "doc_id")
 
 
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergences(read_table(spark, sf_dir, "documents"))
+
+
 def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitened_rows(read_table(spark, sf_dir, "embeddings")).withColumnRenamed("id", "vec_id")
 
@@ -216,6 +221,30 @@ j AS (SELECT k.*, c.key IS NOT NULL AND k.doc_id IS DISTINCT FROM c.keeper AS go
 SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, (count(*) FILTER (gone))::BIGINT AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
 FROM j GROUP BY rid
+""",
+    "op11_source_divergence": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM documents),
+g AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT rid, lang, source, unnest(terms) AS term FROM d),
+c AS (SELECT lang, source, term, count(*) AS n, count(DISTINCT rid) AS docs FROM w GROUP BY ALL),
+k AS (SELECT lang, term, sum(n)::HUGEINT AS n FROM c GROUP BY ALL HAVING sum(docs) >= 30),
+v AS (SELECT lang, count(*) AS v, sum(n)::HUGEINT AS total FROM k GROUP BY lang),
+kc AS (SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n, k.n AS all_n
+       FROM g JOIN k USING (lang) LEFT JOIN c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term),
+t AS (SELECT lang, source, sum(n)::HUGEINT AS total FROM kc GROUP BY ALL),
+p AS (SELECT lang, source, term, n, 1 + (1000000000 * (n + 5)) // (t.total + 5 * v) AS p, 1 + (1000000000 * (all_n + 5)) // (v.total + 5 * v) AS q
+      FROM kc JOIN t USING (lang, source) JOIN v USING (lang)),
+f AS (SELECT x.lang, x.source, y.source AS item, sum(abs(x.p - y.p)) AS value
+      FROM p x JOIN p y ON x.lang = y.lang AND x.term = y.term AND x.source <> y.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+          FROM g a JOIN g b ON a.lang = b.lang AND a.source <> b.source
+          LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+lists AS (SELECT * FROM pairs UNION ALL SELECT lang, source, 'term', term, (p - q)::BIGINT FROM p WHERE n > 0 AND p > q),
+r AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank FROM lists)
+SELECT * FROM r WHERE part = 'pair' OR rank <= 50
 """,
 }
 #: An attribute of an HTML tag, as the URL filter reads it.
@@ -228,7 +257,7 @@ for _name in ("rel", "http-equiv", "href", "content"):
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_mix_sources, op2_simhash_dedup, op3_fingerprints, op4_warc, op5_decontamination, op6_language_model,
     op7_token_counts, op8_url_filter, op9_line_dedup, op10_quality,
-    op12_whitening, op13_toxicity)}
+    op11_source_divergence, op12_whitening, op13_toxicity)}
 
 
 def queries() -> dict[str, QueryFn]:
