@@ -5,12 +5,13 @@ from __future__ import annotations
 
 import hashlib
 import time
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import columns as X
+from ..functions.nested import has_path, nested, quoted
 from ..functions.types import columns_named_like, spark_type, string_columns
 
 
@@ -72,6 +73,13 @@ def audit_columns(df: DataFrame, loaded_at: str | None = None, batch_id: str | N
     return df.select("*", ts.alias(loaded_col), F.lit(batch_id or batch_id_for()).alias(batch_col))
 
 
+def nested_columns(df: DataFrame, names: Iterable[str]) -> DataFrame:
+    """Add a column for every dotted name that is a path into a column of
+    ``df`` (C8), so that transforms, renames and casts can refer to it."""
+    new = [n for n in dict.fromkeys(names) if n not in df.columns and "." in n and has_path(df, n)]
+    return df.select("*", *[nested(df, n).alias(n) for n in new]) if new else df
+
+
 def apply_transforms(df: DataFrame, spec: Mapping) -> DataFrame:
     """Configurable column transforms: ``lower``, ``extract``, ``rename`` and
     ``dtype`` (a cast), applied in that order so an extract reads the
@@ -79,14 +87,14 @@ def apply_transforms(df: DataFrame, spec: Mapping) -> DataFrame:
     out = df
     lower = set(spec.get("lower", []))
     if lower:
-        out = out.select(*[F.lower(c).alias(c) if c in lower else F.col(c) for c in out.columns])
+        out = out.select(*[F.lower(quoted(c)).alias(c) if c in lower else quoted(c) for c in out.columns])
     extracts = spec.get("extract", {})
     if extracts:
         out = out.select("*", *[X.regex_extract(src, e["pattern"], e.get("group", 1)).alias(e["new_col"])
                                 for src, e in extracts.items()])
     casts = spec.get("dtype", {})
     if casts:
-        out = out.select(*[F.col(c).try_cast(spark_type(casts[c])).alias(c) if c in casts else F.col(c)
+        out = out.select(*[quoted(c).try_cast(spark_type(casts[c])).alias(c) if c in casts else quoted(c)
                            for c in out.columns])
     renames = spec.get("rename", {})
     for old, new in renames.items():

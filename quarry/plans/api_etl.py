@@ -12,11 +12,12 @@ from ..functions import columns as X
 from ..functions.types import columns_named_like, numeric_columns, string_columns
 from ..operators import quality as Q
 from ..operators.clean import apply_fill, fit_median_fill
-from ..operators.features import apply_transforms, audit_columns, batch_id_for
+from ..operators.features import apply_transforms, audit_columns, batch_id_for, nested_columns
 from ..operators.schema import safe_cast
 from ..sources import readers as RD
 from ..sources import sinks as SK
-from ..sources.paged import Fetcher, explode_records, infer_record_schema, page_errors, read_pages
+from ..sources.paged import Fetcher, page_errors, read_pages
+from ..sources.records import RecordError, page_records, typed_records, unreadable_pages
 from ..session import materialise, observing_session, remove_scratch
 from .metrics import RunMetrics
 
@@ -38,10 +39,15 @@ class APIJob:
         opts |= {k: pg[k] for k in ("max_pages", "total_pages", "total_pages_field", "attempts", "retry_wait") if pg.get(k)}
         # Fetched once: every later stage reads the stored pages.
         pages, self._pages = materialise(read_pages(self.spark, fetch, **opts), "api-pages")
-        path = pg.get("results_path", "")
-        schema = record_schema or infer_record_schema(pages, path)
-        self.stats["page_errors"] = pages.agg(page_errors(pages)).first()[0]
-        return explode_records(pages.where(F.col("status") == "ok"), schema, path)
+        strict, path = bool(self.config.get("strict", False)), pg.get("results_path", "")
+        errors, unreadable = pages.agg(page_errors(pages), unreadable_pages()).first()
+        if strict and unreadable:
+            raise RecordError(f"{unreadable} pages are no JSON")
+        self.stats |= {"page_errors": errors + unreadable}
+        records = page_records(pages.where(F.col("status") == "ok"), path)
+        out = typed_records(records, record_schema, strict)
+        self.stats["unfit_values"] = out.unfit
+        return out.rows
 
     def extract_from_file(self, path: str) -> DataFrame:
         return RD.drop_corrupt(RD.read_many(self.spark, [path], keep_corrupt=True))
@@ -75,7 +81,8 @@ class APIJob:
                              for c in dates]).first()
             ok = [c for c in dates if fails[c] == 0]
             df = df.select(*[X.parse_timestamp(c).alias(c) if c in ok else F.col(c) for c in df.columns])
-        df = apply_transforms(df, {k: v for k, v in tc.items() if not k.startswith("_")})
+        tc = {k: v for k, v in tc.items() if not k.startswith("_")}
+        df = apply_transforms(nested_columns(df, [n for part in tc.values() for n in part]), tc)
         if tc.get("_add_metadata", True):
             df = audit_columns(df, self.config.get("loaded_at"), self.batch_id,
                                "_pipeline_loaded_at", "_pipeline_batch")

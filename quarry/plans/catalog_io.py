@@ -15,6 +15,8 @@ from ..operators.upsert import incremental_append, upsert_latest
 from ..session import scratch_path
 from ..sources import readers as RD
 from ..sources import sinks as SK
+from ..functions.nested import nested
+from ..sources.records import page_records, typed_records
 from ..sources.paged import explode_records, file_pages, read_pages
 from .registry import register, table
 
@@ -134,6 +136,47 @@ def paged_json_source(spark, sf):
     return recs.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@register("api_record_union", """
+SELECT CAST(floor(event_id / 500) + 1 AS INTEGER) AS page, event_id AS id,
+       CASE WHEN event_id % 3 = 1 THEN event_type ELSE CAST(user_id AS VARCHAR) END AS v,
+       CASE WHEN event_id % 3 = 1 THEN value END AS extra, CASE WHEN event_id % 3 = 2 THEN event_type END AS kind,
+       CASE WHEN event_id % 3 = 2 THEN user_id END AS number, CASE WHEN event_id % 3 = 2 THEN CAST(user_id AS VARCHAR) END AS second_tag
+FROM events""")
+def api_record_union(spark, sf):
+    """Records of pages whose fields and types differ from record to
+    record; the type is merged over all of them."""
+    e, kind = table(spark, sf, "events"), F.col("event_id") % 3
+    named = F.struct(F.col("event_type").alias("kind"), F.col("user_id").alias("number"))
+    record = (F.when(kind == 0, F.to_json(F.struct(F.col("event_id").alias("id"), F.col("user_id").alias("v"))))
+              .when(kind == 1, F.to_json(F.struct(F.col("event_id").alias("id"), F.col("event_type").alias("v"), F.col("value").alias("extra"))))
+              .otherwise(F.concat(F.regexp_replace(F.to_json(F.struct(F.col("event_id").alias("id"), F.col("user_id").alias("v"), named.alias("info"))), "}$", ""),
+                                  F.lit(',"tags":["'), F.col("event_type"), F.lit('",'), F.col("user_id"), F.lit("]}"))))
+    page = (F.floor(F.col("event_id") / 500) + 1).cast("int").alias("page")
+    pages = e.select(page, record.alias("r")).groupBy("page").agg(
+        F.concat(F.lit('{"data":{"results":['), F.array_join(F.collect_list("r"), ","), F.lit("]}}")).alias("body"))
+    out = typed_records(page_records(pages, "data.results", keep=("page",)), keep=("page",)).rows
+    return out.select("page", "id", "v", "extra", nested(out, "info.kind").alias("kind"), nested(out, "info.number").alias("number"),
+                      nested(out, "tags.1").alias("second_tag"))
+
+
+@register("nested_paths", """
+SELECT event_id, event_type AS kind, CAST(json_extract(props, '$.k') AS BIGINT) AS k, CASE WHEN event_type = 'click' THEN value END AS clicked,
+       user_id + user_id + 1 AS both_users, CAST(json_extract(props, '$.k') AS BIGINT) AS every_k, CAST(NULL AS BIGINT) AS missing
+FROM events""")
+def nested_paths(spark, sf):
+    """Dotted paths into structs, maps, arrays and VARIANT values."""
+    e = table(spark, sf, "events")
+    users = F.array(*[F.struct((F.col("user_id") + i).alias("id")) for i in range(2)])
+    df = e.select("event_id", F.struct(F.struct(F.col("event_type").alias("kind")).alias("tag"), users.alias("users")).alias("who"),
+                  F.create_map("event_type", "value").alias("by_type"),
+                  F.try_parse_json(F.concat(F.lit('{"a.b":{"x":'), F.col("props"), F.lit("}}"))).alias("doc"))
+    total = F.aggregate(nested(df, "who.users.*.id"), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    every = F.aggregate(nested(df, "doc.`a.b`.*.k", "array<bigint>"), F.lit(0).cast("bigint"), lambda a, x: a + x)
+    return df.select("event_id", nested(df, "who.tag.kind").alias("kind"), nested(df, "doc.`a.b`.x.k", "bigint").alias("k"),
+                     nested(df, "by_type.click").alias("clicked"), total.alias("both_users"), every.alias("every_k"),
+                     nested(df, "who.tag.none", "bigint").alias("missing"))
+
+
 def _dated_orders(spark, sf):
     o = table(spark, sf, "orders")
     return o.withColumn("year", F.year("o_orderdate")).withColumn("month", F.month("o_orderdate"))

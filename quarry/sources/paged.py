@@ -255,16 +255,3 @@ def explode_records(pages: DataFrame, record_schema: T.DataType | str, results_p
 def page_errors(pages: DataFrame) -> Column:
     """Aggregate counting failed pages (lenient mode)."""
     return F.count_if(F.col("status") != "ok")
-
-
-def infer_record_schema(pages: DataFrame, results_path: str = "", body_col: str = "body") -> T.DataType:
-    """Record schema from one sample record of the first non-empty page."""
-    row = pages.where(F.col(body_col).isNotNull()).select(body_col).first()
-    if row is None:
-        return T.StructType([])
-    node = json.loads(row[0])
-    for part in [p for p in results_path.split(".") if p]:
-        node = node.get(part) if isinstance(node, dict) else None
-    sample = node[0] if isinstance(node, list) and node else node
-    ddl = pages.sparkSession.range(1).select(F.schema_of_json(F.lit(json.dumps(sample)))).first()[0]
-    return T._parse_datatype_string(ddl)
