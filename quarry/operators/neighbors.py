@@ -47,6 +47,8 @@ from .ranking import group_positions
 # adds candidates that the exact distance then ranks.
 _REL_SLACK = 1e-9
 _ABS_SLACK = 1e-12
+# Rank buckets of either side: their ranges travel as literals.
+_BUCKETS = 1024
 # Distance-matrix cells computed at once inside a tile (queries are taken
 # in chunks of this many cells per donor bucket): bounds task memory.
 _TILE_CELLS = 4_000_000
@@ -104,7 +106,7 @@ def principal_directions(vectors: DataFrame, vec_col: str, n_dirs: int) -> list[
 
 
 def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: int = 15,
-                 n_dirs: int = 4, max_buckets: int = 1024, min_bucket_rows: int = 256) -> DataFrame:
+                 n_dirs: int = 4, tile_rows: int = 2048, min_bucket_rows: int = 256) -> DataFrame:
     """Leave-one-out KNN label for every row: ``(id, label, pred)``.
 
     ``id_col`` must be unique; rows with a NULL vector are not classified
@@ -141,11 +143,15 @@ def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: in
     queries = ranked.join(radius, "_id", "left").withColumn(
         "_r", F.coalesce(F.col("_r"), F.lit(float("inf"))))
 
-    # 3. Equal-size rank buckets (donors) and equal-size rank blocks
-    # (queries); bucket projection ranges are one row per bucket (at most
-    # max_buckets), so they travel as literals.
-    rows_per_bucket = max(min_bucket_rows, math.ceil(n / max_buckets))
+    # 3. Equal-size rank buckets of both sides; bucket projection ranges are
+    # one row per bucket (_BUCKETS at most), so they travel as literals.  A
+    # bucket of more than tile_rows rows is cut into slices by position, and
+    # each slice of queries meets each slice of the donor buckets it needs.
+    rows_per_bucket = max(min_bucket_rows, math.ceil(n / _BUCKETS))
+    slices = max(1, math.ceil(rows_per_bucket / tile_rows))
     block = F.floor(F.col("_pos") / rows_per_bucket).cast("int")
+    piece = F.pmod(F.col("_pos"), F.lit(slices)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
     bounds = sorted((int(r["_b"]), float(r["lo"]), float(r["hi"])) for r in ranked.groupBy(block.alias("_b")).agg(
         F.min("_p0").alias("lo"), F.max("_p0").alias("hi")).collect())
     his = F.array(*[F.lit(b[2]) for b in bounds])
@@ -154,16 +160,18 @@ def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: in
     first_b = F.size(F.filter(his, lambda h: h < F.col("_p0") - reach))
     last_b = F.size(F.filter(los, lambda lo: lo <= F.col("_p0") + reach)) - 1
     pcols = [f"_p{i}" for i in range(m)]
-    qside = queries.select(block.alias("_qb"), F.explode(F.sequence(first_b, F.greatest(first_b, last_b))).alias("_b"),
+    qside = queries.select(block.alias("_qb"), piece.alias("_qs"), F.explode(F.sequence(first_b, F.greatest(first_b, last_b))).alias("_b"),
                            "_id", "_lab", "_v", reach.alias("_reach"), *pcols)
-    # Tiles (query block, donor bucket): at most max_buckets^2 rows, a
-    # proven bound, so the donor fan-out join broadcasts them.
+    # Pairs (query bucket, donor bucket): at most _BUCKETS^2 rows, a proven
+    # bound, so the donor fan-out join broadcasts them.
     tiles = qside.select(F.col("_qb").alias("_tqb"), F.col("_b").alias("_tb")).distinct()
-    dside = (ranked.select(block.alias("_db"), F.col("_id").alias("_did"), F.col("_lab").alias("_dlab"),
+    dside = (ranked.select(block.alias("_db"), piece.alias("_ds"), F.col("_id").alias("_did"), F.col("_lab").alias("_dlab"),
                            F.col("_v").alias("_dv"), *[F.col(c).alias(f"_d{c}") for c in pcols])
              .join(F.broadcast(tiles), F.col("_db") == F.col("_tb"))
-             .select(F.col("_tqb").alias("_qb"), F.col("_tb").alias("_b"), "_did", "_dlab", "_dv",
+             .select(F.col("_tqb").alias("_qb"), every.alias("_qs"), F.col("_tb").alias("_b"), "_ds", "_did", "_dlab", "_dv",
                      *[f"_d{c}" for c in pcols]))
+    qside = qside.select("*", every.alias("_ds"))
+    tile = ["_qb", "_qs", "_b", "_ds"]
 
     # 4. Per tile, distances in numpy (double, summed in index order) after
     # the projection lower bound; only each query's k nearest within its
@@ -209,15 +217,22 @@ def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: in
                                        "_d": top[qi, slot]}))
         return pd.concat(parts, ignore_index=True)
 
-    cand = qside.groupBy("_qb", "_b").cogroup(dside.groupBy("_qb", "_b")).applyInPandas(tile_topk, schema)
+    cand = qside.groupBy(*tile).cogroup(dside.groupBy(*tile)).applyInPandas(tile_topk, schema)
 
     order = [F.col("_d"), F.col("_did")]
     top = cand.withColumn("_rn", F.row_number().over(Window.partitionBy("_id").orderBy(*order))) \
         .where(F.col("_rn") <= k)
-    top = top.withColumn("_has0", F.min("_d").over(Window.partitionBy("_id")) == 0)
-    weight = F.when(F.col("_has0"), (F.col("_d") == 0).cast("double")).otherwise(1.0 / F.col("_d"))
-    votes = top.groupBy("_id", "_lab", "_dlab").agg(F.sum(weight).alias("_w"))
-    best = votes.groupBy("_id").agg(F.min_by("_dlab", F.struct(-F.col("_w"), F.col("_dlab"))).alias("pred"))
+    best = weighted_vote(top)
     # a row without any other row has no prediction
     return ranked.select("_id", "_lab").join(best, "_id", "left").select(
         F.col("_id").alias(id_col), F.col("_lab").alias(label_col), "pred")
+
+
+def weighted_vote(neighbours: DataFrame) -> DataFrame:
+    """``_id, pred`` from the neighbours ``_id, _dlab, _d`` of each row: the
+    heaviest label by weights 1/distance; where some are at distance 0 only
+    those vote.  Ties go to the smallest label."""
+    top = neighbours.withColumn("_has0", F.min("_d").over(Window.partitionBy("_id")) == 0)
+    weight = F.when(F.col("_has0"), (F.col("_d") == 0).cast("double")).otherwise(1.0 / F.col("_d"))
+    votes = top.groupBy("_id", "_dlab").agg(F.sum(weight).alias("_w"))
+    return votes.groupBy("_id").agg(F.min_by("_dlab", F.struct(-F.col("_w"), F.col("_dlab"))).alias("pred"))

@@ -190,6 +190,41 @@ SELECT vec_id, label, dlabel AS pred FROM (
   SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY wt DESC, dlabel) AS rn FROM w) WHERE rn = 1"""
 
 
+@register("ann_recall", """
+SELECT count(*) AS indexed, count(*) FILTER (vec_id % 100 = 0) AS queries, 15 * count(*) FILTER (vec_id % 100 = 0) AS neighbours,
+       TRUE AS ranks_follow_distance, TRUE AS recall_at_least_90 FROM embeddings""")
+def ann_recall(spark, sf):
+    """Every row in the index; the neighbours of all rows whose id is
+    divisible by 100, held against the exact way."""
+    from ..operators import ann
+    from ..session import reliable_checkpoint
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    queries = e.where(F.col("vec_id") % 100 == 0)
+    quantiser = ann.fit_quantiser(e, "vec_id", "embedding")
+    index = reliable_checkpoint(ann.build_index(e, "vec_id", "embedding", quantiser))
+    found = reliable_checkpoint(ann.search(queries, e, "vec_id", "embedding", quantiser, index=index))
+    share = ann.recall(found, ann.exact_search(queries, e, "vec_id", "embedding"))
+    later = found.select("query", (F.col("rank") - 1).alias("rank"), F.col("distance").alias("next"))
+    order = found.join(later, ["query", "rank"]).agg(F.coalesce(F.bool_and(F.col("distance") <= F.col("next")), F.lit(True)).alias("ranks_follow_distance"))
+    counts = found.agg(F.count_distinct("query").alias("queries"), F.count(F.lit(1)).alias("neighbours"),
+                       F.coalesce(F.bool_and(F.col("query") != F.col("id")), F.lit(True)).alias("others"))
+    one = index.agg(F.count_distinct("_id").alias("indexed"))
+    for part in (counts, order, share):  # a row each
+        one = one.join(F.broadcast(part))
+    return one.select("indexed", "queries", "neighbours", (F.col("ranks_follow_distance") & F.col("others")).alias("ranks_follow_distance"),
+                      (F.col("recall") >= 0.9).alias("recall_at_least_90"))
+
+
+@register("ann_search")
+def ann_search(spark, sf):
+    """The 15 approximate neighbours of every row whose id is divisible
+    by 100 among all rows."""
+    from ..operators import ann
+    e = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    quantiser = ann.fit_quantiser(e, "vec_id", "embedding")
+    return ann.search(e.where(F.col("vec_id") % 100 == 0), e, "vec_id", "embedding", quantiser)
+
+
 @register("knn_classify", KNN_SQL)
 def knn_classify(spark, sf):
     from ..operators.neighbors import knn_classify as knn

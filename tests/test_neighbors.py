@@ -43,7 +43,7 @@ def test_matches_brute_force_clustered(spark, k):
     noisy = np.where(rng.random(300) < 0.2, rng.integers(0, 4, 300), lab)
     ids = np.arange(1000, 1300)
     # small buckets: many tiles, bands narrower than the table
-    got = run(spark, ids, vecs, noisy, k, max_buckets=16, min_bucket_rows=16)
+    got = run(spark, ids, vecs, noisy, k, tile_rows=64, min_bucket_rows=16)
     assert got == brute_force(list(ids), vecs, list(noisy), k)
 
 
@@ -52,7 +52,7 @@ def test_exact_copies_and_ties(spark):
     vecs = base + [[0.0, 0.0], [0.0, 0.0], [3.0, 3.0]]
     labels = [0, 1, 1, 2, 2, 3, 4, 4, 5]
     ids = list(range(len(vecs)))
-    got = run(spark, ids, vecs, labels, 3, min_bucket_rows=2, max_buckets=4)
+    got = run(spark, ids, vecs, labels, 3, min_bucket_rows=8, tile_rows=4)
     want = brute_force(ids, np.array(vecs, dtype="float32"), labels, 3)
     assert got == want
     assert got[0] == 4  # two copies at distance 0 outvote everything else
@@ -81,7 +81,7 @@ def test_chunked_tiles(spark, monkeypatch):
     vecs = rng.normal(size=(120, 6)).astype("float32")
     labels = list(rng.integers(0, 3, 120))
     ids = list(range(120))
-    got = run(spark, ids, vecs, labels, 7, max_buckets=4, min_bucket_rows=8)
+    got = run(spark, ids, vecs, labels, 7, tile_rows=64, min_bucket_rows=8)
     assert got == brute_force(ids, vecs, labels, 7)
 
 
