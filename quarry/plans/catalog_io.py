@@ -11,6 +11,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from ..operators.snapshot import SnapshotTable
 from ..operators.upsert import incremental_append, upsert_latest
 from ..session import scratch_path
 from ..sources import readers as RD
@@ -254,6 +255,36 @@ def upsert_latest_q(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("snapshot_upsert", _UPSERT_SQL)
+def snapshot_upsert(spark, sf):
+    """L3: the same upsert, copy-on-write: only files that hold an updated
+    key are rewritten, the manifest is swapped last."""
+    o = table(spark, sf, "orders")
+    target = o.where(F.col("o_orderdate") < F.lit("1998-01-01").cast("timestamp_ntz")).withColumn("version", F.lit(0))
+    updates = (o.where(F.col("o_orderdate") >= F.lit("1997-01-01").cast("timestamp_ntz"))
+               .withColumn("o_totalprice", F.col("o_totalprice") + 1).withColumn("version", F.lit(1)))
+    snapshot = SnapshotTable(scratch_path(spark, "orders-table"), ["o_orderkey"])
+    snapshot.create(target)
+    snapshot.upsert(updates, "version")
+    return snapshot.read(spark)
+
+
+@register("ledger_load", "SELECT * FROM orders WHERE o_orderkey % 7 <> 0")
+def ledger_load(spark, sf):
+    """L4: three drops of source files, the last with late rows and rows that
+    the table has; loaded files and watermark ranges are in the ledger."""
+    o = table(spark, sf, "orders").where(F.col("o_orderkey") % 7 != 0)
+    folder, target = scratch_path(spark, "orders-drops"), SnapshotTable(scratch_path(spark, "orders-ledger"), ["o_orderkey"], "o_orderdate")
+    day = lambda text: F.lit(text).cast("timestamp_ntz")
+    on_time, date = F.col("o_orderkey") % 5 != 0, F.col("o_orderdate")
+    for drop in (o.where((date < day("1996-01-01")) & on_time), o.where((date >= day("1996-01-01")) & on_time),
+                 o.where(~on_time | (date >= day("1998-01-01")))):
+        drop.write.mode("append").parquet(folder)
+        target.load_files(spark, folder)
+        target.load_files(spark, folder)  # nothing is new: no effect
+    return target.read(spark)
+
+
 _DATED = "CASE WHEN o_orderkey % 9 = 0 THEN NULL ELSE o_orderdate END AS o_orderdate"
 
 

@@ -6,8 +6,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.clean import fit_median_fill
+from ..operators.snapshot import SnapshotTable
 from ..session import scratch_path
-from ..streaming.stream_etl import dedup_within_watermark, read_stream, run_available_now, stream_transform
+from ..streaming.stream_etl import dedup_within_watermark, read_stream, run_available_now, run_keyed, stream_transform
 from .registry import register, table
 
 _RUN_AT = "2024-01-01 00:00:00"
@@ -50,3 +51,20 @@ def stream_dedup(spark, sf):
     out = scratch_path(spark, "stream-dedup-out")
     run_available_now(d, out, scratch_path(spark, "stream-dedup-ckpt"))
     return spark.read.parquet(out)
+
+
+@register("stream_keyed_sink", """
+SELECT user_id, event_type, arg_max(event_id, event_id) AS event_id, arg_max(value, event_id) AS value
+FROM events GROUP BY user_id, event_type""")
+def stream_keyed_sink(spark, sf):
+    """L1: latest event of every user and type, upserted batch by batch; the
+    stream then starts anew without its checkpoint and repeats all batches,
+    which the ledger knows."""
+    batch = table(spark, sf, "events").select("user_id", "event_type", "event_id", "value")
+    src = scratch_path(spark, "landing")
+    batch.repartition(4, "event_id").write.parquet(src)
+    target = SnapshotTable(scratch_path(spark, "events-latest"), ["user_id", "event_type"])
+    for _ in range(2):
+        run_keyed(read_stream(spark, src, batch.schema, max_files_per_trigger=2), target, "event_id",
+                  scratch_path(spark, "stream-keyed-ckpt"), "latest")
+    return target.read(spark)

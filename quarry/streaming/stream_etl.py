@@ -13,11 +13,13 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions import columns as X
 from ..functions.types import string_columns
 from ..operators.clean import apply_fill
 from ..operators.features import audit_columns
+from ..operators.snapshot import SnapshotTable
 
 
 def read_stream(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet",
@@ -67,7 +69,23 @@ def run_available_now(df: DataFrame, output_path: str, checkpoint: str, fmt: str
          .trigger(availableNow=True))
     if partition_by:
         w = w.partitionBy(*partition_by)
-    q = w.start(output_path)
+    _drain(w.start(output_path), output_path, timeout_sec)
+
+
+def run_keyed(df: DataFrame, target: SnapshotTable, version_col: str, checkpoint: str, name: str,
+              timeout_sec: float | None = None) -> None:
+    """Upsert every micro-batch into a keyed table until the source is drained.
+
+    The table's ledger has the last batch of the stream ``name``.  A batch
+    that is committed but not yet in the stream's checkpoint is delivered
+    again after a failure; it then has no effect, so each batch counts once."""
+    def put(batch: DataFrame, batch_id: int) -> None:
+        target.upsert(batch, version_col, stream=name, batch=batch_id)
+
+    _drain(df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(availableNow=True).start(), name, timeout_sec)
+
+
+def _drain(q: StreamingQuery, what: str, timeout_sec: float | None) -> None:
     try:
         drained = q.awaitTermination() if timeout_sec is None else q.awaitTermination(timeout_sec)
     finally:
@@ -76,4 +94,4 @@ def run_available_now(df: DataFrame, output_path: str, checkpoint: str, fmt: str
     if q.exception() is not None:
         raise RuntimeError(str(q.exception()))
     if timeout_sec is not None and not drained:
-        raise TimeoutError(f"{output_path}: the source was not drained within {timeout_sec} s")
+        raise TimeoutError(f"{what}: the source was not drained within {timeout_sec} s")
