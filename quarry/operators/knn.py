@@ -15,13 +15,16 @@ group or cross product is ever formed.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.columns import number
 from ..session import reliable_checkpoint, ship_code
-from .ranking import prefix_sums
+from .joins import size_checked
+from .ranking import group_positions, prefix_sums
 
 #: Cells of a distance matrix that a task holds at once.
 _CELLS = 4_000_000
@@ -60,7 +63,6 @@ def knn_impute_1d(df: DataFrame, target: str, feature: str, id_col: str, k: int
     nearest = (cand.withColumn("_rn", F.row_number().over(w)).where(F.col("_rn") <= k)
                .groupBy("_id").agg(F.avg("_dy").alias("_knn")))
     fallback = df.agg(F.avg(y).alias("_m")).first()["_m"]
-    from .joins import size_checked
     nearest = size_checked(nearest)  # one row per receiver
     j = df.join(nearest, df[id_col] == nearest["_id"], "left")
     filled = F.when(present_y, y).otherwise(F.coalesce(F.col("_knn"), F.lit(fallback)))
@@ -70,7 +72,6 @@ def knn_impute_1d(df: DataFrame, target: str, feature: str, id_col: str, k: int
 def _tile_neighbours(n_features: int, k: int):
     """Of a tile's donors, the k nearest of each receiver, by column to fill."""
     def run(receivers, donors):
-        import numpy as np
         import pandas as pd
         found: dict[str, list] = {c: [] for c in ("_id", "_c", "_d", "_did", "_y")}
         if len(receivers) and len(donors):
@@ -109,7 +110,122 @@ def _tile_neighbours(n_features: int, k: int):
     return run
 
 
-def knn_impute(df: DataFrame, columns: Sequence[str], id_col: str, k: int = 5, block_rows: int = 20_000) -> DataFrame:
+#: Boxes of donors whose bounds every receiver is compared with, and sets of
+#: known columns that get boxes of their own.
+_BOXES, _PATTERNS = 4096, 256
+
+
+def _places(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
+    """The place of a row's ``_x`` on a space-filling curve: the bits of the
+    columns' quantile bins, interleaved.  Missing values count as bin 0; as
+    many columns take part as fit a long."""
+    n = min(len(columns), 60 // bits)
+    steps = [i / 2 ** bits for i in range(1, 2 ** bits)]
+    cuts = df.agg(*[F.percentile_approx(F.get("_x", F.lit(i)), steps, 1000) for i in range(n)]).first()  # 63 numbers a column
+    key = F.lit(0).cast("long")
+    for i in range(n):
+        marks = F.array(*[F.lit(float(m)) for m in sorted(set(cuts[i] or []))]).cast("array<double>")
+        code = F.size(F.filter(marks, lambda m: m < F.get("_x", F.lit(i)))).cast("long")
+        for b in range(bits):
+            key = key.bitwiseOR(F.shiftleft(F.shiftright(code, b).bitwiseAND(F.lit(1).cast("long")), b * n + i))
+    return key
+
+
+@dataclass
+class _Boxes:
+    """Donors by boxes: rows and least and greatest value of each column; a
+    column that a box's donors lack is NaN.  ``loose`` boxes hold donors with
+    different sets of known columns: they have no bounds."""
+
+    names: np.ndarray
+    rows: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    loose: np.ndarray
+
+    def visits(self, x: np.ndarray, k: int) -> np.ndarray:
+        """Which boxes may hold one of a receiver's k nearest donors for a
+        column it lacks: (receivers, boxes).
+
+        Over the columns that both sides know, a donor is no nearer than its
+        box and no farther than the box's far corner.  The far corners of
+        boxes with k donors bound the k-th distance."""
+        below, above, shared = np.zeros((3, len(x), len(self.names)))
+        for j in range(x.shape[1]):
+            v = x[:, j, None]
+            both = ~np.isnan(v) & ~np.isnan(self.low[None, :, j])
+            under, over = self.low[None, :, j] - v, v - self.high[None, :, j]
+            below += np.where(both, np.maximum(0, np.maximum(under, over)) ** 2, 0)
+            above += np.where(both, np.maximum(np.abs(under), np.abs(over)) ** 2, 0)
+            shared += both
+        with np.errstate(divide="ignore", invalid="ignore"):
+            scale = x.shape[1] / shared
+            near, far = np.where(shared > 0, below * scale, np.inf), np.where(shared > 0, above * scale, np.inf)
+        near[:, self.loose], far[:, self.loose] = 0, np.inf
+        out = np.zeros(shared.shape, bool)
+        for c in range(x.shape[1]):
+            has = ~np.isnan(self.low[:, c]) | self.loose
+            rows = np.flatnonzero(np.isnan(x[:, c]))
+            if not len(rows) or not has.any():
+                continue
+            order = np.argsort(far[np.ix_(rows, has)], axis=1, kind="stable")
+            reach = np.take_along_axis(far[np.ix_(rows, has)], order, axis=1)
+            enough = np.cumsum(self.rows[has][order], axis=1) >= k
+            bound = np.where(enough.any(1), reach[np.arange(len(rows)), enough.argmax(1)], np.inf)
+            out[np.ix_(rows, has)] |= (near[np.ix_(rows, has)] <= bound[:, None] * (1 + 1e-9)) & np.isfinite(near[np.ix_(rows, has)])
+        return out
+
+
+def donor_visits(df: DataFrame, columns: Sequence[str], id_col: str, k: int = 5, block_rows: int = 2_000) -> tuple[DataFrame, DataFrame]:
+    """Receivers and donors, dealt to the tiles ``_p, _b, _s`` in which they meet.
+
+    Donors that know the same columns are sorted along a space-filling curve
+    and cut into boxes; a receiver goes to the boxes that may hold one of its
+    nearest donors, and a box goes to the parts of receivers that visit it.
+    A box of more than ``block_rows`` rows is cut into slices ``_s``, so tiles
+    do not grow with the data."""
+    ship_code()
+    columns = list(columns)
+    kind = df.schema[id_col].dataType.simpleString()
+    base = df.select(F.col(id_col).alias("_id"), F.array(*[number(c).cast("double") for c in columns]).alias("_x"))
+    known = F.concat(*[F.when(F.get("_x", F.lit(i)).isNotNull(), F.lit("1")).otherwise(F.lit("0")) for i in range(len(columns))])
+    base = reliable_checkpoint(base.withColumn("_k", known))
+    base = base.withColumn("_z", _places(base, columns))
+    full, none = "1" * len(columns), "0" * len(columns)
+    often = [r["_k"] for r in base.where(F.col("_k") != none).groupBy("_k").count().orderBy(F.desc("count"), "_k").limit(_PATTERNS - 1).collect()]
+    donors = base.where(F.col("_k") != none).withColumn("_g", F.when(F.col("_k").isin(often), F.col("_k")).otherwise(F.lit("")))
+    donors = reliable_checkpoint(group_positions(donors, ["_g"], ["_z", "_id"]))
+    n = donors.count()
+    box_rows = max(block_rows, -(-n // (_BOXES - _PATTERNS)))
+    slices = -(-box_rows // block_rows)
+    donors = donors.withColumn("_b", F.concat_ws(":", "_g", F.floor(F.col("_pos") / box_rows)))
+    cells = [F.get("_x", F.lit(i)) for i in range(len(columns))]
+    table = donors.groupBy("_b", "_g").agg(F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{f.__name__}{i}") for i, c in enumerate(cells) for f in (F.min, F.max)])
+    got = table.toPandas()  # _BOXES rows at most
+    edge = lambda f: np.array([got[f"{f}{i}"].to_numpy(float) for i in range(len(columns))]).T.reshape(len(got), len(columns))
+    boxes = _Boxes(got["_b"].to_numpy(), got["rows"].to_numpy(), edge("min"), edge("max"), (got["_g"] == "").to_numpy(bool))
+
+    receivers = group_positions(base.where(F.col("_k") != full), [], ["_k", "_z", "_id"], size_col=None)
+    receivers = receivers.select("_id", "_x", F.floor(F.col("_pos") / block_rows).cast("int").alias("_p"))
+
+    def visit(batches):
+        import pandas as pd
+        for pdf in batches:
+            step = max(1, _CELLS // max(1, len(boxes.names)))
+            for a in range(0, len(pdf), step):
+                part = pdf.iloc[a:a + step]
+                i, j = np.nonzero(boxes.visits(np.stack(part["_x"].to_numpy()).astype(float), k))
+                yield pd.DataFrame({"_id": part["_id"].to_numpy()[i], "_x": part["_x"].to_numpy()[i], "_p": part["_p"].to_numpy()[i], "_b": boxes.names[j]})
+
+    left = reliable_checkpoint(receivers.mapInPandas(visit, f"_id {kind}, _x array<double>, _p int, _b string"))
+    pairs = size_checked(left.select(F.col("_p").alias("_tp"), F.col("_b").alias("_tb")).distinct())
+    right = donors.join(pairs, F.col("_b") == F.col("_tb")).select(
+        F.col("_id").alias("_did"), "_x", F.col("_tp").alias("_p"), "_b", F.pmod(F.col("_pos"), F.lit(slices)).cast("int").alias("_s"))
+    left = left.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+    return left, right
+
+
+def knn_impute(df: DataFrame, columns: Sequence[str], id_col: str, k: int = 5, block_rows: int = 2_000) -> DataFrame:
     """Fill every missing value of ``columns`` with the mean of that column
     over the k nearest rows that have it (E10, several features).
 
@@ -118,24 +234,16 @@ def knn_impute(df: DataFrame, columns: Sequence[str], id_col: str, k: int = 5, b
     coordinate with any donor gets the column's mean.  ``columns`` come back
     as doubles; ``id_col`` must be unique.
 
-    Rows to fill and donors are dealt into blocks of about ``block_rows`` by a
-    hash of the id; each pair of blocks is one task's tile, in which numpy
-    computes exact distances a slab at a time and keeps k donors a row and
-    column.  So work is rows to fill times donors, spread over as many tiles
-    as the data needs, and no tile grows with the data."""
-    ship_code()
+    Exact: a receiver meets only the boxes of donors whose bound, for the
+    columns known on both sides, is within that of its k-th neighbour
+    (:func:`donor_visits`); in a tile numpy computes exact distances a slab at
+    a time and keeps k donors a row and column."""
     columns = list(columns)
-    x = F.array(*[number(c).cast("double") for c in columns])
-    base = reliable_checkpoint(df.select(F.col(id_col).alias("_id"), x.alias("_x")))
-    gap = F.exists("_x", lambda v: v.isNull())
-    n, holes = base.agg(F.count(F.lit(1)), F.count_if(gap)).first()
-    ids = df.schema[id_col].dataType.simpleString()
-    blocks, parts = max(1, -(-n // block_rows)), max(1, -(-holes // block_rows))
-    spread = lambda m: F.explode(F.sequence(F.lit(0), F.lit(m - 1)))
-    receivers = base.where(gap).select("_id", "_x", F.pmod(F.xxhash64("_id"), F.lit(parts)).cast("int").alias("_p"), spread(blocks).alias("_b"))
-    donors = base.select(F.col("_id").alias("_did"), "_x", F.pmod(F.xxhash64("_id"), F.lit(blocks)).cast("int").alias("_b"), spread(parts).alias("_p"))
-    near = (receivers.groupBy("_p", "_b").cogroup(donors.groupBy("_p", "_b"))
-            .applyInPandas(_tile_neighbours(len(columns), k), f"_id {ids}, _c int, _d double, _did {ids}, _y double"))
+    kind = df.schema[id_col].dataType.simpleString()
+    left, right = donor_visits(df, columns, id_col, k, block_rows)
+    tile = ["_p", "_b", "_s"]
+    near = (left.groupBy(*tile).cogroup(right.groupBy(*tile))
+            .applyInPandas(_tile_neighbours(len(columns), k), f"_id {kind}, _c int, _d double, _did {kind}, _y double"))
     rank = Window.partitionBy("_id", "_c").orderBy("_d", "_did")
     means = near.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= k).groupBy("_id", "_c").agg(F.avg("_y").alias("_m"))
     filled = means.groupBy(F.col("_id").alias("_fid")).agg(F.map_from_entries(F.collect_list(F.struct("_c", "_m"))).alias("_f"))
