@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..session import reliable_checkpoint
+from ..sources.readers import file_listing, local_part
 from .clean import dedup_keys
 from .upsert import upsert_latest
 
@@ -195,9 +196,7 @@ class SnapshotTable:
         """Append the files of ``folder`` that the ledger does not have (by
         path, length and time); each is entered with its rows and watermark
         range.  None if all are there."""
-        listed = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
-                  .where(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]"))
-                  .select("path", F.concat_ws(" ", "path", "length", F.unix_millis("modificationTime")).alias("name")))
+        listed = file_listing(spark, folder)
         base = self.manifest(spark)
         if base is not None:
             listed = listed.join(base.where("kind = 'source'").select("name"), "name", "left_anti")
@@ -208,8 +207,7 @@ class SnapshotTable:
         rows = spark.read.format(fmt).options(**options).load(list(files))
         where = F.col("_metadata.file_path")
         seen = self._ranges(rows, "source", where)
-        plain = lambda c: F.regexp_replace(c, "^file:/+", "/")  # noqa: E731  Spark writes both file:/ and file:///
-        seen = seen.join(F.broadcast(names), plain(F.col("name")) == plain(F.col("_path"))).select(
+        seen = seen.join(F.broadcast(names), local_part(F.col("name")) == local_part(F.col("_path"))).select(
             "kind", F.col("_name").alias("name"), *[c for c in seen.columns if c not in ("kind", "name")])
         return self.append(rows, seen)
 

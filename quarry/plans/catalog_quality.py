@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..operators import profile_state as PS
 from ..operators import quality as Q
 from ..operators.schema import constraint_violations
+from ..session import scratch_path
 from . import metrics
 from .fixtures import DIRTY_CTE, dirty_orders
 from .registry import register, table
@@ -218,3 +220,30 @@ def constraint_violations_q(spark, sf):
             "l_tax": {"dtype": "float64", "nullable": False},
             "l_returnflag": {"dtype": "object", "nullable": False}}
     return constraint_violations(li, spec)
+
+
+_LI_TEXT = ["l_returnflag", "l_linestatus", "l_shipdate"]
+
+
+@register("profile_merge", "\nUNION ALL\n".join(
+    f"SELECT '{c}' AS column_name, count(*) AS rows, count(*) - count({c}) AS nulls, "
+    + (f"min(CAST({c} AS DOUBLE)) AS min, max(CAST({c} AS DOUBLE)) AS max, round(avg(CAST({c} AS DOUBLE)), 4) AS mean" if c in _LI_NUM else "CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE), CAST(NULL AS DOUBLE)")
+    + ", TRUE AS distinct_close, TRUE AS median_close FROM lineitem" for c in _LI_NUM + _LI_TEXT))
+def profile_merge(spark, sf):
+    """Sketches of each file, merged; the second of two drops is
+    profiled by itself.  Estimates are held against the exact counts."""
+    li = table(spark, sf, "lineitem")
+    folder, state = scratch_path(spark, "lineitem-drops"), PS.ProfileState(scratch_path(spark, "lineitem-profile"))
+    for part in (F.col("l_linenumber") <= 3, F.col("l_linenumber") > 3):
+        li.where(part).write.mode("append").parquet(folder)
+        state.refresh(spark, folder)
+    got = state.profile(spark).where(F.col("column_name") != PS.ROW)
+    exact = Q.distinct_counts(li, _LI_NUM + _LI_TEXT).withColumnRenamed("distinct", "exact")
+    # the rank that the estimated median has among the rows
+    medians = {r["column_name"]: r["median"] for r in got.select("column_name", "median").collect() if r["median"] is not None}
+    below = li.agg(*[F.struct(F.avg((F.col(c) < m).cast("int")), F.avg((F.col(c) <= m).cast("int"))).alias(c) for c, m in medians.items()]).first()
+    close = {c: below[c][0] - PS.RANK_ERROR <= 0.5 <= below[c][1] + PS.RANK_ERROR for c in medians}
+    good = F.coalesce(F.element_at(F.create_map(*[F.lit(x) for pair in close.items() for x in pair]), F.col("column_name")), F.lit(True))
+    return got.join(F.broadcast(exact), "column_name").select(
+        "column_name", "rows", "nulls", "min", "max", F.round("mean", 4).alias("mean"),
+        (F.abs(F.col("distinct") - F.col("exact")) <= PS.DISTINCT_ERROR * F.col("exact") + 0.5).alias("distinct_close"), good.alias("median_close"))

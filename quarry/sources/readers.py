@@ -8,7 +8,7 @@ from collections.abc import Mapping, Sequence
 from pathlib import PurePosixPath
 from urllib.parse import urlparse
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -221,3 +221,16 @@ def detect_csv_dialect(spark: SparkSession, path: str, sample_lines: int = 50) -
             best, best_score = d, score
     quote = "'" if lines and sum(ln.count("'") for ln in lines) > sum(ln.count('"') for ln in lines) else '"'
     return {"sep": best, "quote": quote}
+
+
+def file_listing(spark: SparkSession, folder: str) -> DataFrame:
+    """``path, name`` of every data file below a folder, listed by Spark; the
+    name has path, length and time, so a file that was replaced is another one."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(folder)
+    return files.where(~F.element_at(F.split("path", "/"), -1).rlike("^[_.]")).select(
+        "path", F.concat_ws(" ", "path", "length", F.unix_millis("modificationTime")).alias("name"))
+
+
+def local_part(path: Column) -> Column:
+    """A file's path as Spark's readers agree on it (both file:/ and file:/// occur)."""
+    return F.regexp_replace(path, "^file:/+", "/")
