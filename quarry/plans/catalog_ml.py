@@ -405,6 +405,33 @@ def ml_regression(spark, sf):
     return j.select("_row_id", *[f"p{i}" for i in range(len(members))], "prediction", "l_extendedprice", F.lit(rmsle).alias("rmsle"))
 
 
+@register("boosted_facts", """
+SELECT (SELECT count(*) FROM documents JOIN labels USING (doc_id)) AS scored, (SELECT count(*) FROM part WHERE p_partkey % 5 = 0) AS priced,
+       TRUE AS probabilities_in_range, TRUE AS importances_sum_to_one, TRUE AS beats_the_mean, TRUE AS beats_the_majority, 50 AS trees""")
+def boosted_facts(spark, sf):
+    """Second-order boosting; a classifier of document quality, scored on
+    all labelled documents and held against the majority on the hold-out, and
+    a regressor of part prices, held against the mean on every fifth part."""
+    from ..operators.boosting import fit_boosted
+    train, test = _split_folds(spark, sf)
+    quality = fit_boosted(train, _DOC_NUM, "label")
+    done = train.unionByName(test).select("label", "is_test", quality.column().alias("p"))
+    held, hit = F.col("is_test") == 1, ((F.col("p") >= 0.5).cast("int") == F.col("label")).cast("int")
+    share = F.avg(F.when(held, F.col("label")))
+    scored = done.agg(F.count(F.lit(1)).alias("scored"), F.min(F.col("p").between(0, 1)).alias("probabilities_in_range"),
+                      (F.avg(F.when(held, hit)) > F.greatest(share, 1 - share)).alias("beats_the_majority"))
+    part = table(spark, sf, "part").select("p_partkey", "p_size", (F.col("p_partkey") % 1000).alias("k"), F.floor(F.col("p_partkey") / 10).alias("d"), "p_retailprice")
+    fifth = F.col("p_partkey") % 5 == 0
+    price = fit_boosted(part.where(~fifth), ["k", "d", "p_size"], "p_retailprice", "squared")
+    y = F.col("p_retailprice")
+    priced = part.where(fifth).select(y, price.column().alias("p")).agg(
+        F.count(F.lit(1)).alias("priced"), (F.avg(F.pow(F.col("p") - y, 2)) < 0.1 * F.var_pop(y)).alias("beats_the_mean"))
+    sums = [m.importances(spark).agg(F.sum("importance")).first()[0] for m in (quality, price)]
+    return scored.join(F.broadcast(priced)).select(  # one row each
+        "scored", "priced", "probabilities_in_range", F.lit(all(abs(s - 1) < 1e-9 for s in sums)).alias("importances_sum_to_one"),
+        "beats_the_mean", "beats_the_majority", F.lit(price.table(spark).count()).cast("int").alias("trees"))
+
+
 @register("ml_tabular_job")
 def ml_tabular_job(spark, sf):
     """The model scripts end to end (features, fills, encoding, CV members,
