@@ -7,9 +7,12 @@ sketches estimate resemblance, containment and distinct shingle counts.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import ascii_lower, col, shuffle_partitions, space_words
 
@@ -97,6 +100,19 @@ def from_string(text: Column) -> Column:
     return F.transform(starts, lambda i: F.conv(F.substring(text, i * 16 + 1, F.lit(16)), 16, -10).cast("bigint"))
 
 
+def _place(df: DataFrame, id_col: str) -> Column:
+    """A double that orders rows as their ids do, as far as it tells them
+    apart.  Numbers are themselves; for other ids it is the six bytes after
+    what the least and the greatest id, and so all between, begin with."""
+    if isinstance(df.schema[id_col].dataType, T.NumericType):
+        return col(id_col).cast("double")
+    text = col(id_col).cast("string")
+    ends = [v.encode() for v in df.agg(F.min(text), F.max(text)).first() if v is not None]
+    same = len(os.path.commonprefix(ends)) if ends else 0
+    digits = F.rpad(F.substring(F.hex(text.cast("binary")), 2 * same + 1, 12), 12, "0")
+    return F.conv(digits, 16, 10).cast("double")
+
+
 def with_next(df: DataFrame, id_col: str, tie: Column, carried: list[str]) -> DataFrame:
     """Adds ``next_<c>`` for the carried columns: those of the next row by
     falling id (nulls last, ties by ``tie``); the first row's for the last.
@@ -107,10 +123,11 @@ def with_next(df: DataFrame, id_col: str, tie: Column, carried: list[str]) -> Da
     (rows of one id share a range).  Ranges are found from quantiles of the
     ids; a range's first row is looked up by its id."""
     spark = df.sparkSession
-    ids = df.select(col(id_col).cast("double").alias("id")).where("id IS NOT NULL")
+    place = _place(df, id_col)
+    ids = df.select(place.alias("id")).where("id IS NOT NULL")
     n = shuffle_partitions(spark)
     cuts = sorted(set(ids.approxQuantile("id", [i / n for i in range(1, n)], 0.25 / n))) if n > 1 else []
-    marked = df.withColumn("_id", col(id_col).cast("double")).withColumn("_tie", tie)
+    marked = df.withColumn("_id", place).withColumn("_tie", tie)
     if cuts:
         splits = [float("-inf"), *cuts, float("inf")]
         cutter = Bucketizer(splits=splits, inputCol="_id", outputCol="_range", handleInvalid="keep")
@@ -147,7 +164,9 @@ def fingerprint_report(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null texts count as empty; a text without words has an empty sketch,
     which is alike (1) only to another empty one.  Null ids come after all
     others.  Rows of equal id follow by the hash of their text, and rows
-    repeated exactly follow each other.  A single document is its own next.
+    repeated exactly follow each other.  Text ids go by their UTF-8 bytes.  A
+    single document is its own next.  A very long text is hashed and sorted
+    within its row, in the JVM; no other row waits for it.
     An empty table gives no rows.  Other columns are not looked at.
     """
     rows = docs.select(col(id_col).alias("id"), F.coalesce(col(text_col), F.lit("")).alias("text"))

@@ -27,6 +27,8 @@ from .common import col, materialise, scratch_path, ship_code, shuffle_partition
 HTTP = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 URN = "urn:page:"
+#: The longest header line that is read.
+MAX_HEADER = 1 << 16
 MANIFEST = "archive string, n_records long, n_bytes long"
 CHUNKS = ("record_id string, page_id string, url string, record_type string, refers_to string, payload_bytes long, "
           "chunk_no long, is_last boolean, digest string, data binary")
@@ -81,13 +83,19 @@ def page_of(identifier: str | None) -> str | None:
     return unquote(name[1:]) if name else None
 
 
+def uri_text(url: str) -> str:
+    """A URL as it stands in a header: as it is, escapes included; only what
+    a header cannot hold (blanks, controls, non-ASCII) is escaped."""
+    return "".join(c if "!" <= c <= "~" else quote(c, safe="", errors="replace") for c in url)
+
+
 def _head(page_id, url, n_bytes, digest, record_type, first_id, date: str) -> bytes:
     revisit = record_type == "revisit"
     lines = ["WARC/1.1", f"WARC-Type: {record_type}", f"WARC-Record-ID: <{record_id(page_id, digest)}>", f"WARC-Date: {date}",
              "Content-Type: application/http; msgtype=response", f"WARC-Payload-Digest: sha256:{digest}",
              f"WARC-Payload-Length: {n_bytes}", f"Content-Length: {len(HTTP) + (0 if revisit else n_bytes)}"]
     if url is not None:
-        lines.append("WARC-Target-URI: " + quote(url, safe="!#$&'()*+,/:;=?@[]~"))
+        lines.append("WARC-Target-URI: " + uri_text(url))
     if revisit:
         lines += [f"WARC-Profile: {REVISIT}", f"WARC-Refers-To: <{record_id(first_id, digest)}>"]
     return "\r\n".join(lines).encode() + b"\r\n\r\n"
@@ -147,12 +155,20 @@ def write_warc(pages: DataFrame, folder: str, id_col: str = "page_id", url_col:
 
 # -- reading -----------------------------------------------------------------
 
+def _line(stream) -> bytes:
+    """A header line; one without an end is no header, and is not read on."""
+    line = stream.readline(MAX_HEADER)
+    if len(line) == MAX_HEADER and not line.endswith(b"\n"):
+        raise ValueError("no WARC record: a header line has no end")
+    return line
+
+
 def _headers(stream) -> tuple[str, dict[str, str]]:
-    first = stream.readline()
+    first = _line(stream)
     while first in (b"\r\n", b"\n"):
-        first = stream.readline()
+        first = _line(stream)
     out: dict[str, str] = {}
-    while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
+    while (line := _line(stream)) not in (b"\r\n", b"\n", b""):
         name, _, value = line.decode("utf-8", "replace").partition(":")
         out[name.strip().lower()] = value.strip()
     return first.decode("utf-8", "replace").strip(), out
@@ -168,12 +184,11 @@ def read_records(stream, chunk_bytes: int, data: bool = True) -> Iterator[dict]:
             raise ValueError(f"no WARC record: {version[:40]!r}")
         left, digest, kind = int(head["content-length"]), hashlib.sha256(), head.get("warc-type")
         if "http" in head.get("content-type", ""):  # the payload is what follows the HTTP head
-            while left and (line := stream.readline(left)):
+            while left and (line := stream.readline(min(left, MAX_HEADER))):
                 left -= len(line)
                 if line in (b"\r\n", b"\n"):
                     break
         size, number, revisit = left, 0, kind == "revisit"
-        uri = head.get("warc-target-uri")
         while True:
             part = stream.read(min(chunk_bytes, left))
             if not part and left:
@@ -182,7 +197,7 @@ def read_records(stream, chunk_bytes: int, data: bool = True) -> Iterator[dict]:
             digest.update(part)
             stored = head.get("warc-payload-digest", "").removeprefix("sha256:")
             yield {"record_id": head.get("warc-record-id"), "page_id": page_of(head.get("warc-record-id")),
-                   "url": None if uri is None else unquote(uri), "record_type": kind, "refers_to": page_of(head.get("warc-refers-to")),
+                   "url": head.get("warc-target-uri"), "record_type": kind, "refers_to": page_of(head.get("warc-refers-to")),
                    "payload_bytes": int(head.get("warc-payload-length", 0)) if revisit else size, "chunk_no": number,
                    "is_last": left == 0, "digest": stored if revisit else digest.hexdigest(), "data": part if data else None}
             number += 1

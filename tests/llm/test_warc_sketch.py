@@ -43,17 +43,40 @@ def test_round_trip_in_chunks(spark):
         again = html in first and page_id != first[html]
         want.append((page_id, len(body), hashlib.sha256(body).hexdigest(), "revisit" if again else "response", first[html] if again else None))
     assert got == sorted(want, key=str)
-    assert {r.url for r in rows if r.page_id == "3"} == {"http://a/\r\nX: y"}
+    assert {r.url for r in rows if r.page_id == "3"} == {"http://a/%0D%0AX:%20y"}
     assert sum(r.n_records for r in manifest.collect()) == len(pages)
     assert warc.round_trip(frame.limit(0)).count() == 0
 
 
-def test_urls_with_escapes_come_back(spark):
-    urls = ["http://a/a%20b", "http://a/%2F?x=%25", "http://a/100%", "http://a/a b", "http://a/é%C3%A9"]
-    frame = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string").selectExpr("*", "'p' AS html")
+def test_urls_stay_as_they_are(spark):
+    urls = ["http://a/a%20b", "http://a/%2F?x=%25", "http://a/100%", "https://x.org/a%20b?q=%2F", "http://a/\"<>^`{|}"]
+    odd = {"http://a/a b": "http://a/a%20b", "http://a/é%C3%A9": "http://a/%C3%A9%C3%A9", "http://a/\t\x7f": "http://a/%09%7F"}
+    want = urls + list(odd.values())
+    frame = spark.createDataFrame(list(enumerate(urls + list(odd))), "page_id long, url string").selectExpr("*", "'p' AS html")
     folder = scratch_path(spark, "warc-escapes")
     rows = warc.read_warc(warc.write_warc(frame, folder), folder).collect()
-    assert {int(r.page_id): r.url for r in rows} == dict(enumerate(urls))
+    assert {int(r.page_id): r.url for r in rows} == dict(enumerate(want))
+    assert b"WARC-Target-URI: https://x.org/a%20b?q=%2F\r\n" in warc._head("1", urls[3], 1, "0", "response", None, "2024-01-01T00:00:00Z")
+
+
+def test_archives_of_other_writers():
+    body = b"HTTP/1.1 200 OK\r\nX: " + b"y" * 200_000 + b"\r\n\r\nabc"
+    record = (b"WARC/1.0\r\nWARC-Type: response\r\nWARC-Target-URI: http://o/a%20b\r\nWARC-Record-ID: <urn:uuid:1>\r\n"
+              b"Content-Type: application/http\r\nContent-Length: " + str(len(body)).encode() + b"\r\n\r\n" + body + b"\r\n\r\n")
+    got = list(warc.read_records(io.BytesIO(record), 1 << 20))
+    assert [(r["url"], r["payload_bytes"], r["data"]) for r in got] == [("http://o/a%20b", 3, b"abc")]
+
+    class Endless(io.RawIOBase):  # what has no line end is not read to its end
+        taken = 0
+
+        def readline(self, size=-1):
+            assert 0 < size <= warc.MAX_HEADER
+            self.taken += size
+            return b"x" * size
+
+    with pytest.raises(ValueError):
+        list(warc.read_records(Endless(), 4))
+    assert Endless.taken == 0
 
 
 def test_reader_refuses_cut_archives():
@@ -129,3 +152,18 @@ def test_merge_containment_counts_and_strings(spark):
     r = pair.select(sk.containment(sk.F.col("a"), sk.F.col("b")).alias("c"), sk.merge(sk.F.col("a"), sk.F.col("a")).alias("m"),
                     sk.resemblance(sk.F.col("a"), sk.F.col("b")).alias("r")).first()
     assert r.c > 0.7 and r.m == rows[1].s and abs(r.r - jaccard(shingles(texts[1]), shingles(texts[4]))) < 0.2
+
+
+def test_text_ids_have_next_documents(spark):
+    rows = [(f"doc-{i * 7919 % 1000:04d}-é", f"word{i} one two three four five") for i in range(300)] + [(None, "no id"), ("doc-0001-é", "again")]
+    docs = spark.createDataFrame(rows, "doc_id string, text string")
+    got = {(r.id, r.n_chars): r.edited_sha256 for r in sk.fingerprint_report(docs).collect()}
+    order = sorted((r for r in rows if r[0] and rows.count(r) == 1 and r[0] != "doc-0001-é"), key=lambda r: r[0].encode(), reverse=True)
+    checked = 0
+    for a, b in zip(order, order[1:]):
+        if b[0] > "doc-0001-é":
+            cut = len(a[1]) // 3
+            text = a[1][:len(a[1]) - cut] + b[1][:cut]
+            assert got[(a[0], len(a[1]))] == hashlib.sha256(text.encode()).hexdigest()
+            checked += 1
+    assert checked > 200 and len(sk.fingerprint_report(docs).collect()) == len(rows)
