@@ -199,7 +199,9 @@ def search(queries: DataFrame, vectors: DataFrame, id_col: str, vec_col: str, qu
         names = right["_id"].to_numpy()
         codes = np.frombuffer(b"".join(right["_code"]), np.uint8).reshape(len(right), -1)
         own, x = left["_q"].to_numpy(), np.stack(left["v"].to_numpy()).astype(float)
-        out, step, keep = [], max(1, _CELLS // len(right)), min(finalists, len(right))
+        # a group's share of the finalists, fourfold, as near cells hold more
+        share = max(2 * k, math.ceil(4 * quantiser.finalists_per_row * len(right)))
+        out, step, keep = [], max(1, _CELLS // len(right)), min(finalists, share, len(right))
         for a in range(0, len(own), step):
             e = estimates(quantiser.tables(x[a:a + step], int(key[0])), codes)
             e[own[a:a + step, None] == names[None, :]] = np.inf
