@@ -3,10 +3,12 @@
 A window of a benchmark item (13 words, or a whole shorter item) is taken as
 the set of its word shingles.  A text that holds the window holds all of
 them, so its rarest shingle alone is the necessary prefix of the set in an
-order by rarity: windows are joined to texts on that shingle only.  A joined
-pair must pass the positional bound (the window starts inside the text) and
-the length bound (and ends inside it); then the words of the text at that
-place are compared with the window's.
+order by rarity.  A first pass counts the windows' shingles in the texts,
+keys and counts only, combined map-side; it gives the order.  A second pass
+joins windows to texts on the prefix only.  A joined pair must pass the
+positional bound (the window starts inside the text) and the length bound
+(and ends inside it); then the words of the text at that place are compared
+with the window's.
 
 Texts are cut into blocks of words that overlap by a window, so no row past
 the first step grows with a text, and nothing is exploded beside a long
@@ -56,8 +58,10 @@ def window_shingles(windows: DataFrame, shingle: int) -> DataFrame:
     return rows.select("win", "len", "offset", h.alias("h"))
 
 
-def _occurrences(docs: DataFrame, text_col: str, sizes: list[int], window: int, block: int, wanted: DataFrame) -> DataFrame:
-    """Places in the texts where a wanted shingle starts, with the words around."""
+def _places(docs: DataFrame, text_col: str, sizes: list[int], window: int, block: int) -> DataFrame:
+    """Every shingle of the texts: ``h1, h2, n`` (words of the text), ``c``
+    (its block, with a window's words on both sides), ``i`` (place in the
+    block), ``pos`` (place in the text) and ``h``."""
     around = window - 1
     words = docs.select(*text_hash(col(text_col)), letter_words(col(text_col)).alias("w")).where(F.size("w") > 0)
     words = words.withColumn("n", F.size("w"))
@@ -68,7 +72,6 @@ def _occurrences(docs: DataFrame, text_col: str, sizes: list[int], window: int,
     blocks = words.select("h1", "h2", "n", F.explode(cut).alias("part")).select("h1", "h2", "n", "part.b", "part.c")
     first = lead(F.col("b"))
 
-
     def marked(g: int) -> Column:
         last = F.least(F.lit(block) + first, F.size("c") - g + 1) - 1
         places = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
@@ -76,11 +79,19 @@ def _occurrences(docs: DataFrame, text_col: str, sizes: list[int], window: int,
 
     marks = [marked(g) for g in sizes]
     placed = blocks.select("h1", "h2", "n", "b", "c", F.explode(F.concat(*marks) if len(marks) > 1 else marks[0]).alias("m"))
-    near = placed.select("h1", "h2", "n", "c", F.col("m.i").alias("i"), F.col("m.h").alias("h"),
-                         (F.col("b") - lead(F.col("b")) + F.col("m.i")).alias("pos")).join(wanted, "h")
-    before = F.least(F.col("i"), F.lit(around))
-    return near.select("h1", "h2", "n", "pos", "h", before.alias("before"),
-                       F.slice("c", F.col("i") - before + 1, before + window).alias("c"))
+    return placed.select("h1", "h2", "n", "c", F.col("m.i").alias("i"), F.col("m.h").alias("h"), (F.col("b") - first + F.col("m.i")).alias("pos"))
+
+
+def window_prefixes(places: DataFrame, shingles: DataFrame) -> DataFrame:
+    """``win, len, h, offset, n_found``: each window's rarest shingle and how
+    often the texts hold it.  A shingle that no text holds rules its windows
+    out."""
+    wanted = size_checked(shingles.select("h").distinct())
+    counts = places.select("h").join(wanted, "h").groupBy("h").agg(F.count(F.lit(1)).alias("n_found"))
+    found = F.coalesce("n_found", F.lit(0))
+    ranked = shingles.join(counts, "h", "left").groupBy("win", "len").agg(
+        F.min(found).alias("n_found"), F.min_by(F.struct("h", "offset"), F.struct(found, F.col("h"), F.col("offset"))).alias("key"))
+    return ranked.where("n_found > 0").select("win", "len", "key.h", "key.offset", "n_found")
 
 
 def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
@@ -90,18 +101,13 @@ def contamination(docs: DataFrame, items: DataFrame, text_col: str = "text", ite
     windows = materialise(item_windows(items, item_id, item_text, window), "windows")
     shingles = materialise(window_shingles(windows, shingle), "window-shingles")
     sizes = sorted(r[0] for r in windows.select(F.least("len", F.lit(shingle)).alias("g")).distinct().collect())  # <= shingle
-    wanted = size_checked(shingles.select("h").distinct())
-    found = materialise(_occurrences(docs, text_col, sizes or [shingle], window, block, wanted), "occurrences")
-    counts = found.groupBy("h").agg(F.count(F.lit(1)).alias("n_found"))
-    # a shingle that no text has rules its windows out; the rarest of the others is the prefix
-    ranked = shingles.join(counts, "h", "left").groupBy("win", "len").agg(
-        F.min(F.coalesce("n_found", F.lit(0))).alias("least"),
-        F.min_by(F.struct("h", "offset"), F.struct(F.coalesce("n_found", F.lit(0)), F.col("h"), F.col("offset"))).alias("key"))
-    prefix = size_checked(ranked.where("least > 0").select("win", "len", "key.h", "key.offset"))
+    places = _places(docs, text_col, sizes or [shingle], window, block)
+    prefix = size_checked(window_prefixes(places, shingles).drop("n_found"))
     start = F.col("pos") - F.col("offset")
-    bounds = (F.col("offset") <= F.col("before")) & (start + F.col("len") <= F.col("n"))
-    same = F.array_join(F.slice("c", F.col("before") - F.col("offset") + 1, F.col("len")), " ") == F.col("win")
-    hits = (found.join(prefix, "h").where(bounds & same)
+    bounds = (start >= 0) & (start + F.col("len") <= F.col("n"))
+    same = F.array_join(F.slice("c", F.col("i") - F.col("offset") + 1, F.col("len")), " ") == F.col("win")
+    # the bounds first: a slice may not start before its array
+    hits = (places.join(prefix, "h").where(F.when(bounds, same).otherwise(False))
             .select("h1", "h2", start.alias("start"), "len", "win").distinct())
     hits = materialise(hits, "hits")
     before = Window.partitionBy("h1", "h2").orderBy("start", "len").rowsBetween(Window.unboundedPreceding, -1)
@@ -127,8 +133,8 @@ def decontaminate_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_i
     Null and empty texts have no words and are clean.  Items without words
     have no windows; items of equal id count once and a null item id is not
     counted.  Rows repeated exactly get the same values each.  An empty
-    table on either side gives clean documents or no rows.  Other columns
-    are not looked at.
+    table on either side gives clean documents or no rows.  Very long texts
+    are cut into blocks and judged whole.  Other columns are not looked at.
     """
     found = contamination(docs, items, text_col, item_id, item_text, **options)
     rows = docs.select(col(id_col).alias("id"), *text_hash(col(text_col)),
@@ -141,7 +147,11 @@ def decontaminate_report(docs: DataFrame, items: DataFrame, id_col: str = "doc_i
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, text_col: str = "text", **options) -> DataFrame:
-    """The documents that are not contaminated, all columns kept."""
+    """The documents that are not contaminated, all columns kept.
+
+    Null, empty and very long texts, repeated rows and empty tables are
+    taken as in ``decontaminate_report``: rows without words stay, and rows
+    with equal texts stay or go together."""
     found = contamination(docs, items, text_col, **options).select(F.col("h1").alias("k1"), F.col("h2").alias("k2"), "n_hit")
     rows = docs.select(F.struct(*[col(c) for c in docs.columns]).alias("row"), *text_hash(col(text_col)),
                        F.size(letter_words(col(text_col))).alias("n_words"))

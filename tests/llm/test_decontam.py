@@ -4,6 +4,9 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
+from quarry.llm import decontam as dc
 from quarry.llm.decontam import decontaminate_report, drop_contaminated
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -67,3 +70,26 @@ def test_odd_rows(spark):
     assert got == brute(docs, items) and clean == [1, 2, 3, 5]
     assert run(spark, docs, items[:0] + [(8, None)])[0] == brute(docs, [(8, None)])
     assert run(spark, [], items)[0] == []
+
+
+def test_only_prefix_shingles_meet_the_texts(spark):
+    """A shingle that is in every text is counted, but never joined: every
+    window that holds it has a rarer one."""
+    common = "one of the "
+    items = spark.createDataFrame([(i, " ".join(f"q{i}x{j}" for j in range(8)) + " " + common + f"r{i} s{i}") for i in range(5)],
+                                  "item_id long, text string")
+    docs = [(i, common * 30 + f"z{i}") for i in range(40)]
+    docs.append((40, "start " + " ".join(f"q2x{j}" for j in range(8)) + " " + common + "r2 s2 end"))
+    docs = spark.createDataFrame(docs, "doc_id long, text string")
+    shingles = dc.window_shingles(dc.item_windows(items, "item_id", "text", 13), 3)
+    places = dc._places(docs, "text", [3], 13, 64)
+    prefix = dc.window_prefixes(places, shingles)
+    # the other items' rarer shingles are in no text: their windows are ruled out
+    assert [(r.win.split()[0], r.n_found) for r in prefix.collect()] == [("q2x0", 1)]
+    assert places.join(shingles.select("h").distinct(), "h").count() == 40 * 30 + 11
+    assert places.join(prefix, "h").count() == 1
+    counted = places.select("h").groupBy("h").agg(F.count(F.lit(1)).alias("n"))
+    plan = counted._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(text" not in plan  # the counting pass carries neither the texts' keys nor their words
+    got = decontaminate_report(docs, items).where("contaminated").collect()
+    assert [(r.id, r.n_hit) for r in got] == [(40, 13)]
