@@ -2,9 +2,10 @@
 
 The cache is a Parquet folder per tokenizer version; its rows are the digest
 of a normalised content (null counts as empty; nothing else is changed, as
-white space counts) and its number of tokens.  Texts are reduced to one per
-digest, map-side first; those whose digest the cache lacks are encoded and
-appended; then every document takes its count from the cache by digest.
+white space counts) and its number of tokens.  Digests alone are held against
+the cache; only texts whose digest it lacks are shuffled, reduced to one per
+digest, map-side first, encoded and appended; then every document takes its
+count from the cache by digest.
 """
 
 from __future__ import annotations
@@ -17,6 +18,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.joins import size_checked
 from .common import col, scratch_path, ship_code
 
 SCHEMA = "digest string, n_tokens long"
@@ -69,13 +71,23 @@ def _encoder(definition: str, batch_bytes: int):
 def encode_misses(docs: DataFrame, text_col: str, definition: str, folder: str, batch_bytes: int = 1 << 20) -> DataFrame:
     """``digest, n_tokens`` of the distinct contents that the cache lacks."""
     ship_code()
+    return missing_texts(docs, text_col, folder).mapInArrow(_encoder(definition, batch_bytes), SCHEMA)
+
+
+def missing_texts(docs: DataFrame, text_col: str, folder: str) -> DataFrame:
+    """``digest, body``, one row per content that the cache lacks.
+
+    The cache is joined to distinct digests, never to texts.  The digests
+    missed are broadcast if they measure small, so that the texts of hits
+    are dropped where they are read; with more misses than that, texts meet
+    them in a shuffle."""
     body = F.coalesce(col(text_col), F.lit("")).cast("binary")
     texts = docs.select(content_digest(col(text_col)).alias("digest"), body.alias("body"))
-    misses = texts.groupBy("digest").agg(F.first("body").alias("body"))
     known = cached(docs.sparkSession, folder)
     if known is not None:
-        misses = misses.join(known.select("digest"), "digest", "left_anti")
-    return misses.mapInArrow(_encoder(definition, batch_bytes), SCHEMA)
+        digests = docs.select(content_digest(col(text_col)).alias("digest")).distinct()
+        texts = texts.join(size_checked(digests.join(known.select("digest"), "digest", "left_anti")), "digest", "left_semi")
+    return texts.groupBy("digest").agg(F.first("body").alias("body"))
 
 
 def token_counts(docs: DataFrame, tokenizer_file: str, cache: str | None = None, id_col: str = "doc_id",
@@ -87,7 +99,8 @@ def token_counts(docs: DataFrame, tokenizer_file: str, cache: str | None = None,
     Null texts count as empty (0 tokens).  Rows repeated exactly, or with
     equal texts, get equal counts, encoded once.  An empty table gives no
     rows.  Bytes that are no UTF-8 count as the replacement character.
-    Other columns are not looked at.
+    Very long texts are encoded whole, each on its own once it fills a
+    batch.  Other columns are not looked at.
     """
     spark = docs.sparkSession
     with open(tokenizer_file, "rb") as file:

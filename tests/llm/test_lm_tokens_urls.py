@@ -155,6 +155,22 @@ def test_token_counts_and_cache(spark, monkeypatch):
     assert tc.token_counts(docs.limit(0), path).count() == 0
 
 
+def test_texts_of_hits_are_not_shuffled(spark, tmpdir_path):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(["a b", "c d e", "a b", "", None, "x" * 50_000])], "doc_id long, text string")
+    assert tc.token_counts(docs, path, tmpdir_path).count() == 6
+    with open(path, "rb") as f:
+        folder = f"{tmpdir_path}/{tc.tokenizer_version(f.read())}"
+    more = docs.union(spark.createDataFrame([(9, "new"), (10, "new")], docs.schema))
+    missing = tc.missing_texts(more, "text", folder)
+    assert [bytes(r.body) for r in missing.collect()] == [b"new"]
+    plan = missing._jdf.queryExecution().executedPlan().toString()
+    # the semi join with the few digests missed lies below the only exchange of bodies
+    assert plan.index("BroadcastHashJoin") > plan.index("Exchange hashpartitioning(digest")
+    assert tc.missing_texts(docs, "text", folder).count() == 0
+    assert tc.token_counts(docs, path, tmpdir_path).count() == 6
+
+
 # -- URL filters -------------------------------------------------------------
 
 def test_rules_and_components(spark):
