@@ -71,15 +71,13 @@ def _places(docs: DataFrame, text_col: str, sizes: list[int], window: int, block
         F.col("w"), b - lead(b) + 1, lead(b) + F.lit(block + around)).alias("c")))
     blocks = words.select("h1", "h2", "n", F.explode(cut).alias("part")).select("h1", "h2", "n", "part.b", "part.c")
     first = lead(F.col("b"))
-
-    def marked(g: int) -> Column:
-        last = F.least(F.lit(block) + first, F.size("c") - g + 1) - 1
-        places = F.when(last >= first, F.sequence(first, last)).otherwise(F.array().cast("array<int>"))
-        return F.transform(places, lambda i: F.struct(i.alias("i"), _shingle(F.col("c"), i, g).alias("h")))
-
-    marks = [marked(g) for g in sizes]
-    placed = blocks.select("h1", "h2", "n", "b", "c", F.explode(F.concat(*marks) if len(marks) > 1 else marks[0]).alias("m"))
-    return placed.select("h1", "h2", "n", "c", F.col("m.i").alias("i"), F.col("m.h").alias("h"), (F.col("b") - first + F.col("m.i")).alias("pos"))
+    # places are exploded before they are hashed: no function of higher order
+    # keeps the hashes, the join and the counts out of generated code
+    last = F.least(F.lit(block) + first, F.size("c")) - 1
+    placed = blocks.select("h1", "h2", "n", "c", (F.col("b") - first).alias("at"), F.explode(F.sequence(first, last)).alias("i"))
+    marks = [F.when(F.col("i") + g <= F.size("c"), _shingle(F.col("c"), F.col("i"), g)) for g in sizes]
+    h = F.explode(F.array(*marks)) if len(marks) > 1 else marks[0]
+    return placed.select("h1", "h2", "n", "c", "i", (F.col("at") + F.col("i")).alias("pos"), h.alias("h"))
 
 
 def window_prefixes(places: DataFrame, shingles: DataFrame) -> DataFrame:
