@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import json
 import os
+import re
 from collections.abc import Mapping, Sequence
 from pathlib import PurePosixPath
+from urllib.parse import quote as url_quote
 from urllib.parse import urlparse
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.types import spark_type
+from ..session import ship_code, shuffle_partitions
 
 CORRUPT_COLUMN = "_corrupt"
 
@@ -106,20 +110,71 @@ def csv_groups(spark: SparkSession, paths: Sequence[str],
     """CSV files by ``(separator, quote, header fields)``.
 
     Spark reads the files of one scan by position, so only files with the
-    same header may share one.  Folders are listed; each file's dialect is
-    sniffed from its first lines."""
+    same header may share one.  Folders are listed; one job sniffs the
+    dialects and headers of all files from their first lines."""
     options = dict(reader_options or {})
+    own = {k: options[k] for k in ("sep", "quote") if k in options}
+    named = str(options.get("header", "true")).lower() == "true"
     groups: dict[tuple, list[str]] = {}
-    for file in list_files(spark, list(paths)):
-        dialect = detect_csv_dialect(spark, file) | {k: options[k] for k in ("sep", "quote") if k in options}
-        header: tuple = ()
-        if str(options.get("header", "true")).lower() == "true":
-            head = (spark.read.format("csv").option("header", "true").options(**dialect).load(file)).columns
-            header = tuple(head)
+    for file, lines in first_lines(spark, list_files(spark, list(paths))):
+        dialect = sniff_dialect(lines) | own
+        header = header_fields(lines, dialect) if named else ()
         groups.setdefault((dialect["sep"], dialect["quote"], header), []).append(file)
     return groups
 
 
+def first_lines(spark: SparkSession, files: Sequence[str], sample_lines: int = 50,
+                head_bytes: int = 1 << 16) -> list[tuple[str, list[str]]]:
+    """The first lines of every file, in the files' order, by one Spark job:
+    tasks open the files and read ``head_bytes`` each (more only where the
+    first line is longer).  Files of a scheme that Arrow does not know are
+    read by Spark, one job each."""
+    from pyarrow import ArrowInvalid
+    from pyarrow import fs as pafs
+    try:
+        for scheme in {f.partition(":")[0]: f for f in files}.values():
+            pafs.FileSystem.from_uri(_arrow_uri(scheme))
+    except ArrowInvalid:
+        return [(f, [r[0] for r in spark.read.text(f).limit(sample_lines).collect()]) for f in files]
+    ship_code()
+
+    def heads(batches):
+        for batch in batches:
+            yield batch.assign(lines=[_head(p, sample_lines, head_bytes) for p in batch["path"]])
+
+    slices = max(1, min(len(files), shuffle_partitions(spark)))
+    named = spark.createDataFrame([(i, f) for i, f in enumerate(files)], "place long, path string")
+    rows = named.repartition(slices, "place").mapInPandas(heads, "place long, path string, lines array<string>")
+    return [(r.path, list(r.lines)) for r in rows.orderBy("place").toLocalIterator()]
+
+
+def _arrow_uri(path: str) -> str:
+    """A listed path (blanks and all, ``file:/`` once or thrice) as Arrow's URI."""
+    if path.startswith("file:"):
+        path = "file:///" + path[len("file:"):].lstrip("/")
+    return url_quote(path, safe="/:@=&+,;$!*'()~")
+
+
+def _head(path: str, sample_lines: int, head_bytes: int) -> list[str]:
+    from pyarrow import fs as pafs
+    filesystem, name = pafs.FileSystem.from_uri(_arrow_uri(path))
+    with filesystem.open_input_stream(name) as f:  # suffixes like .gz are unpacked
+        data = f.read(head_bytes)
+        while b"\n" not in data and (more := f.read(head_bytes)):
+            data += more
+        whole = not f.read(1)
+    lines = re.split("\r\n|\n|\r", data.decode("utf-8", "replace"))
+    if len(lines) > 1 and (not whole or not lines[-1]):  # a line cut off, or the end after the last line break
+        lines.pop()
+    return lines[:sample_lines] if data else []
+
+
+def header_fields(lines: Sequence[str], dialect: Mapping[str, str]) -> tuple[str, ...]:
+    """The fields of the first line that is not blank."""
+    first = next((ln for ln in lines if ln.strip()), "").lstrip("\ufeff")
+    return tuple(next(csv.reader([first], delimiter=dialect["sep"], quotechar=dialect["quote"]), []))
+
+
 def read_many(spark: SparkSession, paths: Sequence[str], **kw) -> DataFrame:
     """Many inputs into one table.  Paths of one format are read in a
     single scan, CSV files in one scan per dialect and header; different
@@ -207,9 +262,14 @@ def detect_csv_dialect(spark: SparkSession, path: str, sample_lines: int = 50) -
     """A3: sniff the delimiter from the first lines (a bounded sample):
     the candidate with the most consistent non-zero count per line wins;
     fallback comma.  A UTF-8 BOM is ignored."""
-    lines = [r[0] for r in spark.read.text(path).limit(sample_lines).collect()]
+    return sniff_dialect([r[0] for r in spark.read.text(path).limit(sample_lines).collect()])
+
+
+def sniff_dialect(lines: Sequence[str]) -> dict[str, str]:
+    """Separator and quote of some first lines."""
+    lines = list(lines)
     if lines:
-        lines[0] = lines[0].lstrip("﻿")
+        lines[0] = lines[0].lstrip("\ufeff")
     best, best_score = ",", (-1, 0)
     for d in CSV_DELIMITERS:
         counts = [ln.count(d) for ln in lines if ln.strip()]
