@@ -10,16 +10,60 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import Estimator, Pipeline, PipelineModel
+import numpy as np
+import pandas as pd
+from pyspark import keyword_only
+from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.param import Param, Params, TypeConverters
+from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasSeed
+from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_code
+
+
+def fourier(x: np.ndarray, size: int, gamma: float, seed: int) -> np.ndarray:
+    """Random Fourier features: rows whose inner products come near the
+    kernel ``exp(-gamma * |x - y|^2)``.  The same seed gives the same
+    features in every task; ``gamma`` 0 stands for 1 / dimension."""
+    rng = np.random.default_rng(seed)
+    gamma = gamma or 1.0 / x.shape[1]
+    waves = rng.normal(size=(x.shape[1], size)) * np.sqrt(2 * gamma)
+    phase = rng.uniform(0, 2 * np.pi, size)
+    return np.sqrt(2 / size) * np.cos(x @ waves + phase)
+
+
+class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
+    """A vector column's random Fourier features (Arrow batches, one
+    matrix product each).  A linear machine on them is a kernel machine whose
+    cost grows with the rows, not with their square."""
+
+    size = Param(Params._dummy(), "size", "number of features", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "kernel width, 0 for 1 / dimension", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, *, inputCol="features", outputCol="fourier", size=256, gamma=0.0, seed=42):
+        super().__init__()
+        self._set(**self._input_kwargs)
+        self._setDefault(inputCol="features", outputCol="fourier", size=256, gamma=0.0, seed=42)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        ship_code()
+        size, gamma, seed = (self.getOrDefault(p) for p in (self.size, self.gamma, self.seed))
+
+        def project(x):
+            return pd.Series(list(fourier(np.stack(x), size, gamma, seed)) if len(x) else [], dtype=object)
+
+        udf = F.pandas_udf(project, "array<double>", F.PandasUDFType.SCALAR)
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(udf(vector_to_array(self.getInputCol()))))
+
 
 def feature_stages(categorical: Sequence[str], numeric: Sequence[str], scale: bool = True) -> list:
     """K1/K6 stages: index categoricals (unseen -> extra index), assemble,
@@ -49,6 +93,10 @@ def classifier(kind: str, label: str = "label", seed: int = 42, **params) -> Est
                              subsamplingRate=params.get("subsamplingRate", 0.8))
     if kind == "svc":
         return LinearSVC(labelCol=label, maxIter=100, regParam=params.get("regParam", 0.1))
+    if kind == "rbf_svc":
+        waves = FourierFeatures(size=params.get("size", 256), gamma=params.get("gamma", 0.0), seed=seed)
+        return Pipeline(stages=[waves, LinearSVC(labelCol=label, featuresCol="fourier", maxIter=100,
+                                                 regParam=params.get("regParam", 0.001))])
     raise ValueError(kind)
 
 

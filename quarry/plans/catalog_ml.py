@@ -484,6 +484,51 @@ def ml_regression_facts(spark, sf):
                  .alias("rmsle_agrees"))
 
 
+@register("ml_kernel_svc_facts", """
+SELECT count(*) AS scored, sum(CAST((2 * l_quantity - 51) ** 2 * 10 + (round(100 * l_discount) - 5) ** 2 * 833 < 15827 AS INTEGER))::BIGINT AS inside,
+       TRUE AS beats_the_majority, TRUE AS beats_the_linear FROM lineitem WHERE l_orderkey % 5 = 0""")
+def ml_kernel_svc_facts(spark, sf):
+    """Which lines lie inside an ellipse of quantity and discount, by a
+    linear machine and by one on Fourier features; every fifth order is held
+    out.  No line separates the classes, so only the kernel machine can."""
+    from ..session import reliable_checkpoint
+    q, d = 2 * F.col("l_quantity") - 51, F.round(100 * F.col("l_discount")) - 5
+    rows = reliable_checkpoint(table(spark, sf, "lineitem").select(
+        "l_orderkey", "l_quantity", "l_discount", (q * q * 10 + d * d * 833 < 15827).cast("double").alias("label")))
+    train, test = rows.where("l_orderkey % 5 <> 0"), rows.where("l_orderkey % 5 = 0")
+    out = test
+    for kind in ("svc", "rbf_svc"):
+        m = M.fit_pipeline(M.feature_stages([], ["l_quantity", "l_discount"]), M.classifier(kind), train)
+        hit = (F.col("prediction") == F.col("label")).cast("int").alias(kind)
+        out = m.transform(out).select("label", *[c for c in ("l_quantity", "l_discount", "svc") if c in out.columns], hit)
+    share = F.avg("label")
+    return out.agg(F.count(F.lit(1)).alias("scored"), F.sum("label").cast("long").alias("inside"),
+                   (F.avg("rbf_svc") > F.greatest(share, 1 - share) + 0.1).alias("beats_the_majority"),
+                   (F.avg("rbf_svc") > F.avg("svc") + 0.1).alias("beats_the_linear"))
+
+
+@register("ml_members_facts", """
+WITH l AS (SELECT doc_id, quality FROM documents JOIN labels USING (doc_id)),
+t AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR))) AS r, count(*) OVER (PARTITION BY quality) AS n FROM l),
+h AS (SELECT * FROM t WHERE r - 1 < round(n * 0.2))
+SELECT model, count(*) AS n, sum(doc_id)::BIGINT AS id_sum, sum(quality)::BIGINT AS positives, TRUE AS in_range, TRUE AS beats_the_majority
+FROM h, (SELECT unnest(['logreg', 'rf', 'svc', 'rbf_svc']) AS model) GROUP BY model""")
+def ml_members_facts(spark, sf):
+    """Each member scores exactly the hold-out rows of the
+    stratified split, with probabilities, and beats the larger class's share."""
+    train, test = _split_folds(spark, sf)
+    out = None
+    for kind in ("logreg", "rf", "svc", "rbf_svc"):
+        pred = M.positive_probability(M.fit_pipeline(_stages(), M.classifier(kind), train).transform(test), "p1")
+        share = F.avg("label")
+        facts = pred.agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("id_sum"), F.sum("label").cast("long").alias("positives"),
+                         F.min(F.col("p1").between(0, 1)).alias("in_range"),
+                         (F.avg((F.col("prediction") == F.col("label")).cast("int")) > F.greatest(share, 1 - share)).alias("beats_the_majority"))
+        facts = facts.withColumn("model", F.lit(kind))
+        out = facts if out is None else out.unionByName(facts)
+    return out
+
+
 @register("knn_impute_multi", """
 WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 37 <> 0 THEN p_size::DOUBLE END AS a,
                   CASE WHEN p_partkey % 41 <> 0 THEN p_retailprice END AS b,
