@@ -58,11 +58,11 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultPa
         ship_code()
         size, gamma, seed = (self.getOrDefault(p) for p in (self.size, self.gamma, self.seed))
 
-        def project(x):
+        @F.pandas_udf("array<double>")
+        def project(x: pd.Series) -> pd.Series:
             return pd.Series(list(fourier(np.stack(x), size, gamma, seed)) if len(x) else [], dtype=object)
 
-        udf = F.pandas_udf(project, "array<double>", F.PandasUDFType.SCALAR)
-        return dataset.withColumn(self.getOutputCol(), array_to_vector(udf(vector_to_array(self.getInputCol()))))
+        return dataset.withColumn(self.getOutputCol(), array_to_vector(project(vector_to_array(self.getInputCol()))))
 
 
 def feature_stages(categorical: Sequence[str], numeric: Sequence[str], scale: bool = True) -> list:
