@@ -67,7 +67,7 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES).withColumnRenamed("id", "page_id")
+    return judge_urls(read_table(spark, sf_dir, "pages"), URL_RULES, spellings=False).withColumnRenamed("id", "page_id")
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -1,7 +1,7 @@
 """URL filters with redirect equivalence, JVM only.
 
-URLs that lead to each other (redirects, canonical links, and spellings that
-servers redirect) are one page under several names.  Their connected
+URLs that lead to each other (redirects and canonical links; on request also
+spellings that servers redirect) are one page under several names.  Their connected
 components carry a block decision from any name to the names that no rule
 fits; an explicit allow has precedence.
 """
@@ -107,7 +107,7 @@ def absolute(target: Column, base: Column) -> Column:
 
 
 def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id", url_col: str = "url",
-               html_col: str | None = "html", redirects: DataFrame | None = None) -> DataFrame:
+               html_col: str | None = "html", redirects: DataFrame | None = None, spellings: bool = True) -> DataFrame:
     """Per input row: ``id, host, path, rule, verdict``.
 
     A rule fits its host and all subdomains if the path starts with the
@@ -115,18 +115,20 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
     ones an allow.  A page that no rule fits takes the decision of its
     component: allow if a rule explicitly allows any of its names, else
     block if one is blocked, else allow.  ``redirects`` may give more edges
-    as ``from_url, to_url``.
+    as ``from_url, to_url``.  With ``spellings``, URLs of one
+    ``canonical_spelling`` are one name; without, only links join URLs.
 
     A null URL, or one without ``://``, has empty host and path, belongs to
     no component, and is allowed unless a rule for the empty host fits.  A
-    null page has no links.  Rows repeated exactly get the same values each;
-    null ids are kept.  An empty table gives no rows.  Other columns are not
-    looked at.
+    null or empty page has no links; a very long one is searched as a whole,
+    in its row.  Rows repeated exactly get the same values each; null ids are
+    kept.  An empty table gives no rows.  Other columns are not looked at.
     """
     url = col(url_col)
+    name = canonical_spelling if spellings else lambda u: u
     best = best_rule(F.col("host"), F.col("path"), rules)
     rows = pages.select(col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"),
-                        F.when(url.contains("://"), canonical_spelling(url)).alias("node")).withColumn("best", best)
+                        F.when(url.contains("://"), name(url)).alias("node")).withColumn("best", best)
     pairs = None
     if html_col is not None:
         found = pages.where(url.contains("://")).select(url.alias("from_url"), F.explode(link_targets(col(html_col))).alias("t"))
@@ -139,11 +141,11 @@ def judge_urls(pages: DataFrame, rules: Sequence[Rule], id_col: str = "page_id",
     if pairs is not None:
         pairs = materialise(pairs.where(F.col("from_url").contains("://") & F.col("to_url").contains("://")).distinct(), "url-links")
         ends = pairs.select(F.explode(F.array("from_url", "to_url")).alias("url"))
-        ends = ends.select(canonical_spelling(F.col("url")).alias("node"), host_of(F.col("url")).alias("host"),
+        ends = ends.select(name(F.col("url")).alias("node"), host_of(F.col("url")).alias("host"),
                            path_of(F.col("url")).alias("path"))
         named = named.unionByName(ends.select("node", best.alias("best")))
-        roots = connected_components(pairs.select(canonical_spelling(F.col("from_url")).alias("u"),
-                                                  canonical_spelling(F.col("to_url")).alias("v")))
+        roots = connected_components(pairs.select(name(F.col("from_url")).alias("u"),
+                                                  name(F.col("to_url")).alias("v")))
     decided = (named.where("best IS NOT NULL").groupBy("node")
                .agg(F.max("best.allow").alias("any_allow"), F.max(~F.col("best.allow")).alias("any_block")))
     if roots is not None:

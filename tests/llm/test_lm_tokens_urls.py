@@ -227,3 +227,50 @@ def test_a_block_reaches_relative_names(spark):
              (6, "https://b.example.net/list?p=3", "<link rel=canonical href='./es/../es/'>")]
     frame = spark.createDataFrame(pages, "page_id long, url string, html string")
     assert {r.id: r.verdict for r in judge_urls(frame, URL_RULES).collect()} == dict.fromkeys(range(1, 7), "block")
+
+
+def test_without_spellings_only_links_join_names(spark):
+    rows = [(1, "http://a.net/es/", None), (2, "http://a.net/es", None), (3, "https://a.net/es/#x", None),
+            (4, "http://b.org/1", '<link rel="canonical" href="http://a.net/es/">'), (5, "http://b.org/1/", ""),
+            (6, "HTTP://b.org/1", "<p>" * 200_000 + '<meta http-equiv="refresh" content="0; url=http://b.org/1">')]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.id: r.verdict for r in judge_urls(pages, URL_RULES, spellings=False).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "block", 5: "allow", 6: "block"}
+    assert {r.id: r.verdict for r in judge_urls(pages, URL_RULES).collect()}[2] == "block"
+
+
+def test_linked_pages_through_the_query(spark, tmpdir_path):
+    """The registered query over pages that hold links, against union-find."""
+    from quarry.llm.queries import queries
+    rng = random.Random(8)
+    hosts = ["a.net", "b.net", "b.org", "c.de", "example.com", "www.example.com"]
+    urls = [f"http://{rng.choice(hosts)}/{rng.choice(['es', 'fr', 'en', 'x'])}/{i}" for i in range(400)]
+    rows, parent = [], {u: u for u in urls}
+
+    def root(u):
+        while parent[u] != u:
+            u = parent[u]
+        return u
+
+    for i, url in enumerate(urls):
+        html = f"<p>{i}</p>"
+        if rng.random() < 0.4:
+            to = rng.choice(urls[: 1 + i])
+            html += rng.choice([f'<link rel="canonical" href="{to}">', f"<meta http-equiv='refresh' content='3; url={to}'>"])
+            parent[root(url)] = root(to)
+        rows.append((i, url, html))
+    spark.createDataFrame(rows, "page_id long, url string, html string").write.parquet(f"{tmpdir_path}/pages.parquet")
+
+    def rule(url):
+        host, path = url.split("://")[1].split("/", 1)
+        fits = [r for r in URL_RULES if (host == r.host or host.endswith("." + r.host)) and f"/{path}".startswith(r.path)]
+        return max(fits, key=lambda r: len(r.host + r.path), default=None)
+
+    said = defaultdict(set)
+    for u in urls:
+        if rule(u):
+            said[root(u)].add(rule(u).verdict)
+    want = {i: rule(u).verdict if rule(u) else "block" if said[root(u)] == {"block"} else "allow" for i, u, _ in rows}
+    got = {r.page_id: r.verdict for r in queries()["op8_url_filter"](spark, tmpdir_path).collect()}
+    assert got == want
+    assert sum(want[i] == "block" and rule(u) is None for i, u, _ in rows) > 10
