@@ -173,23 +173,27 @@ found AS (
   FROM parts WHERE kind = 'meta' AND equiv = 'refresh'),
 base AS (
   SELECT url, t, regexp_extract(url, '(?s)^(.*?)://', 1) AS scheme, regexp_extract(url, '(?s)^(.*?://[^/?#]*)', 1) AS site,
-         regexp_extract(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '(?s)^(.*/)[^/]*$', 1) AS folder
+         regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS page, regexp_replace(url, '(?s)#.*$', '') AS plain
   FROM found WHERE t <> ''),
-pairs AS (
-  SELECT DISTINCT url AS a, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN t LIKE '//%' THEN scheme || ':' || t
-         WHEN t LIKE '/%' THEN site || t ELSE site || CASE WHEN folder = '' THEN '/' ELSE folder END || t END AS b
+named AS (
+  SELECT url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN t LIKE '//%' THEN scheme || ':' || t
+         WHEN t LIKE '/%' THEN site || t WHEN t LIKE '?%' THEN site || page || t WHEN t LIKE '#%' THEN plain || t
+         ELSE site || CASE WHEN page LIKE '%/%' THEN regexp_extract(page, '(?s)^(.*/)', 1) ELSE '/' END || t END AS x
   FROM base),
-links AS (SELECT a, b FROM pairs WHERE contains(b, '://')),
+steps AS (
+  SELECT url, x, regexp_extract(x, '(?s)^(.*?://[^/?#]*)', 1) AS site, regexp_extract(x, '(?s)^.*?://[^/?#]*[^?#]*(.*)$', 1) AS rest,
+         regexp_replace(regexp_extract(x, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '/(\.\.?)$', '/\1/') AS path
+  FROM named WHERE contains(x, '://')),
+links AS (
+  SELECT DISTINCT url AS a, CASE WHEN path = '' THEN x ELSE site || array_to_string(list_reduce(
+           list_transform(string_split(path, '/'), lambda y: [y]),
+           lambda d, y: CASE y[1] WHEN '.' THEN d WHEN '..' THEN d[1:greatest(len(d) - 1, 1)] ELSE d || y END), '/') || rest END AS b
+  FROM steps),
 urls AS (SELECT DISTINCT url FROM (SELECT url FROM pages UNION ALL SELECT a FROM links UNION ALL SELECT b FROM links) WHERE url IS NOT NULL),
-plain AS (SELECT url, regexp_replace(url, '(?s)#.*$', '') AS x FROM urls),
 cut AS (
   SELECT url, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
-         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path,
-         regexp_replace(translate(regexp_extract(x, '(?s)^(.*?)://', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '^https?$', 'web') AS scheme,
-         regexp_replace(translate(regexp_extract(x, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), ':(80|443)$', '') AS h,
-         regexp_replace(regexp_extract(x, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '/+$', '') AS p,
-         regexp_replace(regexp_replace('&' || regexp_extract(x, '(?s)^[^?]*\?(.*)$', 1), '(?s)&utm_[^&]*', '', 'g'), '^&+|&+$', '', 'g') AS q
-  FROM plain),
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path
+  FROM urls),
 rules(verdict, host, path) AS (VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
                                ('block', 'net', '/es/'), ('block', 'net', '/fr/')),
 best AS (
@@ -197,7 +201,7 @@ best AS (
          arg_max(r.verdict, row(length(r.host) + length(r.path), r.verdict = 'allow')) AS verdict
   FROM cut JOIN rules r ON (cut.host = r.host OR ends_with(cut.host, '.' || r.host)) AND starts_with(cut.path, r.path) GROUP BY url),
 known AS (
-  SELECT cut.*, rule, verdict, CASE WHEN contains(url, '://') THEN scheme || '://' || h || p || CASE WHEN q <> '' THEN '?' || q ELSE '' END END AS node
+  SELECT cut.*, rule, verdict, CASE WHEN contains(url, '://') THEN url END AS node
   FROM cut LEFT JOIN best USING (url)),
 edge AS (SELECT x.node AS u, y.node AS v FROM links JOIN known x ON a = x.url JOIN known y ON b = y.url),
 reach AS (

@@ -274,3 +274,20 @@ def test_linked_pages_through_the_query(spark, tmpdir_path):
     got = {r.page_id: r.verdict for r in queries()["op8_url_filter"](spark, tmpdir_path).collect()}
     assert got == want
     assert sum(want[i] == "block" and rule(u) is None for i, u, _ in rows) > 10
+
+
+def test_sql_resolves_targets_as_the_query_does(spark, tmpdir_path):
+    import duckdb
+    from quarry.llm.queries import oracles, queries
+    bases = ["http://a.net/es/p", "http://a.net/x/y/z?q=1", "http://b.org/x/", "https://b.org", "http://c.de/es/#top", "http://a.net/z"]
+    targets = ["../es/p", "./z", "..", ".", "?page=2", "#top", "/x/./y/../es/p", "//a.net/es/p", "z", "", "../../../../es/p", "http://b.org/x/../x/"]
+    rows = [(10 * i + 100 * n, u, f'<link href="{t}" rel="canonical">') for n, t in enumerate(targets) for i, u in enumerate(bases)]
+    rows += [(5, "http://b.org/x/z", None), (7, None, "<p>"), (8, "no scheme", ""), (9, "http://a.net/x/es/p", ""), (3, "http://a.net/es/p?page=2", "")]
+    path = f"{tmpdir_path}/pages.parquet"
+    for only in ([0], [6], list(range(len(targets)))):
+        some = [r for r in rows if r[0] < 10 or r[0] // 100 in only]
+        spark.createDataFrame(some, "page_id long, url string, html string").coalesce(1).write.mode("overwrite").parquet(path)
+        got = sorted(map(str, (tuple(r[c] for c in ("page_id", "host", "path", "rule", "verdict"))
+                               for r in queries()["op8_url_filter"](spark, tmpdir_path).collect())))
+        sql = oracles()["op8_url_filter"].replace("FROM pages", f"FROM read_parquet('{path}/*.parquet') pages")
+        assert got == sorted(map(str, duckdb.sql(f"SELECT page_id, host, path, rule, verdict FROM ({sql})").fetchall())), only
