@@ -72,3 +72,18 @@ def test_levels_and_unseen(spark):
     assert [len(x) for x in store.levels] == [1, 0, 1]
     rows = {r.h1: (r.n_docs, r.keeper) for r in store.merged().collect()}
     assert rows == {k: (min(k + 1, 3, 7 - k), 100 - max(0, k - 2)) for k in range(7)}
+
+
+def test_runs_are_merged_without_moving_or_sorting_them(spark):
+    store = LineRuns(spark, scratch_path(spark, "runs-test"), fanout=9, buckets=3)
+    for n in range(3):
+        store.add(spark.range(n * 500, n * 500 + 2000).selectExpr("id AS h1", "id % 7 AS h2", "id"))
+    name = store.levels[0][0]
+    batch = store._read(name).withColumnRenamed("keeper", "top")
+    plan = store.marked(batch)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SortMergeJoin") == 4 and "Exchange" not in plan and "Sort [" not in plan
+    merged = store.merged()._jdf.queryExecution().executedPlan().toString()
+    assert merged.count("Exchange") == 1
+    assert store.merged().count() == 3000
+    store.drop()
+    assert not spark.catalog.tableExists(name)
