@@ -529,6 +529,81 @@ def ml_members_facts(spark, sf):
     return out
 
 
+_FOLDS_SQL = """l AS (SELECT doc_id, quality FROM documents JOIN labels USING (doc_id)),
+t AS (SELECT *, row_number() OVER (PARTITION BY quality ORDER BY md5(CAST(doc_id AS VARCHAR))) AS r, count(*) OVER (PARTITION BY quality) AS n FROM l)"""
+
+
+@register("ml_cv_facts", f"""
+WITH {_FOLDS_SQL}
+SELECT model, ((r - 1) % 5)::INTEGER AS fold, count(*) AS n, sum(doc_id)::BIGINT AS id_sum, sum(quality)::BIGINT AS positives,
+       TRUE AS whole_hits, TRUE AS beats_the_majority
+FROM t, (SELECT unnest(['logreg', 'rf', 'svc']) AS model) WHERE r - 1 >= round(n * 0.2) GROUP BY ALL""")
+def ml_cv_facts(spark, sf):
+    """The folds are disjoint and cover the training rows; a fold's
+    accuracy is a whole number of hits among exactly its rows; the mean over
+    the folds beats the larger class's share."""
+    train, _ = _split_folds(spark, sf)
+    share = train.agg(F.avg("label")).first()[0]
+    sizes = train.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("id_sum"),
+                                      F.sum("label").cast("long").alias("positives"))
+    out = None
+    for kind in ("logreg", "rf", "svc"):
+        scores = M.cv_scores(spark, _stages(), M.classifier(kind), train)
+        mean = M.cv_summary(scores).first()["cv_mean"]
+        hits = F.col("score") * F.col("n")
+        rows = scores.join(sizes, "fold").select(
+            F.lit(kind).alias("model"), "fold", "n", "id_sum", "positives",
+            (F.col("score").between(0, 1) & (F.abs(hits - F.round(hits)) < 1e-6)).alias("whole_hits"),
+            F.lit(mean > max(share, 1 - share)).alias("beats_the_majority"))
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
+@register("ml_importance_facts", """
+SELECT unnest(['avg_word_len', 'digit_ratio', 'lang', 'log_chars', 'n_lines', 'n_words', 'noise', 'punct_ratio', 'source', 'upper_ratio']) AS feature,
+       TRUE AS in_range, TRUE AS sums_to_one, TRUE AS noise_is_not_first""")
+def ml_importance_facts(spark, sf):
+    """Every feature has an importance, they add up to one, and a
+    feature that is a hash of the id is not the most important one."""
+    train, _ = _split_folds(spark, sf)
+    train = train.withColumn("noise", F.pmod(F.xxhash64("doc_id"), F.lit(1000)).cast("double"))
+    numeric = _DOC_NUM + ["noise"]
+    m = M.fit_pipeline(M.feature_stages(_DOC_CAT, numeric), M.classifier("rf"), train)
+    rows = M.feature_importances(m, _DOC_CAT + numeric, spark)  # a row a feature
+    total, first = rows.agg(F.sum("importance"), F.max_by("feature", "importance")).first()
+    return rows.select("feature", F.col("importance").between(0, 1).alias("in_range"),
+                       F.lit(abs(total - 1) < 1e-9).alias("sums_to_one"), F.lit(first != "noise").alias("noise_is_not_first"))
+
+
+@register("ml_vote_facts", f"""
+WITH {_FOLDS_SQL}
+SELECT count(*) AS n, sum(doc_id)::BIGINT AS id_sum, sum(quality)::BIGINT AS positives, TRUE AS in_range, TRUE AS agrees,
+       count(*) AS predicted, TRUE AS beats_the_majority FROM t WHERE r - 1 < round(n * 0.2)""")
+def ml_vote_facts(spark, sf):
+    """The fitted members' soft vote covers exactly the hold-out,
+    its label follows the probability, and the prediction counts add up."""
+    from ..operators.aggregates import value_counts
+    from ..session import reliable_checkpoint
+    votes = reliable_checkpoint(ml_soft_ensemble(spark, sf))
+    truth = table(spark, sf, "labels").select("doc_id", "quality")
+    predicted = value_counts(votes, "prediction").agg(F.sum("count")).first()[0]
+    share, hit = F.avg("quality"), F.avg((F.col("prediction") == F.col("quality")).cast("int"))
+    return votes.join(truth, "doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("id_sum"), F.sum("quality").cast("long").alias("positives"),
+        F.min(F.col("prob").between(0, 1)).alias("in_range"), F.min((F.col("prob") > 0.5).cast("int") == F.col("prediction")).alias("agrees"),
+        F.lit(predicted).cast("long").alias("predicted"), (hit > F.greatest(share, 1 - share)).alias("beats_the_majority"))
+
+
+@register("ml_tabular_facts", """
+SELECT count(*) AS n, count(DISTINCT o_orderkey) AS ids, sum(o_orderkey)::BIGINT AS id_sum, TRUE AS zero_or_one
+FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01'""")
+def ml_tabular_facts(spark, sf):
+    """The end-to-end job predicts every order from the cutoff on, once."""
+    return ml_tabular_job(spark, sf).agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("o_orderkey").alias("ids"), F.sum("o_orderkey").alias("id_sum"),
+        F.min(F.col("prediction").isin(0, 1)).alias("zero_or_one"))
+
+
 @register("knn_impute_multi", """
 WITH t AS (SELECT p_partkey, CASE WHEN p_partkey % 37 <> 0 THEN p_size::DOUBLE END AS a,
                   CASE WHEN p_partkey % 41 <> 0 THEN p_retailprice END AS b,
