@@ -136,7 +136,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     A null text has size 0; documents of size 0 are sampled like others but
     count nothing, and none is taken after the first one passed over.  A null source is a source of its own, the last.  Null or
     equal ids share their random number; ties go by size and then at will
-    among rows that are alike.  A source of size 0 has target 0.  An empty
+    among rows that are alike.  The words of a very long text are counted
+    whole, in its row, and sampling passes over it where it does not fit.  A source of size 0 has target 0.  An empty
     table gives no rows.  Only the named columns are looked at.
     """
     source = col(source_col)

@@ -278,7 +278,8 @@ def interpolated_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str =
 
     Null and empty texts have only the end token.  A null id is in no fold,
     so its text is learned from.  Rows repeated exactly get a row each and
-    count as often.  An empty table gives no rows.  Without training texts
+    count as often.  A very long text is never cut: it fills a chunk, which
+    its task holds, whatever ``chunk_bytes`` says.  An empty table gives no rows.  Without training texts
     all probability is uniform.  Other columns are not looked at.  Tokens
     and pairs are told apart by 64-bit hashes.
     """

@@ -173,8 +173,8 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     Null and empty texts score like a text without any characters.  A null
     id belongs to no fold: ``held_out`` is false, and its label is never
     used.  Repeated rows get a row each; an id labelled more than once
-    counts once, with the majority (a tie counts as 1).  An empty table
-    gives no rows.  Other columns, labels included, are no inputs of a score.
+    counts once, with the majority (a tie counts as 1).  A very long text is
+    measured whole, in its row.  An empty table gives no rows.  Other columns, labels included, are no inputs of a score.
     """
     model = fit_quality(docs, labels, id_col, text_col, folds=folds, held_out=held_out, **options)
     scored = docs.select(col(id_col).alias("id"), score_column(col(text_col), model).alias("score"))
@@ -183,7 +183,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents predicted to be of quality, all columns kept."""
+    """The documents predicted to be of quality, all columns kept.
+
+    Null, empty and very long texts, null ids, repeated rows and empty tables
+    are taken as in ``quality_scores``; rows with equal texts stay or go
+    together."""
     model = fit_quality(docs, labels, id_col, text_col, **options)
     return (docs.select(row_struct(docs), score_column(col(text_col), model).alias("score"))
             .where("score >= 0.5").select("row.*"))

@@ -301,8 +301,8 @@ def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     Null or empty texts, and texts without words, have fingerprint 0 and are
     linked like any other.  A null id counts as greater than all others; a
     class of null ids has a null ``component_id``, and its least fingerprint
-    stands for it.  Rows repeated exactly get the same values each.  An
-    empty table gives no rows.  Other columns are not looked at.
+    stands for it.  Rows repeated exactly get the same values each.  Very
+    long texts are hashed whole, in blocks of shingles.  An empty table gives no rows.  Other columns are not looked at.
     """
     marked = materialise(docs.select(col(id_col).alias("id"), fingerprint_column(col(text_col), shingle).alias("fp")),
                          "simhash")
@@ -322,7 +322,9 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
                          max_bits: int = 4) -> DataFrame:
     """One document of each class, the one with the smallest id, all columns kept.
 
-    Rows that share both id and fingerprint count as one document."""
+    Rows that share both id and fingerprint count as one document.  Null,
+    empty and very long texts, null ids and empty tables are taken as in
+    ``simhash_components``: texts without words are one class."""
     keep = (simhash_components(docs, id_col, text_col, shingle, max_bits).where("keep")
             .select(F.col("id").alias("keep_id"), F.col("fp").alias("keep_fp")).distinct())
     marked = docs.select(row_struct(docs), *doc_key(id_col, text_col), fingerprint_column(col(text_col), shingle).alias("fp"))

@@ -34,3 +34,19 @@ def test_empty_table(spark):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, SF).checkpoint()
     assert docs.count() == 0
+
+
+def test_stages_on_odd_rows(spark):
+    """Nulls, empty and very long texts, null ids and repeated rows."""
+    words, others = [f"w{i}" for i in range(3000)], [f"x{i}" for i in range(180_000)]
+    rows = [(1, None, "en", "a", 0), (2, "", None, "a", 0), (3, " \n ", "en", None, 3), (4, " ".join(words), "en", "a", 9),
+            (4, " ".join(words), "en", "a", 9), (None, " ".join(words[:40]), "en", "b", 9), (5, " ".join(others), "de", "b", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    ids = lambda df: sorted(str(r.doc_id) for r in df.collect())
+    kept = {name: stage(spark, docs, SF) for name, stage in cp.STAGES}
+    assert set(ids(kept["quality"])) <= set(ids(docs))
+    assert sorted(map(str, kept["lines"].collect())) == sorted(map(str, docs.collect()))
+    assert ids(kept["benchmark"]) == ids(docs)
+    near = ids(kept["near_duplicates"])
+    assert near == ["1", "4", "5", "None"]
+    assert {r.doc_id for r in kept["mixture"].collect()} <= {1, 2, 3, 4, 5, None}
