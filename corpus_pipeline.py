@@ -5,6 +5,14 @@ and returns what it keeps.  All but the last return the columns of
 ``documents``; the last returns the documents that the mix takes, with
 ``size`` (words), ``source_size``, ``target``, ``copies`` and ``taken``.
 Near-duplicates are judged by the SimHash operator alone.
+
+Every stage takes whole texts, however long.  Null and empty texts have no
+words: the classifier scores them like any other, lines leaves them alone,
+near-duplicates takes them for copies of each other, the benchmark stage
+keeps them, and the mix counts them as size 0.  Null ids are kept; rows
+repeated exactly are judged alike, and near-duplicates keeps one of them.  An
+empty table passes through as an empty table.  Columns beyond those of
+``documents`` are not carried.
 """
 
 from __future__ import annotations
@@ -23,7 +31,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier accepts."""
+    """Documents that the quality classifier accepts; rows with equal texts go together."""
     return keep_quality(docs, read_table(spark, sf_dir, "labels")).select(*COLUMNS)
 
 
@@ -36,17 +44,17 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
+    """One document of each group of near-duplicates, that of the smallest id."""
     return drop_near_duplicates(docs).select(*COLUMNS)
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by benchmark items."""
+    """Documents that are not contaminated by benchmark items; texts without words are not."""
     return drop_contaminated(docs, read_table(spark, sf_dir, "benchmark")).select(*COLUMNS)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents that the mix takes, with their copies."""
+    """The documents that the mix takes, with their copies; ties go as in ``mix``."""
     out = mix(docs, carry=True).where("copies > 0")
     return out.select(*[f"row.{c}" for c in COLUMNS], "size", "source_size", "target", "copies", "taken")
 
