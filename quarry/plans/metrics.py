@@ -21,7 +21,8 @@ def run_metrics(df: DataFrame) -> DataFrame:
     miss = F.lit(0)
     for c in df.columns:
         miss = miss + missing(df, c).cast("int")
-    g = duplicate_groups(df.select("*")).withColumn("_miss", miss)
+    # counted before grouping: groups of wide rows keep only the columns asked for
+    g = duplicate_groups(df.withColumn("_miss", miss), ["_miss"])
     one = g.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias("rows_in"),
                 F.count(F.lit(1)).alias("rows_out"),
                 F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).cast("bigint").alias("duplicates"),
