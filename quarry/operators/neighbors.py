@@ -7,29 +7,29 @@ smallest label).  Neighbours are ordered by (distance, id), and every row
 is classified by the other rows (leave-one-out), so the whole table is
 both the training and the query side.
 
-No cross join and no per-group pair list: the plan is a band join.
+No cross join and no per-group pair list: the plan is a block join.
 
 1. Directions.  The top principal directions come from MLlib's PCA (a
    d x d covariance reduced on the driver: bounded by the dimension, not
    by the rows).  Projections onto orthonormal directions never increase
    distances, so ``||P(x - q)|| <= ||x - q||`` is a lower bound.
-2. Radius.  Rows are ranked by the first projection (one range sort,
-   checkpointed).  The 2k rows just around a row in that order are real
-   neighbours, so the k-th smallest of their distances ``r`` bounds the
-   row's true k-th neighbour distance from above.
-3. Band join by tiles.  Ranks are cut into equal-size donor buckets and
-   equal-size query blocks (a hot projection value is split by the id
-   tie-break, so no tile grows with skew).  A query visits the buckets
-   whose projection range meets ``[p - r, p + r]``; each (query block,
-   donor bucket) tile is cogrouped, and numpy applies the projection lower
-   bound, computes exact distances and returns each query's k nearest
-   within ``r``: pairs never become rows or shuffle.
-4. The top k per query over its visited tiles (at most k per tile), then
-   the weighted vote.
-
-On clustered embeddings the band is narrow.  On near-isotropic vectors
-(distance concentration) no exact bound prunes and most tiles are
-visited, like a blocked all-pairs product, still spread over tasks.
+2. Blocks.  Rows are ranked by the first projection (one range sort,
+   checkpointed) and cut into blocks of equal size (a hot projection value
+   is split by the id tie-break, so no block grows with skew).  The k-th
+   smallest distance inside a row's own block bounds its true k-th
+   neighbour distance from above: its reach.
+3. Block join.  The donors of a block go to the blocks of queries whose
+   projections, widened by their reach, meet the donors' projections, and
+   stream past them in Arrow batches, nearest blocks first.  A matrix
+   product says which pairs may lie within a query's k-th distance so far;
+   only these few get their exact distance (double, summed in index order).
+   A task holds one block of queries and one batch: pairs never become rows
+   or shuffle.
+4. The top k per query over the parts of its stream, then the weighted vote.
+
+On clustered embeddings few blocks meet.  On near-isotropic vectors
+(distance concentration) no exact bound prunes: the work is then a blocked
+all-pairs matrix product, spread over tasks.
 """
 
 from __future__ import annotations
@@ -47,10 +47,13 @@ from .ranking import group_positions
 # adds candidates that the exact distance then ranks.
 _REL_SLACK = 1e-9
 _ABS_SLACK = 1e-12
-# Rank buckets of either side: their ranges travel as literals.
-_BUCKETS = 1024
-# Distance-matrix cells computed at once inside a tile (queries are taken
-# in chunks of this many cells per donor bucket): bounds task memory.
+# Blocks that the rows are cut into, at least where there are enough rows
+# for that, and rows of a block at most.
+_BLOCKS, _BLOCK_ROWS = 24, 16_384
+# Parts that a query block's donors are dealt to, at most.
+_PARTS = 4
+# Matrix cells computed at once (queries are taken in chunks of this many
+# cells per batch of donors): bounds task memory.
 _TILE_CELLS = 4_000_000
 
 
@@ -105,12 +108,162 @@ def principal_directions(vectors: DataFrame, vec_col: str, n_dirs: int) -> list[
     return [[float(pc[j, i]) for j in range(dim)] for i in range(n_dirs)]
 
 
+def _matrix(vectors):
+    import numpy as np
+    return np.stack(vectors.to_numpy()).astype("float64")
+
+
+def _scores(x, centre):
+    """For the matrix product: rows about ``centre`` and half their squared
+    lengths; half a squared distance is the halves' sum less the product.
+    The last is what rounding can shift a row's distances by."""
+    import numpy as np
+    z = x - centre
+    half = 0.5 * (z * z).sum(1)
+    return z, half, 8 * np.finfo(float).eps * np.sqrt(x.shape[1]) * np.sqrt((x * x).sum(1) + centre @ centre)
+
+
+def _kind(half):
+    """Single precision for the matrix product where its range holds the rows."""
+    import numpy as np
+    return np.float32 if np.nanmax(half, initial=0) < 1e30 else np.float64
+
+
+def _at_most(distance, blur, half, dim: int, kind):
+    """Half of the greatest squared distance that the matrix product can
+    show, in ``kind``, where the exact one is ``distance`` at most; ``half``
+    is half of both rows' squared lengths."""
+    import numpy as np
+    eps = np.finfo(kind).eps
+    wide = distance * (1 + _REL_SLACK) + blur + 4 * eps * np.sqrt(dim * half) + _ABS_SLACK
+    return 0.5 * wide * wide + (dim + 8) * 4 * eps * half
+
+
+def _block_reach(k: int):
+    """For the rows of a block, an upper bound of the distance of the k-th
+    other row (infinite where the block has fewer)."""
+    def run(pdf):
+        import numpy as np
+        import pandas as pd
+        x = _matrix(pdf["_v"])
+        names = pd.factorize(pdf["_id"])[0]
+        z, half, blur = _scores(x, x.mean(0))
+        out = np.full(len(x), np.inf)
+        step = max(1, _TILE_CELLS // len(x))
+        for a in range(0, len(x) if len(x) > k else 0, step):
+            part = slice(a, a + step)
+            far = half[part, None] + half[None, :] - z[part] @ z.T
+            far[names[part, None] == names[None, :]] = np.inf
+            kth = np.partition(far, k - 1, axis=1)[:, k - 1]
+            noise = (x.shape[1] + 8) * 4 * np.finfo(float).eps * (half[part] + half.max())
+            out[part] = np.sqrt(2 * np.maximum(kth + noise, 0)) * (1 + _REL_SLACK) + blur[part] + blur.max() + _ABS_SLACK
+        return pd.DataFrame({"_pos": pdf["_pos"], "_r": out})
+    return run
+
+
+class _Nearest:
+    """A block of queries and the k nearest of the donors seen so far."""
+
+    def __init__(self, rows, k: int, dims: int):
+        import numpy as np
+        self.rows, self.k = rows, k
+        self.x, self.p = _matrix(rows["_v"]), _matrix(rows["_p"])[:, :dims]
+        self.centre = self.x.mean(0)
+        self.z, self.half, self.blur = _scores(self.x, self.centre)
+        self.reach = rows["_r"].to_numpy("float64").copy()
+        self.names = rows["_id"].to_numpy()
+        self.found, self.fresh = [], 0
+        self.live = np.flatnonzero(~np.isnan(self.half))
+
+    def add(self, donors) -> None:
+        import numpy as np
+        import pandas as pd
+        x, p = _matrix(donors["_v"]), _matrix(donors["_p"])[:, :self.p.shape[1]]
+        z, half, blur = _scores(x, self.centre)
+        good = ~np.isnan(half)
+        if not good.any():
+            return
+        names, labels = donors["_id"].to_numpy(), donors["_lab"].to_numpy()
+        low, high = np.min(p[good], axis=0), np.max(p[good], axis=0)
+        gap = np.maximum(0, np.maximum(low - self.p, self.p - high))
+        wide = self.reach * (1 + _REL_SLACK) + _ABS_SLACK
+        slack = self.blur + blur[good].max()
+        rows = self.live[((gap * gap).sum(1) <= (wide + slack) ** 2)[self.live]]
+        step = max(1, _TILE_CELLS // len(donors))
+        kind = np.promote_types(_kind(self.half), _kind(half))
+        there, here, far_half = z.astype(kind).T, self.z.astype(kind), half.astype(kind)
+        for a in range(0, len(rows), step):
+            at = rows[a:a + step]
+            limit = _at_most(self.reach[at], slack[at], self.half[at] + half[good].max(), x.shape[1], kind) - self.half[at]
+            i, j = np.nonzero(far_half[None, :] - here[at] @ there <= limit[:, None].astype(kind))
+            i = at[i]
+            other = self.names[i] != names[j]
+            i, j = i[other], j[other]
+            total = np.zeros(len(i))
+            for c in range(x.shape[1]):
+                diff = self.x[i, c] - x[j, c]
+                total += diff * diff
+            far = np.sqrt(total)
+            near = far <= self.reach[i]
+            self.found.append(pd.DataFrame({"_q": i[near], "_d": far[near], "_did": names[j[near]], "_dlab": labels[j[near]]}))
+            self.fresh += int(near.sum())
+            if self.fresh > max(2 * self.k * len(self.names), _TILE_CELLS):
+                self.settle()
+        if self.fresh > self.k * len(self.names):
+            self.settle()
+
+    def settle(self) -> None:
+        """Keep the k nearest of each query; the k-th is its reach."""
+        import numpy as np
+        import pandas as pd
+        if not self.fresh:
+            return
+        top = pd.concat([f for f in self.found if len(f)], ignore_index=True).sort_values(["_q", "_d", "_did"], kind="stable")
+        place = top.groupby("_q").cumcount()
+        top = top[place < self.k]
+        last = top[place[place < self.k] == self.k - 1]
+        at = last["_q"].to_numpy()
+        self.reach[at] = np.minimum(self.reach[at], last["_d"].to_numpy())
+        self.found, self.fresh = [top], 0
+
+    def result(self):
+        import pandas as pd
+        self.settle()
+        top = self.found[0] if self.found else pd.DataFrame({c: [] for c in ("_q", "_d", "_did", "_dlab")})
+        at = top["_q"].to_numpy(int)
+        return pd.DataFrame({"_id": self.names[at], "_did": top["_did"].to_numpy(), "_dlab": top["_dlab"].to_numpy(), "_d": top["_d"].to_numpy()})
+
+
+def _stream(k: int, dims: int):
+    """Each group ``_g`` brings its queries, then its donors."""
+    def run(batches):
+        import pandas as pd
+        group, waiting, block = None, [], None
+        for pdf in batches:
+            for g, part in pdf.groupby("_g", sort=False):
+                if g != group:
+                    if block is not None:
+                        yield block.result()
+                    group, waiting, block = g, [], None
+                if block is None:
+                    waiting.append(part[part["_near"] < 0])
+                part = part[part["_near"] >= 0]
+                if len(part):
+                    if block is None:
+                        block = _Nearest(pd.concat(waiting, ignore_index=True), k, dims)
+                    block.add(part)
+        if block is not None:
+            yield block.result()
+    return run
+
+
 def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: int = 15,
-                 n_dirs: int = 4, tile_rows: int = 2048, min_bucket_rows: int = 256) -> DataFrame:
+                 n_dirs: int = 4, tile_rows: int = _BLOCK_ROWS, min_bucket_rows: int = 256) -> DataFrame:
     """Leave-one-out KNN label for every row: ``(id, label, pred)``.
 
     ``id_col`` must be unique; rows with a NULL vector are not classified
-    and are not neighbours.  Vectors must share one length.
+    and are not neighbours.  Vectors must share one length.  A block has
+    ``tile_rows`` rows at most.
     """
     spark = df.sparkSession
     base = df.where(F.col(vec_col).isNotNull()).select(
@@ -119,106 +272,44 @@ def knn_classify(df: DataFrame, id_col: str, vec_col: str, label_col: str, k: in
     ship_code()
     dirs = principal_directions(base, "_v", n_dirs)
     m = len(dirs)
-    pts = base.withColumn("_p", dots(F.col("_v"), dirs))
-    pts = pts.select("_id", "_v", "_lab", *[F.get("_p", F.lit(i)).alias(f"_p{i}") for i in range(m)])
+    pts = base.withColumn("_p", dots(F.col("_v"), dirs)).withColumn("_p0", F.get("_p", F.lit(0)))
 
     # 1. Rank by the first projection (unique tie-break: hot values split).
     ranked = group_positions(pts, [], [F.col("_p0"), F.col("_id")], pos_col="_pos", size_col=None)
     ranked = reliable_checkpoint(ranked)
     n = ranked.count()
+    id_t, lab_t = (df.schema[c].dataType.simpleString() for c in (id_col, label_col))
     if n == 0:
-        return spark.createDataFrame([], f"{id_col} {df.schema[id_col].dataType.simpleString()}, "
-                                         f"{label_col} {df.schema[label_col].dataType.simpleString()}, "
-                                         f"pred {df.schema[label_col].dataType.simpleString()}")
-
-    # 2. Radius bound from the 2k rank neighbours (at most 2k values per row).
-    around = ranked.select("_id", "_v", F.explode(F.sequence(F.col("_pos") - k, F.col("_pos") + k)).alias("_npos"))
-    donors = ranked.select(F.col("_pos").alias("_npos"), F.col("_id").alias("_did"), F.col("_v").alias("_dv"))
-    near = around.join(donors, "_npos").where(F.col("_id") != F.col("_did"))
-    near = near.select("_id", euclidean(F.col("_v"), F.col("_dv")).alias("_near"))
-    radius = (near.groupBy("_id")
-              .agg(F.try_element_at(F.array_sort(F.collect_list("_near")),
-                                    F.lit(k)).alias("_r")))
-    # Fewer than k other rows: every row is a candidate.
-    queries = ranked.join(radius, "_id", "left").withColumn(
-        "_r", F.coalesce(F.col("_r"), F.lit(float("inf"))))
-
-    # 3. Equal-size rank buckets of both sides; bucket projection ranges are
-    # one row per bucket (_BUCKETS at most), so they travel as literals.  A
-    # bucket of more than tile_rows rows is cut into slices by position, and
-    # each slice of queries meets each slice of the donor buckets it needs.
-    rows_per_bucket = max(min_bucket_rows, math.ceil(n / _BUCKETS))
-    slices = max(1, math.ceil(rows_per_bucket / tile_rows))
-    block = F.floor(F.col("_pos") / rows_per_bucket).cast("int")
-    piece = F.pmod(F.col("_pos"), F.lit(slices)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))
-    bounds = sorted((int(r["_b"]), float(r["lo"]), float(r["hi"])) for r in ranked.groupBy(block.alias("_b")).agg(
-        F.min("_p0").alias("lo"), F.max("_p0").alias("hi")).collect())
-    his = F.array(*[F.lit(b[2]) for b in bounds])
-    los = F.array(*[F.lit(b[1]) for b in bounds])
-    reach = F.col("_r") * (1 + _REL_SLACK) + _ABS_SLACK
-    first_b = F.size(F.filter(his, lambda h: h < F.col("_p0") - reach))
-    last_b = F.size(F.filter(los, lambda lo: lo <= F.col("_p0") + reach)) - 1
-    pcols = [f"_p{i}" for i in range(m)]
-    qside = queries.select(block.alias("_qb"), piece.alias("_qs"), F.explode(F.sequence(first_b, F.greatest(first_b, last_b))).alias("_b"),
-                           "_id", "_lab", "_v", reach.alias("_reach"), *pcols)
-    # Pairs (query bucket, donor bucket): at most _BUCKETS^2 rows, a proven
-    # bound, so the donor fan-out join broadcasts them.
-    tiles = qside.select(F.col("_qb").alias("_tqb"), F.col("_b").alias("_tb")).distinct()
-    dside = (ranked.select(block.alias("_db"), piece.alias("_ds"), F.col("_id").alias("_did"), F.col("_lab").alias("_dlab"),
-                           F.col("_v").alias("_dv"), *[F.col(c).alias(f"_d{c}") for c in pcols])
-             .join(F.broadcast(tiles), F.col("_db") == F.col("_tb"))
-             .select(F.col("_tqb").alias("_qb"), every.alias("_qs"), F.col("_tb").alias("_b"), "_ds", "_did", "_dlab", "_dv",
-                     *[f"_d{c}" for c in pcols]))
-    qside = qside.select("*", every.alias("_ds"))
-    tile = ["_qb", "_qs", "_b", "_ds"]
-
-    # 4. Per tile, distances in numpy (double, summed in index order) after
-    # the projection lower bound; only each query's k nearest within its
-    # radius leave the tile.  Then the top k per query over its tiles.
-    id_t = df.schema[id_col].dataType.simpleString()
-    lab_t = df.schema[label_col].dataType.simpleString()
-    schema = f"_id {id_t}, _lab {lab_t}, _did {id_t}, _dlab {lab_t}, _d double"
-
-    def tile_topk(qdf, ddf):
-        import numpy as np
-        import pandas as pd
-        cols = ("_id", "_lab", "_did", "_dlab", "_d")
-        if qdf.empty or ddf.empty:
-            return pd.DataFrame({c: [] for c in cols})
-        ddf = ddf.sort_values("_did", kind="stable").reset_index(drop=True)
-        dv = np.stack(ddf["_dv"].to_numpy()).astype("float64")
-        dp = [ddf[f"_d{c}"].to_numpy("float64")[None, :] for c in pcols]
-        did = ddf["_did"].to_numpy()
-        kk = min(k, len(ddf))
-        step = max(1, _TILE_CELLS // len(ddf))  # bounded distance matrix per chunk
-        parts = []
-        for s0 in range(0, len(qdf), step):
-            q = qdf.iloc[s0:s0 + step]
-            reach_q = q["_reach"].to_numpy("float64")[:, None]
-            lower = np.zeros((len(q), len(ddf)))
-            for c, d_c in zip(pcols, dp):
-                diff = q[c].to_numpy("float64")[:, None] - d_c
-                lower += diff * diff
-            keep = (lower <= reach_q * reach_q) & (q["_id"].to_numpy()[:, None] != did[None, :])
-            qv = np.stack(q["_v"].to_numpy()).astype("float64")
-            acc = np.zeros((len(q), len(ddf)))
-            for j in range(qv.shape[1]):
-                diff = qv[:, j, None] - dv[None, :, j]
-                acc += diff * diff
-            dist = np.where(keep, np.sqrt(acc), np.inf)
-            dist[dist > reach_q] = np.inf
-            order = np.argsort(dist, axis=1, kind="stable")[:, :kk]  # donors sorted by id: ties by id
-            top = np.take_along_axis(dist, order, axis=1)
-            qi, slot = np.nonzero(np.isfinite(top))
-            di = order[qi, slot]
-            parts.append(pd.DataFrame({"_id": q["_id"].to_numpy()[qi], "_lab": q["_lab"].to_numpy()[qi],
-                                       "_did": did[di], "_dlab": ddf["_dlab"].to_numpy()[di],
-                                       "_d": top[qi, slot]}))
-        return pd.concat(parts, ignore_index=True)
-
-    cand = qside.groupBy(*tile).cogroup(dside.groupBy(*tile)).applyInPandas(tile_topk, schema)
+        return spark.createDataFrame([], f"{id_col} {id_t}, {label_col} {lab_t}, pred {lab_t}")
+
+    # 2. Equal blocks by rank, and the reach of every row in its own block.
+    block_rows = min(max(min_bucket_rows, math.ceil(n / _BLOCKS)), tile_rows)
+    blocks = math.ceil(n / block_rows)
+    base = ranked.withColumn("_b", F.floor(F.col("_pos") * blocks / n).cast("int"))
+    reach = base.select("_b", "_pos", "_id", "_v").groupBy("_b").applyInPandas(_block_reach(k), "_pos long, _r double")
+    base = reliable_checkpoint(base.join(reach, "_pos"))
+
+    # 3. Which blocks meet: a row a block, and a row a pair of blocks (a
+    # proven bound: (rows / block rows)^2), so the fan-out join broadcasts.
+    # Without a number for a projection a block meets every other.
+    wide = F.col("_r") * (1 + _REL_SLACK) + _ABS_SLACK
+    known = lambda c: F.when(~F.isnan("_p0"), c)
+    ranges = base.groupBy("_b").agg(F.min(known(F.col("_p0"))).alias("lo"), F.max(known(F.col("_p0"))).alias("hi"),
+                                    F.min(known(F.col("_p0") - wide)).alias("from"), F.max(known(F.col("_p0") + wide)).alias("to"))
+    q, d = (ranges.select(*[F.col(c).alias(f"{side}_{c}") for c in ranges.columns]) for side in ("q", "d"))
+    parts = min(_PARTS, blocks)
+    meets = F.coalesce((F.col("d_hi") >= F.col("q_from")) & (F.col("d_lo") <= F.col("q_to")), F.lit(True))
+    tiles = q.join(F.broadcast(d), meets).select("q__b", "d__b", F.abs(F.col("q__b") - F.col("d__b")).alias("_near"))
+    group = lambda part: (F.col("q__b") * parts + part).cast("int").alias("_g")
+    columns = ["_id", "_lab", "_v", "_p", "_r"]
+    queries = base.withColumnRenamed("_b", "q__b").select(
+        "q__b", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))).alias("_part"), *columns).select(group(F.col("_part")), F.lit(-1).alias("_near"), *columns)
+    donors = base.join(F.broadcast(reliable_checkpoint(tiles)), F.col("_b") == F.col("d__b")).select(
+        group(F.pmod(F.col("d__b") - F.col("q__b"), F.lit(parts))), "_near", *columns)
+    stream = queries.unionByName(donors).repartition(max(blocks * parts, 1), "_g").sortWithinPartitions("_g", "_near")
+    cand = stream.mapInPandas(_stream(k, m), f"_id {id_t}, _did {id_t}, _dlab {lab_t}, _d double")
 
+    # 4. The top k per query over its parts, and their vote.
     order = [F.col("_d"), F.col("_did")]
     top = cand.withColumn("_rn", F.row_number().over(Window.partitionBy("_id").orderBy(*order))) \
         .where(F.col("_rn") <= k)

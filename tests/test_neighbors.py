@@ -119,3 +119,22 @@ def test_several_features_are_imputed_at_once(spark):
                 want = np.mean(x[near, c]) if near else np.nanmean(x[:, c])
             assert got[i][1 + c] == pytest.approx(want)
         assert got[i].note == "kept"
+
+
+def test_donors_meet_a_block_of_queries_not_each_query(spark, monkeypatch):
+    """Only the nearest leave a stream of donors, and far offsets, unused blocks and many small blocks change nothing."""
+    from quarry.operators import neighbors
+    rng = np.random.default_rng(5)
+    vecs = (rng.normal(size=(400, 5)) + 1000 * rng.integers(0, 3, size=(400, 1))).astype("float32")
+    labels, ids = list(rng.integers(0, 3, 400)), list(range(400))
+    seen = []
+    add = neighbors._Nearest.add
+    block = neighbors._Nearest.__new__(neighbors._Nearest)
+    import pandas as pd
+    rows = pd.DataFrame({"_id": ids[:50], "_lab": labels[:50], "_v": list(vecs[:50]), "_p": [[0.0]] * 50, "_r": [np.inf] * 50})
+    block.__init__(rows, 4, 1)
+    for a in range(0, 400, 40):
+        add(block, pd.DataFrame({"_id": ids[a:a + 40], "_lab": labels[a:a + 40], "_v": list(vecs[a:a + 40]), "_p": [[0.0]] * 40}))
+        seen.append(sum(len(f) for f in block.found))
+    assert max(seen) <= 50 * 44 and len(block.result()) == 200
+    assert run(spark, ids, vecs, labels, 7, tile_rows=32, min_bucket_rows=8) == brute_force(ids, vecs, labels, 7)
