@@ -20,24 +20,30 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClass
 from pyspark.ml.feature import StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
-from pyspark.ml.param.shared import HasInputCol, HasOutputCol, HasSeed
+from pyspark.ml.param.shared import HasInputCol, HasLabelCol, HasOutputCol, HasSeed
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import ship_code
+from ..session import reliable_checkpoint, ship_code
 
 
-def fourier(x: np.ndarray, size: int, gamma: float, seed: int) -> np.ndarray:
+def fourier(x: np.ndarray, size: int, gamma: float, seed: int, kind: type = np.float64) -> np.ndarray:
     """Random Fourier features: rows whose inner products come near the
     kernel ``exp(-gamma * |x - y|^2)``.  The same seed gives the same
-    features in every task; ``gamma`` 0 stands for 1 / dimension."""
+    features in every task; ``gamma`` 0 stands for 1 / dimension.  ``kind``
+    is the precision of the cosines."""
     rng = np.random.default_rng(seed)
     gamma = gamma or 1.0 / x.shape[1]
     waves = rng.normal(size=(x.shape[1], size)) * np.sqrt(2 * gamma)
     phase = rng.uniform(0, 2 * np.pi, size)
-    return np.sqrt(2 / size) * np.cos(x @ waves + phase)
+    out = x @ waves
+    out += phase
+    out = out.astype(kind, copy=False)
+    np.cos(out, out=out)
+    out *= kind(np.sqrt(2 / size))
+    return out
 
 
 class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
@@ -65,6 +71,176 @@ class FourierFeatures(Transformer, HasInputCol, HasOutputCol, HasSeed, DefaultPa
         return dataset.withColumn(self.getOutputCol(), array_to_vector(project(vector_to_array(self.getInputCol()))))
 
 
+def _margin(x: np.ndarray, size: int, gamma: float, seed: int, weights: np.ndarray) -> np.ndarray:
+    return fourier(x, size, gamma, seed) @ weights[:-1] + weights[-1] if len(x) else np.zeros(0)
+
+
+class FourierSVCModel(Transformer, HasInputCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
+    """The fitted kernel machine: ``rawPrediction`` and ``prediction``."""
+
+    size = Param(Params._dummy(), "size", "number of features", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "kernel width, 0 for 1 / dimension", TypeConverters.toFloat)
+    weights = Param(Params._dummy(), "weights", "a weight a feature, and the intercept", TypeConverters.toListFloat)
+
+    @keyword_only
+    def __init__(self, *, inputCol="features", size=256, gamma=0.0, seed=42, weights=None):
+        super().__init__()
+        self._set(**{k: v for k, v in self._input_kwargs.items() if v is not None})
+        self._setDefault(inputCol="features", size=256, gamma=0.0, seed=42)
+
+    def _transform(self, dataset: DataFrame) -> DataFrame:
+        ship_code()
+        size, gamma, seed = (self.getOrDefault(p) for p in (self.size, self.gamma, self.seed))
+        weights = np.array(self.getOrDefault(self.weights))
+
+        @F.pandas_udf("double")
+        def margin(x: pd.Series) -> pd.Series:
+            return pd.Series(_margin(np.stack(x), size, gamma, seed, weights) if len(x) else [], dtype=float)
+
+        raw = margin(vector_to_array(self.getInputCol()))
+        out = dataset.withColumn("rawPrediction", raw)
+        return (out.withColumn("prediction", (F.col("rawPrediction") > 0).cast("double"))
+                .withColumn("rawPrediction", array_to_vector(F.array(-F.col("rawPrediction"), F.col("rawPrediction")))))
+
+
+#: Rows whose Fourier features a task holds at once, and the step lengths
+#: along a direction that one pass over the rows compares.
+_WAVE_ROWS = 512
+_STEPS = np.array([4.0, 2.0, 1.0, 0.5, 0.2, 0.05, 0.01, 0.001])
+
+
+class FourierSVC(Estimator, HasInputCol, HasLabelCol, HasSeed, DefaultParamsReadable, DefaultParamsWritable):
+    """A linear support vector machine on random Fourier features
+    (hinge loss, L2 penalty on the standardised weights, free intercept).
+
+    Features are 256 numbers a row where the input has a few, so they are
+    never kept: every pass computes them again, a few thousand rows at a time
+    (single precision), and returns sums of gradients, one row a task.  The
+    driver takes L-BFGS steps; a pass tries several step lengths at once."""
+
+    size = Param(Params._dummy(), "size", "number of features", TypeConverters.toInt)
+    gamma = Param(Params._dummy(), "gamma", "kernel width, 0 for 1 / dimension", TypeConverters.toFloat)
+    regParam = Param(Params._dummy(), "regParam", "L2 penalty", TypeConverters.toFloat)
+    maxIter = Param(Params._dummy(), "maxIter", "passes at most", TypeConverters.toInt)
+    tol = Param(Params._dummy(), "tol", "least relative gain of a pass, on average over ten", TypeConverters.toFloat)
+
+    @keyword_only
+    def __init__(self, *, inputCol="features", labelCol="label", size=256, gamma=0.0, seed=42, regParam=0.001, maxIter=100, tol=1e-6):
+        super().__init__()
+        self._set(**self._input_kwargs)
+        self._setDefault(inputCol="features", labelCol="label", size=256, gamma=0.0, seed=42, regParam=0.001, maxIter=100, tol=1e-6)
+
+    def _fit(self, dataset: DataFrame) -> FourierSVCModel:
+        ship_code()
+        size, gamma, seed, reg = (self.getOrDefault(p) for p in (self.size, self.gamma, self.seed, self.regParam))
+        spark = dataset.sparkSession
+        rows = dataset.select(vector_to_array(self.getInputCol()).alias("x"), F.col(self.getLabelCol()).cast("double").alias("y"))
+        # packed, so that a pass moves few large rows, and dealt to all cores
+        blocks = rows.mapInPandas(_pack, "x binary, y binary")
+        tasks = max(spark.sparkContext.defaultParallelism, blocks.rdd.getNumPartitions())
+        blocks = reliable_checkpoint(blocks.repartition(tasks)).persist()
+        try:
+            def sums(*args):
+                def run(batches):
+                    total = None
+                    for pdf in batches:
+                        for x, y in zip(pdf["x"], pdf["y"]):
+                            part = _svc_sums(x, y, size, gamma, seed, *args)
+                            total = part if total is None else total + part
+                    if total is not None:
+                        yield pd.DataFrame({"s": [total.ravel()]})
+                got = blocks.mapInPandas(run, "s array<double>").collect()  # a row a task
+                return sum(np.array(r["s"]) for r in got) if got else None
+
+            first = sums()
+            if first is None:
+                raise ValueError("no rows to fit")
+            n, odd, mean = first[0], first[1], first[2:2 + size] / first[0]
+            if odd or not np.isfinite(first).all():
+                raise ValueError("features must be numbers and labels 0 or 1")
+            spread = np.sqrt(np.maximum(first[2 + size:] - n * mean * mean, 0) / max(n - 1, 1))
+            scale = np.divide(1, spread, out=np.zeros(size), where=spread > 1e-7)
+
+            def losses(w, directions):
+                """Loss and gradient at each of the points ``w + direction``."""
+                points = w + directions
+                raw = points[:, :-1] * scale
+                shift = points[:, -1] - raw @ mean  # the features are centred
+                out = sums(np.column_stack([raw, shift]).T).reshape(size + 2, -1)
+                loss, slope, edge = out[0] / n, out[1:-1] / n, out[-1] / n
+                slope = (slope - np.outer(mean, edge)) * scale[:, None]
+                loss = loss + reg / 2 * (points[:, :-1] ** 2).sum(1)
+                return loss, np.column_stack([slope.T + reg * points[:, :-1], edge])
+
+            w = np.zeros(size + 1)
+            loss, slope = (v[0] for v in losses(w, np.zeros((1, size + 1))))
+            history, seen = [], [loss]
+            for _ in range(self.getOrDefault(self.maxIter)):
+                step = _direction(slope, history)
+                steps = _STEPS if history else _STEPS / max(np.linalg.norm(slope), 1e-12)
+                tried, slopes = losses(w, steps[:, None] * step)
+                best = int(np.argmin(tried))
+                if not tried[best] < loss:
+                    if not history:
+                        break
+                    history = []  # once more, straight down
+                    continue
+                moved = steps[best] * step
+                if (turn := moved @ (slopes[best] - slope)) > 1e-12 * (moved @ moved):
+                    history = [*history[-9:], (moved, slopes[best] - slope, turn)]
+                w, loss, slope = w + moved, tried[best], slopes[best]
+                seen.append(loss)
+                if len(seen) > 10 and (seen[-11] - loss) / 10 <= self.getOrDefault(self.tol) * abs(loss):
+                    break
+        finally:
+            blocks.unpersist()
+        raw = w[:-1] * scale
+        weights = [*raw.tolist(), float(w[-1] - raw @ mean)]
+        return FourierSVCModel(inputCol=self.getInputCol(), size=size, gamma=gamma, seed=seed, weights=weights)
+
+
+def _pack(batches):
+    for pdf in batches:
+        if len(pdf):
+            yield pd.DataFrame({"x": [np.stack(pdf["x"]).astype(float).tobytes()], "y": [pdf["y"].to_numpy(float).tobytes()]})
+
+
+def _svc_sums(x: bytes, y: bytes, size: int, gamma: float, seed: int, points: np.ndarray | None = None) -> np.ndarray:
+    """Of a block's rows: without ``points`` rows, odd labels and the features'
+    sums and sums of squares; with them, a column a point, the hinge losses
+    and their slopes by weight and intercept."""
+    y = np.frombuffer(y)
+    x = np.frombuffer(x).reshape(len(y), -1)
+    total = np.zeros(2 + 2 * size) if points is None else np.zeros((size + 2, points.shape[1]))
+    for a in range(0, len(y), _WAVE_ROWS):
+        z, t = fourier(x[a:a + _WAVE_ROWS], size, gamma, seed, np.float32), y[a:a + _WAVE_ROWS]
+        if points is None:
+            total += np.concatenate([[len(t), np.sum((t != 0) & (t != 1)) + np.sum(np.isnan(t))], z.sum(0, dtype=float), (z.astype(float) ** 2).sum(0)])
+            continue
+        sign = (2 * t - 1)[:, None]
+        short = 1 - sign * (z @ points[:-1].astype(np.float32) + points[-1])
+        inside = np.where(short > 0, -sign, 0)
+        total[0] += np.maximum(short, 0).sum(0)
+        total[1:-1] += z.T @ inside.astype(np.float32)
+        total[-1] += inside.sum(0)
+    return total
+
+
+def _direction(slope: np.ndarray, history: list) -> np.ndarray:
+    """The L-BFGS direction from the last moves and changes of slope."""
+    q, kept = -slope, []
+    for moved, change, turn in reversed(history):
+        a = moved @ q / turn
+        q = q - a * change
+        kept.append(a)
+    if history:
+        moved, change, turn = history[-1]
+        q = q * (turn / (change @ change))
+    for (moved, change, turn), a in zip(history, reversed(kept)):
+        q = q + (a - change @ q / turn) * moved
+    return q
+
+
 def feature_stages(categorical: Sequence[str], numeric: Sequence[str], scale: bool = True) -> list:
     """K1/K6 stages: index categoricals (unseen -> extra index), assemble,
     optionally standardise."""
@@ -94,9 +270,8 @@ def classifier(kind: str, label: str = "label", seed: int = 42, **params) -> Est
     if kind == "svc":
         return LinearSVC(labelCol=label, maxIter=100, regParam=params.get("regParam", 0.1))
     if kind == "rbf_svc":
-        waves = FourierFeatures(size=params.get("size", 256), gamma=params.get("gamma", 0.0), seed=seed)
-        return Pipeline(stages=[waves, LinearSVC(labelCol=label, featuresCol="fourier", maxIter=100,
-                                                 regParam=params.get("regParam", 0.001))])
+        return FourierSVC(labelCol=label, size=params.get("size", 256), gamma=params.get("gamma", 0.0), seed=seed,
+                          maxIter=100, regParam=params.get("regParam", 0.001))
     raise ValueError(kind)
 
 
