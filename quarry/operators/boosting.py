@@ -104,6 +104,18 @@ def _matrix(column: pa.Array, m: int) -> np.ndarray:
     return column.values.to_numpy()[column.offsets[0].as_py():column.offsets[-1].as_py()].reshape(-1, m)
 
 
+def _packed(codes: np.ndarray, y: np.ndarray, margin: np.ndarray) -> pa.RecordBatch:
+    """A block of rows as one row of three binaries."""
+    values = (codes.astype(np.int16, copy=False), y, margin)
+    return pa.RecordBatch.from_arrays([pa.array([v.tobytes()], pa.binary()) for v in values], ["codes", "y", "margin"])
+
+
+def _blocks(batches: Iterator[pa.RecordBatch], m: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    for batch in batches:
+        for codes, y, margin in zip(*(batch.column(c).to_pylist() for c in ("codes", "y", "margin"))):
+            yield np.frombuffer(codes, np.int16).reshape(-1, m), np.frombuffer(y), np.frombuffer(margin)
+
+
 def best_splits(g: np.ndarray, h: np.ndarray, l2: float, gamma: float, min_child: float):
     """Of each node the best (gain, feature, bin, missing to the right) from
     its sums, shape (nodes, features, bins); bin 0 is the missing values.
@@ -158,12 +170,15 @@ def fit_boosted(df: DataFrame, features: Sequence[str], label: str, loss: str =
 
     def start(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            codes = model.codes(_matrix(batch.column("x"), m))
-            yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(np.arange(0, codes.size + 1, m, dtype=np.int32), codes.ravel()),
-                                              batch.column("y"), pa.array(np.full(len(codes), base))], ["codes", "y", "margin"])
+            for a in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(a, _ROWS)
+                codes = model.codes(_matrix(part.column("x"), m))
+                yield _packed(codes, part.column("y").to_numpy(), np.full(len(codes), base))
 
-    schema = "codes array<smallint>, y double, margin double"
-    table = reliable_checkpoint(rows.mapInArrow(start, schema))
+    schema = "codes binary, y binary, margin binary"
+    # rows packed by the thousand and dealt to all cores, whatever the files' row groups
+    packed = rows.mapInArrow(start, schema)
+    table = reliable_checkpoint(packed.repartition(max(df.sparkSession.sparkContext.defaultParallelism, packed.rdd.getNumPartitions())))
     kept = 0
     for t in range(trees):
         if t - kept >= keep_every:
@@ -201,9 +216,8 @@ def _gradients(model: BoostedTrees, y: np.ndarray, margin: np.ndarray) -> tuple[
 
 def _advance(model: BoostedTrees, m: int, first: int, last: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            margin = batch.column("margin").to_numpy() + model.margin(_matrix(batch.column("codes"), m), first, last)
-            yield pa.RecordBatch.from_arrays([batch.column("codes"), batch.column("y"), pa.array(margin)], ["codes", "y", "margin"])
+        for codes, y, margin in _blocks(batches, m):
+            yield _packed(codes, y, margin + model.margin(codes, first, last))
     return run
 
 
@@ -212,16 +226,13 @@ def _histograms(model: BoostedTrees, m: int, width: int, kept: int, t: int, leve
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         first, nodes = 2 ** level - 1, 2 ** level
         total = np.zeros((2, nodes * m * width))
-        for batch in batches:
-            for a in range(0, batch.num_rows, _ROWS):
-                part = batch.slice(a, _ROWS)
-                codes = _matrix(part.column("codes"), m)
-                g, h = _gradients(model, part.column("y").to_numpy(), part.column("margin").to_numpy() + model.margin(codes, kept, t))
-                node = model.leaves(codes, t, level) - first
-                here = node >= 0  # others stopped above
-                at = ((node[here, None] * m + np.arange(m)) * width + codes[here]).ravel()
-                for k, v in enumerate((g, h)):
-                    total[k] += np.bincount(at, np.repeat(v[here], m), nodes * m * width)
+        for codes, y, margin in _blocks(batches, m):
+            g, h = _gradients(model, y, margin + model.margin(codes, kept, t))
+            node = model.leaves(codes, t, level) - first
+            here = node >= 0  # others stopped above
+            at = ((node[here, None] * m + np.arange(m)) * width + codes[here]).ravel()
+            for k, v in enumerate((g, h)):
+                total[k] += np.bincount(at, np.repeat(v[here], m), nodes * m * width)
         some = np.flatnonzero(total[1])
         yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), pa.array(total[0, some]), pa.array(total[1, some])], ["at", "g", "h"])
     return run
