@@ -9,10 +9,11 @@ reloaded for batch scoring.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import keyword_only
+from pyspark import inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
@@ -288,16 +289,46 @@ def evaluator(metric: str = "accuracy", label: str = "label"):
     return MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
 
 
+#: Fits that run side by side: a fold's rows rarely keep every core busy.
+_AT_ONCE = 4
+
+
+def side_by_side(spark: SparkSession, work, items: Sequence) -> list:
+    """``work`` on each item, a few at once (their jobs share the cores); results in order."""
+    with ThreadPool(max(1, min(_AT_ONCE, len(items)))) as pool:
+        return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
+
+
+def fold_features(stages: list, train: DataFrame, *others: DataFrame) -> tuple:
+    """The fitted feature stages, and the tables with their features; the
+    training rows are kept for the members that fit on them."""
+    prep = Pipeline(stages=[s.copy() for s in stages]).fit(train)
+    return prep, prep.transform(train).persist(), *[prep.transform(o) for o in others]
+
+
+def cv_scores_by(spark: SparkSession, stages: list, models: Mapping[str, Estimator], df: DataFrame, fold_col: str = "fold",
+                 k: int = 5, metric: str = "accuracy", label: str = "label") -> dict[str, DataFrame]:
+    """K9: each model's score per fold, ``(fold, score)``.  The feature stages
+    are refitted inside each fold, once for all models; folds run side by
+    side."""
+    def fold(i: int) -> list[float]:
+        _, tr, va = fold_features(stages, df.where(F.col(fold_col) != i), df.where(F.col(fold_col) == i))
+        try:
+            va = va.persist()
+            return [float(evaluator(metric, label).evaluate(m.copy().fit(tr).transform(va))) for m in models.values()]
+        finally:
+            tr.unpersist()
+            va.unpersist()
+
+    scores = side_by_side(spark, fold, range(k))
+    return {name: spark.createDataFrame([(i, s[j]) for i, s in enumerate(scores)], "fold int, score double") for j, name in enumerate(models)}
+
+
 def cv_scores(spark: SparkSession, stages: list, model: Estimator, df: DataFrame, fold_col: str = "fold",
               k: int = 5, metric: str = "accuracy", label: str = "label") -> DataFrame:
     """K9: per-fold score with the feature stages refitted inside each fold;
     returns ``(fold, score)``."""
-    ev = evaluator(metric, label)
-    rows = []
-    for i in range(k):
-        fit = Pipeline(stages=stages + [model]).fit(df.where(F.col(fold_col) != i))
-        rows.append((i, float(ev.evaluate(fit.transform(df.where(F.col(fold_col) == i))))))
-    return spark.createDataFrame(rows, "fold int, score double")
+    return cv_scores_by(spark, stages, {"": model}, df, fold_col, k, metric, label)[""]
 
 
 def cv_summary(scores: DataFrame) -> DataFrame:
@@ -309,8 +340,10 @@ def grid_search(spark: SparkSession, stages: list, kind: str, grid: Sequence[Map
                 fold_col: str = "fold", k: int = 5, metric: str = "accuracy", label: str = "label") -> DataFrame:
     """Cross-validated score per candidate; best first."""
     out = None
+    models = {str(i): classifier(kind, label, **params) for i, params in enumerate(grid)}
+    scores = cv_scores_by(spark, stages, models, df, fold_col, k, metric, label)
     for i, params in enumerate(grid):
-        s = cv_summary(cv_scores(spark, stages, classifier(kind, label, **params), df, fold_col, k, metric, label))
+        s = cv_summary(scores[str(i)])
         s = s.select(F.lit(kind).alias("model"), F.lit(i).alias("candidate"),
                      F.lit(str(dict(params))).alias("params"), "cv_mean", "cv_2std")
         out = s if out is None else out.unionByName(s)
@@ -343,14 +376,16 @@ def regression_average(stages: list, train: DataFrame, test: DataFrame, label: s
                        members: Sequence[tuple[str, Mapping]]) -> DataFrame:
     """Mean of several regressions, each ``(kind, parameters)``, on a log
     target, back-transformed with ``expm1``; the members' own predictions
-    stay as ``p0, p1, ...``.  The members score one after the other in one
-    pass over the test rows."""
-    out = test
+    stay as ``p0, p1, ...``.  The feature stages are fitted once on the kept
+    training rows, and the members score one after the other in one pass over
+    the test rows."""
+    train = train.persist()
+    prep = Pipeline(stages=stages).fit(train)
+    rows, out = prep.transform(train).select("features", label), prep.transform(test).select(*test.columns, "features")
     for i, (kind, cfg) in enumerate(members):
-        est = regressor(kind, label, **cfg).setPredictionCol(f"p{i}")
-        fit = fit_pipeline(stages, est, train)
-        keep = [*test.columns, *[f"p{j}" for j in range(i + 1)]]
-        out = fit.transform(out).select(*keep)
+        fit = regressor(kind, label, **cfg).setPredictionCol(f"p{i}").fit(rows)
+        out = fit.transform(out)
+    train.unpersist()
     names = [f"p{i}" for i in range(len(members))]
     avg = sum(F.col(n) for n in names) / len(names)
     return out.select("_row_id", *names, avg.alias("log_prediction"), F.expm1(avg).alias("prediction"))
@@ -366,16 +401,18 @@ def oof_stacking(spark: SparkSession, stages: list, members: Mapping[str, Estima
     every training row has out-of-fold probabilities (``oof_rows`` counts
     them, ``train_rows`` all)."""
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # as many as the caller's k
-    oof_parts, test_parts = [], []
-    for i in folds:
-        tr = df.where(F.col(fold_col) != i)
-        va = df.where(F.col(fold_col) == i)
-        for name, est in members.items():
-            m = fit_pipeline(stages, est, tr)
-            oof_parts.append(positive_probability(m.transform(va), "p").select(
-                id_col, F.lit(name).alias("member"), "p"))
-            test_parts.append(positive_probability(m.transform(test), "p").select(
-                id_col, F.lit(name).alias("member"), "p"))
+
+    def fold(i) -> list[tuple[DataFrame, DataFrame]]:
+        _, tr, va, te = fold_features(stages, df.where(F.col(fold_col) != i), df.where(F.col(fold_col) == i), test)
+        try:
+            fits = [(name, est.copy().fit(tr)) for name, est in members.items()]
+        finally:
+            tr.unpersist()
+        return [tuple(positive_probability(m.transform(rows), "p").select(id_col, F.lit(name).alias("member"), "p") for rows in (va, te))
+                for name, m in fits]
+
+    pairs = [pair for parts in side_by_side(spark, fold, folds) for pair in parts]
+    oof_parts, test_parts = [p[0] for p in pairs], [p[1] for p in pairs]
 
     def wide(parts):
         u = parts[0]
@@ -383,7 +420,8 @@ def oof_stacking(spark: SparkSession, stages: list, members: Mapping[str, Estima
             u = u.unionByName(p)
         return u.groupBy(id_col).pivot("member", list(members)).agg(F.avg("p"))
 
-    oof = wide(oof_parts).join(df.select(id_col, label), id_col)
+    # written once: the meta-learner's passes do not score the folds again
+    oof = reliable_checkpoint(wide(oof_parts).join(df.select(id_col, label), id_col))
     names = list(members)
     meta = Pipeline(stages=[VectorAssembler(inputCols=names, outputCol="features"),
                             LogisticRegression(labelCol=label, maxIter=100, regParam=0.01)]).fit(oof)

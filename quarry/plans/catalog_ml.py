@@ -330,8 +330,9 @@ def ml_cv(spark, sf):
     """CV summary per model family, best first (top 2 kept)."""
     train, _ = _split_folds(spark, sf)
     out = None
-    for kind in ("logreg", "rf", "svc"):
-        s = M.cv_summary(M.cv_scores(spark, _stages(), M.classifier(kind), train))
+    scores = M.cv_scores_by(spark, _stages(), {kind: M.classifier(kind) for kind in ("logreg", "rf", "svc")}, train)
+    for kind in scores:
+        s = M.cv_summary(scores[kind])
         s = s.select(F.lit(kind).alias("model"), "cv_mean", "cv_2std")
         out = s if out is None else out.unionByName(s)
     return out.orderBy(F.desc("cv_mean"), "model").limit(2)
@@ -399,7 +400,8 @@ def ml_regression(spark, sf):
     stages = M.feature_stages(["p_type"], ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size"])
     members = [("linear", {"regParam": 0.1, "elasticNetParam": 0.0}), ("linear", {"regParam": 0.001, "elasticNetParam": 1.0}),
                ("linear", {"regParam": 0.01, "elasticNetParam": 0.5}), ("gbt", {"maxIter": 30}), ("gbt", {"maxIter": 30, "maxDepth": 3})]
-    pred = M.regression_average(stages, train, test, "y", members)
+    used = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size", "p_type", "y"]
+    pred = M.regression_average(stages, train.select(*used), test, "y", members)
     j = pred.join(test.select("_row_id", "y", "l_extendedprice"), "_row_id")
     rmsle = j.agg(F.sqrt(F.avg(F.pow(F.col("log_prediction") - F.col("y"), 2)))).first()[0]
     return j.select("_row_id", *[f"p{i}" for i in range(len(members))], "prediction", "l_extendedprice", F.lit(rmsle).alias("rmsle"))
@@ -547,8 +549,7 @@ def ml_cv_facts(spark, sf):
     sizes = train.groupBy("fold").agg(F.count(F.lit(1)).alias("n"), F.sum("doc_id").alias("id_sum"),
                                       F.sum("label").cast("long").alias("positives"))
     out = None
-    for kind in ("logreg", "rf", "svc"):
-        scores = M.cv_scores(spark, _stages(), M.classifier(kind), train)
+    for kind, scores in M.cv_scores_by(spark, _stages(), {kind: M.classifier(kind) for kind in ("logreg", "rf", "svc")}, train).items():
         mean = M.cv_summary(scores).first()["cv_mean"]
         hits = F.col("score") * F.col("n")
         rows = scores.join(sizes, "fold").select(
