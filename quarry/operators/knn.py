@@ -112,7 +112,10 @@ def _tile_neighbours(n_features: int, k: int):
 
 #: Boxes of donors whose bounds every receiver is compared with, and sets of
 #: known columns that get boxes of their own.
-_BOXES, _PATTERNS = 4096, 256
+_BOXES, _PATTERNS = 16_384, 256
+
+#: Rows of tiles (and of neighbours found there) that a task gets, about.
+_TASK_ROWS = 400_000
 
 
 def _places(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
@@ -133,14 +136,15 @@ def _places(df: DataFrame, columns: Sequence[str], bits: int = 6) -> Column:
 
 @dataclass
 class _Boxes:
-    """Donors by boxes: rows and least and greatest value of each column; a
-    column that a box's donors lack is NaN.  ``loose`` boxes hold donors with
-    different sets of known columns: they have no bounds."""
+    """Donors by boxes: rows, least and greatest value of each column and one
+    donor, the ``pin``; a column that a box's donors lack is NaN.  ``loose``
+    boxes hold donors with different sets of known columns: they have no
+    bounds."""
 
-    names: np.ndarray
     rows: np.ndarray
     low: np.ndarray
     high: np.ndarray
+    pin: np.ndarray
     loose: np.ndarray
 
     def visits(self, x: np.ndarray, k: int) -> np.ndarray:
@@ -149,8 +153,9 @@ class _Boxes:
 
         Over the columns that both sides know, a donor is no nearer than its
         box and no farther than the box's far corner.  The far corners of
-        boxes with k donors bound the k-th distance."""
-        below, above, shared = np.zeros((3, len(x), len(self.names)))
+        boxes with k donors bound the k-th distance, and so do the k nearest
+        pins, which are donors themselves."""
+        below, above, shared, apart, common = np.zeros((5, len(x), len(self.rows)))
         for j in range(x.shape[1]):
             v = x[:, j, None]
             both = ~np.isnan(v) & ~np.isnan(self.low[None, :, j])
@@ -158,21 +163,30 @@ class _Boxes:
             below += np.where(both, np.maximum(0, np.maximum(under, over)) ** 2, 0)
             above += np.where(both, np.maximum(np.abs(under), np.abs(over)) ** 2, 0)
             shared += both
+            gap = self.pin[None, :, j] - v
+            apart += np.where(np.isnan(gap), 0, gap * gap)
+            common += ~np.isnan(gap)
         with np.errstate(divide="ignore", invalid="ignore"):
             scale = x.shape[1] / shared
             near, far = np.where(shared > 0, below * scale, np.inf), np.where(shared > 0, above * scale, np.inf)
+            pins = np.where(common > 0, apart * (x.shape[1] / common), np.inf)
         near[:, self.loose], far[:, self.loose] = 0, np.inf
         out = np.zeros(shared.shape, bool)
         for c in range(x.shape[1]):
-            has = ~np.isnan(self.low[:, c]) | self.loose
+            has, pinned = np.flatnonzero(~np.isnan(self.low[:, c]) | self.loose), np.flatnonzero(~np.isnan(self.pin[:, c]))
             rows = np.flatnonzero(np.isnan(x[:, c]))
-            if not len(rows) or not has.any():
+            if not len(rows) or not len(has):
                 continue
-            order = np.argsort(far[np.ix_(rows, has)], axis=1, kind="stable")
-            reach = np.take_along_axis(far[np.ix_(rows, has)], order, axis=1)
+            reach, least = far[np.ix_(rows, has)], near[np.ix_(rows, has)]
+            some = min(k, len(has))  # every box has a row: k boxes are enough
+            order = np.argpartition(reach, some - 1, axis=1)[:, :some]
+            order = np.take_along_axis(order, np.argsort(np.take_along_axis(reach, order, axis=1), axis=1, kind="stable"), axis=1)
+            reach = np.take_along_axis(reach, order, axis=1)
             enough = np.cumsum(self.rows[has][order], axis=1) >= k
             bound = np.where(enough.any(1), reach[np.arange(len(rows)), enough.argmax(1)], np.inf)
-            out[np.ix_(rows, has)] |= (near[np.ix_(rows, has)] <= bound[:, None] * (1 + 1e-9)) & np.isfinite(near[np.ix_(rows, has)])
+            if len(pinned) >= k:
+                bound = np.minimum(bound, np.partition(pins[np.ix_(rows, pinned)], k - 1, axis=1)[:, k - 1])
+            out[np.ix_(rows, has)] |= (least <= bound[:, None] * (1 + 1e-9)) & np.isfinite(least)
         return out
 
 
@@ -183,7 +197,13 @@ def donor_visits(df: DataFrame, columns: Sequence[str], id_col: str, k: int = 5,
     and cut into boxes; a receiver goes to the boxes that may hold one of its
     nearest donors, and a box goes to the parts of receivers that visit it.
     A box of more than ``block_rows`` rows is cut into slices ``_s``, so tiles
-    do not grow with the data."""
+    do not grow with the data.  Both are dealt by tile to so many tasks that
+    a task's rows do not grow either, however well the rows compress."""
+    return _visits(df, columns, id_col, k, block_rows)[:2]
+
+
+def _visits(df: DataFrame, columns: Sequence[str], id_col: str, k: int, block_rows: int) -> tuple[DataFrame, DataFrame, int]:
+    """:func:`donor_visits`, and the number of tasks that the tiles are dealt to."""
     ship_code()
     columns = list(columns)
     kind = df.schema[id_col].dataType.simpleString()
@@ -200,29 +220,40 @@ def donor_visits(df: DataFrame, columns: Sequence[str], id_col: str, k: int = 5,
     slices = -(-box_rows // block_rows)
     donors = donors.withColumn("_b", F.concat_ws(":", "_g", F.floor(F.col("_pos") / box_rows)))
     cells = [F.get("_x", F.lit(i)) for i in range(len(columns))]
-    table = donors.groupBy("_b", "_g").agg(F.count(F.lit(1)).alias("rows"), *[f(c).alias(f"{f.__name__}{i}") for i, c in enumerate(cells) for f in (F.min, F.max)])
+    table = donors.groupBy("_b", "_g").agg(F.count(F.lit(1)).alias("rows"), F.min_by("_x", "_pos").alias("pin"),
+                                          *[f(c).alias(f"{f.__name__}{i}") for i, c in enumerate(cells) for f in (F.min, F.max)])
     got = table.toPandas()  # _BOXES rows at most
     edge = lambda f: np.array([got[f"{f}{i}"].to_numpy(float) for i in range(len(columns))]).T.reshape(len(got), len(columns))
-    boxes = _Boxes(got["_b"].to_numpy(), got["rows"].to_numpy(), edge("min"), edge("max"), (got["_g"] == "").to_numpy(bool))
+    pin = np.array([np.array(v, float) for v in got["pin"]]).reshape(len(got), len(columns))
+    boxes = _Boxes(got["rows"].to_numpy(), edge("min"), edge("max"), pin, (got["_g"] == "").to_numpy(bool))
+    spark = df.sparkSession
+    marks = spark.createDataFrame([(b, i) for i, b in enumerate(got["_b"])], "_b string, _bn int")
+    donors = donors.join(F.broadcast(marks), "_b").select("_id", "_x", "_pos", F.col("_bn").alias("_b"))
 
     receivers = group_positions(base.where(F.col("_k") != full), [], ["_k", "_z", "_id"], size_col=None)
-    receivers = receivers.select("_id", "_x", F.floor(F.col("_pos") / block_rows).cast("int").alias("_p"))
+    receivers = reliable_checkpoint(receivers.select("_id", "_x", F.floor(F.col("_pos") / (4 * block_rows)).cast("int").alias("_p")))
 
     def visit(batches):
         import pandas as pd
         for pdf in batches:
-            step = max(1, _CELLS // max(1, len(boxes.names)))
+            step = max(1, _CELLS // max(1, len(boxes.rows)))
             for a in range(0, len(pdf), step):
                 part = pdf.iloc[a:a + step]
-                i, j = np.nonzero(boxes.visits(np.stack(part["_x"].to_numpy()).astype(float), k))
-                yield pd.DataFrame({"_id": part["_id"].to_numpy()[i], "_x": part["_x"].to_numpy()[i], "_p": part["_p"].to_numpy()[i], "_b": boxes.names[j]})
+                seen = boxes.visits(np.stack(part["_x"].to_numpy()).astype(float), k)
+                yield part.assign(_bs=[np.flatnonzero(v).astype(np.int32) for v in seen])
 
-    left = reliable_checkpoint(receivers.mapInPandas(visit, f"_id {kind}, _x array<double>, _p int, _b string"))
+    # a row a receiver, with its boxes; dealt to all cores, as each meets every bound
+    tasks = max(spark.sparkContext.defaultParallelism, -(-receivers.count() // 10_000))
+    seen = reliable_checkpoint(receivers.repartition(tasks).mapInPandas(visit, f"_id {kind}, _x array<double>, _p int, _bs array<int>"))
+    left = seen.select("_id", "_x", "_p", F.explode("_bs").alias("_b"))
     pairs = size_checked(left.select(F.col("_p").alias("_tp"), F.col("_b").alias("_tb")).distinct())
     right = donors.join(pairs, F.col("_b") == F.col("_tb")).select(
         F.col("_id").alias("_did"), "_x", F.col("_tp").alias("_p"), "_b", F.pmod(F.col("_pos"), F.lit(slices)).cast("int").alias("_s"))
     left = left.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
-    return left, right
+    met = seen.agg(F.sum(F.size("_bs").cast("long"))).first()[0] or 0
+    sent = pairs.join(F.broadcast(spark.createDataFrame([(i, int(r)) for i, r in enumerate(got["rows"])], "_tb int, _r long")), "_tb").agg(F.sum("_r")).first()[0] or 0
+    dealt = max(spark.sparkContext.defaultParallelism, -(-(met * slices * k + sent) // _TASK_ROWS))
+    return left.repartition(dealt, "_p", "_b", "_s"), right.repartition(dealt, "_p", "_b", "_s"), dealt
 
 
 def knn_impute(df: DataFrame, columns: Sequence[str], id_col: str, k: int = 5, block_rows: int = 2_000) -> DataFrame:
@@ -240,10 +271,11 @@ def knn_impute(df: DataFrame, columns: Sequence[str], id_col: str, k: int = 5, b
     a time and keeps k donors a row and column."""
     columns = list(columns)
     kind = df.schema[id_col].dataType.simpleString()
-    left, right = donor_visits(df, columns, id_col, k, block_rows)
+    left, right, dealt = _visits(df, columns, id_col, k, block_rows)
     tile = ["_p", "_b", "_s"]
     near = (left.groupBy(*tile).cogroup(right.groupBy(*tile))
-            .applyInPandas(_tile_neighbours(len(columns), k), f"_id {kind}, _c int, _d double, _did {kind}, _y double"))
+            .applyInPandas(_tile_neighbours(len(columns), k), f"_id {kind}, _c int, _d double, _did {kind}, _y double")
+            .repartition(dealt, "_id", "_c"))
     rank = Window.partitionBy("_id", "_c").orderBy("_d", "_did")
     means = near.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= k).groupBy("_id", "_c").agg(F.avg("_y").alias("_m"))
     filled = means.groupBy(F.col("_id").alias("_fid")).agg(F.map_from_entries(F.collect_list(F.struct("_c", "_m"))).alias("_f"))

@@ -3,6 +3,7 @@
 import numpy as np
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from quarry.operators import knn
 
@@ -65,3 +66,17 @@ def test_few_rows(spark):
     assert got == {1: (1.0, 4.0), 2: (1.0, 4.0), 3: (1.0, 4.0)}
     whole = spark.createDataFrame([(1.0, 2.0, 1)], schema)
     assert knn.knn_impute(whole, ["a", "b"], "id").first() == (1.0, 2.0, 1)
+
+
+def test_tasks_and_visits_do_not_grow_with_the_rows(spark, monkeypatch):
+    """Rows that repeat compress well: a task must not get more of them for that."""
+    monkeypatch.setattr(knn, "_TASK_ROWS", 5000, raising=False)
+    x, df = table(spark, 1000, 7, 0, [(0.1, [0]), (0.1, [3])])
+    many = df.crossJoin(spark.range(6).toDF("copy")).withColumn("id", F.col("id") + 1000 * F.col("copy")).drop("copy")
+    left, right = knn.donor_visits(many, list("abcd"), "id", 5, block_rows=25)
+    most = [max(rows.groupBy(F.spark_partition_id()).count().toPandas()["count"]) for rows in (left, right)]
+    assert right.count() > 20_000 and max(most) <= 10_000
+    # bounds come from donors, not only from the corners of their boxes
+    assert left.count() < 0.25 * left.select("_id").distinct().count() * right.select("_b").distinct().count()
+    got = knn.knn_impute(many, list("abcd"), "id", 4, block_rows=25).orderBy("id").toPandas()
+    assert np.allclose(got[list("abcd")].to_numpy(float), brute(np.concatenate([x] * 6), 4), atol=1e-9)
