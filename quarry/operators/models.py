@@ -23,11 +23,12 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasLabelCol, HasOutputCol, HasSeed
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
-from pyspark.ml.regression import GBTRegressor, LinearRegression
+from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import reliable_checkpoint, ship_code
+from .regression_trees import PackedGBTRegressor
 
 
 def fourier(x: np.ndarray, size: int, gamma: float, seed: int, kind: type = np.float64) -> np.ndarray:
@@ -368,27 +369,29 @@ def regressor(kind: str, label: str, seed: int = 42, **params) -> Estimator:
         return LinearRegression(labelCol=label, maxIter=params.pop("maxIter", 100), **params)
     if kind == "gbt":
         defaults = {"maxIter": 50, "maxDepth": 4, "stepSize": 0.1, "subsamplingRate": 0.8}
-        return GBTRegressor(labelCol=label, seed=seed, **defaults | params)
+        return PackedGBTRegressor(labelCol=label, seed=seed, **defaults | params)
     raise ValueError(kind)
 
 
 def regression_average(stages: list, train: DataFrame, test: DataFrame, label: str,
-                       members: Sequence[tuple[str, Mapping]]) -> DataFrame:
+                       members: Sequence[tuple[str, Mapping]], keep: Sequence[str] = ()) -> DataFrame:
     """Mean of several regressions, each ``(kind, parameters)``, on a log
     target, back-transformed with ``expm1``; the members' own predictions
     stay as ``p0, p1, ...``.  The feature stages are fitted once on the kept
-    training rows, and the members score one after the other in one pass over
-    the test rows."""
+    training rows, the members side by side, and they score one after the
+    other in one pass over the test rows, whose columns ``keep`` stay."""
     train = train.persist()
     prep = Pipeline(stages=stages).fit(train)
-    rows, out = prep.transform(train).select("features", label), prep.transform(test).select(*test.columns, "features")
-    for i, (kind, cfg) in enumerate(members):
-        fit = regressor(kind, label, **cfg).setPredictionCol(f"p{i}").fit(rows)
+    # kept as well: every member reads them, and the boosted ones several times
+    rows, out = prep.transform(train).select("features", label).persist(), prep.transform(test).select(*test.columns, "features")
+    named = [regressor(kind, label, **cfg).setPredictionCol(f"p{i}") for i, (kind, cfg) in enumerate(members)]
+    for fit in side_by_side(train.sparkSession, lambda member: member.fit(rows), named):
         out = fit.transform(out)
+    rows.unpersist()
     train.unpersist()
     names = [f"p{i}" for i in range(len(members))]
     avg = sum(F.col(n) for n in names) / len(names)
-    return out.select("_row_id", *names, avg.alias("log_prediction"), F.expm1(avg).alias("prediction"))
+    return out.select("_row_id", *keep, *names, avg.alias("log_prediction"), F.expm1(avg).alias("prediction"))
 
 
 def oof_stacking(spark: SparkSession, stages: list, members: Mapping[str, Estimator], df: DataFrame,
