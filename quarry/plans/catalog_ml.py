@@ -401,8 +401,8 @@ def ml_regression(spark, sf):
     members = [("linear", {"regParam": 0.1, "elasticNetParam": 0.0}), ("linear", {"regParam": 0.001, "elasticNetParam": 1.0}),
                ("linear", {"regParam": 0.01, "elasticNetParam": 0.5}), ("gbt", {"maxIter": 30}), ("gbt", {"maxIter": 30, "maxDepth": 3})]
     used = ["l_quantity", "l_discount", "l_tax", "p_retailprice", "p_size", "p_type", "y"]
-    pred = M.regression_average(stages, train.select(*used), test, "y", members)
-    j = pred.join(test.select("_row_id", "y", "l_extendedprice"), "_row_id")
+    # written once: the error and the rows returned do not score the lines again
+    j = reliable_checkpoint(M.regression_average(stages, train.select(*used), test, "y", members, keep=("y", "l_extendedprice")))
     rmsle = j.agg(F.sqrt(F.avg(F.pow(F.col("log_prediction") - F.col("y"), 2)))).first()[0]
     return j.select("_row_id", *[f"p{i}" for i in range(len(members))], "prediction", "l_extendedprice", F.lit(rmsle).alias("rmsle"))
 
