@@ -250,11 +250,13 @@ _DOC_CAT = ["lang", "source"]
 def doc_features(spark, sf, labelled=True):
     """Text statistics per document (whole texts, built-in functions), with
     the quality label; ``labelled=False`` keeps documents without one."""
-    d = table(spark, sf, "documents")
-    lab = table(spark, sf, "labels")
+    lab = table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("label"))
+    # joined first (only these texts are read through) and dealt by id: a file of
+    # few row groups would leave them to few tasks
+    d = table(spark, sf, "documents").join(lab, "doc_id", "inner" if labelled else "left").repartition("doc_id")
     n = F.greatest(F.length("text"), F.lit(1))
     words = F.size(F.split(F.trim("text"), r"\s+"))
-    feats = d.select(
+    return d.select(
         "doc_id", "lang", "source",
         F.log1p(F.col("n_chars").cast("double")).alias("log_chars"),
         words.cast("double").alias("n_words"),
@@ -262,16 +264,15 @@ def doc_features(spark, sf, labelled=True):
         (F.regexp_count("text", F.lit("[0-9]")) / n).alias("digit_ratio"),
         (F.regexp_count("text", F.lit("[A-Z]")) / n).alias("upper_ratio"),
         (F.regexp_count("text", F.lit("[^A-Za-z0-9\\s]")) / n).alias("punct_ratio"),
-        (F.length(F.regexp_replace("text", r"\s+", "")) / F.greatest(words, F.lit(1))).alias("avg_word_len"))
-    return feats.join(lab.select("doc_id", F.col("quality").cast("double").alias("label")), "doc_id",
-                      "inner" if labelled else "left")
+        (F.length(F.regexp_replace("text", r"\s+", "")) / F.greatest(words, F.lit(1))).alias("avg_word_len"), "label")
 
 
 def _split_folds(spark, sf):
     """Hold-out split and folds, frozen once (every fit re-reads the
     checkpoint instead of re-deriving features from the texts)."""
     from ..session import reliable_checkpoint, right_size
-    f = doc_features(spark, sf)
+    # written first: the range sampling of the split reads its input twice
+    f = reliable_checkpoint(doc_features(spark, sf))
     s = K.stratified_split(f, "label", "doc_id", 0.2)
     both = K.fold_assign(s, "label", "doc_id", 5)
     both = right_size(reliable_checkpoint(both))

@@ -49,3 +49,19 @@ def test_boosting_deals_one_partition_to_the_cores(spark, monkeypatch):
     monkeypatch.setattr(boosting, "_ROWS", 20)
     fit_boosted(_rows(spark), ["a", "b"], "label", trees=1, depth=1)
     assert seen[-1].count() == 20 and seen[-1].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+
+
+def test_the_texts_are_read_once_for_a_split(spark, monkeypatch):
+    from quarry.plans import catalog_ml as C
+    reads = spark.sparkContext.accumulator(0)
+    texts = spark.createDataFrame([(i, "en", "a", f"Text {i}\n", 7) for i in range(60)], "doc_id long, lang string, source string, text string, n_chars int")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+
+    def read(batches):
+        for pdf in batches:
+            reads.add(len(pdf))
+            yield pdf
+    tables = {"documents": texts.mapInPandas(read, texts.schema), "labels": labels}
+    monkeypatch.setattr(C, "table", lambda spark, sf, name: tables[name])
+    train, test = C._split_folds(spark, "")
+    assert (train.count(), test.count(), reads.value) == (48, 12, 60)
