@@ -290,38 +290,47 @@ def evaluator(metric: str = "accuracy", label: str = "label"):
     return MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy")
 
 
-#: Fits that run side by side: a fold's rows rarely keep every core busy.
+#: Fits that run side by side: the rows of a small fold rarely keep every core busy.
 _AT_ONCE = 4
 
 
-def side_by_side(spark: SparkSession, work, items: Sequence) -> list:
+def side_by_side(spark: SparkSession, work, items: Sequence, at_once: int = _AT_ONCE) -> list:
     """``work`` on each item, a few at once (their jobs share the cores); results in order."""
-    with ThreadPool(max(1, min(_AT_ONCE, len(items)))) as pool:
+    with ThreadPool(max(1, min(at_once, len(items)))) as pool:
         return pool.map(inheritable_thread_target(spark)(work), items, chunksize=1)
 
 
-def fold_features(stages: list, train: DataFrame, *others: DataFrame) -> tuple:
-    """The fitted feature stages, and the tables with their features; the
-    training rows are kept for the members that fit on them."""
+def folds_at_once(df: DataFrame) -> int:
+    """Folds of a table to work on side by side: each keeps its rows, so there
+    are fewer the more partitions a core the table has, and one from four on."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return max(1, _AT_ONCE * cores // max(cores, df.rdd.getNumPartitions()))
+
+
+def fold_features(stages: list, train: DataFrame, *others: DataFrame, label: str = "label") -> tuple:
+    """The fitted feature stages, and the tables with their features; of the
+    training rows features and label are kept for the members that fit on them."""
     prep = Pipeline(stages=[s.copy() for s in stages]).fit(train)
-    return prep, prep.transform(train).persist(), *[prep.transform(o) for o in others]
+    return prep, prep.transform(train).select("features", label).persist(), *[prep.transform(o) for o in others]
 
 
 def cv_scores_by(spark: SparkSession, stages: list, models: Mapping[str, Estimator], df: DataFrame, fold_col: str = "fold",
                  k: int = 5, metric: str = "accuracy", label: str = "label") -> dict[str, DataFrame]:
     """K9: each model's score per fold, ``(fold, score)``.  The feature stages
-    are refitted inside each fold, once for all models; folds run side by
-    side."""
+    are refitted inside each fold, once for all models; folds of a small table
+    run side by side."""
     def fold(i: int) -> list[float]:
-        _, tr, va = fold_features(stages, df.where(F.col(fold_col) != i), df.where(F.col(fold_col) == i))
+        _, tr, va = fold_features(stages, df.where(F.col(fold_col) != i), df.where(F.col(fold_col) == i), label=label)
+        va = va.select("features", label)
         try:
-            va = va.persist()
+            if len(models) > 1:
+                va = va.persist()
             return [float(evaluator(metric, label).evaluate(m.copy().fit(tr).transform(va))) for m in models.values()]
         finally:
             tr.unpersist()
             va.unpersist()
 
-    scores = side_by_side(spark, fold, range(k))
+    scores = side_by_side(spark, fold, range(k), folds_at_once(df))
     return {name: spark.createDataFrame([(i, s[j]) for i, s in enumerate(scores)], "fold int, score double") for j, name in enumerate(models)}
 
 
@@ -406,7 +415,7 @@ def oof_stacking(spark: SparkSession, stages: list, members: Mapping[str, Estima
     folds = sorted(r[0] for r in df.select(fold_col).distinct().collect())  # as many as the caller's k
 
     def fold(i) -> list[tuple[DataFrame, DataFrame]]:
-        _, tr, va, te = fold_features(stages, df.where(F.col(fold_col) != i), df.where(F.col(fold_col) == i), test)
+        _, tr, va, te = fold_features(stages, df.where(F.col(fold_col) != i), df.where(F.col(fold_col) == i), test, label=label)
         try:
             fits = [(name, est.copy().fit(tr)) for name, est in members.items()]
         finally:
@@ -414,7 +423,7 @@ def oof_stacking(spark: SparkSession, stages: list, members: Mapping[str, Estima
         return [tuple(positive_probability(m.transform(rows), "p").select(id_col, F.lit(name).alias("member"), "p") for rows in (va, te))
                 for name, m in fits]
 
-    pairs = [pair for parts in side_by_side(spark, fold, folds) for pair in parts]
+    pairs = [pair for parts in side_by_side(spark, fold, folds, folds_at_once(df)) for pair in parts]
     oof_parts, test_parts = [p[0] for p in pairs], [p[1] for p in pairs]
 
     def wide(parts):

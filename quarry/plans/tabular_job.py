@@ -40,6 +40,8 @@ def build_features(both: DataFrame, id_col: str, label: str) -> DataFrame:
 
 NUMERIC = ["o_totalprice", "cust_orders", "price_per_order", "priority_code", "rich", "acct_bin",
            "order_month", "c_acctbal", "price_band", "segment_code"]
+#: Training rows of a partition at most, on average.
+TASK_ROWS = 200_000
 
 
 def run(spark: SparkSession, orders: DataFrame, customer: DataFrame, cutoff: str,
@@ -53,15 +55,16 @@ def run(spark: SparkSession, orders: DataFrame, customer: DataFrame, cutoff: str
     both = union_tagged({"train": o.where(F.col("o_orderdate") < ts),
                          "test": o.where(F.col("o_orderdate") >= ts).drop("label")})  # J5
     feats = build_features(both, "o_orderkey", "label")
-    feats = right_size(reliable_checkpoint(feats.select("o_orderkey", "src", "label", *NUMERIC)))
-    train = fold_assign(feats.where(F.col("src") == "train"), "label", "o_orderkey", k)  # K8
+    feats = reliable_checkpoint(feats.select("o_orderkey", "src", "label", *NUMERIC))
+    # the folds' shuffle goes by bytes; the fits need partitions of bounded rows
+    train = right_size(fold_assign(feats.where(F.col("src") == "train"), "label", "o_orderkey", k), most_rows=TASK_ROWS)  # K8
     test = feats.where(F.col("src") == "test")
     stages = M.feature_stages([], [c for c in NUMERIC])
+    models = {kind: M.classifier(kind, numTrees=30) for kind in members}
+    scores = M.cv_scores_by(spark, stages, models, train, k=k)  # K9
     weights, probs = [], None
-    for kind in members:
-        est = M.classifier(kind, numTrees=30)
-        score = M.cv_summary(M.cv_scores(spark, stages, est, train, k=k)).first()["cv_mean"]  # K9
-        weights.append(score)
+    for kind, est in models.items():
+        weights.append(M.cv_summary(scores[kind]).first()["cv_mean"])
         fitted = M.fit_pipeline(stages, est, train)
         p = M.positive_probability(fitted.transform(test), kind).select("o_orderkey", kind)
         probs = p if probs is None else probs.join(p, "o_orderkey")

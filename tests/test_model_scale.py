@@ -65,3 +65,67 @@ def test_the_texts_are_read_once_for_a_split(spark, monkeypatch):
     monkeypatch.setattr(C, "table", lambda spark, sf, name: tables[name])
     train, test = C._split_folds(spark, "")
     assert (train.count(), test.count(), reads.value) == (48, 12, 60)
+
+
+def test_fits_keep_features_and_label_only(spark):
+    df = _rows(spark)
+    _, kept, other = M.fold_features(M.feature_stages([], ["a", "b"]), df, df)
+    try:
+        assert kept.columns == ["features", "label"] and kept.storageLevel.useMemory
+        assert {"id", "features", "label"} <= set(other.columns)
+    finally:
+        kept.unpersist()
+
+
+def test_folds_of_a_large_table_run_one_at_a_time(spark, monkeypatch):
+    import threading
+    cores, held, most, lock, whole = spark.sparkContext.defaultParallelism, [], [], threading.Lock(), M.fold_features
+
+    class Kept:
+        """A fold's training rows, counted until they are given back."""
+
+        def __init__(self, df):
+            self.df = df
+
+        def __getattr__(self, name):
+            return getattr(self.df, name)
+
+        def unpersist(self):
+            with lock:
+                held.pop()
+            return self.df.unpersist()
+
+    def features(*args, **kw):
+        prep, tr, *others = whole(*args, **kw)
+        with lock:
+            held.append(1)
+            most.append(len(held))
+        return prep, Kept(tr), *others
+
+    df = reliable_checkpoint(_rows(spark, 60).repartition(4 * cores))
+    monkeypatch.setattr(M, "fold_features", features)
+    monkeypatch.setattr(M.LogisticRegression, "fit", lambda self, tr: _Majority())
+    scores = M.cv_scores(spark, M.feature_stages([], ["a", "b"]), M.classifier("logreg"), df, k=3)
+    assert scores.count() == 3 and len(most) == 3 and max(most) == 1
+    assert M.folds_at_once(_rows(spark)) == 4 and M.folds_at_once(df.coalesce(2 * cores)) == 2
+
+
+class _Majority:
+    def transform(self, df):
+        return df.withColumn("prediction", F.lit(1.0))
+
+
+def test_tabular_job_fits_on_partitions_of_bounded_rows(spark, monkeypatch):
+    from quarry.plans import tabular_job as J
+    orders = spark.createDataFrame([(i, i % 7, "FOP"[i % 3], 100.0 + i, 1 + i % 5, i % 4 == 0) for i in range(400)],
+                                   "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, p int, late boolean").coalesce(1)
+    orders = orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", F.concat(F.col("p"), F.lit("-URGENT")).alias("o_orderpriority"),
+                           F.when(F.col("late"), F.lit("1999-05-01")).otherwise(F.lit("1998-03-01")).cast("timestamp_ntz").alias("o_orderdate"))
+    customer = spark.createDataFrame([(i, "AB"[i % 2] + "UILDING", 900.0 * i) for i in range(7)], "c_custkey long, c_mktsegment string, c_acctbal double")
+    seen, whole = [], M.cv_scores_by
+    monkeypatch.setattr(J, "TASK_ROWS", 30, raising=False)
+    monkeypatch.setattr(M, "cv_scores_by", lambda spark, stages, models, df, *a, **kw: seen.append(df) or whole(spark, stages, models, df, *a, **kw))
+    out = J.run(spark, orders, customer, "1999-01-01", members=("logreg",), k=2).collect()
+    assert sorted(r.o_orderkey for r in out) == list(range(0, 400, 4)) and {r.prediction for r in out} <= {0, 1}
+    (train,) = seen
+    assert train.count() == 300 and train.rdd.getNumPartitions() >= 300 / 30
