@@ -13,7 +13,7 @@ from multiprocessing.pool import ThreadPool
 
 import numpy as np
 import pandas as pd
-from pyspark import inheritable_thread_target, keyword_only
+from pyspark import StorageLevel, inheritable_thread_target, keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
                                        RandomForestClassifier)
@@ -311,7 +311,13 @@ def fold_features(stages: list, train: DataFrame, *others: DataFrame, label: str
     """The fitted feature stages, and the tables with their features; of the
     training rows features and label are kept for the members that fit on them."""
     prep = Pipeline(stages=[s.copy() for s in stages]).fit(train)
-    return prep, prep.transform(train).select("features", label).persist(), *[prep.transform(o) for o in others]
+    return prep, prep.transform(train).select("features", label).persist(kept_at(train)), *[prep.transform(o) for o in others]
+
+
+def kept_at(df: DataFrame) -> StorageLevel:
+    """Rows of a large table are kept on disk alone: memory is left to what
+    the fits keep, and a task never takes rows read back into memory again."""
+    return StorageLevel.DISK_ONLY if folds_at_once(df) == 1 else StorageLevel.MEMORY_AND_DISK_DESER
 
 
 def cv_scores_by(spark: SparkSession, stages: list, models: Mapping[str, Estimator], df: DataFrame, fold_col: str = "fold",
@@ -324,7 +330,7 @@ def cv_scores_by(spark: SparkSession, stages: list, models: Mapping[str, Estimat
         va = va.select("features", label)
         try:
             if len(models) > 1:
-                va = va.persist()
+                va = va.persist(kept_at(df))
             return [float(evaluator(metric, label).evaluate(m.copy().fit(tr).transform(va))) for m in models.values()]
         finally:
             tr.unpersist()
